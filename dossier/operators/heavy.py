@@ -1,0 +1,64 @@
+"""Keys with more rows than one task or one array should hold."""
+
+import tempfile
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Columns of a heavy-key table, besides the key and any whole-key totals.
+ROWS = "keyRows"
+WIDTH = "keyWidth"
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """The folder all executors share, named by ``spark.checkpoint.dir``.
+
+    A local session without that setting gets a temporary folder; on a cluster
+    the setting is required, as executors cannot read each other's disks.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
+        folder = tempfile.mkdtemp(prefix="dossier-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once and read back.
+
+    The copy survives lost executors, is not computed again by later uses, and
+    has a known size, by which Spark decides whether to broadcast it.
+    """
+    path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def heavy_keys(
+    df: DataFrame,
+    key: str,
+    limit: int,
+    totals: dict[str, Column] | None = None,
+    null_key: bool = False,
+) -> DataFrame | None:
+    """The keys of ``df`` with more than ``limit`` rows, or None if there are none.
+
+    Counted exactly, and before the shuffle, so that a hot key costs no more
+    than another. ``keyWidth`` is the number of parts of at most ``limit`` rows
+    a key needs; ``totals`` are aggregates over all rows of a key. The table has
+    at most rows/limit rows. With ``null_key``, rows without a key count as one
+    more key; else that row is only dropped once written, so that checks in
+    ``df`` still see every row.
+    """
+    counted = df.groupBy(key).agg(
+        F.count(F.lit(1)).alias(ROWS),
+        *[total.alias(name) for name, total in (totals or {}).items()],
+    )
+    width = F.ceil(F.col(ROWS) / F.lit(limit)).cast("int")
+    found = staged(counted.where(F.col(ROWS) > limit).withColumn(WIDTH, width), "heavy-keys")
+    if not null_key:
+        found = found.where(F.col(key).isNotNull())
+    return None if found.isEmpty() else found
