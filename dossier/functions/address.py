@@ -8,7 +8,7 @@ from dossier.functions.checks import check_mode, require
 # The separator, the order of the parts, and what counts as a house number.
 SEPARATOR = ", "
 FIELDS = ["number", "road", "city", "country"]
-WHOLE_NUMBER = "^[+-]?[0-9]+$"
+WHOLE_NUMBER = r"\A[+-]?[0-9]+\z"
 
 
 def _parts(text: Column) -> Column:
