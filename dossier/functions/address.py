@@ -22,24 +22,12 @@ def _parts(text: Column) -> Column:
     return F.split(trimmed, SEPARATOR, len(FIELDS) + 1)
 
 
-def address_fields(text: Column) -> dict[str, Column]:
-    """number, road, city and country; null for each part that is missing or no number."""
-    parts = _parts(text)
-    number = F.get(parts, F.lit(0))
-    fields = {name: F.get(parts, F.lit(i)) for i, name in enumerate(FIELDS)}
-    fields["number"] = F.when(number.rlike(WHOLE_NUMBER), number).try_cast("int")
-    return fields
-
-
-def address_fault(col: str = "address") -> Column:
-    """Text of the fault in a parsed address row, null if the row is sound.
+def is_malformed() -> Column:
+    """Whether a parsed row lacks its number or some other part; never null.
 
     Parts are read in order, so an address with a country has a road and a city.
     """
-    faulty = F.col("number").isNull() | F.col("country").isNull()
-    return F.when(
-        faulty, F.concat(F.lit("malformed address: "), F.coalesce(F.col(col), F.lit("(null)")))
-    )
+    return F.col("number").isNull() | F.col("country").isNull()
 
 
 def parse_address(df: DataFrame, col: str = "address", mode: str = "strict") -> DataFrame:
@@ -49,8 +37,13 @@ def parse_address(df: DataFrame, col: str = "address", mode: str = "strict") ->
     than four parts; lenient mode leaves null what cannot be read.
     """
     check_mode(mode)
-    parsed = df.withColumns(address_fields(F.col(col)))
+    # A one-element explode: plain columns would be split again by every filter on them.
+    split = df.withColumn("addressParts", F.explode(F.array(_parts(F.col(col)))))
+    fields = {name: F.get("addressParts", F.lit(i)) for i, name in enumerate(FIELDS)}
+    number = fields["number"]
+    fields["number"] = F.when(number.rlike(WHOLE_NUMBER), number).try_cast("int")
+    parsed = split.withColumns(fields).drop("addressParts")
     if mode == "strict":
-        fault = address_fault(col)
-        parsed = require(parsed, fault.isNull(), fault)
+        text = F.coalesce(F.col(col), F.lit("(null)"))
+        parsed = require(parsed, ~is_malformed(), F.concat(F.lit("malformed address: "), text))
     return parsed

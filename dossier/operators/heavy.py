@@ -2,6 +2,8 @@
 
 import tempfile
 import uuid
+from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 # Columns of a heavy-key table, besides the key and any whole-key totals.
 ROWS = "keyRows"
 WIDTH = "keyWidth"
+LOAD = "load"
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -37,28 +40,42 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def heavy_keys(
-    df: DataFrame,
-    key: str,
-    limit: int,
-    totals: dict[str, Column] | None = None,
-    null_key: bool = False,
-) -> DataFrame | None:
-    """The keys of ``df`` with more than ``limit`` rows, or None if there are none.
-
-    Counted exactly, and before the shuffle, so that a hot key costs no more
-    than another. ``keyWidth`` is the number of parts of at most ``limit`` rows
-    a key needs; ``totals`` are aggregates over all rows of a key. The table has
-    at most rows/limit rows. With ``null_key``, rows without a key count as one
-    more key; else that row is only dropped once written, so that checks in
-    ``df`` still see every row.
+class Load(NamedTuple):
+    """Rows whose keys are to be counted, and how many rows of one key are too many.
+
+    ``totals`` are aggregates wanted over all rows of such a key. With
+    ``null_key``, the rows without a key count as the rows of one more key.
+    """
+
+    rows: DataFrame
+    limit: int
+    totals: dict[str, Column] = {}
+    null_key: bool = False
+
+
+def heavy_keys(key: str, loads: dict[str, Load]) -> dict[str, DataFrame | None]:
+    """For each load, its keys of more than ``limit`` rows, or None if there are none.
+
+    All loads are counted in one job, exactly, and before the shuffle, so that a
+    hot key costs no more than another. ``keyWidth`` is the number of parts of
+    at most ``limit`` rows a key needs. A table has at most rows/limit rows.
     """
-    counted = df.groupBy(key).agg(
-        F.count(F.lit(1)).alias(ROWS),
-        *[total.alias(name) for name, total in (totals or {}).items()],
+    counted = []
+    for name, load in loads.items():
+        totals = [total.alias(column) for column, total in load.totals.items()]
+        counts = load.rows.groupBy(key).agg(F.count(F.lit(1)).alias(ROWS), *totals)
+        width = F.ceil(F.col(ROWS) / F.lit(load.limit)).cast("int")
+        counted.append(
+            counts.where(F.col(ROWS) > load.limit).withColumns({WIDTH: width, LOAD: F.lit(name)})
+        )
+    found = staged(
+        reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), counted), "heavy-keys"
     )
-    width = F.ceil(F.col(ROWS) / F.lit(limit)).cast("int")
-    found = staged(counted.where(F.col(ROWS) > limit).withColumn(WIDTH, width), "heavy-keys")
-    if not null_key:
-        found = found.where(F.col(key).isNotNull())
-    return None if found.isEmpty() else found
+    tables = {}
+    for name, load in loads.items():
+        table = found.where(F.col(LOAD) == name).select(key, ROWS, WIDTH, *load.totals)
+        if not load.null_key:
+            # Only now, as a filter before the count would hide rows from checks in them.
+            table = table.where(F.col(key).isNotNull())
+        tables[name] = None if table.isEmpty() else table
+    return tables

@@ -9,7 +9,7 @@ differ only in ``part`` and in the children they hold. Groups and joins work on
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dossier.operators.heavy import WIDTH, heavy_keys, staged
+from dossier.operators.heavy import WIDTH, Load, heavy_keys, staged
 from dossier.schemas import PART, PARTS
 
 MAX_CHILDREN = 10_000
@@ -57,10 +57,14 @@ def nest_children(
     counted per distinct content before they are shuffled, since hashing alone
     would send all copies of a row to one part. Children without a key can
     never be attached and are left out.
+
+    Rows are shuffled and sorted before they are grouped, rather than grouped on
+    both sides of the shuffle: collecting does not make them fewer, and sorted
+    rows let one group be held at a time.
     """
     known = children.where(F.col(key).isNotNull())
     if wide is None:
-        spread = known.withColumn(PART, _part_of(F.lit(1), key))
+        placed = known.withColumn(PART, _part_of(F.lit(1), key)).repartition(key, PART)
     else:
         columns = children.columns
         lot = max(1, max_children // LOTS_PER_PART)
@@ -77,12 +81,12 @@ def nest_children(
             .withColumn(PART, _part_of(F.col(WIDTH), *columns, "lot"))
             .withColumn("copies", F.least(F.lit(lot), F.col("copies") - F.col("lot") * lot))
         )
-        spread = (
+        placed = (
             narrow.unionByName(broad.select(narrow.columns))
             .repartition(key, PART)
             .withColumn("copy", F.explode(F.expr("sequence(1L, copies)")))
         )
-    return spread.groupBy(key, PART).agg(
+    return placed.sortWithinPartitions(key, PART).groupBy(key, PART).agg(
         F.sort_array(F.collect_list(F.struct(*fields))).alias(as_col),
         *[total.alias(name) for name, total in (totals or {}).items()],
     )
@@ -139,6 +143,7 @@ def attach_children(
     fields: list[str],
     totals: dict[str, Column] | None = None,
     per_part: dict[str, Column] | None = None,
+    keys_of: DataFrame | None = None,
     wide: DataFrame | None | _Find = FIND,
     repeated: DataFrame | None | _Find = FIND,
     max_children: int = MAX_CHILDREN,
@@ -152,7 +157,8 @@ def attach_children(
     both are null without children.
 
     ``wide`` (keys of many children) and ``repeated`` (keys of many parent rows)
-    are found by a count of the key column unless the caller has them already.
+    are found by a count of the key column unless the caller has them already;
+    ``keys_of`` has the key of every child where ``children`` is dearer to read.
     Rows of repeated keys, and rows without a key if any key repeats, are taken
     out of the common join, where each would make one task's work: the latter
     match nothing, and the former join the written children of their few keys,
@@ -160,10 +166,13 @@ def attach_children(
     """
     totals, per_part = totals or {}, per_part or {}
     parents = with_parts(parents, key)
+    wanted = {}
     if isinstance(wide, _Find):
-        wide = heavy_keys(children, key, max_children, totals)
+        wanted["wide"] = Load(children if keys_of is None else keys_of, max_children, totals)
     if isinstance(repeated, _Find):
-        repeated = heavy_keys(parents.where(F.col(PART) == 0), key, max_repeats, null_key=True)
+        wanted["repeated"] = Load(parents.where(F.col(PART) == 0), max_repeats, null_key=True)
+    found = heavy_keys(key, wanted) if wanted else {}
+    wide, repeated = found.get("wide", wide), found.get("repeated", repeated)
     as_arrays = [f.name for f in parents.schema if f.dataType.typeName() == "array"]
 
     def nest(rows):

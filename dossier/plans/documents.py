@@ -1,12 +1,12 @@
 """Customer documents: flat customers, accounts and addresses, nested per customer."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dossier.functions.address import address_fault, parse_address
+from dossier.functions.address import is_malformed, parse_address
 from dossier.functions.balance import cast_balance
 from dossier.functions.checks import check_mode, require
-from dossier.operators.heavy import heavy_keys
+from dossier.operators.heavy import Load, heavy_keys
 from dossier.operators.nesting import MAX_CHILDREN, MAX_REPEATS, attach_children
 from dossier.schemas import (
     ACCOUNT,
@@ -22,6 +22,14 @@ from dossier.sources.binding import conform
 KEY = "customerId"
 
 
+def account_totals() -> dict[str, Column]:
+    """Aggregates over the accounts of a customer."""
+    return {
+        "numberAccounts": F.count(F.lit(1)).cast("int"),
+        "totalBalance": F.sum("balance"),
+    }
+
+
 def build_customer_accounts(
     customers: DataFrame, accounts: DataFrame, mode: str = "strict", **nesting
 ) -> DataFrame:
@@ -30,17 +38,13 @@ def build_customer_accounts(
     In strict mode a bad balance fails the job, be its customer known or not.
     ``nesting`` goes to ``attach_children``.
     """
-    totals = {
-        "numberAccounts": F.count(F.lit(1)).cast("int"),
-        "totalBalance": F.sum("balance"),
-    }
     attached = attach_children(
         customers,
         cast_balance(accounts, mode).select(ACCOUNT.fieldNames()),
         KEY,
         "accounts",
         ACCOUNT.fieldNames(),
-        totals=totals,
+        totals=account_totals(),
         **nesting,
     )
     number, total = F.col("numberAccounts"), F.col("totalBalance")
@@ -66,11 +70,12 @@ def build_customer_documents(
     is known: the fault travels with the group and is raised after the join.
     """
     check_mode(mode)
-    parsed = parse_address(addresses.select(ADDRESS_RAW.fieldNames()), mode="lenient")
+    addresses = addresses.select(ADDRESS_RAW.fieldNames())
+    parsed = parse_address(addresses, mode="lenient")
     faults = {}
     if mode == "strict":
-        parsed = parsed.withColumn("fault", address_fault())
-        faults = {"fault": F.min("fault")}
+        parsed = parsed.withColumn("malformed", is_malformed())
+        faults = {"malformed": F.max("malformed")}
     documents = attach_children(
         customer_accounts,
         parsed,
@@ -78,13 +83,23 @@ def build_customer_documents(
         "address",
         ADDRESS.fieldNames(),
         per_part=faults,
+        keys_of=addresses,
         **nesting,
     )
     if mode == "strict":
-        documents = require(documents, F.col("fault").isNull(), F.col("fault"))
+        documents = require_addresses(documents)
     return conform(documents, in_parts(CUSTOMER_DOCUMENT))
 
 
+def require_addresses(grouped: DataFrame) -> DataFrame:
+    """Rows of customers none of whose addresses is ``malformed``; the job fails on others."""
+    return require(
+        grouped,
+        ~F.coalesce(F.col("malformed"), F.lit(False)),
+        F.concat(F.lit("malformed address of customer "), F.col(KEY)),
+    )
+
+
 def build_documents(
     customers: DataFrame,
     accounts: DataFrame,
@@ -95,14 +110,34 @@ def build_documents(
 ) -> DataFrame:
     """Both builds in one plan, without the stage between them.
 
-    All three inputs are shuffled once, by the same partitioning.
+    The keys of all three inputs are counted in one job, and then each input is
+    shuffled once, all by the same partitioning.
     """
-    repeated = heavy_keys(customers, KEY, max_repeats, null_key=True)
+    accounts = cast_balance(accounts, mode)
+    heavy = heavy_keys(
+        KEY,
+        {
+            "customers": Load(customers, max_repeats, null_key=True),
+            "accounts": Load(accounts, max_children, account_totals()),
+            "addresses": Load(addresses, max_children),
+        },
+    )
+    repeated = heavy["customers"]
     customer_accounts = build_customer_accounts(
-        customers, accounts, mode, repeated=repeated, max_children=max_children
+        customers,
+        accounts,
+        "lenient",
+        wide=heavy["accounts"],
+        repeated=repeated,
+        max_children=max_children,
     )
     return build_customer_documents(
-        customer_accounts, addresses, mode, repeated=repeated, max_children=max_children
+        customer_accounts,
+        addresses,
+        mode,
+        wide=heavy["addresses"],
+        repeated=repeated,
+        max_children=max_children,
     )
 
 

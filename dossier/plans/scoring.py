@@ -3,10 +3,10 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dossier.functions.address import address_fault, parse_address
-from dossier.functions.checks import check_mode, require
+from dossier.functions.address import is_malformed, parse_address
+from dossier.functions.checks import check_mode
 from dossier.operators.nesting import with_parts
-from dossier.plans.documents import KEY
+from dossier.plans.documents import KEY, require_addresses
 from dossier.schemas import PART, PARTS
 
 # The default watch-list, the name of its flag, and the text of the report.
@@ -81,15 +81,15 @@ def count_linked_flat(
     parsed = parse_address(addresses, mode="lenient").select(
         KEY,
         F.coalesce(F.col("country").isin(countries), F.lit(False)).alias("linked"),
-        (address_fault() if mode == "strict" else F.lit(None).cast("string")).alias("fault"),
+        (is_malformed() if mode == "strict" else F.lit(False)).alias("malformed"),
     )
     relevant = (
-        parsed.where(F.col("linked") | F.col("fault").isNotNull())
+        parsed.where(F.col("linked") | F.col("malformed"))
         .groupBy(KEY)
-        .agg(F.max("linked").alias("linked"), F.min("fault").alias("fault"))
+        .agg(F.max("linked").alias("linked"), F.max("malformed").alias("malformed"))
     )
-    joined = customers.groupBy(KEY).agg(F.count(F.lit(1)).alias("rows")).join(relevant, KEY)
-    sound = require(joined, F.col("fault").isNull(), F.col("fault"))
+    rows = customers.groupBy(KEY).agg(F.count(F.lit(1)).alias("rows"))
+    sound = require_addresses(rows.join(relevant, KEY))
     return sound.where("linked").agg(
         F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("linkedCustomers")
     )

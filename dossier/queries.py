@@ -110,19 +110,16 @@ def order_lines(spark, sf_dir):
 
 
 def order_addresses(spark, sf_dir):
-    suppliers = (
-        _table(spark, sf_dir, "supplier")
-        .join(_table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(_table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("s_suppkey", F.concat_ws(", ", "s_suppkey", "s_name", "r_name", "n_name").alias("address"))
-    )
+    """Each line item's supplier, joined one small table at a time, which Spark can size."""
     return (
         _table(spark, sf_dir, "lineitem")
-        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(_table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(_table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(_table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .select(
             _text("l_linenumber").alias("addressId"),
             _text("l_orderkey").alias("customerId"),
-            "address",
+            F.concat_ws(", ", "s_suppkey", "s_name", "r_name", "n_name").alias("address"),
         )
     )
 
