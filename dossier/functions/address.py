@@ -22,6 +22,18 @@ def _parts(text: Column) -> Column:
     return F.split(trimmed, SEPARATOR, len(FIELDS) + 1)
 
 
+def _fields(parts: Column) -> dict[str, Column]:
+    fields = {name: F.get(parts, F.lit(i)) for i, name in enumerate(FIELDS)}
+    number = fields["number"]
+    fields["number"] = F.when(number.rlike(WHOLE_NUMBER), number).try_cast("int")
+    return fields
+
+
+def address_fields(col: str = "address") -> dict[str, Column]:
+    """number, road, city and country as columns of an address; null where they cannot be read."""
+    return _fields(_parts(F.col(col)))
+
+
 def is_malformed() -> Column:
     """Whether a parsed row lacks its number or some other part; never null.
 
@@ -39,10 +51,7 @@ def parse_address(df: DataFrame, col: str = "address", mode: str = "strict") ->
     check_mode(mode)
     # A one-element explode: plain columns would be split again by every filter on them.
     split = df.withColumn("addressParts", F.explode(F.array(_parts(F.col(col)))))
-    fields = {name: F.get("addressParts", F.lit(i)) for i, name in enumerate(FIELDS)}
-    number = fields["number"]
-    fields["number"] = F.when(number.rlike(WHOLE_NUMBER), number).try_cast("int")
-    parsed = split.withColumns(fields).drop("addressParts")
+    parsed = split.withColumns(_fields(F.col("addressParts"))).drop("addressParts")
     if mode == "strict":
         text = F.coalesce(F.col(col), F.lit("(null)"))
         parsed = require(parsed, ~is_malformed(), F.concat(F.lit("malformed address: "), text))

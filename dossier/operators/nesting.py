@@ -6,6 +6,8 @@ differ only in ``part`` and in the children they hold. Groups and joins work on
 (key, part), so no task and no array ever holds a wide key as a whole.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,6 +50,7 @@ def nest_children(
     as_col: str,
     fields: list[str],
     totals: dict[str, Column] | None = None,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
     wide: DataFrame | None = None,
     max_children: int = MAX_CHILDREN,
 ) -> DataFrame:
@@ -86,7 +89,10 @@ def nest_children(
             .repartition(key, PART)
             .withColumn("copy", F.explode(F.expr("sequence(1L, copies)")))
         )
-    return placed.sortWithinPartitions(key, PART).groupBy(key, PART).agg(
+    ready = placed.sortWithinPartitions(key, PART)
+    if finish is not None:
+        ready = finish(ready)
+    return ready.groupBy(key, PART).agg(
         F.sort_array(F.collect_list(F.struct(*fields))).alias(as_col),
         *[total.alias(name) for name, total in (totals or {}).items()],
     )
@@ -143,7 +149,7 @@ def attach_children(
     fields: list[str],
     totals: dict[str, Column] | None = None,
     per_part: dict[str, Column] | None = None,
-    keys_of: DataFrame | None = None,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
     wide: DataFrame | None | _Find = FIND,
     repeated: DataFrame | None | _Find = FIND,
     max_children: int = MAX_CHILDREN,
@@ -154,11 +160,10 @@ def attach_children(
     Children are grouped first and joined second, so that repeated parents
     neither merge nor count children twice. ``totals`` are aggregates over all
     children of a parent, ``per_part`` aggregates over the children of one row;
-    both are null without children.
+    both are null without children. ``finish`` goes to ``nest_children``.
 
     ``wide`` (keys of many children) and ``repeated`` (keys of many parent rows)
-    are found by a count of the key column unless the caller has them already;
-    ``keys_of`` has the key of every child where ``children`` is dearer to read.
+    are found by a count of the key column unless the caller has them already.
     Rows of repeated keys, and rows without a key if any key repeats, are taken
     out of the common join, where each would make one task's work: the latter
     match nothing, and the former join the written children of their few keys,
@@ -168,7 +173,7 @@ def attach_children(
     parents = with_parts(parents, key)
     wanted = {}
     if isinstance(wide, _Find):
-        wanted["wide"] = Load(children if keys_of is None else keys_of, max_children, totals)
+        wanted["wide"] = Load(children, max_children, totals)
     if isinstance(repeated, _Find):
         wanted["repeated"] = Load(parents.where(F.col(PART) == 0), max_repeats, null_key=True)
     found = heavy_keys(key, wanted) if wanted else {}
@@ -177,7 +182,7 @@ def attach_children(
 
     def nest(rows):
         return nest_children(
-            rows, key, as_col, fields, {**totals, **per_part}, wide, max_children
+            rows, key, as_col, fields, {**totals, **per_part}, finish, wide, max_children
         )
 
     def attach(some_parents, nested):

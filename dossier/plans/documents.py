@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dossier.functions.address import is_malformed, parse_address
+from dossier.functions.address import address_fields, is_malformed
 from dossier.functions.balance import cast_balance
 from dossier.functions.checks import check_mode, require
 from dossier.operators.heavy import Load, heavy_keys
@@ -70,23 +70,23 @@ def build_customer_documents(
     is known: the fault travels with the group and is raised after the join.
     """
     check_mode(mode)
-    addresses = addresses.select(ADDRESS_RAW.fieldNames())
-    parsed = parse_address(addresses, mode="lenient")
-    faults = {}
-    if mode == "strict":
-        parsed = parsed.withColumn("malformed", is_malformed())
-        faults = {"malformed": F.max("malformed")}
+    strict = mode == "strict"
+
+    def parse(rows: DataFrame) -> DataFrame:
+        parsed = rows.withColumns(address_fields())
+        return parsed.withColumn("malformed", is_malformed()) if strict else parsed
+
     documents = attach_children(
         customer_accounts,
-        parsed,
+        addresses.select(ADDRESS_RAW.fieldNames()),
         KEY,
         "address",
         ADDRESS.fieldNames(),
-        per_part=faults,
-        keys_of=addresses,
+        per_part={"malformed": F.max("malformed")} if strict else {},
+        finish=parse,
         **nesting,
     )
-    if mode == "strict":
+    if strict:
         documents = require_addresses(documents)
     return conform(documents, in_parts(CUSTOMER_DOCUMENT))
 
