@@ -15,15 +15,16 @@ def require(df: DataFrame, ok: Column, message: Column) -> DataFrame:
     """All rows of ``df``; the job fails on the first row that is not ``ok``.
 
     The check is a filter because a check inside a column disappears whenever
-    that column is not read, for instance under ``count()``. It also reads the
-    partition's number, which Spark takes for a value that changes: so it does
-    not move the check below a join, to rows the join would drop, nor other
-    filters below the check, where they would hide rows from it, and what the
-    check reads is computed once.
+    that column is not read, for instance under ``count()``. It also compares
+    the partition's number with itself, which Spark takes for a value that may
+    change: so it neither moves the check below a join, to rows the join would
+    drop, nor runs other filters first, which would hide rows from it, and what
+    the check reads is computed once.
     """
-    held = F.when(ok & (F.col("checkedIn") >= 0), F.lit(True))
+    here = F.spark_partition_id()
+    passed = F.when(ok & (F.col("checkedIn") == here), F.lit(True))
     return (
-        df.withColumn("checkedIn", F.spark_partition_id())
-        .where(held.otherwise(F.raise_error(message).cast("boolean")))
+        df.withColumn("checkedIn", here)
+        .where(passed.otherwise(F.raise_error(message).cast("boolean")))
         .drop("checkedIn")
     )

@@ -1,0 +1,137 @@
+import pytest
+
+from dossier.plans.documents import (
+    build_customer_accounts,
+    build_customer_documents,
+    build_customer_model,
+    build_documents,
+)
+from dossier.schemas import CUSTOMER_ACCOUNT, CUSTOMER_DOCUMENT, CUSTOMER_MODEL, PART, PARTS, in_parts
+from tests.util import accounts, addresses, customers, plain
+
+# Three known customers with all their children.
+CUSTOMERS = [
+    ("IND0001", "Christopher", "Black"),
+    ("IND0002", "Madeleine", "Kerr"),
+    ("IND0003", "Sarah", "Skinner"),
+]
+ACCOUNTS = [
+    ("IND0003", "ACC0540", "53"),
+    ("IND0002", "ACC0262", "60"),
+    ("IND0003", "ACC0235", "631"),
+    ("IND0002", "ACC0155", "323"),
+    ("IND0003", "ACC0486", "400"),
+]
+ADDRESSES = [
+    ("ADR139", "IND0002", "675, Khao San Road, Bangkok, Thailand"),
+    ("ADR318", "IND0003", "973, Blue Jays Way, Toronto, Canada"),
+    ("ADR360", "IND0001", "762, East 14th Street, New York, United States of America"),
+]
+
+
+def test_known_customer_accounts(spark):
+    df = build_customer_accounts(customers(spark, *CUSTOMERS), accounts(spark, *ACCOUNTS))
+    assert df.schema.simpleString() == in_parts(CUSTOMER_ACCOUNT).simpleString()
+    assert sorted(plain(r) for r in df.drop(PART, PARTS).collect()) == [
+        ("IND0001", "Christopher", "Black", (), 0, 0, 0.0),
+        ("IND0002", "Madeleine", "Kerr", (("IND0002", "ACC0155", 323), ("IND0002", "ACC0262", 60)), 2, 383, 191.5),
+        ("IND0003", "Sarah", "Skinner",
+         (("IND0003", "ACC0235", 631), ("IND0003", "ACC0486", 400), ("IND0003", "ACC0540", 53)),
+         3, 1084, 361.3333333333333),
+    ]
+
+
+@pytest.mark.parametrize("at_once", [True, False])
+def test_known_documents(spark, at_once):
+    cus, acc, adr = customers(spark, *CUSTOMERS), accounts(spark, *ACCOUNTS), addresses(spark, *ADDRESSES)
+    if at_once:
+        df = build_documents(cus, acc, adr)
+    else:
+        df = build_customer_documents(build_customer_accounts(cus, acc), adr)
+    assert df.schema.simpleString() == in_parts(CUSTOMER_DOCUMENT).simpleString()
+    rows = {r.customerId: plain(r) for r in df.drop(PART, PARTS).collect()}
+    assert rows["IND0001"] == (
+        "IND0001", "Christopher", "Black", (),
+        (("ADR360", "IND0001", "762, East 14th Street, New York, United States of America",
+          762, "East 14th Street", "New York", "United States of America"),))
+    assert rows["IND0002"][3:] == (
+        (("IND0002", "ACC0155", 323), ("IND0002", "ACC0262", 60)),
+        (("ADR139", "IND0002", "675, Khao San Road, Bangkok, Thailand", 675, "Khao San Road", "Bangkok", "Thailand"),))
+    assert len(rows) == 3
+
+
+@pytest.mark.parametrize("customer", ["C1", "unknown", None])
+def test_bad_balance_fails_whoever_owns_it(spark, customer):
+    cus = customers(spark, "C1")
+    df = accounts(spark, ("C1", "A1", "5"), (customer, "A2", "abc"))
+    with pytest.raises(Exception, match="balance is not a whole number, account A2"):
+        build_customer_accounts(cus, df, wide=None, repeated=None).collect()
+    # The count of keys reads every account, so the build itself fails, whatever its result is for.
+    with pytest.raises(Exception, match="balance is not a whole number, account A2"):
+        build_customer_accounts(cus, df)
+    row = build_customer_accounts(cus, df, "lenient").first()
+    assert (row.numberAccounts, row.totalBalance) == ((2, 5) if customer == "C1" else (1, 5))
+
+
+def test_account_without_balance_still_counts(spark):
+    row = build_customer_accounts(customers(spark, "C1"), accounts(spark, ("C1", "A1", None)), "lenient").first()
+    assert plain(row.accounts) == (("C1", "A1", None),)
+    assert (row.numberAccounts, row.totalBalance, row.averageBalance) == (1, 0, 0.0)
+
+
+def test_mean_of_a_total_beyond_double_precision(spark):
+    big = ["9007199254740993", "9007199254740993", "1"]
+    df = build_customer_accounts(
+        customers(spark, "C1"), accounts(spark, *[("C1", f"A{i}", b) for i, b in enumerate(big)]))
+    assert df.first().averageBalance == float(sum(map(int, big))) / 3
+
+
+def test_total_overflow_fails(spark):
+    df = accounts(spark, ("C1", "A1", "9223372036854775807"), ("C1", "A2", "1"))
+    with pytest.raises(Exception, match="(?i)overflow"):
+        build_customer_accounts(customers(spark, "C1"), df).collect()
+
+
+def test_malformed_address_of_an_unknown_customer_is_nobodys(spark):
+    cus, acc = customers(spark, "C1"), accounts(spark)
+    adr = addresses(spark, ("D1", "C1", "1, a, b, c"), ("D2", "unknown", "bad"), ("D3", None, "bad"))
+    documents = build_documents(cus, acc, adr)
+    assert [len(r.address) for r in documents.collect()] == [1]
+    assert documents.where("size(address) = 1").count() == 1
+
+
+@pytest.mark.parametrize("text", [None, "1, a, b", "1, a, b, ", " 5, a, b, c", "x, a, b, c", "2147483648, a, b, c"])
+def test_malformed_address_of_a_known_customer_fails(spark, text):
+    cus, acc = customers(spark, "C1", "C2"), accounts(spark)
+    adr = addresses(spark, ("D1", "C1", text), ("D2", "C1", "1, a, b, c"))
+    documents = build_documents(cus, acc, adr)
+    for use in (documents, documents.where("customerId = 'C2'"), documents.select("customerId")):
+        with pytest.raises(Exception, match="malformed address of customer C1"):
+            use.count()
+    rows = {r.customerId: len(r.address) for r in build_documents(cus, acc, adr, "lenient").collect()}
+    assert rows == {"C1": 2, "C2": 0}
+
+
+def test_wide_customers_keep_whole_totals(spark):
+    acc = [("C1", f"A{i:02}", str(i)) for i in range(25)]
+    adr = [("D%02d" % i, "C1", f"{i}, r, c, x") for i in range(11)]
+    df = build_documents(customers(spark, "C1", "C1", "C2"), accounts(spark, *acc), addresses(spark, *adr),
+                         max_children=4, max_repeats=1)
+    rows = [r for r in df.collect() if r.customerId == "C1"]
+    assert len(rows) == 14 and {r.parts for r in rows} == {7}
+    assert sorted(a.accountId for r in rows for a in r.accounts) == sorted([a[1] for a in acc] * 2)
+    assert sorted(a.addressId for r in rows for a in r.address) == sorted([a[0] for a in adr] * 2)
+    totals = build_customer_accounts(customers(spark, "C1"), accounts(spark, *acc), max_children=4).collect()
+    assert {(r.numberAccounts, r.totalBalance, r.averageBalance) for r in totals} == {(25, 300, 12.0)}
+
+
+def test_bad_address_in_any_part_fails(spark):
+    adr = [("D%02d" % i, "C1", f"{i}, r, c, x") for i in range(11)] + [("D99", "C1", "bad")]
+    with pytest.raises(Exception, match="malformed address of customer C1"):
+        build_documents(customers(spark, "C1"), accounts(spark), addresses(spark, *adr), max_children=4).count()
+
+
+def test_customer_model(spark):
+    df = build_customer_model(customers(spark, *CUSTOMERS))
+    assert df.schema.simpleString() == CUSTOMER_MODEL.simpleString()
+    assert plain(df.first()) == ("IND0001", "Christopher", "Black", ("Christopher", "Black"))

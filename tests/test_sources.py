@@ -1,0 +1,117 @@
+import pytest
+from pyspark.sql import functions as F
+
+from dossier.plans.documents import build_customer_accounts, build_customer_documents
+from dossier.schemas import (
+    ACCOUNT_RAW,
+    CUSTOMER,
+    CUSTOMER_ACCOUNT,
+    CUSTOMER_DOCUMENT,
+    PART,
+    PARTS,
+    in_parts,
+)
+from dossier.sources.binding import conform
+from dossier.sources.files import (
+    read_accounts,
+    read_addresses,
+    read_customer_accounts,
+    read_customer_documents,
+    read_customers,
+    write_stage,
+)
+from tests.util import accounts, addresses, customers
+
+
+def test_csv_binds_by_name_and_drops_extra_columns(spark, tmp_path):
+    file = tmp_path / "c.csv"
+    file.write_text("surname,extra,customerId,forename\nKerr,x,C1,Madeleine\n")
+    df = read_customers(spark, str(file))
+    assert df.schema == CUSTOMER
+    assert [tuple(r) for r in df.collect()] == [("C1", "Madeleine", "Kerr")]
+
+
+def test_csv_values_stay_text(spark, tmp_path):
+    file = tmp_path / "a.csv"
+    file.write_text("customerId,accountId,balance\n001,007,0042")
+    df = read_accounts(spark, str(file))
+    assert df.schema == ACCOUNT_RAW
+    assert [tuple(r) for r in df.collect()] == [("001", "007", "0042")]
+
+
+def test_csv_quoted_delimiter(spark, tmp_path):
+    file = tmp_path / "d.csv"
+    file.write_text('addressId,customerId,address\nD1,C1,"302, De Grassi Street, Toronto, Canada"\n')
+    assert read_addresses(spark, str(file)).first().address == "302, De Grassi Street, Toronto, Canada"
+
+
+def test_csv_missing_column(spark, tmp_path):
+    file = tmp_path / "c.csv"
+    file.write_text("customerId,forename\nC1,x\n")
+    with pytest.raises(ValueError, match="missing columns: surname"):
+        read_customers(spark, str(file))
+
+
+def test_csv_files_with_different_headers_are_an_error(spark, tmp_path):
+    (tmp_path / "1.csv").write_text("customerId,forename,surname\nC1,a,b\n")
+    (tmp_path / "2.csv").write_text("surname,forename,customerId\nb,a,C2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_customers(spark, str(tmp_path)).collect()
+
+
+@pytest.mark.parametrize("row", ["C1,A2", "C1,A2,5,6"])
+def test_csv_ragged_row(spark, tmp_path, row):
+    file = tmp_path / "a.csv"
+    file.write_text(f"customerId,accountId,balance\nC1,A1,4\n{row}\n")
+    cus = customers(spark, "C1")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        build_customer_accounts(cus, read_accounts(spark, str(file))).collect()
+    lenient = build_customer_accounts(cus, read_accounts(spark, str(file), "lenient"), "lenient").first()
+    assert (lenient.numberAccounts, lenient.totalBalance) == (2, 9 if row.endswith("6") else 4)
+
+
+def test_stage_round_trip(spark, tmp_path):
+    cus, path = customers(spark, "C1", "C2"), str(tmp_path / "stage")
+    built = build_customer_accounts(cus, accounts(spark, ("C1", "A1", "4"), ("C1", "A2", "5")))
+    write_stage(built, path)
+    write_stage(built, path)
+    again = read_customer_accounts(spark, path)
+    assert again.schema.simpleString() == in_parts(CUSTOMER_ACCOUNT).simpleString()
+    assert sorted(again.collect()) == sorted(built.collect())
+
+    documents = build_customer_documents(again, addresses(spark, ("D1", "C2", "1, a, b, c")))
+    write_stage(documents, path + "2")
+    back = read_customer_documents(spark, path + "2")
+    assert back.schema.simpleString() == in_parts(CUSTOMER_DOCUMENT).simpleString()
+    assert sorted(back.collect()) == sorted(documents.collect())
+
+
+def test_stage_without_part_columns_is_whole(spark, tmp_path):
+    path = str(tmp_path / "stage")
+    built = build_customer_accounts(customers(spark, "C1"), accounts(spark, ("C1", "A1", "4")))
+    write_stage(built.drop(PART, PARTS), path)
+    assert read_customer_accounts(spark, path).collect() == built.collect()
+
+
+def test_stage_missing_column(spark, tmp_path):
+    path = str(tmp_path / "stage")
+    built = build_customer_accounts(customers(spark, "C1"), accounts(spark, ("C1", "A1", "4")))
+    write_stage(built.drop("surname"), path)
+    with pytest.raises(ValueError, match="missing columns: surname"):
+        read_customer_accounts(spark, path)
+
+
+def test_stage_missing_nested_column(spark, tmp_path):
+    path = str(tmp_path / "stage")
+    built = build_customer_accounts(customers(spark, "C1"), accounts(spark, ("C1", "A1", "4")))
+    shorn = F.transform("accounts", lambda a: a.dropFields("balance"))
+    write_stage(built.withColumn("accounts", shorn), path)
+    with pytest.raises(ValueError, match=r"missing columns: accounts\.balance"):
+        read_customer_accounts(spark, path)
+
+
+def test_conform_orders_drops_and_refuses_casts(spark):
+    df = spark.sql("SELECT 's' surname, 1 extra, 'c' customerId, 'f' forename")
+    assert conform(df, CUSTOMER).columns == ["customerId", "forename", "surname"]
+    with pytest.raises(Exception, match="INVALID_COLUMN_OR_FIELD_DATA_TYPE"):
+        conform(spark.sql("SELECT 'C' customerId, array(named_struct('a', 1)) forename, 's' surname"), CUSTOMER)
