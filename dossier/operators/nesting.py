@@ -7,9 +7,11 @@ differ only in ``part`` and in the children they hold. Groups and joins work on
 """
 
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from dossier.operators.heavy import WIDTH, Load, heavy_keys, staged
 from dossier.schemas import PART, PARTS
@@ -20,12 +22,25 @@ MAX_REPEATS = 100_000
 # Copies of one child row are dealt out in lots, this many to a part's worth.
 LOTS_PER_PART = 32
 
+# The parents' entry in a table of heavy keys; the others go by the array's name.
+PARENTS = "parents"
 
-class _Find:
-    """Marks a heavy-key argument that is to be computed."""
 
+class Children(NamedTuple):
+    """Child rows, and how they are to be nested into the array ``as_col`` of ``fields``.
 
-FIND = _Find()
+    ``totals`` are aggregates over all children of a parent, ``per_part``
+    aggregates over the children of one row; both are null without children.
+    ``finish`` adds columns to single rows; it runs after the shuffle, which then
+    moves only the raw columns.
+    """
+
+    rows: DataFrame
+    as_col: str
+    fields: list[str]
+    totals: dict[str, Column] = {}
+    per_part: dict[str, Column] = {}
+    finish: Callable[[DataFrame], DataFrame] | None = None
 
 
 def _part_of(width: Column, *columns) -> Column:
@@ -45,16 +60,9 @@ def with_parts(parents: DataFrame, key: str) -> DataFrame:
 
 
 def nest_children(
-    children: DataFrame,
-    key: str,
-    as_col: str,
-    fields: list[str],
-    totals: dict[str, Column] | None = None,
-    finish: Callable[[DataFrame], DataFrame] | None = None,
-    wide: DataFrame | None = None,
-    max_children: int = MAX_CHILDREN,
+    children: Children, key: str, wide: DataFrame | None = None, max_children: int = MAX_CHILDREN
 ) -> DataFrame:
-    """One row per (key, part): ``as_col``, the sorted array of whole records, and ``totals``.
+    """One row per (key, part): the sorted array of whole records, and the aggregates.
 
     ``wide`` holds the keys to be split, from ``heavy_keys``. Their rows are
     counted per distinct content before they are shuffled, since hashing alone
@@ -65,11 +73,11 @@ def nest_children(
     both sides of the shuffle: collecting does not make them fewer, and sorted
     rows let one group be held at a time.
     """
-    known = children.where(F.col(key).isNotNull())
+    known = children.rows.where(F.col(key).isNotNull())
     if wide is None:
         placed = known.withColumn(PART, _part_of(F.lit(1), key)).repartition(key, PART)
     else:
-        columns = children.columns
+        columns = known.columns
         lot = max(1, max_children // LOTS_PER_PART)
         narrow = (
             known.join(wide.select(key), key, "left_anti")
@@ -90,11 +98,11 @@ def nest_children(
             .withColumn("copy", F.explode(F.expr("sequence(1L, copies)")))
         )
     ready = placed.sortWithinPartitions(key, PART)
-    if finish is not None:
-        ready = finish(ready)
+    if children.finish is not None:
+        ready = children.finish(ready)
     return ready.groupBy(key, PART).agg(
-        F.sort_array(F.collect_list(F.struct(*fields))).alias(as_col),
-        *[total.alias(name) for name, total in (totals or {}).items()],
+        F.sort_array(F.collect_list(F.struct(*children.fields))).alias(children.as_col),
+        *[c.alias(name) for name, c in {**children.totals, **children.per_part}.items()],
     )
 
 
@@ -128,82 +136,86 @@ def _in_slots(parents, key, as_arrays, totals, wide):
     )
 
 
-def _attach(parents, nested, key, as_col, as_arrays, totals, wide):
+def _attach(parents, key, children, nested, wide):
     if wide is not None:
-        parents = _in_slots(parents, key, as_arrays, totals, wide)
+        as_arrays = [f.name for f in parents.schema if isinstance(f.dataType, ArrayType)]
+        parents = _in_slots(parents, key, as_arrays, children.totals, wide)
     joined = parents.join(nested, [key, PART], "left").withColumn(
-        as_col, F.coalesce(F.col(as_col), _empty(nested, as_col))
+        children.as_col, F.coalesce(F.col(children.as_col), _empty(nested, children.as_col))
     )
-    if wide is None or not totals:
+    if wide is None or not children.totals:
         return joined
     return joined.withColumns(
-        {name: F.coalesce(F.col(f"whole_{name}"), F.col(name)) for name in totals}
-    ).drop(*[f"whole_{name}" for name in totals])
+        {name: F.coalesce(F.col(f"whole_{name}"), F.col(name)) for name in children.totals}
+    ).drop(*[f"whole_{name}" for name in children.totals])
 
 
 def attach_children(
     parents: DataFrame,
-    children: DataFrame,
     key: str,
-    as_col: str,
-    fields: list[str],
-    totals: dict[str, Column] | None = None,
-    per_part: dict[str, Column] | None = None,
-    finish: Callable[[DataFrame], DataFrame] | None = None,
-    wide: DataFrame | None | _Find = FIND,
-    repeated: DataFrame | None | _Find = FIND,
+    kinds: list[Children],
+    heavy: dict[str, DataFrame | None] | None = None,
     max_children: int = MAX_CHILDREN,
     max_repeats: int = MAX_REPEATS,
 ) -> DataFrame:
-    """Every row of ``parents`` with its children in the array ``as_col``, empty if it has none.
+    """Every row of ``parents`` with its children, one array per kind, empty if it has none.
 
     Children are grouped first and joined second, so that repeated parents
-    neither merge nor count children twice. ``totals`` are aggregates over all
-    children of a parent, ``per_part`` aggregates over the children of one row;
-    both are null without children. ``finish`` goes to ``nest_children``.
-
-    ``wide`` (keys of many children) and ``repeated`` (keys of many parent rows)
-    are found by a count of the key column unless the caller has them already.
-    Rows of repeated keys, and rows without a key if any key repeats, are taken
-    out of the common join, where each would make one task's work: the latter
-    match nothing, and the former join the written children of their few keys,
-    which Spark broadcasts if small and else joins with its skew handling.
+    neither merge nor count children twice.
+
+    Keys of more than ``max_children`` children of a kind, and keys of more than
+    ``max_repeats`` parent rows, are found by a count of the key columns, unless
+    ``heavy`` holds what ``find_heavy`` found before. Rows of repeated keys, and
+    rows without a key if any key repeats, are taken out of the common join,
+    where each would make one task's work: the latter match nothing, and the
+    former join the written children of their few keys, which Spark broadcasts
+    if small and else joins with its skew handling.
     """
-    totals, per_part = totals or {}, per_part or {}
     parents = with_parts(parents, key)
-    wanted = {}
-    if isinstance(wide, _Find):
-        wanted["wide"] = Load(children, max_children, totals)
-    if isinstance(repeated, _Find):
-        wanted["repeated"] = Load(parents.where(F.col(PART) == 0), max_repeats, null_key=True)
-    found = heavy_keys(key, wanted) if wanted else {}
-    wide, repeated = found.get("wide", wide), found.get("repeated", repeated)
-    as_arrays = [f.name for f in parents.schema if f.dataType.typeName() == "array"]
-
-    def nest(rows):
-        return nest_children(
-            rows, key, as_col, fields, {**totals, **per_part}, finish, wide, max_children
-        )
+    if heavy is None:
+        heavy = find_heavy(parents, key, kinds, max_children, max_repeats)
+    repeated = heavy.get(PARENTS)
+
+    def attach_all(some_parents, nest):
+        for children in kinds:
+            wide = heavy.get(children.as_col)
+            some_parents = _attach(some_parents, key, children, nest(children, wide), wide)
+        return some_parents
 
-    def attach(some_parents, nested):
-        return _attach(some_parents, nested, key, as_col, as_arrays, totals, wide)
+    def nest(children, wide):
+        return nest_children(children, key, wide, max_children)
 
-    nested = nest(children)
     if repeated is None:
-        return attach(parents, nested)
+        return attach_all(parents, nest)
 
     hot = repeated.select(key).where(F.col(key).isNotNull())
-    common = attach(
-        parents.where(F.col(key).isNotNull()).join(hot, key, "left_anti"), nested
-    )
-    again = attach(
-        parents.join(hot, key, "left_semi"),
-        staged(nest(children.join(hot, key, "left_semi")), "repeated"),
-    )
-    keyless = parents.where(F.col(key).isNull()).withColumns(
-        {
-            as_col: _empty(nested, as_col),
-            **{n: F.lit(None).cast(nested.schema[n].dataType) for n in [*totals, *per_part]},
+
+    def nest_hot(children, wide):
+        of_hot = children._replace(rows=children.rows.join(hot, key, "left_semi"))
+        return staged(nest(of_hot, wide), "repeated")
+
+    keyless = parents.where(F.col(key).isNull())
+    for children in kinds:
+        nested = nest(children, None)
+        nothing = {
+            field.name: F.lit(None).cast(field.dataType)
+            for field in nested.schema
+            if field.name not in (key, PART)
         }
+        nothing[children.as_col] = _empty(nested, children.as_col)
+        keyless = keyless.withColumns(nothing)
+    once = parents.where(F.col(key).isNotNull()).join(hot, key, "left_anti")
+    again = parents.join(hot, key, "left_semi")
+    return (
+        attach_all(once, nest).unionByName(attach_all(again, nest_hot)).unionByName(keyless)
     )
-    return common.unionByName(again).unionByName(keyless)
+
+
+def find_heavy(
+    parents: DataFrame, key: str, kinds: list[Children], max_children: int, max_repeats: int
+) -> dict[str, DataFrame | None]:
+    """The keys ``attach_children`` must split, from one job over all its inputs."""
+    loads = {kind.as_col: Load(kind.rows, max_children, kind.totals) for kind in kinds}
+    rows = with_parts(parents, key).where(F.col(PART) == 0)
+    loads[PARENTS] = Load(rows, max_repeats, null_key=True)
+    return heavy_keys(key, loads)

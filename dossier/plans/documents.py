@@ -1,13 +1,12 @@
 """Customer documents: flat customers, accounts and addresses, nested per customer."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dossier.functions.address import address_fields, is_malformed
 from dossier.functions.balance import cast_balance
 from dossier.functions.checks import check_mode, require
-from dossier.operators.heavy import Load, heavy_keys
-from dossier.operators.nesting import MAX_CHILDREN, MAX_REPEATS, attach_children
+from dossier.operators.nesting import Children, attach_children
 from dossier.schemas import (
     ACCOUNT,
     ADDRESS,
@@ -22,52 +21,17 @@ from dossier.sources.binding import conform
 KEY = "customerId"
 
 
-def account_totals() -> dict[str, Column]:
-    """Aggregates over the accounts of a customer."""
-    return {
-        "numberAccounts": F.count(F.lit(1)).cast("int"),
-        "totalBalance": F.sum("balance"),
-    }
-
-
-def build_customer_accounts(
-    customers: DataFrame, accounts: DataFrame, mode: str = "strict", **nesting
-) -> DataFrame:
-    """Every customer with its accounts, their number, and their total and mean balance.
-
-    In strict mode a bad balance fails the job, be its customer known or not.
-    ``nesting`` goes to ``attach_children``.
-    """
-    attached = attach_children(
-        customers,
-        cast_balance(accounts, mode).select(ACCOUNT.fieldNames()),
-        KEY,
-        "accounts",
-        ACCOUNT.fieldNames(),
-        totals=account_totals(),
-        **nesting,
+def _accounts(accounts: DataFrame, mode: str) -> Children:
+    return Children(
+        cast_balance(accounts, mode).select(ACCOUNT.fieldNames()), "accounts", ACCOUNT.fieldNames()
     )
-    number, total = F.col("numberAccounts"), F.col("totalBalance")
-    stats = attached.withColumns(
-        {
-            "numberAccounts": F.coalesce(number, F.lit(0)),
-            "totalBalance": F.coalesce(total, F.lit(0).cast("bigint")),
-        }
-    ).withColumn(
-        # Not avg(): it rounds otherwise for totals beyond 2^53, and is null for no rows.
-        "averageBalance",
-        F.when(number == 0, F.lit(0.0)).otherwise(total.cast("double") / number),
-    )
-    return conform(stats, in_parts(CUSTOMER_ACCOUNT))
 
 
-def build_customer_documents(
-    customer_accounts: DataFrame, addresses: DataFrame, mode: str = "strict", **nesting
-) -> DataFrame:
-    """Every customer with its accounts and its parsed addresses.
+def _addresses(addresses: DataFrame, mode: str) -> Children:
+    """Addresses to be parsed once they are grouped by customer.
 
-    In strict mode a malformed address fails the job, but only if its customer
-    is known: the fault travels with the group and is raised after the join.
+    A malformed one is no error yet, as its customer may be unknown: the fault
+    travels with the group, to be raised by ``require_addresses``.
     """
     check_mode(mode)
     strict = mode == "strict"
@@ -76,19 +40,13 @@ def build_customer_documents(
         parsed = rows.withColumns(address_fields())
         return parsed.withColumn("malformed", is_malformed()) if strict else parsed
 
-    documents = attach_children(
-        customer_accounts,
+    return Children(
         addresses.select(ADDRESS_RAW.fieldNames()),
-        KEY,
         "address",
         ADDRESS.fieldNames(),
         per_part={"malformed": F.max("malformed")} if strict else {},
         finish=parse,
-        **nesting,
     )
-    if strict:
-        documents = require_addresses(documents)
-    return conform(documents, in_parts(CUSTOMER_DOCUMENT))
 
 
 def require_addresses(grouped: DataFrame) -> DataFrame:
@@ -100,45 +58,68 @@ def require_addresses(grouped: DataFrame) -> DataFrame:
     )
 
 
+def build_customer_accounts(
+    customers: DataFrame, accounts: DataFrame, mode: str = "strict", **limits
+) -> DataFrame:
+    """Every customer with its accounts, their number, and their total and mean balance.
+
+    In strict mode a bad balance fails the job, be its customer known or not.
+    ``limits`` go to ``attach_children``, here and below.
+    """
+    totals = {
+        "numberAccounts": F.count(F.lit(1)).cast("int"),
+        "totalBalance": F.sum("balance"),
+    }
+    kind = _accounts(accounts, mode)._replace(totals=totals)
+    number, total = F.col("numberAccounts"), F.col("totalBalance")
+    stats = (
+        attach_children(customers, KEY, [kind], **limits)
+        .withColumns(
+            {
+                "numberAccounts": F.coalesce(number, F.lit(0)),
+                "totalBalance": F.coalesce(total, F.lit(0).cast("bigint")),
+            }
+        )
+        .withColumn(
+            # Not avg(): it rounds otherwise for totals beyond 2^53, and is null for no rows.
+            "averageBalance",
+            F.when(number == 0, F.lit(0.0)).otherwise(total.cast("double") / number),
+        )
+    )
+    return conform(stats, in_parts(CUSTOMER_ACCOUNT))
+
+
+def _as_documents(attached: DataFrame, mode: str) -> DataFrame:
+    if mode == "strict":
+        attached = require_addresses(attached)
+    return conform(attached, in_parts(CUSTOMER_DOCUMENT))
+
+
+def build_customer_documents(
+    customer_accounts: DataFrame, addresses: DataFrame, mode: str = "strict", **limits
+) -> DataFrame:
+    """Every customer with its accounts and its parsed addresses.
+
+    In strict mode a malformed address fails the job, but only if its customer
+    is known.
+    """
+    kinds = [_addresses(addresses, mode)]
+    return _as_documents(attach_children(customer_accounts, KEY, kinds, **limits), mode)
+
+
 def build_documents(
     customers: DataFrame,
     accounts: DataFrame,
     addresses: DataFrame,
     mode: str = "strict",
-    max_children: int = MAX_CHILDREN,
-    max_repeats: int = MAX_REPEATS,
+    **limits,
 ) -> DataFrame:
-    """Both builds in one plan, without the stage between them.
+    """The documents of both builds in one plan, without the stage between them.
 
-    The keys of all three inputs are counted in one job, and then each input is
-    shuffled once, all by the same partitioning.
+    Each input is shuffled once, all by the same partitioning.
     """
-    accounts = cast_balance(accounts, mode)
-    heavy = heavy_keys(
-        KEY,
-        {
-            "customers": Load(customers, max_repeats, null_key=True),
-            "accounts": Load(accounts, max_children, account_totals()),
-            "addresses": Load(addresses, max_children),
-        },
-    )
-    repeated = heavy["customers"]
-    customer_accounts = build_customer_accounts(
-        customers,
-        accounts,
-        "lenient",
-        wide=heavy["accounts"],
-        repeated=repeated,
-        max_children=max_children,
-    )
-    return build_customer_documents(
-        customer_accounts,
-        addresses,
-        mode,
-        wide=heavy["addresses"],
-        repeated=repeated,
-        max_children=max_children,
-    )
+    kinds = [_accounts(accounts, mode), _addresses(addresses, mode)]
+    return _as_documents(attach_children(customers, KEY, kinds, **limits), mode)
 
 
 def build_customer_model(customers: DataFrame) -> DataFrame:

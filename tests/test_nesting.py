@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from dossier.operators.heavy import ROWS, WIDTH, Load, heavy_keys, scratch_dir
-from dossier.operators.nesting import attach_children, nest_children
+from dossier.operators.nesting import Children, attach_children, nest_children
 from dossier.schemas import PART, PARTS
 from tests.util import plain
 
@@ -29,9 +29,8 @@ def children_of(spark, rows):
 
 
 def attach(spark, parents, children, **options):
-    return attach_children(
-        parents_of(spark, parents), children_of(spark, children), "k", "kids", FIELDS,
-        totals=totals(), **options)
+    kids = Children(children_of(spark, children), "kids", FIELDS, totals())
+    return attach_children(parents_of(spark, parents), "k", [kids], **options)
 
 
 def expected(parents, children):
@@ -139,27 +138,35 @@ def test_wide_parts_stay_near_the_limit(spark):
         F.when(F.col("id") < 10_000, "copy").otherwise(F.col("id").cast("string")).alias("c"),
         F.lit(1).cast("long").alias("v"))
     wide = heavy_keys("k", {"rows": Load(rows, limit)})["rows"]
-    sizes = [r.n for r in nest_children(rows, "k", "kids", FIELDS, {"n": F.count(F.lit(1))}, wide=wide,
-                                        max_children=limit).select("n").collect()]
+    sizes = [r.n for r in nest_children(
+        Children(rows, "kids", FIELDS, {"n": F.count(F.lit(1))}), "k", wide, limit).select("n").collect()]
     assert sum(sizes) == 20_000
     assert len(sizes) == 32 and max(sizes) < 2 * limit
 
 
-def test_second_children_join_the_parts_of_the_first(spark):
-    parents = [("a", "x"), ("b", "x")]
-    first = attach_children(
-        parents_of(spark, parents), children_of(spark, [("a", str(i), 1) for i in range(4)] + [("b", "1", 1)]),
-        "k", "kids", FIELDS, max_children=2)
-    both = attach_children(
-        first, spark.createDataFrame([("a", str(i)) for i in range(7)] + [("b", "z")] * 2, "k string, d string"),
-        "k", "pets", ["d"], max_children=2).collect()
+@pytest.mark.parametrize("at_once", [True, False])
+@pytest.mark.parametrize("max_repeats", [1, 100])
+def test_second_children_join_the_parts_of_the_first(spark, at_once, max_repeats):
+    parents = [("a", "x"), ("b", "x"), ("b", "x"), (None, "x")]
+    kids = children_of(spark, [("a", str(i), 1) for i in range(4)] + [("b", "1", 1)])
+    pets = spark.createDataFrame([("a", str(i)) for i in range(7)] + [("b", "z")] * 2, "k string, d string")
+    kinds = [Children(kids, "kids", FIELDS), Children(pets, "pets", ["d"])]
+    if at_once:
+        df = attach_children(parents_of(spark, parents), "k", kinds, max_children=2, max_repeats=max_repeats)
+    else:
+        df = parents_of(spark, parents)
+        for kind in kinds:
+            df = attach_children(df, "k", [kind], max_children=2, max_repeats=max_repeats)
+    both = df.collect()
     of_a = [r for r in both if r.k == "a"]
     assert sorted(r.part for r in of_a) == [0, 1, 2, 3] and {r.parts for r in of_a} == {4}
     assert sorted(k.c for r in of_a for k in r.kids) == ["0", "1", "2", "3"]
     assert all(r.kids == [] for r in of_a if r.part >= 2)
     assert sorted(k.d for r in of_a for k in r.pets) == list("0123456")
+    of_none = [r for r in both if r.k is None]
+    assert len(of_none) == 1 and of_none[0].kids == [] == of_none[0].pets
     of_b = [r for r in both if r.k == "b"]
-    assert len(of_b) == 1 and len(of_b[0].kids) == 1 and len(of_b[0].pets) == 2
+    assert len(of_b) == 2 and all(len(r.kids) == 1 and len(r.pets) == 2 for r in of_b)
 
 
 def test_heavy_keys_are_exact(spark):

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from dossier.operators.nesting import attach_children
+from dossier.operators.nesting import Children, attach_children
 from dossier.plans.documents import build_customer_accounts, build_documents
 from dossier.plans.scoring import count_linked, score_link
 from dossier.queries import QUERIES
@@ -101,5 +101,5 @@ def test_stats_alone_collect_nothing(spark, no_broadcast):
 def test_projection_prunes_children_of_parquet(spark, tmp_path):
     path = str(tmp_path / "rows")
     spark.sql("SELECT 'a' k, 'c' c, 'unused' u").write.parquet(path)
-    df = attach_children(spark.sql("SELECT 'a' k"), spark.read.parquet(path), "k", "kids", ["c"])
+    df = attach_children(spark.sql("SELECT 'a' k"), "k", [Children(spark.read.parquet(path), "kids", ["c"])])
     assert all("u:" not in s for s in re.findall(r"ReadSchema: (.*)", plan(df)))
