@@ -17,9 +17,9 @@ from dossier.operators.heavy import WIDTH, Load, heavy_keys, staged
 from dossier.schemas import PART, PARTS
 
 MAX_CHILDREN = 10_000
-MAX_REPEATS = 100_000
+MAX_REPEATS = 1_000
 
-# Copies of one child row are dealt out in lots, this many to a part's worth.
+# Copies of one child row are dealt out in lots, of this fraction of a full part.
 LOTS_PER_PART = 32
 
 # The parents' entry in a table of heavy keys; the others go by the array's name.
@@ -84,13 +84,16 @@ def nest_children(
             .withColumn(PART, _part_of(F.lit(1), key))
             .withColumn("copies", F.lit(1).cast("bigint"))
         )
+        # Lots of one row go to neighbouring parts, at most one lot to each.
+        first = _part_of(F.col(WIDTH), *columns)
         broad = (
             known.join(wide.select(key, WIDTH), key)
             .groupBy(*columns, WIDTH)
             .agg(F.count(F.lit(1)).alias("copies"))
-            .withColumn("lot", F.explode(F.expr(f"sequence(0L, (copies - 1) div {lot})")))
-            .withColumn(PART, _part_of(F.col(WIDTH), *columns, "lot"))
-            .withColumn("copies", F.least(F.lit(lot), F.col("copies") - F.col("lot") * lot))
+            .withColumn("lots", F.least(F.ceil(F.col("copies") / F.lit(lot)), WIDTH).cast("int"))
+            .withColumn("lot", F.explode(F.expr("sequence(0, lots - 1)")))
+            .withColumn(PART, ((first + F.col("lot").cast("bigint")) % F.col(WIDTH)).cast("int"))
+            .withColumn("copies", F.expr("copies div lots + int(lot < copies % lots)"))
         )
         placed = (
             narrow.unionByName(broad.select(narrow.columns))
@@ -110,36 +113,43 @@ def _empty(nested: DataFrame, column: str) -> Column:
     return F.array().cast(nested.schema[column].dataType)
 
 
-def _in_slots(parents, key, as_arrays, totals, wide):
-    """Parent rows, one for each part that their old or their new children need."""
-    last = F.greatest(F.col(PARTS), F.coalesce(F.col(WIDTH), F.lit(1))) - 1
-    whole = {f"whole_{name}": F.col(name) for name in totals}
-    widths = wide.select(key, WIDTH, *[c.alias(name) for name, c in whole.items()])
-    slots = parents.join(widths, key, "left").withColumn(
-        "slot",
-        F.explode(
-            F.when(F.col(PART) == F.col(PARTS) - 1, F.sequence(F.col(PART), last)).otherwise(
-                F.array(PART)
-            )
-        ),
-    )
-    emptied = {
-        name: F.when(F.col("slot") == F.col(PART), F.col(name)).otherwise(
-            F.array().cast(parents.schema[name].dataType)
-        )
-        for name in as_arrays
-    }
+def _in_slots(parents, key, kinds, heavy):
+    """Parent rows, one for each part that their old or any of their new children need.
+
+    Made before the first join, so that all joins share one partitioning.
+    """
+    arrays = [f.name for f in parents.schema if isinstance(f.dataType, ArrayType)]
+    widths = [F.col(PARTS)]
+    slots = parents
+    for children in kinds:
+        wide = heavy.get(children.as_col)
+        if wide is not None:
+            width = f"width_{children.as_col}"
+            whole = [F.col(name).alias(f"whole_{name}") for name in children.totals]
+            slots = slots.join(wide.select(key, F.col(WIDTH).alias(width), *whole), key, "left")
+            widths.append(F.coalesce(F.col(width), F.lit(1)))
+    if len(widths) == 1:
+        return parents
+    # The last part of a parent makes room for the parts to come, none of which has old children.
+    last = F.greatest(*widths) - 1
+    own = F.col("slot") == F.col(PART)
     return (
-        slots.withColumns(emptied)
-        .withColumns({PART: F.col("slot"), PARTS: last + 1})
-        .drop("slot", WIDTH)
+        slots.withColumn("last", last)
+        .withColumn(
+            "slot",
+            F.explode(
+                F.when(
+                    F.col(PART) == F.col(PARTS) - 1, F.sequence(F.col(PART), F.col("last"))
+                ).otherwise(F.array(PART))
+            ),
+        )
+        .withColumns({n: F.when(own, F.col(n)).otherwise(_empty(parents, n)) for n in arrays})
+        .withColumns({PART: F.col("slot"), PARTS: F.col("last") + 1})
+        .drop("slot", "last", *[f"width_{children.as_col}" for children in kinds])
     )
 
 
 def _attach(parents, key, children, nested, wide):
-    if wide is not None:
-        as_arrays = [f.name for f in parents.schema if isinstance(f.dataType, ArrayType)]
-        parents = _in_slots(parents, key, as_arrays, children.totals, wide)
     joined = parents.join(nested, [key, PART], "left").withColumn(
         children.as_col, F.coalesce(F.col(children.as_col), _empty(nested, children.as_col))
     )
@@ -177,10 +187,11 @@ def attach_children(
     repeated = heavy.get(PARENTS)
 
     def attach_all(some_parents, nest):
+        attached = _in_slots(some_parents, key, kinds, heavy)
         for children in kinds:
             wide = heavy.get(children.as_col)
-            some_parents = _attach(some_parents, key, children, nest(children, wide), wide)
-        return some_parents
+            attached = _attach(attached, key, children, nest(children, wide), wide)
+        return attached
 
     def nest(children, wide):
         return nest_children(children, key, wide, max_children)

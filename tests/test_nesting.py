@@ -130,16 +130,23 @@ def test_any_input_against_brute_force(spark, parents, children, max_children, m
     assert whole(df) == expected(parents, children)
 
 
-def test_wide_parts_stay_near_the_limit(spark):
-    """Neither distinct children nor copies of one child pile up in a part."""
+@pytest.mark.parametrize("copied", ["one", "some", "none", "all"])
+def test_wide_parts_stay_near_the_limit(spark, copied):
+    """Neither distinct children nor copies of children pile up in a part."""
     limit = 640
+    name = {
+        "one": F.when(F.col("id") < 10_000, "copy").otherwise(F.col("id").cast("string")),
+        "some": F.when(F.col("id") < 15_000, (F.col("id") % 50).cast("string")).otherwise(F.col("id").cast("string")),
+        "none": F.col("id").cast("string"),
+        "all": F.lit("copy"),
+    }[copied]
     rows = spark.range(20_000).select(
-        F.lit("hot").alias("k"),
-        F.when(F.col("id") < 10_000, "copy").otherwise(F.col("id").cast("string")).alias("c"),
-        F.lit(1).cast("long").alias("v"))
+        F.lit("hot").alias("k"), name.alias("c"), F.lit(1).cast("long").alias("v"))
     wide = heavy_keys("k", {"rows": Load(rows, limit)})["rows"]
-    sizes = [r.n for r in nest_children(
-        Children(rows, "kids", FIELDS, {"n": F.count(F.lit(1))}), "k", wide, limit).select("n").collect()]
+    nested = nest_children(Children(rows, "kids", FIELDS, {"n": F.count(F.lit(1))}), "k", wide, limit)
+    found = nested.select("n", F.explode("kids.c").alias("c")).collect()
+    assert Counter(r.c for r in found) == Counter(r.c for r in rows.collect())
+    sizes = [r.n for r in nested.select("n").collect()]
     assert sum(sizes) == 20_000
     assert len(sizes) == 32 and max(sizes) < 2 * limit
 
