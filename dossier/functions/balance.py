@@ -18,8 +18,10 @@ def cast_balance(accounts: DataFrame, mode: str = "strict") -> DataFrame:
             accounts,
             F.col("balance").try_cast("bigint").isNotNull(),
             F.concat(
-                F.lit("balance is not a whole number, account "),
-                F.coalesce(F.col("accountId"), F.lit("(null)")),
+                F.lit("balance is not a whole number: "),
+                F.coalesce(F.col("balance").cast("string"), F.lit("(null)")),
+                F.lit(", customer "),
+                F.coalesce(F.col("customerId"), F.lit("(null)")),
             ),
         )
     return accounts.withColumn("balance", F.col("balance").try_cast("bigint"))
