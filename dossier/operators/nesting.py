@@ -7,6 +7,7 @@ differ only in ``part`` and in the children they hold. Groups and joins work on
 """
 
 from collections.abc import Callable
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -109,8 +110,8 @@ def nest_children(
     )
 
 
-def _empty(nested: DataFrame, column: str) -> Column:
-    return F.array().cast(nested.schema[column].dataType)
+def _empty(df: DataFrame, column: str) -> Column:
+    return F.array().cast(df.schema[column].dataType)
 
 
 def _in_slots(parents, key, kinds, heavy):
@@ -149,15 +150,17 @@ def _in_slots(parents, key, kinds, heavy):
     )
 
 
-def _attach(parents, key, children, nested, wide):
-    joined = parents.join(nested, [key, PART], "left").withColumn(
-        children.as_col, F.coalesce(F.col(children.as_col), _empty(nested, children.as_col))
-    )
-    if wide is None or not children.totals:
-        return joined
-    return joined.withColumns(
-        {name: F.coalesce(F.col(f"whole_{name}"), F.col(name)) for name in children.totals}
-    ).drop(*[f"whole_{name}" for name in children.totals])
+def _filled(joined, kinds, heavy):
+    """``joined`` without null arrays, and with the totals of whole keys on each of their parts."""
+    columns = {}
+    for children in kinds:
+        name = children.as_col
+        columns[name] = F.coalesce(F.col(name), _empty(joined, name))
+        if heavy.get(name) is not None:
+            for total in children.totals:
+                columns[total] = F.coalesce(F.col(f"whole_{total}"), F.col(total))
+    whole = [f"whole_{total}" for children in kinds for total in children.totals]
+    return joined.withColumns(columns).drop(*whole)
 
 
 def attach_children(
@@ -176,50 +179,45 @@ def attach_children(
     Keys of more than ``max_children`` children of a kind, and keys of more than
     ``max_repeats`` parent rows, are found by a count of the key columns, unless
     ``heavy`` holds what ``find_heavy`` found before. Rows of repeated keys, and
-    rows without a key if any key repeats, are taken out of the common join,
-    where each would make one task's work: the latter match nothing, and the
-    former join the written children of their few keys, which Spark broadcasts
-    if small and else joins with its skew handling.
+    rows without a key if any key repeats, are taken out of the common joins,
+    where each key would make one task's work: the latter match nothing, and
+    the former join the children of their few keys in one last join of two
+    tables, in which Spark broadcasts the children if few and can split the
+    parents of one key if not.
     """
     parents = with_parts(parents, key)
     if heavy is None:
         heavy = find_heavy(parents, key, kinds, max_children, max_repeats)
-    repeated = heavy.get(PARENTS)
 
-    def attach_all(some_parents, nest):
-        attached = _in_slots(some_parents, key, kinds, heavy)
-        for children in kinds:
-            wide = heavy.get(children.as_col)
-            attached = _attach(attached, key, children, nest(children, wide), wide)
-        return attached
+    def nest(children):
+        return nest_children(children, key, heavy.get(children.as_col), max_children)
 
-    def nest(children, wide):
-        return nest_children(children, key, wide, max_children)
+    def attach(some_parents, nested_tables):
+        attached = _in_slots(some_parents, key, kinds, heavy)
+        for nested in nested_tables:
+            attached = attached.join(nested, [key, PART], "left")
+        return _filled(attached, kinds, heavy)
 
+    repeated = heavy.get(PARENTS)
     if repeated is None:
-        return attach_all(parents, nest)
+        return attach(parents, [nest(children) for children in kinds])
 
     hot = repeated.select(key).where(F.col(key).isNotNull())
-
-    def nest_hot(children, wide):
-        of_hot = children._replace(rows=children.rows.join(hot, key, "left_semi"))
-        return staged(nest(of_hot, wide), "repeated")
-
-    keyless = parents.where(F.col(key).isNull())
-    for children in kinds:
-        nested = nest(children, None)
-        nothing = {
-            field.name: F.lit(None).cast(field.dataType)
-            for field in nested.schema
-            if field.name not in (key, PART)
-        }
-        nothing[children.as_col] = _empty(nested, children.as_col)
-        keyless = keyless.withColumns(nothing)
-    once = parents.where(F.col(key).isNotNull()).join(hot, key, "left_anti")
-    again = parents.join(hot, key, "left_semi")
-    return (
-        attach_all(once, nest).unionByName(attach_all(again, nest_hot)).unionByName(keyless)
-    )
+    known = parents.where(F.col(key).isNotNull())
+    once = attach(known.join(hot, key, "left_anti"), [nest(children) for children in kinds])
+    hot_tables = [
+        nest(children._replace(rows=children.rows.join(hot, key, "left_semi")))
+        for children in kinds
+    ]
+    together = reduce(lambda a, b: a.join(b, [key, PART], "full"), hot_tables)
+    again = attach(known.join(hot, key, "left_semi"), [staged(together, "repeated")])
+    childless = {
+        field.name: F.lit(None).cast(field.dataType)
+        for field in together.schema
+        if field.name not in (key, PART)
+    }
+    keyless = parents.where(F.col(key).isNull()).withColumns(childless)
+    return once.unionByName(again).unionByName(_filled(keyless, kinds, {}))
 
 
 def find_heavy(

@@ -153,7 +153,9 @@ def test_wide_parts_stay_near_the_limit(spark, copied):
 
 @pytest.mark.parametrize("at_once", [True, False])
 @pytest.mark.parametrize("max_repeats", [1, 100])
-def test_second_children_join_the_parts_of_the_first(spark, at_once, max_repeats):
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+def test_second_children_join_the_parts_of_the_first(spark, at_once, max_repeats, broadcast):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
     parents = [("a", "x"), ("b", "x"), ("b", "x"), (None, "x")]
     kids = children_of(spark, [("a", str(i), 1) for i in range(4)] + [("b", "1", 1)])
     pets = spark.createDataFrame([("a", str(i)) for i in range(7)] + [("b", "z")] * 2, "k string, d string")
@@ -165,6 +167,7 @@ def test_second_children_join_the_parts_of_the_first(spark, at_once, max_repeats
         for kind in kinds:
             df = attach_children(df, "k", [kind], max_children=2, max_repeats=max_repeats)
     both = df.collect()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     of_a = [r for r in both if r.k == "a"]
     assert sorted(r.part for r in of_a) == [0, 1, 2, 3] and {r.parts for r in of_a} == {4}
     assert sorted(k.c for r in of_a for k in r.kids) == ["0", "1", "2", "3"]
