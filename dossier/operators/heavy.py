@@ -8,12 +8,6 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Columns of a heavy-key table, besides the key and any whole-key totals.
-ROWS = "keyRows"
-WIDTH = "keyWidth"
-LOAD = "load"
-
-
 def scratch_dir(spark: SparkSession) -> str:
     """The folder all executors share, named by ``spark.checkpoint.dir``.
 
@@ -53,29 +47,51 @@ class Load(NamedTuple):
     null_key: bool = False
 
 
-def heavy_keys(key: str, loads: dict[str, Load]) -> dict[str, DataFrame | None]:
-    """For each load, its keys of more than ``limit`` rows, or None if there are none.
+class Heavy(NamedTuple):
+    """Keys with too many rows in any load, one row each, and the names of the loads that have some.
+
+    For each load, ``width_of`` names the number of parts of at most ``limit``
+    rows that a key needs, null if it has not too many, and ``total_of`` its totals.
+    """
+
+    table: DataFrame | None = None
+    loads: frozenset[str] = frozenset()
+
 
-    All loads are counted in one job, exactly, and before the shuffle, so that a
-    hot key costs no more than another. ``keyWidth`` is the number of parts of
-    at most ``limit`` rows a key needs. A table has at most rows/limit rows.
+def width_of(load: str) -> str:
+    return f"{load}_width"
+
+
+def total_of(load: str, total: str) -> str:
+    return f"{load}_{total}"
+
+
+def heavy_keys(key: str, loads: dict[str, Load]) -> Heavy:
+    """The heavy keys of all loads, from one job.
+
+    Counted exactly, and before the shuffle, so that a hot key costs no more
+    than another. The table has at most rows/limit rows.
     """
     counted = []
     for name, load in loads.items():
-        totals = [total.alias(column) for column, total in load.totals.items()]
-        counts = load.rows.groupBy(key).agg(F.count(F.lit(1)).alias(ROWS), *totals)
-        width = F.ceil(F.col(ROWS) / F.lit(load.limit)).cast("int")
-        counted.append(
-            counts.where(F.col(ROWS) > load.limit).withColumns({WIDTH: width, LOAD: F.lit(name)})
+        totals = {total_of(name, total): column for total, column in load.totals.items()}
+        counts = load.rows.groupBy(key).agg(
+            F.count(F.lit(1)).alias("rows"), *[c.alias(total) for total, c in totals.items()]
         )
-    found = staged(
-        reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), counted), "heavy-keys"
+        width = F.ceil(F.col("rows") / F.lit(load.limit)).cast("int").alias(width_of(name))
+        counted.append(counts.where(F.col("rows") > load.limit).select(key, width, *totals))
+    together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), counted)
+    columns = [column for column in together.columns if column != key]
+    table = staged(
+        together.groupBy(key).agg(*[F.max(column).alias(column) for column in columns]),
+        "heavy-keys",
     )
-    tables = {}
-    for name, load in loads.items():
-        table = found.where(F.col(LOAD) == name).select(key, ROWS, WIDTH, *load.totals)
-        if not load.null_key:
-            # Only now, as a filter before the count would hide rows from checks in them.
-            table = table.where(F.col(key).isNotNull())
-        tables[name] = None if table.isEmpty() else table
-    return tables
+    # Null keys go only now: a filter before the count would hide rows from checks in them.
+    found = table.agg(
+        *[
+            F.count(F.when(F.lit(load.null_key) | F.col(key).isNotNull(), F.col(width_of(name)))).alias(name)
+            for name, load in loads.items()
+        ]
+    ).first()
+    names = frozenset(name for name in loads if found[name])
+    return Heavy(table, names) if names else Heavy()

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
-from dossier.operators.heavy import WIDTH, Load, heavy_keys, staged
+from dossier.operators.heavy import Heavy, Load, heavy_keys, staged, total_of, width_of
 from dossier.schemas import PART, PARTS
 
 MAX_CHILDREN = 10_000
@@ -23,9 +23,12 @@ MAX_REPEATS = 1_000
 # Copies of one child row are dealt out in lots, of this fraction of a full part.
 LOTS_PER_PART = 32
 
-# The parents' entry in a table of heavy keys; the others go by the array's name.
+# The parents' load in a table of heavy keys; the others go by the array's name.
 PARENTS = "parents"
 
+# The number of parts of a marked key.
+WIDTH = "width"
+
 
 class Children(NamedTuple):
     """Child rows, and how they are to be nested into the array ``as_col`` of ``fields``.
@@ -61,43 +64,54 @@ def with_parts(parents: DataFrame, key: str) -> DataFrame:
 
 
 def nest_children(
-    children: Children, key: str, wide: DataFrame | None = None, max_children: int = MAX_CHILDREN
+    children: Children,
+    key: str,
+    marks: DataFrame | None = None,
+    how: str = "left",
+    max_children: int = MAX_CHILDREN,
 ) -> DataFrame:
     """One row per (key, part): the sorted array of whole records, and the aggregates.
 
-    ``wide`` holds the keys to be split, from ``heavy_keys``. Their rows are
+    ``marks`` has the keys to be split and their ``WIDTH``. Rows of such a key are
     counted per distinct content before they are shuffled, since hashing alone
-    would send all copies of a row to one part. Children without a key can
-    never be attached and are left out.
+    would send all copies of a row to one part. They are grouped as a struct: by
+    the bare columns, Spark could reuse a join's partitioning by key, which keeps
+    a hot key on one task. With ``how="inner"`` only keys in ``marks`` are nested,
+    and those with a null width are not split. Children without a key can never
+    be attached and are left out.
 
     Rows are shuffled and sorted before they are grouped, rather than grouped on
     both sides of the shuffle: collecting does not make them fewer, and sorted
     rows let one group be held at a time.
     """
     known = children.rows.where(F.col(key).isNotNull())
-    if wide is None:
+    if marks is None:
         placed = known.withColumn(PART, _part_of(F.lit(1), key)).repartition(key, PART)
     else:
         columns = known.columns
         lot = max(1, max_children // LOTS_PER_PART)
+        marked = known.join(marks.select(key, WIDTH), key, how)
         narrow = (
-            known.join(wide.select(key), key, "left_anti")
+            marked.where(F.col(WIDTH).isNull())
             .withColumn(PART, _part_of(F.lit(1), key))
             .withColumn("copies", F.lit(1).cast("bigint"))
         )
         # Lots of one row go to neighbouring parts, at most one lot to each.
         first = _part_of(F.col(WIDTH), *columns)
         broad = (
-            known.join(wide.select(key, WIDTH), key)
-            .groupBy(*columns, WIDTH)
+            marked.where(F.col(WIDTH).isNotNull())
+            .groupBy(F.struct(*columns).alias("row"), WIDTH)
             .agg(F.count(F.lit(1)).alias("copies"))
+            .select("row.*", WIDTH, "copies")
             .withColumn("lots", F.least(F.ceil(F.col("copies") / F.lit(lot)), WIDTH).cast("int"))
             .withColumn("lot", F.explode(F.expr("sequence(0, lots - 1)")))
             .withColumn(PART, ((first + F.col("lot").cast("bigint")) % F.col(WIDTH)).cast("int"))
             .withColumn("copies", F.expr("copies div lots + int(lot < copies % lots)"))
         )
+        shared = [*columns, PART, "copies"]
         placed = (
-            narrow.unionByName(broad.select(narrow.columns))
+            narrow.select(shared)
+            .unionByName(broad.select(shared))
             .repartition(key, PART)
             .withColumn("copy", F.explode(F.expr("sequence(1L, copies)")))
         )
@@ -114,28 +128,21 @@ def _empty(df: DataFrame, column: str) -> Column:
     return F.array().cast(df.schema[column].dataType)
 
 
-def _in_slots(parents, key, kinds, heavy):
+def _in_slots(parents, key, split, arrays):
     """Parent rows, one for each part that their old or any of their new children need.
 
-    Made before the first join, so that all joins share one partitioning.
+    ``split`` are the kinds that have wide keys, ``arrays`` the columns of the
+    old children. Made before the first join, so that all joins share one
+    partitioning.
     """
-    arrays = [f.name for f in parents.schema if isinstance(f.dataType, ArrayType)]
-    widths = [F.col(PARTS)]
-    slots = parents
-    for children in kinds:
-        wide = heavy.get(children.as_col)
-        if wide is not None:
-            width = f"width_{children.as_col}"
-            whole = [F.col(name).alias(f"whole_{name}") for name in children.totals]
-            slots = slots.join(wide.select(key, F.col(WIDTH).alias(width), *whole), key, "left")
-            widths.append(F.coalesce(F.col(width), F.lit(1)))
-    if len(widths) == 1:
+    if not split:
         return parents
+    widths = [F.coalesce(F.col(width_of(children.as_col)), F.lit(1)) for children in split]
     # The last part of a parent makes room for the parts to come, none of which has old children.
-    last = F.greatest(*widths) - 1
+    last = F.greatest(F.col(PARTS), *widths) - 1
     own = F.col("slot") == F.col(PART)
     return (
-        slots.withColumn("last", last)
+        parents.withColumn("last", last)
         .withColumn(
             "slot",
             F.explode(
@@ -146,28 +153,27 @@ def _in_slots(parents, key, kinds, heavy):
         )
         .withColumns({n: F.when(own, F.col(n)).otherwise(_empty(parents, n)) for n in arrays})
         .withColumns({PART: F.col("slot"), PARTS: F.col("last") + 1})
-        .drop("slot", "last", *[f"width_{children.as_col}" for children in kinds])
+        .drop("slot", "last")
     )
 
 
-def _filled(joined, kinds, heavy):
+def _filled(joined, kinds, split):
     """``joined`` without null arrays, and with the totals of whole keys on each of their parts."""
     columns = {}
     for children in kinds:
         name = children.as_col
         columns[name] = F.coalesce(F.col(name), _empty(joined, name))
-        if heavy.get(name) is not None:
+        if children in split:
             for total in children.totals:
-                columns[total] = F.coalesce(F.col(f"whole_{total}"), F.col(total))
-    whole = [f"whole_{total}" for children in kinds for total in children.totals]
-    return joined.withColumns(columns).drop(*whole)
+                columns[total] = F.coalesce(F.col(total_of(name, total)), F.col(total))
+    return joined.withColumns(columns)
 
 
 def attach_children(
     parents: DataFrame,
     key: str,
     kinds: list[Children],
-    heavy: dict[str, DataFrame | None] | None = None,
+    heavy: Heavy | None = None,
     max_children: int = MAX_CHILDREN,
     max_repeats: int = MAX_REPEATS,
 ) -> DataFrame:
@@ -178,51 +184,69 @@ def attach_children(
 
     Keys of more than ``max_children`` children of a kind, and keys of more than
     ``max_repeats`` parent rows, are found by a count of the key columns, unless
-    ``heavy`` holds what ``find_heavy`` found before. Rows of repeated keys, and
-    rows without a key if any key repeats, are taken out of the common joins,
-    where each key would make one task's work: the latter match nothing, and
-    the former join the children of their few keys in one last join of two
-    tables, in which Spark broadcasts the children if few and can split the
-    parents of one key if not.
+    ``heavy`` has them from ``find_heavy``. Rows of repeated keys, and rows
+    without a key if any key repeats, are taken out of the common joins, where
+    each key would make one task's work: the latter match nothing, and the
+    former join the children of their few keys in one last join of two tables,
+    in which Spark broadcasts the children if few and can split the parents of
+    one key if not. For the same reason, each input meets the heavy keys in one
+    join, followed by a shuffle.
     """
     parents = with_parts(parents, key)
     if heavy is None:
         heavy = find_heavy(parents, key, kinds, max_children, max_repeats)
+    if heavy.table is None:
+        attached = parents
+        for children in kinds:
+            nested = nest_children(children, key, max_children=max_children)
+            attached = attached.join(nested, [key, PART], "left")
+        return _filled(attached, kinds, [])
 
-    def nest(children):
-        return nest_children(children, key, heavy.get(children.as_col), max_children)
+    split = [children for children in kinds if children.as_col in heavy.loads]
+    arrays = [f.name for f in parents.schema if isinstance(f.dataType, ArrayType)]
+    result = [*parents.columns]
+    for children in kinds:
+        result += [children.as_col, *children.totals, *children.per_part]
+
+    def nest(children, how):
+        width = F.col(width_of(children.as_col)) if children in split else F.lit(None).cast("int")
+        marks = heavy.table.withColumn(WIDTH, width)
+        if how == "inner":
+            marks = marks.where(F.col(width_of(PARENTS)).isNotNull())
+        elif children in split:
+            marks = marks.where(F.col(WIDTH).isNotNull())
+        else:
+            marks = None
+        return nest_children(children, key, marks, how, max_children)
 
     def attach(some_parents, nested_tables):
-        attached = _in_slots(some_parents, key, kinds, heavy)
+        attached = _in_slots(some_parents, key, split, arrays)
         for nested in nested_tables:
             attached = attached.join(nested, [key, PART], "left")
-        return _filled(attached, kinds, heavy)
-
-    repeated = heavy.get(PARENTS)
-    if repeated is None:
-        return attach(parents, [nest(children) for children in kinds])
-
-    hot = repeated.select(key).where(F.col(key).isNotNull())
-    known = parents.where(F.col(key).isNotNull())
-    once = attach(known.join(hot, key, "left_anti"), [nest(children) for children in kinds])
-    hot_tables = [
-        nest(children._replace(rows=children.rows.join(hot, key, "left_semi")))
-        for children in kinds
-    ]
-    together = reduce(lambda a, b: a.join(b, [key, PART], "full"), hot_tables)
-    again = attach(known.join(hot, key, "left_semi"), [staged(together, "repeated")])
+        return _filled(attached, kinds, split).select(result)
+
+    common = [nest(children, "left") for children in kinds]
+    marked = parents.join(heavy.table, key, "left")
+    if PARENTS not in heavy.loads:
+        return attach(marked, common)
+
+    repeats = F.col(width_of(PARENTS))
+    once = attach(marked.where(repeats.isNull() & F.col(key).isNotNull()), common)
+    hot = [nest(children, "inner") for children in kinds]
+    together = reduce(lambda a, b: a.join(b, [key, PART], "full"), hot)
+    again = attach(marked.where(repeats.isNotNull()), [staged(together, "repeated")])
     childless = {
         field.name: F.lit(None).cast(field.dataType)
         for field in together.schema
         if field.name not in (key, PART)
     }
     keyless = parents.where(F.col(key).isNull()).withColumns(childless)
-    return once.unionByName(again).unionByName(_filled(keyless, kinds, {}))
+    return once.unionByName(again).unionByName(_filled(keyless, kinds, []).select(result))
 
 
 def find_heavy(
     parents: DataFrame, key: str, kinds: list[Children], max_children: int, max_repeats: int
-) -> dict[str, DataFrame | None]:
+) -> Heavy:
     """The keys ``attach_children`` must split, from one job over all its inputs."""
     loads = {kind.as_col: Load(kind.rows, max_children, kind.totals) for kind in kinds}
     rows = with_parts(parents, key).where(F.col(PART) == 0)

@@ -1,5 +1,6 @@
 import pytest
 
+from dossier.operators.heavy import Heavy
 from dossier.plans.documents import (
     build_customer_accounts,
     build_customer_documents,
@@ -65,7 +66,7 @@ def test_bad_balance_fails_whoever_owns_it(spark, customer):
     cus = customers(spark, "C1")
     df = accounts(spark, ("C1", "A1", "5"), (customer, "A2", "abc"))
     with pytest.raises(Exception, match="balance is not a whole number: abc, customer"):
-        build_customer_accounts(cus, df, heavy={}).collect()
+        build_customer_accounts(cus, df, heavy=Heavy()).collect()
     # The count of keys reads every account, so the build itself fails, whatever its result is for.
     with pytest.raises(Exception, match="balance is not a whole number: abc, customer"):
         build_customer_accounts(cus, df)

@@ -8,8 +8,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from dossier.operators.heavy import ROWS, WIDTH, Load, heavy_keys, scratch_dir
-from dossier.operators.nesting import Children, attach_children, nest_children
+from dossier.operators.heavy import Load, heavy_keys, scratch_dir, width_of
+from dossier.operators.nesting import WIDTH, Children, attach_children, nest_children
 from dossier.schemas import PART, PARTS
 from tests.util import plain
 
@@ -142,8 +142,9 @@ def test_wide_parts_stay_near_the_limit(spark, copied):
     }[copied]
     rows = spark.range(20_000).select(
         F.lit("hot").alias("k"), name.alias("c"), F.lit(1).cast("long").alias("v"))
-    wide = heavy_keys("k", {"rows": Load(rows, limit)})["rows"]
-    nested = nest_children(Children(rows, "kids", FIELDS, {"n": F.count(F.lit(1))}), "k", wide, limit)
+    heavy = heavy_keys("k", {"rows": Load(rows, limit)})
+    marks = heavy.table.withColumnRenamed(width_of("rows"), WIDTH)
+    nested = nest_children(Children(rows, "kids", FIELDS, {"n": F.count(F.lit(1))}), "k", marks, "left", limit)
     found = nested.select("n", F.explode("kids.c").alias("c")).collect()
     assert Counter(r.c for r in found) == Counter(r.c for r in rows.collect())
     sizes = [r.n for r in nested.select("n").collect()]
@@ -181,14 +182,16 @@ def test_second_children_join_the_parts_of_the_first(spark, at_once, max_repeats
 
 def test_heavy_keys_are_exact(spark):
     rows = spark.createDataFrame([("a",)] * 5 + [("b",)] * 4 + [(None,)] * 9, "k string")
-    found = heavy_keys("k", {
+    heavy = heavy_keys("k", {
         "plain": Load(rows, 4),
-        "nulls": Load(rows, 4, {"m": F.max("k")}, null_key=True),
+        "nulls": Load(rows, 2, {"m": F.max("k")}, null_key=True),
         "none": Load(rows, 9),
-        "only null": Load(rows.where("k IS NULL"), 4)})
-    assert [tuple(r) for r in found["plain"].select("k", ROWS, WIDTH).collect()] == [("a", 5, 2)]
-    assert {(r.k, r[ROWS], r.m) for r in found["nulls"].collect()} == {("a", 5, "a"), (None, 9, None)}
-    assert found["none"] is None and found["only null"] is None
+        "only": Load(rows, 5)})
+    assert heavy.loads == {"plain", "nulls"}
+    found = {r.k: (r.plain_width, r.nulls_width, r.nulls_m, r.none_width) for r in heavy.table.collect()}
+    assert found["a"] == (2, 3, "a", None) and found["b"] == (None, 2, "b", None)
+    assert found[None][1:3] == (5, None)
+    assert heavy_keys("k", {"none": Load(rows, 9), "only": Load(rows, 5)}) == (None, frozenset())
 
 
 def test_scratch_dir_follows_the_session(spark, checkpoint_dir):
