@@ -1,0 +1 @@
+"""Nested customer documents from flat files."""

@@ -89,7 +89,9 @@ def heavy_keys(key: str, loads: dict[str, Load]) -> Heavy:
     # Null keys go only now: a filter before the count would hide rows from checks in them.
     found = table.agg(
         *[
-            F.count(F.when(F.lit(load.null_key) | F.col(key).isNotNull(), F.col(width_of(name)))).alias(name)
+            F.count(
+                F.when(F.lit(load.null_key) | F.col(key).isNotNull(), F.col(width_of(name)))
+            ).alias(name)
             for name, load in loads.items()
         ]
     ).first()

@@ -449,3 +449,19 @@ def q18_csv_inputs(spark, sf_dir):
         read_addresses(spark, f"{folder}/addresses"),
     )
     return _sizes(score_link(documents, LINK, "linked"))
+
+
+@_query(f"""{_ORDER_DOCUMENTS}
+SELECT c.customerId, c.forename, c.surname, c.customerId IN (
+         SELECT customerId FROM addresses WHERE country IN ({_listed(LINK)})) AS linked
+FROM customers c""")
+def q19_split_scored(spark, sf_dir):
+    """Flags of customers in parts; the limit splits orders of more than three lines."""
+    documents = build_documents(
+        orders(spark, sf_dir),
+        order_lines(spark, sf_dir),
+        order_addresses(spark, sf_dir),
+        max_children=3,
+    )
+    scored = score_link(documents, LINK, "linked")
+    return scored.where(F.col(PART) == 0).select("customerId", "forename", "surname", "linked")
