@@ -8,6 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+
 def scratch_dir(spark: SparkSession) -> str:
     """The folder all executors share, named by ``spark.checkpoint.dir``.
 
@@ -74,6 +75,8 @@ def heavy_keys(key: str, loads: dict[str, Load]) -> Heavy:
     """
     counted = []
     for name, load in loads.items():
+        if load.limit < 1:
+            raise ValueError(f"the limit of {name} must be at least 1, not {load.limit}")
         totals = {total_of(name, total): column for total, column in load.totals.items()}
         counts = load.rows.groupBy(key).agg(
             F.count(F.lit(1)).alias("rows"), *[c.alias(total) for total, c in totals.items()]

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from dossier.operators.heavy import Load, heavy_keys, scratch_dir, width_of
-from dossier.operators.nesting import WIDTH, Children, attach_children, nest_children
+from dossier.operators.nesting import WIDTH, Children, attach_children, find_heavy, nest_children
 from dossier.schemas import PART, PARTS
 from tests.util import plain
 
@@ -209,5 +209,20 @@ def test_a_cluster_must_name_its_scratch_dir(master):
         scratch_dir(session)
 
 
+def test_heavy_keys_found_ahead(spark):
+    parents, children = [("a", "x")] * 3 + [("b", "y")], [("a", str(i), i) for i in range(9)] + [("b", "1", 1)]
+    kids = Children(children_of(spark, children), "kids", FIELDS, totals())
+    heavy = find_heavy(parents_of(spark, parents), "k", [kids], 4, 2)
+    assert heavy.loads == {"kids", "parents"}
+    df = attach_children(parents_of(spark, parents), "k", [kids], heavy, max_children=4)
+    assert df.where("part > 0").count() == 6
+    assert whole(df) == expected(parents, children)
+
+
+def test_limits_are_positive(spark):
+    with pytest.raises(ValueError, match="at least 1"):
+        attach(spark, [("a", "x")], [], max_children=0)
+
+
 def test_part_columns(spark):
     assert {PART, PARTS} <= set(attach(spark, [("a", "x")], []).columns)
