@@ -1,8 +1,11 @@
 """What the physical plans must and must not hold."""
 
+import contextlib
+import io
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from dossier.operators.nesting import Children, attach_children
 from dossier.plans.documents import build_customer_accounts, build_documents
@@ -103,3 +106,57 @@ def test_projection_prunes_children_of_parquet(spark, tmp_path):
     spark.sql("SELECT 'a' k, 'c' c, 'unused' u").write.parquet(path)
     df = attach_children(spark.sql("SELECT 'a' k"), "k", [Children(spark.read.parquet(path), "kids", ["c"])])
     assert all("u:" not in s for s in re.findall(r"ReadSchema: (.*)", plan(df)))
+
+
+@pytest.fixture
+def eager_skew_handling(spark):
+    """No broadcasts, and adaptive execution that calls small partitions skewed."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name in settings:
+        spark.conf.unset(name)
+
+
+def final_plan(df):
+    """The plan a one-row result ended up with, and that row."""
+    row = df.collect()[0]
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain()
+    plan_text = text.getvalue()
+    assert "isFinalPlan=true" in plan_text
+    return plan_text.split("== Initial Plan ==")[0], row
+
+
+def mostly_hot(spark, name):
+    """20,000 rows in 8 tasks, nine in ten of key ``hot``, none like another."""
+    key = F.when(F.col("id") % 10 == 0, F.col("id").cast("string")).otherwise("hot")
+    return spark.range(0, 20_000, 1, 8).select(key.alias("k"), F.sha2(F.col("id").cast("string"), 256).alias(name))
+
+
+def test_hot_children_are_split_even_without_broadcasts(spark, eager_skew_handling):
+    parents = spark.sql("SELECT 'hot' k UNION ALL SELECT '10' UNION ALL SELECT 'none'")
+    kids = Children(mostly_hot(spark, "c"), "kids", ["c"])
+    df = attach_children(parents, "k", [kids], max_children=1_000)
+    text, row = final_plan(df.agg(F.sum(F.size("kids")).alias("kids"), F.count("*").alias("rows")))
+    # Once for the rows of hot keys, once for the rows of all others.
+    assert text.count("SortMergeJoin(skew=true) [k") == 2
+    assert tuple(row) == (18_001, 18 + 2)
+
+
+def test_hot_parents_are_split_even_without_broadcasts(spark, eager_skew_handling):
+    kids = [Children(spark.sql("SELECT 'hot' k, explode(sequence(1, 3)) c"), name, ["c"]) for name in ("a", "b")]
+    df = attach_children(mostly_hot(spark, "p"), "k", kids)
+    text, row = final_plan(df.agg(
+        F.sum(F.size("a")).alias("a"), F.sum(F.size("b")).alias("b"), F.count("p").alias("rows"),
+        F.max("p").alias("p")))
+    assert re.search(r"SortMergeJoin\(skew=true\) \[k#\d+, part#\d+\], \[k#\d+, part#\d+\], LeftOuter", text)
+    assert tuple(row)[:3] == (54_000, 54_000, 20_000)
