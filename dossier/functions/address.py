@@ -50,8 +50,8 @@ def parse_address(df: DataFrame, col: str = "address", mode: str = "strict") ->
     """
     check_mode(mode)
     # A one-element explode: plain columns would be split again by every filter on them.
-    split = df.withColumn("addressParts", F.explode(F.array(_parts(F.col(col)))))
-    parsed = split.withColumns(_fields(F.col("addressParts"))).drop("addressParts")
+    split = df.withColumn("_parts", F.explode(F.array(_parts(F.col(col)))))
+    parsed = split.withColumns(_fields(F.col("_parts"))).drop("_parts")
     if mode == "strict":
         text = F.coalesce(F.col(col), F.lit("(null)"))
         parsed = require(parsed, ~is_malformed(), F.concat(F.lit("malformed address: "), text))

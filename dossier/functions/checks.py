@@ -22,9 +22,9 @@ def require(df: DataFrame, ok: Column, message: Column) -> DataFrame:
     the check reads is computed once.
     """
     here = F.spark_partition_id()
-    passed = F.when(ok & (F.col("checkedIn") == here), F.lit(True))
+    passed = F.when(ok & (F.col("_here") == here), F.lit(True))
     return (
-        df.withColumn("checkedIn", here)
+        df.withColumn("_here", here)
         .where(passed.otherwise(F.raise_error(message).cast("boolean")))
-        .drop("checkedIn")
+        .drop("_here")
     )

@@ -27,7 +27,7 @@ LOTS_PER_PART = 32
 PARENTS = "parents"
 
 # The number of parts of a marked key.
-WIDTH = "width"
+WIDTH = "_width"
 
 
 class Children(NamedTuple):
@@ -94,26 +94,26 @@ def nest_children(
         narrow = (
             marked.where(F.col(WIDTH).isNull())
             .withColumn(PART, _part_of(F.lit(1), key))
-            .withColumn("copies", F.lit(1).cast("bigint"))
+            .withColumn("_copies", F.lit(1).cast("bigint"))
         )
         # Lots of one row go to neighbouring parts, at most one lot to each.
         first = _part_of(F.col(WIDTH), *columns)
         broad = (
             marked.where(F.col(WIDTH).isNotNull())
-            .groupBy(F.struct(*columns).alias("row"), WIDTH)
-            .agg(F.count(F.lit(1)).alias("copies"))
-            .select("row.*", WIDTH, "copies")
-            .withColumn("lots", F.least(F.ceil(F.col("copies") / F.lit(lot)), WIDTH).cast("int"))
-            .withColumn("lot", F.explode(F.expr("sequence(0, lots - 1)")))
-            .withColumn(PART, ((first + F.col("lot").cast("bigint")) % F.col(WIDTH)).cast("int"))
-            .withColumn("copies", F.expr("copies div lots + int(lot < copies % lots)"))
+            .groupBy(F.struct(*columns).alias("_row"), WIDTH)
+            .agg(F.count(F.lit(1)).alias("_copies"))
+            .select("_row.*", WIDTH, "_copies")
+            .withColumn("_lots", F.least(F.ceil(F.col("_copies") / F.lit(lot)), WIDTH).cast("int"))
+            .withColumn("_lot", F.explode(F.expr("sequence(0, _lots - 1)")))
+            .withColumn(PART, ((first + F.col("_lot").cast("bigint")) % F.col(WIDTH)).cast("int"))
+            .withColumn("_copies", F.expr("_copies div _lots + int(_lot < _copies % _lots)"))
         )
-        shared = [*columns, PART, "copies"]
+        shared = [*columns, PART, "_copies"]
         placed = (
             narrow.select(shared)
             .unionByName(broad.select(shared))
             .repartition(key, PART)
-            .withColumn("copy", F.explode(F.expr("sequence(1L, copies)")))
+            .withColumn("_copy", F.explode(F.expr("sequence(1L, _copies)")))
         )
     ready = placed.sortWithinPartitions(key, PART)
     if children.finish is not None:
@@ -140,20 +140,20 @@ def _in_slots(parents, key, split, arrays):
     widths = [F.coalesce(F.col(width_of(children.as_col)), F.lit(1)) for children in split]
     # The last part of a parent makes room for the parts to come, none of which has old children.
     last = F.greatest(F.col(PARTS), *widths) - 1
-    own = F.col("slot") == F.col(PART)
+    own = F.col("_slot") == F.col(PART)
     return (
-        parents.withColumn("last", last)
+        parents.withColumn("_last", last)
         .withColumn(
-            "slot",
+            "_slot",
             F.explode(
                 F.when(
-                    F.col(PART) == F.col(PARTS) - 1, F.sequence(F.col(PART), F.col("last"))
+                    F.col(PART) == F.col(PARTS) - 1, F.sequence(F.col(PART), F.col("_last"))
                 ).otherwise(F.array(PART))
             ),
         )
         .withColumns({n: F.when(own, F.col(n)).otherwise(_empty(parents, n)) for n in arrays})
-        .withColumns({PART: F.col("slot"), PARTS: F.col("last") + 1})
-        .drop("slot", "last")
+        .withColumns({PART: F.col("_slot"), PARTS: F.col("_last") + 1})
+        .drop("_slot", "_last")
     )
 
 

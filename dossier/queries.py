@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dossier.functions.address import parse_address
+from dossier.functions.address import FIELDS, parse_address
 from dossier.operators.heavy import scratch_dir
 from dossier.plans.documents import (
     build_customer_accounts,
@@ -126,12 +126,13 @@ def order_addresses(spark, sf_dir):
 
 def uneven_addresses(spark, sf_dir):
     """Addresses of all shapes, by order priority: only urgent and low ones are sound."""
-    month = F.month("o_orderdate").cast("string")
+    three = F.concat_ws(", ", "o_custkey", "o_orderstatus", "o_orderpriority")
+    four = F.concat_ws(", ", three, F.month("o_orderdate"))
     shapes = {
-        "1-URGENT": F.concat_ws(", ", "o_custkey", "o_orderstatus", "o_orderpriority", month),
-        "2-HIGH": F.concat(F.concat_ws(", ", "o_custkey", "o_orderstatus", "o_orderpriority"), F.lit(", ")),
-        "3-MEDIUM": F.concat(F.lit(" "), F.concat_ws(", ", "o_custkey", "o_orderstatus", "o_orderpriority", month)),
-        "5-LOW": F.concat_ws(", ", "o_custkey", "o_orderstatus", "o_orderpriority", month, "o_orderkey"),
+        "1-URGENT": four,
+        "2-HIGH": F.concat(three, F.lit(", ")),
+        "3-MEDIUM": F.concat(F.lit(" "), four),
+        "5-LOW": F.concat_ws(", ", four, "o_orderkey"),
     }
     address = F.lit(None).cast("string")
     for priority, shape in shapes.items():
@@ -186,14 +187,15 @@ _ORDER_ADDRESSES = """raw_addresses AS (
   JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
 
 _UNEVEN_ADDRESSES = """raw_addresses AS (
-  SELECT CAST(o_orderkey AS VARCHAR) AS addressId, CAST(o_custkey AS VARCHAR) AS customerId,
-         CASE o_orderpriority
-           WHEN '1-URGENT' THEN o_custkey || ', ' || o_orderstatus || ', ' || o_orderpriority || ', ' || month(o_orderdate)
-           WHEN '2-HIGH' THEN o_custkey || ', ' || o_orderstatus || ', ' || o_orderpriority || ', '
-           WHEN '3-MEDIUM' THEN ' ' || o_custkey || ', ' || o_orderstatus || ', ' || o_orderpriority || ', ' || month(o_orderdate)
-           WHEN '5-LOW' THEN o_custkey || ', ' || o_orderstatus || ', ' || o_orderpriority || ', ' || month(o_orderdate) || ', ' || o_orderkey
+  SELECT addressId, customerId, CASE o_orderpriority
+           WHEN '1-URGENT' THEN three || ', ' || month(o_orderdate)
+           WHEN '2-HIGH' THEN three || ', '
+           WHEN '3-MEDIUM' THEN ' ' || three || ', ' || month(o_orderdate)
+           WHEN '5-LOW' THEN three || ', ' || month(o_orderdate) || ', ' || addressId
          END AS address
-  FROM orders)"""
+  FROM (SELECT *, CAST(o_orderkey AS VARCHAR) AS addressId, CAST(o_custkey AS VARCHAR) AS customerId,
+               o_custkey || ', ' || o_orderstatus || ', ' || o_orderpriority AS three
+        FROM orders))"""
 
 
 def _parsed(source: str = "raw_addresses", text: str = "address") -> str:
@@ -263,7 +265,8 @@ def q01_account_stats(spark, sf_dir):
 
 
 @_query(f"""WITH {_CUSTOMERS}, {_CUSTOMER_ORDERS}, ranked AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY customerId ORDER BY accountId, balance) - 1 AS INTEGER) AS position
+  SELECT *, CAST(row_number() OVER (
+           PARTITION BY customerId ORDER BY accountId, balance) - 1 AS INTEGER) AS position
   FROM accounts)
 SELECT c.customerId, 0 AS part, r.position, r.accountId, r.balance
 FROM customers c LEFT JOIN ranked r ON c.customerId = r.customerId""")
@@ -294,7 +297,8 @@ def q04_parsed_addresses(spark, sf_dir):
 
 
 @_query(f"""{_ORDER_DOCUMENTS}, ranked AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY customerId ORDER BY addressId, address) - 1 AS INTEGER) AS position
+  SELECT *, CAST(row_number() OVER (
+           PARTITION BY customerId ORDER BY addressId, address) - 1 AS INTEGER) AS position
   FROM addresses),
 owned AS (SELECT customerId, CAST(count(*) AS INTEGER) AS n FROM accounts GROUP BY customerId)
 SELECT c.customerId, COALESCE(o.n, 0) AS numberAccounts, r.position, r.addressId, r.address,
@@ -313,7 +317,9 @@ def q05_documents(spark, sf_dir):
             "customerId",
             "numberAccounts",
             "position",
-            *[f"place.{name}" for name in ["addressId", "address", "number", "road", "city", "country"]],
+            "place.addressId",
+            "place.address",
+            *[f"place.{name}" for name in FIELDS],
         )
     )
 
