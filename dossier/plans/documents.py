@@ -6,14 +6,17 @@ from pyspark.sql import functions as F
 from dossier.functions.address import address_fields, is_malformed
 from dossier.functions.balance import cast_balance
 from dossier.functions.checks import check_mode, require
-from dossier.operators.nesting import Children, attach_children
+from dossier.operators.nesting import Children, attach_children, with_parts
 from dossier.schemas import (
     ACCOUNT,
     ADDRESS,
     ADDRESS_RAW,
+    CUSTOMER,
     CUSTOMER_ACCOUNT,
     CUSTOMER_DOCUMENT,
     CUSTOMER_MODEL,
+    PART,
+    PARTS,
     in_parts,
 )
 from dossier.sources.binding import conform
@@ -73,7 +76,7 @@ def build_customer_accounts(
     kind = _accounts(accounts, mode)._replace(totals=totals)
     number, total = F.col("numberAccounts"), F.col("totalBalance")
     stats = (
-        attach_children(customers, KEY, [kind], **limits)
+        attach_children(customers.select(CUSTOMER.fieldNames()), KEY, [kind], **limits)
         .withColumns(
             {
                 "numberAccounts": F.coalesce(number, F.lit(0)),
@@ -103,8 +106,11 @@ def build_customer_documents(
     In strict mode a malformed address fails the job, but only if its customer
     is known.
     """
+    parents = with_parts(customer_accounts, KEY).select(
+        *CUSTOMER.fieldNames(), "accounts", PART, PARTS
+    )
     kinds = [_addresses(addresses, mode)]
-    return _as_documents(attach_children(customer_accounts, KEY, kinds, **limits), mode)
+    return _as_documents(attach_children(parents, KEY, kinds, **limits), mode)
 
 
 def build_documents(
@@ -118,8 +124,9 @@ def build_documents(
 
     Each input is shuffled once, all by the same partitioning.
     """
+    parents = customers.select(CUSTOMER.fieldNames())
     kinds = [_accounts(accounts, mode), _addresses(addresses, mode)]
-    return _as_documents(attach_children(customers, KEY, kinds, **limits), mode)
+    return _as_documents(attach_children(parents, KEY, kinds, **limits), mode)
 
 
 def build_customer_model(customers: DataFrame) -> DataFrame:

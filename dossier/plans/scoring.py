@@ -24,7 +24,7 @@ def _listed(countries: list[str]) -> Column:
     if len(countries) == 1:
         match = F.array_contains(found, F.lit(countries[0]))
     else:
-        match = F.arrays_overlap(found, F.array(*[F.lit(c) for c in countries]))
+        match = F.arrays_overlap(found, F.array(*map(F.lit, countries)).cast("array<string>"))
     return F.coalesce(match, F.lit(False))
 
 

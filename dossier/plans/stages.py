@@ -22,16 +22,19 @@ def run_flat(
     countries: list[str] = WATCH_LIST,
     flag: str = FLAG,
     mode: str = "strict",
-    **nesting,
+    **limits,
 ) -> DataFrame:
-    """Scored documents of the flat inputs; the two stages stay in ``out_dir``."""
+    """Scored documents of the flat inputs; the two stages stay in ``out_dir``.
+
+    ``limits`` are ``max_children`` and ``max_repeats`` of ``attach_children``.
+    """
     spark = customers.sparkSession
     accounts_path = f"{out_dir}/customer_accounts"
     documents_path = f"{out_dir}/customer_documents"
-    write_stage(build_customer_accounts(customers, accounts, mode, **nesting), accounts_path)
+    write_stage(build_customer_accounts(customers, accounts, mode, **limits), accounts_path)
     staged_accounts = read_customer_accounts(spark, accounts_path)
     write_stage(
-        build_customer_documents(staged_accounts, addresses, mode, **nesting), documents_path
+        build_customer_documents(staged_accounts, addresses, mode, **limits), documents_path
     )
     return score_link(read_customer_documents(spark, documents_path), countries, flag)
 

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from dossier.operators.heavy import Heavy
 from dossier.plans.documents import (
@@ -136,3 +137,15 @@ def test_customer_model(spark):
     df = build_customer_model(customers(spark, *CUSTOMERS))
     assert df.schema.simpleString() == CUSTOMER_MODEL.simpleString()
     assert plain(df.first()) == ("IND0001", "Christopher", "Black", ("Christopher", "Black"))
+
+
+def test_columns_of_no_concern_do_not_matter(spark):
+    extra = F.array(F.lit("x"))
+    cus = customers(spark, *CUSTOMERS).withColumns({"accounts": extra, "balance": extra, "fault": extra})
+    acc = accounts(spark, *ACCOUNTS).withColumns({"surname": extra, "_copies": extra})
+    adr = addresses(spark, *ADDRESSES).withColumns({"number": extra, "accounts": extra, "malformed": extra})
+    stage = build_customer_accounts(cus, acc, max_children=2)
+    for df in (build_documents(cus, acc, adr, max_children=2), build_customer_documents(stage, adr, max_children=2)):
+        assert df.schema.simpleString() == in_parts(CUSTOMER_DOCUMENT).simpleString()
+        assert sorted((r.customerId, r.parts) for r in df.where("part = 0").collect()) == [
+            ("IND0001", 1), ("IND0002", 1), ("IND0003", 2)]

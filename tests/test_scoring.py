@@ -48,6 +48,12 @@ def test_watch_list(spark):
     assert flags(scored, "risky") == [("a", 0, True), ("b", 0, True), ("c", 0, False)]
 
 
+def test_empty_watch_list(spark):
+    adr = [address(1, "a", BVI)]
+    assert flags(score_link(documents(spark, ["a"], adr), [], "risky"), "risky") == [("a", 0, False)]
+    assert count_linked_flat(customers(spark, "a"), addresses(spark, *adr), []).first()[0] == 0
+
+
 @pytest.mark.parametrize("max_children", [1, 2, 100])
 def test_count_is_of_rows_whatever_their_parts(spark, max_children):
     adr = [address(i, "a", "Denmark") for i in range(9)] + [address(10, "a", BVI), address(11, "a", BVI)]
