@@ -27,7 +27,13 @@ from dossier.plans.documents import (
 from dossier.plans.scoring import count_linked, count_linked_flat, report_linked, score_link
 from dossier.plans.stages import run_flat
 from dossier.schemas import PART
-from dossier.sources.files import read_accounts, read_addresses, read_customers
+from dossier.sources.files import (
+    read_accounts,
+    read_addresses,
+    read_customer_documents,
+    read_customers,
+    write_stage,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -462,12 +468,14 @@ SELECT c.customerId, c.forename, c.surname, c.customerId IN (
          SELECT customerId FROM addresses WHERE country IN ({_listed(LINK)})) AS linked
 FROM customers c""")
 def q19_split_scored(spark, sf_dir):
-    """Flags of customers in parts; the limit splits orders of more than three lines."""
+    """Flags of stored customers in parts; the limit splits orders of more than three lines."""
+    path = f"{scratch_dir(spark)}/documents-{uuid.uuid4().hex}"
     documents = build_documents(
         orders(spark, sf_dir),
         order_lines(spark, sf_dir),
         order_addresses(spark, sf_dir),
         max_children=3,
     )
-    scored = score_link(documents, LINK, "linked")
+    write_stage(documents, path)
+    scored = score_link(read_customer_documents(spark, path), LINK, "linked")
     return scored.where(F.col(PART) == 0).select("customerId", "forename", "surname", "linked")
