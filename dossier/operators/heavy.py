@@ -1,38 +1,12 @@
 """Keys with more rows than one task or one array should hold."""
 
-import tempfile
-import uuid
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def scratch_dir(spark: SparkSession) -> str:
-    """The folder all executors share, named by ``spark.checkpoint.dir``.
-
-    A local session without that setting gets a temporary folder; on a cluster
-    the setting is required, as executors cannot read each other's disks.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
-        folder = tempfile.mkdtemp(prefix="dossier-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder
-
-
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once and read back.
-
-    The copy survives lost executors, is not computed again by later uses, and
-    has a known size, by which Spark decides whether to broadcast it.
-    """
-    path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+from dossier.operators.staging import staged
 
 
 class Load(NamedTuple):

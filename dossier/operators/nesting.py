@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
-from dossier.operators.heavy import Heavy, Load, heavy_keys, staged, total_of, width_of
+from dossier.operators.heavy import Heavy, Load, heavy_keys, total_of, width_of
+from dossier.operators.staging import staged
 from dossier.schemas import PART, PARTS
 
 MAX_CHILDREN = 10_000

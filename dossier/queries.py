@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dossier.functions.address import FIELDS, parse_address
-from dossier.operators.heavy import scratch_dir
+from dossier.operators.staging import scratch_dir
 from dossier.plans.documents import (
     build_customer_accounts,
     build_customer_documents,

@@ -8,8 +8,9 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from dossier.operators.heavy import Load, heavy_keys, scratch_dir, width_of
+from dossier.operators.heavy import Load, heavy_keys, width_of
 from dossier.operators.nesting import WIDTH, Children, attach_children, find_heavy, nest_children
+from dossier.operators.staging import scratch_dir
 from dossier.schemas import PART, PARTS
 from tests.util import plain
 
