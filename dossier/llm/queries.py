@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dossier.llm.chat import as_events, format_logs, read_back
+from dossier.llm.decontamination import find_copies
 from dossier.llm.mixing import mixture_sizes
 from dossier.llm.quality import quality_verdicts
+from dossier.llm.scoring import is_held_out, score_documents
+from dossier.llm.simhash import simhash_groups
 from dossier.llm.tables import read_table
 from dossier.llm.tokens import count_tokens
 from dossier.llm.urls import RULES, judge_urls, labelled_by_rules, train
@@ -43,6 +46,24 @@ def op1_token_counts(spark, sf_dir):
     )
 
 
+@_query
+def op2_decontamination(spark, sf_dir):
+    """A row for each document and benchmark item of which it holds a copy."""
+    return find_copies(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@_query
+def op3_simhash(spark, sf_dir):
+    return simhash_groups(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@_query
+def op4_lm_scores(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    training = docs.where(~is_held_out(F.col("doc_id")))
+    return score_documents(docs, training).withColumn("held_out", is_held_out(F.col("doc_id")))
+
+
 @_query
 def op5_warc(spark, sf_dir):
     records = round_trip(spark, read_table(spark, sf_dir, "pages"))
