@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from dossier.llm.chat import as_events, format_logs, read_back
 from dossier.llm.decontamination import find_copies
+from dossier.llm.lines import line_report
 from dossier.llm.mixing import mixture_sizes
 from dossier.llm.quality import quality_verdicts
 from dossier.llm.scoring import is_held_out, score_documents
@@ -86,6 +87,12 @@ def chat_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.unionByName(probe.select("conv_id", "t.turn", "t.role", F.lit(PROBE).alias("text")))
 
 
+@_query
+def op7_line_dedup(spark, sf_dir):
+    """The lines removed from each document, by their places."""
+    return line_report(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @_query
 def op8_chat_format(spark, sf_dir):
     chats = read_back(format_logs(as_events(chat_turns(spark, sf_dir))))

@@ -18,6 +18,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dossier.operators.staging import staged
+
 ALLOW, BLOCK = "allow", "block"
 
 # The table of labelled addresses has at most so many rows.
@@ -29,6 +31,8 @@ ITERATIONS = 50
 # Rules are one expression; a longer list would belong in a table.
 MAX_RULES = 500
 
+_SLOTS = 1 << 30
+
 
 class Rule(NamedTuple):
     verdict: str
@@ -126,17 +130,22 @@ def _hashed(given: DataFrame) -> DataFrame:
 def train(labelled: DataFrame, most: int = MAX_LABELLED) -> UrlClassifier:
     """A classifier from ``host``, ``path`` and ``verdict``.
 
-    Of more than ``most`` distinct addresses those with the smallest hashes are used.
+    Of more than about ``most`` distinct addresses those with the smallest hashes are
+    used. An address labelled both ways counts as blocked.
     """
+    hashed = labelled.withColumn("_order", F.xxhash64("host", "path"))
+    # Addresses are told apart only among about as many as are wanted, not among all.
+    distinct = hashed.agg(F.approx_count_distinct("_order", 0.02)).first()[0]
+    share = min(1.0, most / max(1, distinct))
     table = (
-        labelled.groupBy("host", "path")
-        .agg(F.max("verdict").alias("verdict"))
-        .withColumn("_order", F.xxhash64("host", "path"))
-        .orderBy("_order", "host", "path")
+        hashed.where(F.pmod("_order", F.lit(_SLOTS)) < int(share * _SLOTS))
+        .groupBy("host", "path", "_order")
+        .agg(F.max((F.col("verdict") == BLOCK).cast("int")).alias("_label"))
+        .orderBy(F.pmod("_order", F.lit(_SLOTS)), "host", "path")
         .limit(most)
-        .withColumn("_label", (F.col("verdict") == BLOCK).cast("double"))
+        .select(ngrams(F.col("host"), F.col("path")).alias("_grams"), F.col("_label").cast("double"))
     )
-    table = table.select(ngrams(F.col("host"), F.col("path")).alias("_grams"), "_label")
+    table = staged(table, "url-labels")
     kinds = [row[0] for row in table.select("_label").distinct().collect()]  # at most two rows
     if len(kinds) < 2:
         return UrlClassifier(None, BLOCK if kinds == [1.0] else ALLOW)
