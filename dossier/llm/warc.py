@@ -72,7 +72,7 @@ def digest(payload: bytes) -> str:
 def _open(path: str, write: bool = False) -> BinaryIO:
     """A file in any store that pyarrow knows, by its address."""
     store, inner = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
-    return store.open_output_stream(inner) if write else store.open_input_stream(inner)
+    return store.open_output_stream(inner, compression=None) if write else store.open_input_stream(inner, compression=None)
 
 
 def _made(path: str) -> None:
