@@ -27,9 +27,10 @@ TASK_SIZE = 1 << 13
 CACHE_SIZE = 1 << 19
 
 # Characters of which the library's and Python's rules are known to agree: white space,
-# ASCII and the Latin letters up to U+024F, none of which composes with its neighbours.
-_SAFE = re.compile("[\t\n\x0b\x0c\r\x20-\x7e\xa0-\u024f]*")
-_LETTERS = "a-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f"
+# ASCII and the Latin letters up to U+017F, none of which composes with its neighbours or
+# has a lower case beyond (but for I with a dot).
+_SAFE = re.compile("[\t\n\x0b\x0c\r\x20-\x7e\xa0-\u012f\u0131-\u017f]*")
+_LETTERS = "a-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u017f"
 _NUMBERS = "0-9\xb2\xb3\xb9\xbc-\xbe"
 _PIECES = re.compile(
     "'s|'t|'re|'ve|'m|'ll|'d"
@@ -64,7 +65,7 @@ class PieceCounter(dict):
 
     def pieces(self, text: str) -> list[str] | None:
         """The pre-tokens of a text; None if it must be encoded as a whole."""
-        if _SAFE.fullmatch(text) and "\u0130" not in text and not self._special.search(text):
+        if _SAFE.fullmatch(text) and not self._special.search(text):
             return _PIECES.findall(text.lower())
         return None
 
