@@ -1,0 +1,146 @@
+import random
+
+import numpy as np
+import pytest
+
+from dossier.llm import decontamination
+from dossier.llm.decontamination import align, find_copies, with_copies, without_copies
+from dossier.llm.queries import op2_decontamination
+from tests.llm.util import documents, prose
+
+SF = "/root/testdata/sf0.001"
+
+
+def items_of(spark, *rows):
+    return spark.createDataFrame(list(rows), "item_id bigint, text string")
+
+
+def smith_waterman(a, b):
+    """The textbook table; the best score."""
+    table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a, 1):
+        for j, y in enumerate(b, 1):
+            table[i][j] = max(
+                0, table[i - 1][j - 1] + (2 if x == y else -1), table[i - 1][j] - 1, table[i][j - 1] - 1
+            )
+    return max(map(max, table))
+
+
+def plain(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else " " if c < "\x80" and not c.isalnum() else c for c in text or "").split()
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_alignment_against_the_textbook(seed):
+    rnd = random.Random(seed)
+    for _ in range(30):
+        a, b = ([rnd.randrange(6) for _ in range(rnd.randrange(1, 25))] for _ in range(2))
+        found = align(np.array(a), np.array(b))
+        assert found.score == smith_waterman(a, b)
+        assert smith_waterman(a, b[found.start : found.end]) == found.score
+        assert found.equal <= min(len(a), found.end - found.start)
+
+
+def edited(rnd, text, every):
+    """A copy in which one word of so many is replaced, left out or put in."""
+    found = text.split()
+    for i in range(len(found) - 1, -1, -1):
+        if i % every == every // 2:
+            found[i : i + 1] = rnd.choice([[f"other{i}"], [], [found[i], f"more{i}"]])
+    return " ".join(found)
+
+
+def case(rnd):
+    items = [(i, prose(rnd, 40, 3000)) for i in range(6)]
+    rows = []
+    for i in range(40):
+        body = prose(rnd, 200)
+        kind = i % 8
+        text = items[i % 6][1]
+        if kind == 1:
+            body += " " + text
+        elif kind == 2:
+            body = edited(rnd, text, 9) + " " + body
+        elif kind == 3:
+            body += "\n" + text.upper().replace(" ", ", ") + "! " + body
+        elif kind == 4:
+            body = " ".join(text.split()[:12]) + " " + body  # too little of the item
+        elif kind == 5:
+            body = body + " " + text + " " + body + " " + items[(i + 1) % 6][1]
+        rows.append((i, body))
+    return items, rows
+
+
+def test_against_aligning_everything(spark):
+    items, rows = case(random.Random(1))
+    found = {(r.doc_id, r.item_id): r for r in find_copies(documents(spark, *rows).repartition(4), items_of(spark, *items)).collect()}
+    expected = {}
+    for doc, text in rows:
+        for item, wanted in items:
+            score = smith_waterman(plain(wanted), plain(text)) / (2 * len(plain(wanted)))
+            if score >= 0.5:
+                expected[doc, item] = score
+    assert {k: r.score for k, r in found.items()} == pytest.approx(expected)
+    for (doc, item), row in found.items():
+        passage = plain(rows[doc][1])[row.start_word : row.end_word]
+        assert smith_waterman(plain(items[item][1]), passage) == pytest.approx(row.score * 2 * 40)
+
+
+def test_blocks_of_items_find_the_same(spark):
+    items, rows = case(random.Random(2))
+    docs, benchmark = documents(spark, *rows), items_of(spark, *items)
+    whole = sorted(map(tuple, find_copies(docs, benchmark).collect()))
+    assert whole and sorted(map(tuple, find_copies(docs, benchmark, block_words=100).collect())) == whole
+
+
+def test_long_documents_are_aligned_in_pieces(spark):
+    rnd = random.Random(3)
+    item = prose(rnd, 30, 10**6)
+    fragments = " ".join(" ".join(item.split()[k : k + 5]) for k in range(0, 25, 3) for _ in range(40))
+    (row,) = find_copies(documents(spark, fragments + " " + item), items_of(spark, (1, item))).collect()
+    assert (row.score, row.end_word - row.start_word) == (1.0, 30)
+
+
+def test_odd_rows(spark):
+    item = "seven words that no other text has"
+    items = [(1, item), (1, item), (None, "these words here belong to nobody at all"), (2, None), (3, ""), (4, "of the")]
+    rows = [(0, item), (None, item), (0, item), (1, None), (2, ""), (3, "of the"), (4, "so these words here belong to nobody at all")]
+    docs = documents(spark, *rows).withColumnRenamed("lang", "copies").withColumnRenamed("source", "item_id")
+    found = sorted((repr(r.doc_id), repr(r.item_id), r.score) for r in find_copies(docs, items_of(spark, *items)).collect())
+    assert found == sorted([("0", "1", 1.0)] * 4 + [("None", "1", 1.0)] * 2 + [("4", "None", 1.0)])
+    left = without_copies(docs, items_of(spark, *items))
+    assert left.columns == docs.columns and sorted(r.doc_id for r in left.collect()) == [1, 2, 3]
+
+
+def test_empty_tables(spark):
+    item = items_of(spark, (1, "seven words that no other text has"))
+    assert find_copies(documents(spark), item).count() == 0
+    assert find_copies(documents(spark, "some text here"), items_of(spark)).count() == 0
+    assert without_copies(documents(spark, "some text here"), items_of(spark)).count() == 1
+
+
+def test_rarest_neighbours_are_seeds():
+    items = decontamination.gathered([1], ["a b c d e f g h i"])
+    counts = np.array([9, 9, 9, 9, 9, 9, 9])
+    counts[items.at[2]] = 1
+    assert 2 in decontamination.seed_places(items, counts)
+    for start in range(0, 7 - decontamination.WINNOW + 1):
+        chosen = decontamination.seed_places(items, counts)
+        assert any(start <= p < start + decontamination.WINNOW for p in chosen)
+
+
+def test_marks_stay_with_their_rows(spark):
+    items, rows = case(random.Random(4))
+    marked = with_copies(documents(spark, *rows), items_of(spark, *items)).collect()
+    assert len(marked) == len(rows) and any(r.copies for r in marked) and not all(r.copies for r in marked)
+
+
+def test_query_finds_every_exact_copy(spark):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    items = spark.read.parquet(f"{SF}/benchmark.parquet").collect()
+    exact = {(r.doc_id, i.item_id) for r in rows for i in items if i.text in r.text}
+    found = {(r.doc_id, r.item_id): r.score for r in op2_decontamination(spark, SF).collect()}
+    assert exact and exact <= set(found) and all(found[k] == 1.0 for k in exact)
+    texts, wanted = {r.doc_id: plain(r.text) for r in rows}, {i.item_id: plain(i.text) for i in items}
+    for (doc, item), score in found.items():
+        assert smith_waterman(wanted[item], texts[doc]) / (2 * len(wanted[item])) == pytest.approx(score)

@@ -1,0 +1,116 @@
+import random
+
+import pytest
+
+from dossier.llm import lines
+from dossier.llm.lines import dedup_lines, line_report
+from dossier.llm.queries import op7_line_dedup
+from tests.llm.util import documents, prose, words
+
+SF = "/root/testdata/sf0.001"
+
+
+def tokens(line):
+    found = words(line, lower=True)
+    n = min(5, len(found))
+    return frozenset(tuple(found[i : i + n]) for i in range(len(found) - n + 1)) if n >= 3 else frozenset()
+
+
+def expected(rows):
+    """By position (id, place): whether the line goes; nulls last, rows of one id side by side."""
+    placed = []
+    for key, text in rows:
+        for place, line in enumerate((text or "").split("\n")):
+            if tokens(line):
+                placed.append(((1 << 63) - 1 if key is None else key, place, tokens(line)))
+    gone = {}
+    for doc, place, mine in placed:
+        gone[doc, place] = any(
+            (d, p) < (doc, place) and 5 * len(mine & other) >= 4 * len(mine | other) for d, p, other in placed
+        )
+    return gone
+
+
+def report(df, **options):
+    found = {}
+    for row in line_report(df, **options).collect():
+        found[row.doc_id] = (row.n_lines, list(row.removed_lines))
+    return found
+
+
+def as_report(rows):
+    gone, found = expected(rows), {}
+    for key, text in rows:
+        for place, line in enumerate((text or "").split("\n")):
+            if tokens(line):
+                n, places = found.get(key, (0, set()))
+                removed = gone[(1 << 63) - 1 if key is None else key, place]
+                found[key] = (n + 1, places | {place} if removed else places)
+    return {key: (n, sorted(places)) for key, (n, places) in found.items()}
+
+
+def varied(rnd, line, edits):
+    found = line.split()
+    for _ in range(edits):
+        found[rnd.randrange(len(found))] = f"new{rnd.randrange(10**6)}"
+    return " ".join(found)
+
+
+def corpus(rnd, n):
+    """Lines of all lengths, copied exactly, with other spaces, or with a few other words."""
+    base = [prose(rnd, rnd.choice([1, 2, 3, 4, 5, 6, 9, 15, 40, 60])) for _ in range(25)]
+    rows = []
+    for i in range(n):
+        own = [prose(rnd, rnd.randrange(1, 30)) for _ in range(2)]
+        copied = [rnd.choice(base) for _ in range(3)]
+        edited = [varied(rnd, rnd.choice(base), rnd.randrange(3)) for _ in range(2)]
+        parts = own + copied + edited + ["", copied[0].upper().replace(" ", "  ")]
+        rnd.shuffle(parts)
+        rows.append((i, "\n".join(parts)))
+    return rows
+
+
+@pytest.mark.parametrize("earliest", [1, 3, 64])
+def test_against_brute_force(spark, monkeypatch, earliest):
+    """With few early classes most pairs come from the second step."""
+    monkeypatch.setattr(lines, "EARLIEST", earliest)
+    monkeypatch.setattr(lines, "PAIRED", min(2, earliest))
+    rows = corpus(random.Random(earliest), 40)
+    assert report(documents(spark, *rows).repartition(5)) == as_report(rows)
+
+
+def test_many_variants_of_one_line(spark):
+    rnd = random.Random(9)
+    line = prose(rnd, 50, 10**6)
+    rows = [(i, varied(rnd, line, rnd.randrange(3))) for i in range(120)] + [(500 + i, line) for i in range(100)]
+    assert report(documents(spark, *rows).repartition(4)) == as_report(rows)
+
+
+def test_odd_rows(spark):
+    line = "a line that stands in many rows of this table"
+    rows = [(3, line), (None, line), (None, "x\n" + line), (1, None), (2, ""), (4, "of the"), (5, "of the"), (6, "as it is")]
+    rows += [(7, "As  it is"), (8, line + "\n" + line), (0, "another line that stands in one row only"), (0, line), (0, line)]
+    rows += [(9, prose(random.Random(1), 30_000)), (10, prose(random.Random(1), 30_000) + " end")]
+    assert report(documents(spark, *rows)) == as_report(rows)
+
+
+def test_documents_lose_their_lines(spark):
+    line = "one two three four five six seven"
+    rows = [(0, "first\n" + line), (1, line + "\n\nof it"), (2, line), (3, None), (4, " \n"), (5, line + "\r\nkept own words here")]
+    kept = {r.doc_id: r for r in dedup_lines(documents(spark, *rows)).collect()}
+    texts = {i: r.text for i, r in kept.items()}
+    assert texts == {0: "first\n" + line, 1: "\nof it", 3: None, 4: " \n", 5: "kept own words here"}
+    assert kept[1].n_chars == 6 and kept[0].n_chars == len(texts[0])
+    assert kept[0].asDict().keys() == {"doc_id", "text", "lang", "source", "n_chars"}
+
+
+def test_empty_table(spark):
+    assert line_report(documents(spark)).count() == 0
+    assert dedup_lines(documents(spark)).count() == 0
+
+
+def test_query_against_brute_force(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    found = {r.doc_id: (r.n_lines, list(r.removed_lines)) for r in op7_line_dedup(spark, SF).collect()}
+    assert found == as_report(rows)
+    assert any(places for _, places in found.values())
