@@ -1,255 +1,104 @@
-"""Child rows as arrays of structs on their parents, in parts of bounded size.
-
-A parent has one row and all its children in one array, unless it has more than
-``max_children`` of them. Such a wide parent gets several rows, its parts, that
-differ only in ``part`` and in the children they hold. Groups and joins work on
-(key, part), so no task and no array ever holds a wide key as a whole.
-"""
+"""Child rows as arrays of structs on their parents: one row and one array for each parent row."""
 
 from collections.abc import Callable
-from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
-
-from dossier.operators.heavy import Heavy, Load, heavy_keys, total_of, width_of
-from dossier.operators.staging import staged
-from dossier.schemas import PART, PARTS
-
-MAX_CHILDREN = 10_000
-MAX_REPEATS = 1_000
+from pyspark.sql.types import StringType
 
-# Copies of one child row are dealt out in lots, of this fraction of a full part.
-LOTS_PER_PART = 32
+from dossier.operators.repeats import (
+    MAX_REPEATS,
+    SALT,
+    Repeats,
+    dealt_out,
+    find_repeats,
+    for_each_salt,
+)
 
-# The parents' load in a table of heavy keys; the others go by the array's name.
-PARENTS = "parents"
-
-# The number of parts of a marked key.
-WIDTH = "_width"
+# A row holds at most 2 GB. An array is refused well before, while the error can still name its key.
+MAX_ARRAY_BYTES = 1 << 30
 
 
 class Children(NamedTuple):
     """Child rows, and how they are to be nested into the array ``as_col`` of ``fields``.
 
-    ``totals`` are aggregates over all children of a parent, ``per_part``
-    aggregates over the children of one row; both are null without children.
-    ``finish`` adds columns to single rows; it runs after the shuffle, which then
-    moves only the raw columns.
+    ``totals`` are aggregates over all children of a parent, null without
+    children. ``finish`` adds columns to single rows; it runs after the shuffle,
+    which then moves only the raw columns.
     """
 
     rows: DataFrame
     as_col: str
     fields: list[str]
     totals: dict[str, Column] = {}
-    per_part: dict[str, Column] = {}
     finish: Callable[[DataFrame], DataFrame] | None = None
 
 
-def _part_of(width: Column, *columns) -> Column:
-    """A part below ``width``, chosen by row content so that a retried task repeats it.
-
-    Also used with width 1: unlike a literal 0, the result stays a grouping and
-    join column, so all inputs keep one partitioning on (key, part).
-    """
-    return F.pmod(F.xxhash64(*columns), width).cast("int")
+def _bytes(df: DataFrame, fields: list[str]) -> Column:
+    """The size of a record in an array, about: 8 bytes a field, and texts besides."""
+    size = F.lit(16 + 8 * len(fields)).cast("bigint")
+    for name in fields:
+        if isinstance(df.schema[name].dataType, StringType):
+            size += F.coalesce(F.octet_length(name), F.lit(0))
+    return size
 
 
-def with_parts(parents: DataFrame, key: str) -> DataFrame:
-    """``parents`` with part columns; rows that have none yet are part 0 of 1."""
-    if PART in parents.columns and PARTS in parents.columns:
-        return parents
-    return parents.withColumns({PART: _part_of(F.lit(1), key), PARTS: F.lit(1)})
+def nest_children(children: Children, key: str, max_bytes: int = MAX_ARRAY_BYTES) -> DataFrame:
+    """One row per key: the sorted array of whole records, and the totals.
 
+    Children without a key can never be attached and are left out. A key whose
+    array would be too large for a row fails the job by name.
 
-def nest_children(
-    children: Children,
-    key: str,
-    marks: DataFrame | None = None,
-    how: str = "left",
-    max_children: int = MAX_CHILDREN,
-) -> DataFrame:
-    """One row per (key, part): the sorted array of whole records, and the aggregates.
-
-    ``marks`` has the keys to be split and their ``WIDTH``. Rows of such a key are
-    counted per distinct content before they are shuffled, since hashing alone
-    would send all copies of a row to one part. They are grouped as a struct: by
-    the bare columns, Spark could reuse a join's partitioning by key, which keeps
-    a hot key on one task. With ``how="inner"`` only keys in ``marks`` are nested,
-    and those with a null width are not split. Children without a key can never
-    be attached and are left out.
-
-    Rows are shuffled and sorted before they are grouped, rather than grouped on
-    both sides of the shuffle: collecting does not make them fewer, and sorted
-    rows let one group be held at a time.
+    Rows are shuffled first and grouped once, rather than on both sides of the
+    shuffle, as collecting does not make them fewer.
     """
-    known = children.rows.where(F.col(key).isNotNull())
-    if marks is None:
-        placed = known.withColumn(PART, _part_of(F.lit(1), key)).repartition(key, PART)
-    else:
-        columns = known.columns
-        lot = max(1, max_children // LOTS_PER_PART)
-        marked = known.join(marks.select(key, WIDTH), key, how)
-        narrow = (
-            marked.where(F.col(WIDTH).isNull())
-            .withColumn(PART, _part_of(F.lit(1), key))
-            .withColumn("_copies", F.lit(1).cast("bigint"))
-        )
-        # Lots of one row go to neighbouring parts, at most one lot to each.
-        first = _part_of(F.col(WIDTH), *columns)
-        broad = (
-            marked.where(F.col(WIDTH).isNotNull())
-            .groupBy(F.struct(*columns).alias("_row"), WIDTH)
-            .agg(F.count(F.lit(1)).alias("_copies"))
-            .select("_row.*", WIDTH, "_copies")
-            .withColumn("_lots", F.least(F.ceil(F.col("_copies") / F.lit(lot)), WIDTH).cast("int"))
-            .withColumn("_lot", F.explode(F.expr("sequence(0, _lots - 1)")))
-            .withColumn(PART, ((first + F.col("_lot").cast("bigint")) % F.col(WIDTH)).cast("int"))
-            .withColumn("_copies", F.expr("_copies div _lots + int(_lot < _copies % _lots)"))
-        )
-        shared = [*columns, PART, "_copies"]
-        placed = (
-            narrow.select(shared)
-            .unionByName(broad.select(shared))
-            .repartition(key, PART)
-            .withColumn("_copy", F.explode(F.expr("sequence(1L, _copies)")))
-        )
-    ready = placed.sortWithinPartitions(key, PART)
+    ready = children.rows.where(F.col(key).isNotNull()).repartition(key)
     if children.finish is not None:
         ready = children.finish(ready)
-    return ready.groupBy(key, PART).agg(
-        F.sort_array(F.collect_list(F.struct(*children.fields))).alias(children.as_col),
-        *[c.alias(name) for name, c in {**children.totals, **children.per_part}.items()],
+    records = F.sort_array(F.collect_list(F.struct(*children.fields)))
+    message = F.concat(
+        F.lit(f"{children.as_col} of "),
+        F.col(key).cast("string"),
+        F.lit(" do not fit one row; build_document_parts splits them"),
     )
-
-
-def _empty(df: DataFrame, column: str) -> Column:
-    return F.array().cast(df.schema[column].dataType)
-
-
-def _in_slots(parents, key, split, arrays):
-    """Parent rows, one for each part that their old or any of their new children need.
-
-    ``split`` are the kinds that have wide keys, ``arrays`` the columns of the
-    old children. Made before the first join, so that all joins share one
-    partitioning.
-    """
-    if not split:
-        return parents
-    widths = [F.coalesce(F.col(width_of(children.as_col)), F.lit(1)) for children in split]
-    # The last part of a parent makes room for the parts to come, none of which has old children.
-    last = F.greatest(F.col(PARTS), *widths) - 1
-    own = F.col("_slot") == F.col(PART)
-    return (
-        parents.withColumn("_last", last)
-        .withColumn(
-            "_slot",
-            F.explode(
-                F.when(
-                    F.col(PART) == F.col(PARTS) - 1, F.sequence(F.col(PART), F.col("_last"))
-                ).otherwise(F.array(PART))
-            ),
-        )
-        .withColumns({n: F.when(own, F.col(n)).otherwise(_empty(parents, n)) for n in arrays})
-        .withColumns({PART: F.col("_slot"), PARTS: F.col("_last") + 1})
-        .drop("_slot", "_last")
+    fits = F.sum(_bytes(ready, children.fields)) <= max_bytes
+    return ready.groupBy(key).agg(
+        F.when(fits, records).otherwise(F.raise_error(message)).alias(children.as_col),
+        *[c.alias(name) for name, c in children.totals.items()],
     )
 
 
-def _filled(joined, kinds, split):
-    """``joined`` without null arrays, and with the totals of whole keys on each of their parts."""
-    columns = {}
-    for children in kinds:
-        name = children.as_col
-        columns[name] = F.coalesce(F.col(name), _empty(joined, name))
-        if children in split:
-            for total in children.totals:
-                columns[total] = F.coalesce(F.col(total_of(name, total)), F.col(total))
-    return joined.withColumns(columns)
-
-
 def attach_children(
     parents: DataFrame,
     key: str,
     kinds: list[Children],
-    heavy: Heavy | None = None,
-    max_children: int = MAX_CHILDREN,
+    repeats: Repeats | None = None,
     max_repeats: int = MAX_REPEATS,
+    max_bytes: int = MAX_ARRAY_BYTES,
 ) -> DataFrame:
     """Every row of ``parents`` with its children, one array per kind, empty if it has none.
 
     Children are grouped first and joined second, so that repeated parents
-    neither merge nor count children twice.
-
-    Keys of more than ``max_children`` children of a kind, and keys of more than
-    ``max_repeats`` parent rows, are found by a count of the key columns, unless
-    ``heavy`` has them from ``find_heavy``. Rows of repeated keys, and rows
-    without a key if any key repeats, are taken out of the common joins, where
-    each key would make one task's work: the latter match nothing, and the
-    former join the children of their few keys in one last join of two tables,
-    in which Spark broadcasts the children if few and can split the parents of
-    one key if not. For the same reason, each input meets the heavy keys in one
-    join, followed by a shuffle.
+    neither merge nor count children twice. All joins share one partitioning.
+
+    Parent keys of more than ``max_repeats`` rows come from a count of the
+    parents' keys, unless ``repeats`` has them from ``find_repeats``. Their rows are
+    dealt out over several tasks, each of which gets a copy of the key's children;
+    so are rows without a key, which match nothing. Children are not counted.
     """
-    parents = with_parts(parents, key)
-    if heavy is None:
-        heavy = find_heavy(parents, key, kinds, max_children, max_repeats)
-    if heavy.table is None:
-        attached = parents
-        for children in kinds:
-            nested = nest_children(children, key, max_children=max_children)
-            attached = attached.join(nested, [key, PART], "left")
-        return _filled(attached, kinds, [])
-
-    split = [children for children in kinds if children.as_col in heavy.loads]
-    arrays = [f.name for f in parents.schema if isinstance(f.dataType, ArrayType)]
-    result = [*parents.columns]
-    for children in kinds:
-        result += [children.as_col, *children.totals, *children.per_part]
-
-    def nest(children, how):
-        width = F.col(width_of(children.as_col)) if children in split else F.lit(None).cast("int")
-        marks = heavy.table.withColumn(WIDTH, width)
-        if how == "inner":
-            marks = marks.where(F.col(width_of(PARENTS)).isNotNull())
-        elif children in split:
-            marks = marks.where(F.col(WIDTH).isNotNull())
-        else:
-            marks = None
-        return nest_children(children, key, marks, how, max_children)
-
-    def attach(some_parents, nested_tables):
-        attached = _in_slots(some_parents, key, split, arrays)
-        for nested in nested_tables:
-            attached = attached.join(nested, [key, PART], "left")
-        return _filled(attached, kinds, split).select(result)
-
-    common = [nest(children, "left") for children in kinds]
-    marked = parents.join(heavy.table, key, "left")
-    if PARENTS not in heavy.loads:
-        return attach(marked, common)
-
-    repeats = F.col(width_of(PARENTS))
-    once = attach(marked.where(repeats.isNull() & F.col(key).isNotNull()), common)
-    hot = [nest(children, "inner") for children in kinds]
-    together = reduce(lambda a, b: a.join(b, [key, PART], "full"), hot)
-    again = attach(marked.where(repeats.isNotNull()), [staged(together, "repeated")])
-    childless = {
-        field.name: F.lit(None).cast(field.dataType)
-        for field in together.schema
-        if field.name not in (key, PART)
-    }
-    keyless = parents.where(F.col(key).isNull()).withColumns(childless)
-    return once.unionByName(again).unionByName(_filled(keyless, kinds, []).select(result))
-
-
-def find_heavy(
-    parents: DataFrame, key: str, kinds: list[Children], max_children: int, max_repeats: int
-) -> Heavy:
-    """The keys ``attach_children`` must split, from one job over all its inputs."""
-    loads = {kind.as_col: Load(kind.rows, max_children, kind.totals) for kind in kinds}
-    rows = with_parts(parents, key).where(F.col(PART) == 0)
-    loads[PARENTS] = Load(rows, max_repeats, null_key=True)
-    return heavy_keys(key, loads)
+    if repeats is None:
+        repeats = find_repeats(parents, key, max_repeats)
+    nested = [nest_children(children, key, max_bytes) for children in kinds]
+    if repeats.table is None:
+        on, attached = [key], parents
+    else:
+        on, attached = [key, SALT], dealt_out(parents, key, repeats.table)
+        nested = [for_each_salt(groups, key, repeats.table) for groups in nested]
+    for children, groups in zip(kinds, nested, strict=True):
+        empty = F.array().cast(groups.schema[children.as_col].dataType)
+        attached = attached.join(groups, on, "left").withColumn(
+            children.as_col, F.coalesce(children.as_col, empty)
+        )
+    totals = [name for children in kinds for name in children.totals]
+    return attached.select(*parents.columns, *[children.as_col for children in kinds], *totals)

@@ -1,12 +1,12 @@
 """Customer documents: flat customers, accounts and addresses, nested per customer."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dossier.functions.address import address_fields, is_malformed
 from dossier.functions.balance import cast_balance
 from dossier.functions.checks import check_mode, require
-from dossier.operators.nesting import Children, attach_children, with_parts
+from dossier.operators.nesting import Children, attach_children
 from dossier.schemas import (
     ACCOUNT,
     ADDRESS,
@@ -15,19 +15,19 @@ from dossier.schemas import (
     CUSTOMER_ACCOUNT,
     CUSTOMER_DOCUMENT,
     CUSTOMER_MODEL,
-    PART,
-    PARTS,
-    in_parts,
+    CUSTOMER_STATS,
 )
 from dossier.sources.binding import conform
 
 KEY = "customerId"
 
 
+def account_rows(accounts: DataFrame, mode: str) -> DataFrame:
+    return cast_balance(accounts, mode).select(ACCOUNT.fieldNames())
+
+
 def _accounts(accounts: DataFrame, mode: str) -> Children:
-    return Children(
-        cast_balance(accounts, mode).select(ACCOUNT.fieldNames()), "accounts", ACCOUNT.fieldNames()
-    )
+    return Children(account_rows(accounts, mode), "accounts", ACCOUNT.fieldNames())
 
 
 def _addresses(addresses: DataFrame, mode: str) -> Children:
@@ -47,20 +47,56 @@ def _addresses(addresses: DataFrame, mode: str) -> Children:
         addresses.select(ADDRESS_RAW.fieldNames()),
         "address",
         ADDRESS.fieldNames(),
-        per_part={"malformed": F.max("malformed")} if strict else {},
+        totals={"malformed": F.max("malformed")} if strict else {},
         finish=parse,
     )
 
 
-def require_addresses(grouped: DataFrame) -> DataFrame:
-    """Rows of customers none of whose addresses is ``malformed``; the job fails on others."""
+def require_addresses(rows: DataFrame) -> DataFrame:
+    """``rows``, none of which is ``malformed``; the job fails on others."""
     return require(
-        grouped,
+        rows,
         ~F.coalesce(F.col("malformed"), F.lit(False)),
         F.concat(F.lit("malformed address of customer "), F.col(KEY)),
     )
 
 
+def _totals() -> dict[str, Column]:
+    return {"numberAccounts": F.count(F.lit(1)).cast("int"), "totalBalance": F.sum("balance")}
+
+
+def _filled(stats: DataFrame) -> DataFrame:
+    """Totals of customers without accounts as 0, and the mean."""
+    number, total = F.col("numberAccounts"), F.col("totalBalance")
+    return stats.withColumns(
+        {
+            "numberAccounts": F.coalesce(number, F.lit(0)),
+            "totalBalance": F.coalesce(total, F.lit(0).cast("bigint")),
+        }
+    ).withColumn(
+        # Not avg(): it rounds otherwise for totals beyond 2^53, and is null for no rows.
+        "averageBalance",
+        F.when(number == 0, F.lit(0.0)).otherwise(total.cast("double") / number),
+    )
+
+
+def build_customer_stats(
+    customers: DataFrame, accounts: DataFrame, mode: str = "strict"
+) -> DataFrame:
+    """Every customer with the number of its accounts, their total and mean balance; no arrays.
+
+    Accounts are added up before they are shuffled, so a customer may have any
+    number of them. In strict mode a bad balance fails the job.
+    """
+    totals = (
+        account_rows(accounts, mode)
+        .groupBy(KEY)
+        .agg(*[c.alias(name) for name, c in _totals().items()])
+    )
+    joined = customers.select(CUSTOMER.fieldNames()).join(totals, KEY, "left")
+    return conform(_filled(joined), CUSTOMER_STATS)
+
+
 def build_customer_accounts(
     customers: DataFrame, accounts: DataFrame, mode: str = "strict", **limits
 ) -> DataFrame:
@@ -69,33 +105,15 @@ def build_customer_accounts(
     In strict mode a bad balance fails the job, be its customer known or not.
     ``limits`` go to ``attach_children``, here and below.
     """
-    totals = {
-        "numberAccounts": F.count(F.lit(1)).cast("int"),
-        "totalBalance": F.sum("balance"),
-    }
-    kind = _accounts(accounts, mode)._replace(totals=totals)
-    number, total = F.col("numberAccounts"), F.col("totalBalance")
-    stats = (
-        attach_children(customers.select(CUSTOMER.fieldNames()), KEY, [kind], **limits)
-        .withColumns(
-            {
-                "numberAccounts": F.coalesce(number, F.lit(0)),
-                "totalBalance": F.coalesce(total, F.lit(0).cast("bigint")),
-            }
-        )
-        .withColumn(
-            # Not avg(): it rounds otherwise for totals beyond 2^53, and is null for no rows.
-            "averageBalance",
-            F.when(number == 0, F.lit(0.0)).otherwise(total.cast("double") / number),
-        )
-    )
-    return conform(stats, in_parts(CUSTOMER_ACCOUNT))
+    kind = _accounts(accounts, mode)._replace(totals=_totals())
+    attached = attach_children(customers.select(CUSTOMER.fieldNames()), KEY, [kind], **limits)
+    return conform(_filled(attached), CUSTOMER_ACCOUNT)
 
 
 def _as_documents(attached: DataFrame, mode: str) -> DataFrame:
     if mode == "strict":
         attached = require_addresses(attached)
-    return conform(attached, in_parts(CUSTOMER_DOCUMENT))
+    return conform(attached, CUSTOMER_DOCUMENT)
 
 
 def build_customer_documents(
@@ -106,9 +124,7 @@ def build_customer_documents(
     In strict mode a malformed address fails the job, but only if its customer
     is known.
     """
-    parents = with_parts(customer_accounts, KEY).select(
-        *CUSTOMER.fieldNames(), "accounts", PART, PARTS
-    )
+    parents = customer_accounts.select(*CUSTOMER.fieldNames(), "accounts")
     kinds = [_addresses(addresses, mode)]
     return _as_documents(attach_children(parents, KEY, kinds, **limits), mode)
 
@@ -120,10 +136,7 @@ def build_documents(
     mode: str = "strict",
     **limits,
 ) -> DataFrame:
-    """The documents of both builds in one plan, without the stage between them.
-
-    Each input is shuffled once, all by the same partitioning.
-    """
+    """The documents of both builds in one plan, without the stage between them."""
     parents = customers.select(CUSTOMER.fieldNames())
     kinds = [_accounts(accounts, mode), _addresses(addresses, mode)]
     return _as_documents(attach_children(parents, KEY, kinds, **limits), mode)

@@ -5,9 +5,7 @@ from pyspark.sql import functions as F
 
 from dossier.functions.address import is_malformed, parse_address
 from dossier.functions.checks import check_mode
-from dossier.operators.nesting import with_parts
 from dossier.plans.documents import KEY, require_addresses
-from dossier.schemas import PART, PARTS
 
 # The default watch-list, the name of its flag, and the text of the report.
 WATCH_LIST = ["British Virgin Islands"]
@@ -33,31 +31,28 @@ def score_link(
 ) -> DataFrame:
     """``documents`` with the boolean ``flag``: any address in a listed country.
 
-    Names match as a whole, by case and blanks. A customer in several parts is
-    flagged in all of them if any part matches.
+    Names match as a whole, by case and blanks.
     """
-    documents = with_parts(documents, KEY)
-    scored = documents.withColumn(flag, _listed(countries))
-    linked = (
-        scored.where((F.col(PARTS) > 1) & F.col(flag))
-        .select(KEY, PARTS)
-        .distinct()
-        .select(KEY, F.explode(F.sequence(F.lit(0), F.col(PARTS) - 1)).alias(PART))
-        .repartition(KEY, PART)
-        .withColumn(flag, F.lit(True))
-    )
-    in_parts = (
-        documents.where(F.col(PARTS) > 1)
-        .join(linked, [KEY, PART], "left")
-        .withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
-    )
-    return scored.where(F.col(PARTS) == 1).unionByName(in_parts)
+    return documents.withColumn(flag, _listed(countries))
 
 
 def count_linked(scored: DataFrame, flag: str = FLAG) -> DataFrame:
     """One row, ``linkedCustomers``: the number of flagged customers, repeated ones included."""
-    whole = with_parts(scored, KEY).where(F.col(flag) & (F.col(PART) == 0))
-    return whole.agg(F.count(F.lit(1)).alias("linkedCustomers"))
+    return scored.where(flag).agg(F.count(F.lit(1)).alias("linkedCustomers"))
+
+
+def score_parts(
+    parts: DataFrame, countries: list[str] = WATCH_LIST, flag: str = FLAG
+) -> DataFrame:
+    """``customerId`` and ``flag`` of every customer in ``parts``: any address of any part in a listed country."""
+    return parts.groupBy(KEY).agg(F.max(_listed(countries)).alias(flag))
+
+
+def count_linked_parts(customers: DataFrame, scored: DataFrame, flag: str = FLAG) -> DataFrame:
+    """``count_linked`` of customers whose children are stored in parts, flagged by ``score_parts``."""
+    linked = scored.where(flag).select(KEY)
+    rows = customers.groupBy(KEY).agg(F.count(F.lit(1)).alias("rows")).join(linked, KEY)
+    return rows.agg(F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("linkedCustomers"))
 
 
 def report_linked(counted: DataFrame, countries: list[str] = WATCH_LIST) -> DataFrame:
@@ -66,6 +61,34 @@ def report_linked(counted: DataFrame, countries: list[str] = WATCH_LIST) -> Data
     return counted.withColumn("report", F.format_string(REPORT, names, "linkedCustomers"))
 
 
+def _relevant(addresses: DataFrame, countries: list[str], mode: str) -> DataFrame:
+    """Customers with a listed or a malformed address, one row each, shrunk before the shuffle."""
+    check_mode(mode)
+    parsed = parse_address(addresses, mode="lenient").select(
+        KEY,
+        F.coalesce(F.col("country").isin(countries), F.lit(False)).alias("linked"),
+        (is_malformed() if mode == "strict" else F.lit(False)).alias("malformed"),
+    )
+    return (
+        parsed.where(F.col("linked") | F.col("malformed"))
+        .groupBy(KEY)
+        .agg(F.max("linked").alias("linked"), F.max("malformed").alias("malformed"))
+    )
+
+
+def flag_customers(
+    customers: DataFrame,
+    addresses: DataFrame,
+    countries: list[str] = WATCH_LIST,
+    flag: str = FLAG,
+    mode: str = "strict",
+) -> DataFrame:
+    """Every customer with ``flag``, straight from the flat inputs, without building documents."""
+    joined = customers.join(_relevant(addresses, countries, mode), KEY, "left")
+    flagged = require_addresses(joined).withColumn(flag, F.coalesce(F.col("linked"), F.lit(False)))
+    return flagged.select(*customers.columns, flag)
+
+
 def count_linked_flat(
     customers: DataFrame,
     addresses: DataFrame,
@@ -77,19 +100,8 @@ def count_linked_flat(
     Both sides shrink to one row per customer before they are shuffled, so hot
     keys on either side cost nothing extra.
     """
-    check_mode(mode)
-    parsed = parse_address(addresses, mode="lenient").select(
-        KEY,
-        F.coalesce(F.col("country").isin(countries), F.lit(False)).alias("linked"),
-        (is_malformed() if mode == "strict" else F.lit(False)).alias("malformed"),
-    )
-    relevant = (
-        parsed.where(F.col("linked") | F.col("malformed"))
-        .groupBy(KEY)
-        .agg(F.max("linked").alias("linked"), F.max("malformed").alias("malformed"))
-    )
     rows = customers.groupBy(KEY).agg(F.count(F.lit(1)).alias("rows"))
-    sound = require_addresses(rows.join(relevant, KEY))
+    sound = require_addresses(rows.join(_relevant(addresses, countries, mode), KEY))
     return sound.where("linked").agg(
         F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("linkedCustomers")
     )

@@ -2,7 +2,8 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from dossier.plans.documents import build_customer_accounts, build_customer_documents
+from dossier.operators.repeats import MAX_REPEATS, find_repeats
+from dossier.plans.documents import KEY, build_customer_accounts, build_customer_documents
 from dossier.plans.scoring import FLAG, WATCH_LIST, score_link
 from dossier.sources.files import (
     read_accounts,
@@ -26,11 +27,14 @@ def run_flat(
 ) -> DataFrame:
     """Scored documents of the flat inputs; the two stages stay in ``out_dir``.
 
-    ``limits`` are ``max_children`` and ``max_repeats`` of ``attach_children``.
+    Repeated customers are found once, for both builds. ``limits`` are those of
+    ``attach_children``.
     """
     spark = customers.sparkSession
     accounts_path = f"{out_dir}/customer_accounts"
     documents_path = f"{out_dir}/customer_documents"
+    if "repeats" not in limits:
+        limits["repeats"] = find_repeats(customers, KEY, limits.pop("max_repeats", MAX_REPEATS))
     write_stage(build_customer_accounts(customers, accounts, mode, **limits), accounts_path)
     staged_accounts = read_customer_accounts(spark, accounts_path)
     write_stage(

@@ -15,6 +15,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from dossier.functions.address import FIELDS, parse_address
 from dossier.operators.staging import scratch_dir
@@ -22,16 +23,25 @@ from dossier.plans.documents import (
     build_customer_accounts,
     build_customer_documents,
     build_customer_model,
+    build_customer_stats,
     build_documents,
 )
-from dossier.plans.scoring import count_linked, count_linked_flat, report_linked, score_link
-from dossier.plans.stages import run_flat
-from dossier.schemas import PART
+from dossier.plans.parts import build_document_parts
+from dossier.plans.scoring import (
+    count_linked,
+    count_linked_flat,
+    flag_customers,
+    report_linked,
+    score_link,
+    score_parts,
+)
+from dossier.plans.stages import run_flat, run_stages
+from dossier.schemas import ADDRESS_RAW
 from dossier.sources.files import (
-    read_accounts,
-    read_addresses,
+    read_customer_accounts,
     read_customer_documents,
-    read_customers,
+    read_customer_model,
+    read_document_parts,
     write_stage,
 )
 
@@ -150,6 +160,45 @@ def uneven_addresses(spark, sf_dir):
     )
 
 
+def orphaned_customers(spark, sf_dir):
+    """All customers, but those of one segment without a key and those of another under unknown keys."""
+    key = (
+        F.when(F.col("c_mktsegment") == "BUILDING", F.lit(None))
+        .when(F.col("c_mktsegment") == "MACHINERY", F.concat(F.lit("x"), "c_custkey"))
+        .otherwise(_text("c_custkey"))
+    )
+    return _table(spark, sf_dir, "customer").select(
+        key.alias("customerId"),
+        F.col("c_name").alias("forename"),
+        F.col("c_mktsegment").alias("surname"),
+    )
+
+
+def keyless_addresses(spark, sf_dir):
+    """Uneven addresses, some of orders that name no customer."""
+    addresses = uneven_addresses(spark, sf_dir)
+    named = F.when(~F.col("addressId").endswith("7"), F.col("customerId"))
+    return addresses.withColumn("customerId", named)
+
+
+def text_balances(spark, sf_dir):
+    """Orders as accounts whose balance is text, whole or not, by priority."""
+    shapes = {
+        "1-URGENT": _text("o_orderkey"),
+        "2-HIGH": F.concat(F.lit("-"), "o_custkey"),
+        "3-MEDIUM": F.concat("o_orderkey", F.lit(".5")),
+        "5-LOW": F.lit("n/a"),
+    }
+    balance = F.lit(None).cast("string")
+    for priority, shape in shapes.items():
+        balance = F.when(F.col("o_orderpriority") == priority, shape).otherwise(balance)
+    return _table(spark, sf_dir, "orders").select(
+        _text("o_custkey").alias("customerId"),
+        _text("o_orderkey").alias("accountId"),
+        balance.alias("balance"),
+    )
+
+
 def order_documents(spark, sf_dir):
     return build_documents(
         orders(spark, sf_dir), order_lines(spark, sf_dir), order_addresses(spark, sf_dir)
@@ -240,19 +289,40 @@ FROM customers c LEFT JOIN owned o ON c.customerId = o.customerId
 LEFT JOIN placed p ON c.customerId = p.customerId"""
 
 
+_ORPHANED = """customers AS (
+  SELECT CASE c_mktsegment WHEN 'BUILDING' THEN NULL WHEN 'MACHINERY' THEN 'x' || c_custkey
+         ELSE CAST(c_custkey AS VARCHAR) END AS customerId, c_name AS forename, c_mktsegment AS surname
+  FROM customer)"""
+
+_KEYLESS_ADDRESSES = _UNEVEN_ADDRESSES.replace("raw_addresses AS (", "uneven AS (") + """, raw_addresses AS (
+  SELECT addressId, CASE WHEN NOT ends_with(addressId, '7') THEN customerId END AS customerId, address
+  FROM uneven)"""
+
+# Whole documents as text: every field of every child, in order.
+_WHOLE = """, account_lists AS (
+  SELECT customerId, string_agg(accountId || ':' || balance, '|' ORDER BY accountId, balance) AS accounts
+  FROM accounts GROUP BY customerId),
+address_lists AS (
+  SELECT customerId, string_agg(concat_ws(':', addressId, customerId, COALESCE(address, '-'),
+           COALESCE(CAST(number AS VARCHAR), '-'), COALESCE(road, '-'), COALESCE(city, '-'), COALESCE(country, '-')),
+         '|' ORDER BY addressId, address) AS address
+  FROM addresses GROUP BY customerId)
+SELECT c.customerId, c.forename, c.surname, COALESCE(a.accounts, '') AS accounts, COALESCE(d.address, '') AS address
+FROM customers c LEFT JOIN account_lists a ON c.customerId = a.customerId
+LEFT JOIN address_lists d ON c.customerId = d.customerId"""
+
 _ORDER_DOCUMENTS = f"WITH {_ORDERS}, {_ORDER_LINES}, {_ORDER_ADDRESSES}, {_parsed()}"
 
+_WITH_FLAGS = f"""
+SELECT customerId, forename, surname, COALESCE(customerId IN (
+         SELECT customerId FROM addresses WHERE country IN ({_listed(LINK)})), false) AS linked
+FROM customers"""
+
 _LINKED = f"""{_ORDER_DOCUMENTS}, linked AS (
   SELECT count(*) AS n FROM customers WHERE customerId IN (
     SELECT customerId FROM addresses WHERE country IN ({_listed(LINK)})))"""
 
 
-def _stats(documents: DataFrame) -> DataFrame:
-    return documents.where(F.col(PART) == 0).select(
-        "customerId", "forename", "surname", "numberAccounts", "totalBalance", "averageBalance"
-    )
-
-
 def _sizes(scored: DataFrame) -> DataFrame:
     """Scored documents with the number of children in place of the children."""
     return scored.select(
@@ -265,22 +335,60 @@ def _sizes(scored: DataFrame) -> DataFrame:
     )
 
 
+def _as_text(documents: DataFrame) -> DataFrame:
+    """Documents with each array as one text, every field of every child in order."""
+    dash = F.lit("-")
+
+    def account(a):
+        return F.concat_ws(":", a["accountId"], a["balance"].cast("string"))
+
+    def place(a):
+        optional = [F.coalesce(a[name].cast("string"), dash) for name in ("address", *FIELDS)]
+        return F.concat_ws(":", a["addressId"], a["customerId"], *optional)
+
+    return documents.select(
+        "customerId",
+        "forename",
+        "surname",
+        F.array_join(F.transform("accounts", account), "|").alias("accounts"),
+        F.array_join(F.transform("address", place), "|").alias("address"),
+    )
+
+
+def _model(model: DataFrame) -> DataFrame:
+    return model.select(
+        "customerId",
+        "forename",
+        "surname",
+        "fullname.firstName",
+        F.col("fullname.surname").alias("lastName"),
+    )
+
+
+def _no_addresses(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], ADDRESS_RAW)
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 @_query(f"WITH {_CUSTOMERS}, {_CUSTOMER_ORDERS}, {_STATS} {_WITH_STATS}")
 def q01_account_stats(spark, sf_dir):
-    return _stats(build_customer_accounts(customers(spark, sf_dir), customer_orders(spark, sf_dir)))
+    return build_customer_stats(customers(spark, sf_dir), customer_orders(spark, sf_dir))
 
 
 @_query(f"""WITH {_CUSTOMERS}, {_CUSTOMER_ORDERS}, ranked AS (
   SELECT *, CAST(row_number() OVER (
            PARTITION BY customerId ORDER BY accountId, balance) - 1 AS INTEGER) AS position
   FROM accounts)
-SELECT c.customerId, 0 AS part, r.position, r.accountId, r.balance
+SELECT c.customerId, r.position, r.accountId, r.balance
 FROM customers c LEFT JOIN ranked r ON c.customerId = r.customerId""")
 def q02_accounts_attached(spark, sf_dir):
     documents = build_customer_accounts(customers(spark, sf_dir), customer_orders(spark, sf_dir))
     return documents.select(
-        "customerId", PART, F.posexplode_outer("accounts").alias("position", "account")
-    ).select("customerId", PART, "position", "account.accountId", "account.balance")
+        "customerId", F.posexplode_outer("accounts").alias("position", "account")
+    ).select("customerId", "position", "account.accountId", "account.balance")
 
 
 @_query(f"""WITH {_CUSTOMERS}, {_CUSTOMER_EVENTS}, listed AS (
@@ -355,13 +463,7 @@ def q09_watch_list(spark, sf_dir):
 @_query(f"""WITH {_CUSTOMERS}
 SELECT customerId, forename, surname, forename AS firstName, surname AS lastName FROM customers""")
 def q10_customer_model(spark, sf_dir):
-    return build_customer_model(customers(spark, sf_dir)).select(
-        "customerId",
-        "forename",
-        "surname",
-        "fullname.firstName",
-        F.col("fullname.surname").alias("lastName"),
-    )
+    return _model(build_customer_model(customers(spark, sf_dir)))
 
 
 @_query(f"""WITH {_UNEVEN_ADDRESSES}, {_parsed()}
@@ -372,7 +474,7 @@ def q11_lenient_addresses(spark, sf_dir):
 
 @_query(f"{_ORDER_DOCUMENTS}, {_scored(LINK)}")
 def q12_staged(spark, sf_dir):
-    out_dir = f"{scratch_dir(spark)}/staged-{uuid.uuid4().hex}"
+    out_dir = _folder(spark, "staged")
     return _sizes(
         run_flat(
             orders(spark, sf_dir),
@@ -387,31 +489,40 @@ def q12_staged(spark, sf_dir):
 
 @_query(f"WITH {_CUSTOMERS}, {_CUSTOMER_EVENTS}, {_STATS} {_WITH_STATS}")
 def q13_mostly_childless(spark, sf_dir):
-    return _stats(build_customer_accounts(customers(spark, sf_dir), customer_events(spark, sf_dir)))
+    return build_customer_stats(customers(spark, sf_dir), customer_events(spark, sf_dir))
 
 
 @_query(f"WITH {_EVENT_OWNERS}, {_CUSTOMER_ORDERS}, {_STATS} {_WITH_STATS}")
 def q14_repeated_customers(spark, sf_dir):
-    """Customers given once per event; the limit sends the frequent ones down their own path."""
-    return _stats(
-        build_customer_accounts(
-            event_owners(spark, sf_dir), customer_orders(spark, sf_dir), max_repeats=64
-        )
+    """Customers given once per event; the limit deals out the frequent ones."""
+    documents = build_customer_accounts(
+        event_owners(spark, sf_dir), customer_orders(spark, sf_dir), max_repeats=64
     )
+    return documents.drop("accounts")
 
 
-@_query(f"""WITH {_CUSTOMERS}, {_CUSTOMER_EVENTS}, {_STATS}
-SELECT c.customerId, s.numberAccounts, s.totalBalance, a.accountId, a.balance
-FROM customers c JOIN accounts a ON c.customerId = a.customerId
-JOIN stats s ON c.customerId = s.customerId""")
+@_query(f"""WITH {_CUSTOMERS}, {_CUSTOMER_EVENTS}, {_STATS}, ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY customerId ORDER BY accountId, balance) AS position
+  FROM accounts)
+SELECT c.customerId, COALESCE(s.numberAccounts, 0) AS numberAccounts,
+       COALESCE(s.totalBalance, 0) AS totalBalance, a.position, a.accountId, a.balance
+FROM customers c LEFT JOIN ranked a ON c.customerId = a.customerId
+LEFT JOIN stats s ON c.customerId = s.customerId""")
 def q15_split_customers(spark, sf_dir):
-    """Children of customers split into parts; the limit splits every customer with events."""
-    documents = build_customer_accounts(
-        customers(spark, sf_dir), customer_events(spark, sf_dir), max_children=16
+    """Children in parts of at most 16, put together again in the order of the parts."""
+    parts = build_document_parts(
+        customers(spark, sf_dir), customer_events(spark, sf_dir), _no_addresses(spark), part_size=16
+    )
+    in_order = Window.partitionBy("customerId").orderBy("part", "index")
+    children = (
+        parts.select("customerId", "part", F.posexplode("accounts").alias("index", "account"))
+        .withColumn("position", F.row_number().over(in_order).cast("bigint"))
+        .select("customerId", "position", "account.accountId", "account.balance")
+    )
+    stats = build_customer_stats(customers(spark, sf_dir), customer_events(spark, sf_dir))
+    return stats.select("customerId", "numberAccounts", "totalBalance").join(
+        children, "customerId", "left"
     )
-    return documents.select(
-        "customerId", "numberAccounts", "totalBalance", F.explode("accounts").alias("account")
-    ).select("customerId", "numberAccounts", "totalBalance", "account.accountId", "account.balance")
 
 
 @_query(f"""WITH {_CUSTOMERS}, {_CUSTOMER_ORDERS}, {_UNEVEN_ADDRESSES}, {_parsed()},
@@ -438,9 +549,12 @@ def q17_lenient_texts(spark, sf_dir):
   SELECT CAST(c_custkey AS VARCHAR) AS addressId, CAST(c_custkey AS VARCHAR) AS customerId,
          c_custkey || ', ' || c_mktsegment || ', ' || r_name || ', ' || n_name AS address
   FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
-{_parsed()}, {_scored(LINK)}""")
+{_parsed()}, {_STATS}, flags AS ({_WITH_FLAGS}), stats_of AS ({_WITH_STATS})
+SELECT s.*, f.linked, CAST(NULL AS BIGINT) AS linkedCustomers
+FROM stats_of s JOIN flags f ON s.customerId = f.customerId
+UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, count(*) FROM flags WHERE linked""")
 def q18_csv_inputs(spark, sf_dir):
-    """The same builds from CSV files, whose values are all text and quoted where needed."""
+    """The staged run from CSV files to the count, which is a row of its own; values are all text, quoted where needed."""
     places = (
         _table(spark, sf_dir, "customer")
         .join(_table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
@@ -451,16 +565,22 @@ def q18_csv_inputs(spark, sf_dir):
             F.concat_ws(", ", "c_custkey", "c_mktsegment", "r_name", "n_name").alias("address"),
         )
     )
-    folder = f"{scratch_dir(spark)}/csv-{uuid.uuid4().hex}"
+    folder = _folder(spark, "csv")
     customers(spark, sf_dir).write.csv(f"{folder}/customers", header=True)
     customer_orders(spark, sf_dir).write.csv(f"{folder}/accounts", header=True)
     places.write.csv(f"{folder}/addresses", header=True)
-    documents = build_documents(
-        read_customers(spark, f"{folder}/customers"),
-        read_accounts(spark, f"{folder}/accounts"),
-        read_addresses(spark, f"{folder}/addresses"),
+    scored = run_stages(
+        spark,
+        f"{folder}/customers",
+        f"{folder}/accounts",
+        f"{folder}/addresses",
+        f"{folder}/out",
+        countries=LINK,
+        flag="linked",
     )
-    return _sizes(score_link(documents, LINK, "linked"))
+    stats = read_customer_accounts(spark, f"{folder}/out/customer_accounts").drop("accounts")
+    flagged = stats.join(scored.select("customerId", "linked"), "customerId")
+    return flagged.unionByName(count_linked(scored, "linked"), allowMissingColumns=True)
 
 
 @_query(f"""{_ORDER_DOCUMENTS}
@@ -468,14 +588,139 @@ SELECT c.customerId, c.forename, c.surname, c.customerId IN (
          SELECT customerId FROM addresses WHERE country IN ({_listed(LINK)})) AS linked
 FROM customers c""")
 def q19_split_scored(spark, sf_dir):
-    """Flags of stored customers in parts; the limit splits orders of more than three lines."""
-    path = f"{scratch_dir(spark)}/documents-{uuid.uuid4().hex}"
+    """Flags of customers whose children are stored in parts of at most three."""
+    path = _folder(spark, "parts")
+    parts = build_document_parts(
+        orders(spark, sf_dir),
+        order_lines(spark, sf_dir),
+        order_addresses(spark, sf_dir),
+        part_size=3,
+    )
+    write_stage(parts, path)
+    flags = score_parts(read_document_parts(spark, path), LINK, "linked")
+    return (
+        orders(spark, sf_dir)
+        .join(flags, "customerId", "left")
+        .withColumn("linked", F.coalesce("linked", F.lit(False)))
+    )
+
+
+@_query(f"""WITH {_ORPHANED}, {_CUSTOMER_ORDERS}, ranked AS (
+  SELECT *, CAST(row_number() OVER (
+           PARTITION BY customerId ORDER BY accountId, balance) - 1 AS INTEGER) AS position
+  FROM accounts WHERE customerId IS NOT NULL), {_STATS}
+SELECT c.customerId, c.forename, c.surname, COALESCE(s.numberAccounts, 0) AS numberAccounts,
+       COALESCE(s.totalBalance, 0) AS totalBalance, r.position, r.accountId, r.balance
+FROM customers c LEFT JOIN ranked r ON c.customerId = r.customerId
+LEFT JOIN stats s ON c.customerId = s.customerId""")
+def q20_orphan_accounts(spark, sf_dir):
+    """Customers of one segment have no key, and those of another are unknown: their accounts vanish."""
+    documents = build_customer_accounts(
+        orphaned_customers(spark, sf_dir), customer_orders(spark, sf_dir)
+    )
+    return documents.select(
+        "customerId",
+        "forename",
+        "surname",
+        "numberAccounts",
+        "totalBalance",
+        F.posexplode_outer("accounts").alias("position", "account"),
+    ).select(
+        "customerId",
+        "forename",
+        "surname",
+        "numberAccounts",
+        "totalBalance",
+        "position",
+        "account.accountId",
+        "account.balance",
+    )
+
+
+@_query(f"""WITH {_ORPHANED}, {_CUSTOMER_ORDERS}, {_KEYLESS_ADDRESSES}, {_parsed()}
+{_WHOLE}""")
+def q21_orphan_documents(spark, sf_dir):
+    """Documents where some parents and some addresses have no key, and some children no parent."""
     documents = build_documents(
+        orphaned_customers(spark, sf_dir),
+        customer_orders(spark, sf_dir),
+        keyless_addresses(spark, sf_dir),
+        mode="lenient",
+    )
+    return _as_text(documents)
+
+
+@_query(f"{_ORDER_DOCUMENTS} {_WHOLE}")
+def q22_whole_documents(spark, sf_dir):
+    """Both arrays in full and in order, from the build in one plan."""
+    return _as_text(order_documents(spark, sf_dir))
+
+
+@_query(f"{_ORDER_DOCUMENTS} {_WHOLE}")
+def q23_whole_staged_documents(spark, sf_dir):
+    """Both arrays in full and in order, from the build in two stages."""
+    out_dir = _folder(spark, "staged")
+    run_flat(
         orders(spark, sf_dir),
         order_lines(spark, sf_dir),
         order_addresses(spark, sf_dir),
-        max_children=3,
+        out_dir,
+        LINK,
     )
-    write_stage(documents, path)
-    scored = score_link(read_customer_documents(spark, path), LINK, "linked")
-    return scored.where(F.col(PART) == 0).select("customerId", "forename", "surname", "linked")
+    return _as_text(read_customer_documents(spark, f"{out_dir}/customer_documents"))
+
+
+@_query(f"""WITH {_CUSTOMERS}
+SELECT customerId, forename, surname, forename AS firstName, surname AS lastName FROM customers""")
+def q24_stored_model(spark, sf_dir):
+    """The customer model written and read back."""
+    path = _folder(spark, "model")
+    write_stage(build_customer_model(customers(spark, sf_dir)), path)
+    return _model(read_customer_model(spark, path))
+
+
+@_query(f"""WITH {_CUSTOMERS}, accounts AS (
+  SELECT CAST(o_custkey AS VARCHAR) AS customerId, CAST(o_orderkey AS VARCHAR) AS accountId,
+         CASE WHEN regexp_full_match(shape, '[+-]?[0-9]+') THEN TRY_CAST(shape AS BIGINT) END AS balance
+  FROM (SELECT *, CASE o_orderpriority
+          WHEN '1-URGENT' THEN CAST(o_orderkey AS VARCHAR) WHEN '2-HIGH' THEN '-' || o_custkey
+          WHEN '3-MEDIUM' THEN o_orderkey || '.5' WHEN '5-LOW' THEN 'n/a' END AS shape FROM orders)),
+listed AS (
+  SELECT customerId, CAST(count(*) AS INTEGER) AS numberAccounts,
+         CAST(COALESCE(sum(balance), 0) AS BIGINT) AS totalBalance,
+         string_agg(accountId || '=' || COALESCE(CAST(balance AS VARCHAR), 'none'), ',' ORDER BY accountId) AS accounts
+  FROM accounts GROUP BY customerId)
+SELECT c.customerId, COALESCE(l.numberAccounts, 0) AS numberAccounts,
+       COALESCE(l.totalBalance, 0) AS totalBalance, COALESCE(l.accounts, '') AS accounts
+FROM customers c LEFT JOIN listed l ON c.customerId = l.customerId""")
+def q25_lenient_balances(spark, sf_dir):
+    """Balances as text, many of them no whole number: null, but counted."""
+    documents = build_customer_accounts(
+        customers(spark, sf_dir), text_balances(spark, sf_dir), mode="lenient"
+    )
+    shown = F.transform(
+        "accounts",
+        lambda a: F.concat(
+            a["accountId"], F.lit("="), F.coalesce(a["balance"].cast("string"), F.lit("none"))
+        ),
+    )
+    return documents.select(
+        "customerId", "numberAccounts", "totalBalance", F.array_join(shown, ",").alias("accounts")
+    )
+
+
+@_query(f"{_ORDER_DOCUMENTS} {_WITH_FLAGS}")
+def q26_flat_flags(spark, sf_dir):
+    """The flag of every customer from flat rows, without documents."""
+    return flag_customers(orders(spark, sf_dir), order_addresses(spark, sf_dir), LINK, "linked")
+
+
+@_query(f"""WITH texts AS (
+  SELECT page_id, page_id || ', ' || url || ', ' || length(html) || ', ' || url || '#' AS address
+  FROM pages), {_parsed("texts")}
+SELECT page_id, number, road, city, country FROM addresses""")
+def q27_page_lines(spark, sf_dir):
+    """The parser in strict mode over lines made of pages' columns."""
+    line = F.concat_ws(", ", "page_id", "url", F.length("html"), F.concat("url", F.lit("#")))
+    pages = _table(spark, sf_dir, "pages").select("page_id", line.alias("address"))
+    return parse_address(pages).drop("address")

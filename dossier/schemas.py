@@ -47,6 +47,16 @@ CUSTOMER_ACCOUNT = _record(
     ("averageBalance", DoubleType()),
 )
 
+# What a customer's accounts come to, without the accounts.
+CUSTOMER_STATS = _record(
+    ("customerId", StringType()),
+    ("forename", StringType()),
+    ("surname", StringType()),
+    ("numberAccounts", IntegerType()),
+    ("totalBalance", LongType()),
+    ("averageBalance", DoubleType()),
+)
+
 ADDRESS_RAW = _record(
     ("addressId", StringType()),
     ("customerId", StringType()),
@@ -85,14 +95,11 @@ CUSTOMER_MODEL = _record(
     ("fullname", FULL_NAME),
 )
 
-# Every document row also says which part of its customer's document it is. A
-# customer has one row (part 0 of 1) unless it has more children than one row
-# may hold, in which case its children are spread over ``parts`` rows.
+# A part of a customer's children, in the one array or in the other; see ``plans/parts.py``.
 PART = "part"
-PARTS = "parts"
-PART_FIELDS = [StructField(PART, IntegerType()), StructField(PARTS, IntegerType())]
-
-
-def in_parts(schema):
-    """``schema`` with the two part columns at its end, as stages are stored."""
-    return StructType([*schema.fields, *PART_FIELDS])
+DOCUMENT_PART = _record(
+    ("customerId", StringType()),
+    (PART, LongType()),
+    ("accounts", ArrayType(ACCOUNT)),
+    ("address", ArrayType(ADDRESS)),
+)

@@ -4,14 +4,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from dossier.functions.checks import check_mode
-from dossier.operators.nesting import with_parts
 from dossier.schemas import (
     ACCOUNT_RAW,
     ADDRESS_RAW,
     CUSTOMER,
     CUSTOMER_ACCOUNT,
     CUSTOMER_DOCUMENT,
-    in_parts,
+    CUSTOMER_MODEL,
+    DOCUMENT_PART,
 )
 from dossier.sources.binding import conform
 
@@ -21,14 +21,14 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, mode: str = "st
 
     No schema goes to the reader, as that would bind by position; checking each
     file's header (``enforceSchema``) makes a file with another column order an
-    error. Strict mode fails on rows with too few or too many values.
+    error. Strict mode fails on rows with too few or too many values, whatever
+    columns are used in the end: Spark only checks the columns it parses.
     """
     check_mode(mode)
-    raw = spark.read.csv(
-        path,
-        header=True,
-        enforceSchema=False,
-        mode="FAILFAST" if mode == "strict" else "PERMISSIVE",
+    strict = mode == "strict"
+    reader = spark.read.option("columnPruning", str(not strict).lower())
+    raw = reader.csv(
+        path, header=True, enforceSchema=False, mode="FAILFAST" if strict else "PERMISSIVE"
     )
     return conform(raw, schema)
 
@@ -48,7 +48,7 @@ def read_addresses(spark: SparkSession, path: str, mode: str = "strict") -> Data
 
 def read_stage(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """A Parquet stage bound by name, nested fields included."""
-    return conform(with_parts(spark.read.parquet(path), schema.names[0]), in_parts(schema))
+    return conform(spark.read.parquet(path), schema)
 
 
 def read_customer_accounts(spark: SparkSession, path: str) -> DataFrame:
@@ -59,6 +59,14 @@ def read_customer_documents(spark: SparkSession, path: str) -> DataFrame:
     return read_stage(spark, path, CUSTOMER_DOCUMENT)
 
 
+def read_customer_model(spark: SparkSession, path: str) -> DataFrame:
+    return read_stage(spark, path, CUSTOMER_MODEL)
+
+
+def read_document_parts(spark: SparkSession, path: str) -> DataFrame:
+    return read_stage(spark, path, DOCUMENT_PART)
+
+
 def write_stage(df: DataFrame, path: str) -> None:
     """Overwrite ``path``, which must not be a path ``df`` is read from."""
     df.write.mode("overwrite").parquet(path)

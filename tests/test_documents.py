@@ -1,14 +1,14 @@
 import pytest
 from pyspark.sql import functions as F
 
-from dossier.operators.heavy import Heavy
 from dossier.plans.documents import (
     build_customer_accounts,
     build_customer_documents,
     build_customer_model,
+    build_customer_stats,
     build_documents,
 )
-from dossier.schemas import CUSTOMER_ACCOUNT, CUSTOMER_DOCUMENT, CUSTOMER_MODEL, PART, PARTS, in_parts
+from dossier.schemas import CUSTOMER_ACCOUNT, CUSTOMER_DOCUMENT, CUSTOMER_MODEL, CUSTOMER_STATS
 from tests.util import accounts, addresses, customers, plain
 
 # Three known customers with all their children.
@@ -33,8 +33,8 @@ ADDRESSES = [
 
 def test_known_customer_accounts(spark):
     df = build_customer_accounts(customers(spark, *CUSTOMERS), accounts(spark, *ACCOUNTS))
-    assert df.schema.simpleString() == in_parts(CUSTOMER_ACCOUNT).simpleString()
-    assert sorted(plain(r) for r in df.drop(PART, PARTS).collect()) == [
+    assert df.schema.simpleString() == CUSTOMER_ACCOUNT.simpleString()
+    assert sorted(plain(r) for r in df.collect()) == [
         ("IND0001", "Christopher", "Black", (), 0, 0, 0.0),
         ("IND0002", "Madeleine", "Kerr", (("IND0002", "ACC0155", 323), ("IND0002", "ACC0262", 60)), 2, 383, 191.5),
         ("IND0003", "Sarah", "Skinner",
@@ -50,8 +50,8 @@ def test_known_documents(spark, at_once):
         df = build_documents(cus, acc, adr)
     else:
         df = build_customer_documents(build_customer_accounts(cus, acc), adr)
-    assert df.schema.simpleString() == in_parts(CUSTOMER_DOCUMENT).simpleString()
-    rows = {r.customerId: plain(r) for r in df.drop(PART, PARTS).collect()}
+    assert df.schema.simpleString() == CUSTOMER_DOCUMENT.simpleString()
+    rows = {r.customerId: plain(r) for r in df.collect()}
     assert rows["IND0001"] == (
         "IND0001", "Christopher", "Black", (),
         (("ADR360", "IND0001", "762, East 14th Street, New York, United States of America",
@@ -66,13 +66,12 @@ def test_known_documents(spark, at_once):
 def test_bad_balance_fails_whoever_owns_it(spark, customer):
     cus = customers(spark, "C1")
     df = accounts(spark, ("C1", "A1", "5"), (customer, "A2", "abc"))
-    with pytest.raises(Exception, match="balance is not a whole number: abc, customer"):
-        build_customer_accounts(cus, df, heavy=Heavy()).collect()
-    # The count of keys reads every account, so the build itself fails, whatever its result is for.
-    with pytest.raises(Exception, match="balance is not a whole number: abc, customer"):
-        build_customer_accounts(cus, df)
-    row = build_customer_accounts(cus, df, "lenient").first()
-    assert (row.numberAccounts, row.totalBalance) == ((2, 5) if customer == "C1" else (1, 5))
+    for build in (build_customer_accounts, build_customer_stats):
+        built = build(cus, df)  # no job yet, so no error yet
+        with pytest.raises(Exception, match="balance is not a whole number: abc, customer"):
+            built.collect()
+        row = build(cus, df, "lenient").first()
+        assert (row.numberAccounts, row.totalBalance) == ((2, 5) if customer == "C1" else (1, 5))
 
 
 def test_account_without_balance_still_counts(spark):
@@ -114,23 +113,43 @@ def test_malformed_address_of_a_known_customer_fails(spark, text):
     assert rows == {"C1": 2, "C2": 0}
 
 
-def test_wide_customers_keep_whole_totals(spark):
-    acc = [("C1", f"A{i:02}", str(i)) for i in range(25)]
-    adr = [("D%02d" % i, "C1", f"{i}, r, c, x") for i in range(11)]
-    df = build_documents(customers(spark, "C1", "C1", "C2"), accounts(spark, *acc), addresses(spark, *adr),
-                         max_children=4, max_repeats=1)
-    rows = [r for r in df.collect() if r.customerId == "C1"]
-    assert len(rows) == 14 and {r.parts for r in rows} == {7}
-    assert sorted(a.accountId for r in rows for a in r.accounts) == sorted([a[1] for a in acc] * 2)
-    assert sorted(a.addressId for r in rows for a in r.address) == sorted([a[0] for a in adr] * 2)
-    totals = build_customer_accounts(customers(spark, "C1"), accounts(spark, *acc), max_children=4).collect()
-    assert {(r.numberAccounts, r.totalBalance, r.averageBalance) for r in totals} == {(25, 300, 12.0)}
-
-
-def test_bad_address_in_any_part_fails(spark):
+@pytest.mark.parametrize("number", [10_000, 10_001, 25_000])
+def test_one_row_for_each_customer_whatever_its_children(spark, number):
+    """The same shape, totals and order, however many accounts a customer has."""
+    own = spark.range(number).select(
+        F.lit("C1").alias("customerId"), F.format_string("A%06d", F.lit(number) - F.col("id")).alias("accountId"),
+        F.lit("1").alias("balance")).repartition(7)
+    cus = customers(spark, "C1", "C2")
+    df = build_customer_accounts(cus, own)
+    rows = {r.customerId: r for r in df.collect()}
+    assert len(rows) == df.count() == 2
+    assert (rows["C1"].numberAccounts, rows["C1"].totalBalance, rows["C1"].averageBalance) == (number, number, 1.0)
+    ids = [a.accountId for a in rows["C1"].accounts]
+    assert ids == sorted(ids) and len(set(ids)) == number and rows["C2"].accounts == []
+    assert sorted(plain(r) for r in build_customer_stats(cus, own).collect()) == sorted(
+        plain(r) for r in df.drop("accounts").collect())
+
+
+def test_stats(spark):
+    df = build_customer_stats(customers(spark, *CUSTOMERS, CUSTOMERS[0], (None, "f", "s")), accounts(spark, *ACCOUNTS, (None, "A", "1")))
+    assert df.schema.simpleString() == CUSTOMER_STATS.simpleString()
+    assert sorted((plain(r) for r in df.collect()), key=repr) == [
+        ("IND0001", "Christopher", "Black", 0, 0, 0.0), ("IND0001", "Christopher", "Black", 0, 0, 0.0),
+        ("IND0002", "Madeleine", "Kerr", 2, 383, 191.5), ("IND0003", "Sarah", "Skinner", 3, 1084, 361.3333333333333),
+        (None, "f", "s", 0, 0, 0.0)]
+
+
+def test_an_array_too_large_for_a_row_fails_by_name(spark):
+    acc = accounts(spark, *[("C7", f"A{i}", "1") for i in range(50)], ("C8", "A", "1"))
+    build = build_customer_accounts(customers(spark, "C7", "C8"), acc, max_bytes=1000)
+    with pytest.raises(Exception, match="accounts of C7 do not fit one row; build_document_parts splits them"):
+        build.collect()
+
+
+def test_bad_address_among_many_fails(spark):
     adr = [("D%02d" % i, "C1", f"{i}, r, c, x") for i in range(11)] + [("D99", "C1", "bad")]
     with pytest.raises(Exception, match="malformed address of customer C1"):
-        build_documents(customers(spark, "C1"), accounts(spark), addresses(spark, *adr), max_children=4).count()
+        build_documents(customers(spark, "C1"), accounts(spark), addresses(spark, *adr)).count()
 
 
 def test_customer_model(spark):
@@ -142,10 +161,10 @@ def test_customer_model(spark):
 def test_columns_of_no_concern_do_not_matter(spark):
     extra = F.array(F.lit("x"))
     cus = customers(spark, *CUSTOMERS).withColumns({"accounts": extra, "balance": extra, "fault": extra})
-    acc = accounts(spark, *ACCOUNTS).withColumns({"surname": extra, "_copies": extra})
+    acc = accounts(spark, *ACCOUNTS).withColumns({"surname": extra, "_salt": extra})
     adr = addresses(spark, *ADDRESSES).withColumns({"number": extra, "accounts": extra, "malformed": extra})
-    stage = build_customer_accounts(cus, acc, max_children=2)
-    for df in (build_documents(cus, acc, adr, max_children=2), build_customer_documents(stage, adr, max_children=2)):
-        assert df.schema.simpleString() == in_parts(CUSTOMER_DOCUMENT).simpleString()
-        assert sorted((r.customerId, r.parts) for r in df.where("part = 0").collect()) == [
-            ("IND0001", 1), ("IND0002", 1), ("IND0003", 2)]
+    stage = build_customer_accounts(cus, acc, max_repeats=1)
+    for df in (build_documents(cus, acc, adr), build_customer_documents(stage, adr, max_repeats=1)):
+        assert df.schema.simpleString() == CUSTOMER_DOCUMENT.simpleString()
+        assert sorted((r.customerId, len(r.accounts)) for r in df.collect()) == [
+            ("IND0001", 0), ("IND0002", 2), ("IND0003", 3)]

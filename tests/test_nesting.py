@@ -8,10 +8,9 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from dossier.operators.heavy import Load, heavy_keys, width_of
-from dossier.operators.nesting import WIDTH, Children, attach_children, find_heavy, nest_children
+from dossier.operators.nesting import Children, attach_children
+from dossier.operators.repeats import SALT, WIDTH, Repeats, dealt_out, find_repeats
 from dossier.operators.staging import scratch_dir
-from dossier.schemas import PART, PARTS
 from tests.util import plain
 
 FIELDS = ["k", "c", "v"]
@@ -49,30 +48,14 @@ def expected(parents, children):
 
 
 def whole(df):
-    """The rows of ``df``, parts of one parent put together; parts are checked on the way."""
-    found = {}
-    for row in df.collect():
-        found.setdefault((row.k, row.p, row.parts, row.n, row.total), {}).setdefault(row.part, []).append(row.kids)
-    rows = Counter()
-    for (key, name, parts, n, total), by_part in found.items():
-        assert sorted(by_part) == list(range(parts))
-        copies = {len(kids) for kids in by_part.values()}
-        assert len(copies) == 1, "every part must come once per parent row"
-        for kids in by_part.values():
-            assert all(k == kids[0] for k in kids)
-            order = [(k.c is not None, k.c or "", k.v is not None, k.v or 0) for k in kids[0]]
-            assert order == sorted(order)
-        merged = [plain(k) for kids in by_part.values() for k in kids[0]]
-        merged.sort(key=lambda c: (c[1] is not None, c[1] or "", c[2] is not None, c[2] or 0))
-        rows[(key, name, tuple(merged), n, total)] += copies.pop()
-    return rows
+    return Counter((r.k, r.p, plain(r.kids), r.n, r.total) for r in df.collect())
 
 
 def test_children_sorted_counted_and_kept_whole(spark):
     df = attach(spark, [("a", "x")], [("a", "3", 1), ("a", "1", 2), ("a", None, 4)])
     row = df.first()
     assert plain(row.kids) == (("a", None, 4), ("a", "1", 2), ("a", "3", 1))
-    assert (row.n, row.total, row.part, row.parts) == (3, 7, 0, 1)
+    assert (row.n, row.total) == (3, 7)
 
 
 def test_childless_parent_has_an_empty_array(spark):
@@ -90,13 +73,7 @@ def test_null_keys_match_nothing(spark):
     assert whole(attach(spark, parents, children)) == expected(parents, children)
 
 
-LIMITS = [
-    {},
-    {"max_children": 1},
-    {"max_children": 3},
-    {"max_repeats": 1},
-    {"max_children": 2, "max_repeats": 2},
-]
+LIMITS = [{}, {"max_repeats": 1}, {"max_repeats": 2}, {"max_repeats": 5}]
 
 
 @pytest.mark.parametrize("limits", LIMITS, ids=str)
@@ -123,107 +100,108 @@ KEYS = st.sampled_from([None, "a", "b", "c", "d"])
 @given(
     st.lists(st.tuples(KEYS, st.sampled_from(["x", "y"])), min_size=1, max_size=12),
     st.lists(st.tuples(KEYS, st.sampled_from([None, "1", "2", "3"]), st.sampled_from([None, 1, 2])), max_size=25),
-    st.sampled_from([1, 2, 5, 100]),
     st.sampled_from([1, 2, 100]),
 )
-def test_any_input_against_brute_force(spark, parents, children, max_children, max_repeats):
-    df = attach(spark, parents, children, max_children=max_children, max_repeats=max_repeats)
+def test_any_input_against_brute_force(spark, parents, children, max_repeats):
+    df = attach(spark, parents, children, max_repeats=max_repeats)
     assert whole(df) == expected(parents, children)
 
 
-@pytest.mark.parametrize("copied", ["one", "some", "none", "all"])
-def test_wide_parts_stay_near_the_limit(spark, copied):
-    """Neither distinct children nor copies of children pile up in a part."""
-    limit = 640
-    name = {
-        "one": F.when(F.col("id") < 10_000, "copy").otherwise(F.col("id").cast("string")),
-        "some": F.when(F.col("id") < 15_000, (F.col("id") % 50).cast("string")).otherwise(F.col("id").cast("string")),
-        "none": F.col("id").cast("string"),
-        "all": F.lit("copy"),
-    }[copied]
-    rows = spark.range(20_000).select(
-        F.lit("hot").alias("k"), name.alias("c"), F.lit(1).cast("long").alias("v"))
-    heavy = heavy_keys("k", {"rows": Load(rows, limit)})
-    marks = heavy.table.withColumnRenamed(width_of("rows"), WIDTH)
-    nested = nest_children(Children(rows, "kids", FIELDS, {"n": F.count(F.lit(1))}), "k", marks, "left", limit)
-    found = nested.select("n", F.explode("kids.c").alias("c")).collect()
-    assert Counter(r.c for r in found) == Counter(r.c for r in rows.collect())
-    sizes = [r.n for r in nested.select("n").collect()]
-    assert sum(sizes) == 20_000
-    assert len(sizes) == 32 and max(sizes) < 2 * limit
-
-
-@pytest.mark.parametrize("at_once", [True, False])
 @pytest.mark.parametrize("max_repeats", [1, 100])
 @pytest.mark.parametrize("broadcast", ["10m", "-1"])
-def test_second_children_join_the_parts_of_the_first(spark, at_once, max_repeats, broadcast):
+def test_several_kinds_of_children(spark, max_repeats, broadcast):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
     parents = [("a", "x"), ("b", "x"), ("b", "x"), (None, "x")]
     kids = children_of(spark, [("a", str(i), 1) for i in range(4)] + [("b", "1", 1)])
     pets = spark.createDataFrame([("a", str(i)) for i in range(7)] + [("b", "z")] * 2, "k string, d string")
     kinds = [Children(kids, "kids", FIELDS), Children(pets, "pets", ["d"])]
-    if at_once:
-        df = attach_children(parents_of(spark, parents), "k", kinds, max_children=2, max_repeats=max_repeats)
-    else:
-        df = parents_of(spark, parents)
-        for kind in kinds:
-            df = attach_children(df, "k", [kind], max_children=2, max_repeats=max_repeats)
-    both = df.collect()
+    both = attach_children(parents_of(spark, parents), "k", kinds, max_repeats=max_repeats).collect()
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    of_a = [r for r in both if r.k == "a"]
-    assert sorted(r.part for r in of_a) == [0, 1, 2, 3] and {r.parts for r in of_a} == {4}
-    assert sorted(k.c for r in of_a for k in r.kids) == ["0", "1", "2", "3"]
-    assert all(r.kids == [] for r in of_a if r.part >= 2)
-    assert sorted(k.d for r in of_a for k in r.pets) == list("0123456")
-    of_none = [r for r in both if r.k is None]
-    assert len(of_none) == 1 and of_none[0].kids == [] == of_none[0].pets
-    of_b = [r for r in both if r.k == "b"]
-    assert len(of_b) == 2 and all(len(r.kids) == 1 and len(r.pets) == 2 for r in of_b)
-
-
-def test_heavy_keys_are_exact(spark):
-    rows = spark.createDataFrame([("a",)] * 5 + [("b",)] * 4 + [(None,)] * 9, "k string")
-    heavy = heavy_keys("k", {
-        "plain": Load(rows, 4),
-        "nulls": Load(rows, 2, {"m": F.max("k")}, null_key=True),
-        "none": Load(rows, 9),
-        "only": Load(rows, 5)})
-    assert heavy.loads == {"plain", "nulls"}
-    found = {r.k: (r.plain_width, r.nulls_width, r.nulls_m, r.none_width) for r in heavy.table.collect()}
-    assert found["a"] == (2, 3, "a", None) and found["b"] == (None, 2, "b", None)
-    assert found[None][1:3] == (5, None)
-    assert heavy_keys("k", {"none": Load(rows, 9), "only": Load(rows, 5)}) == (None, frozenset())
+    found = sorted((repr(r.k), [k.c for k in r.kids], [k.d for k in r.pets]) for r in both)
+    assert found == [("'a'", list("0123"), list("0123456")), ("'b'", ["1"], ["z", "z"]), ("'b'", ["1"], ["z", "z"]), ("None", [], [])]
 
 
-def test_scratch_dir_follows_the_session(spark, checkpoint_dir):
-    assert scratch_dir(spark) == checkpoint_dir
-    before = set(os.listdir(checkpoint_dir))
-    heavy_keys("id", {"rows": Load(spark.range(3), 1)})
-    assert any(name.startswith("heavy-keys-") for name in set(os.listdir(checkpoint_dir)) - before)
+@pytest.mark.parametrize("copies", [False, True])
+def test_rows_of_a_hot_parent_spread_over_its_salts(spark, copies):
+    rows = spark.range(0, 8000, 1, 16).select(F.lit("hot").alias("k"), (F.lit(1) if copies else F.col("id")).alias("p"))
+    repeats = find_repeats(rows, "k", 500)
+    sizes = [r["count"] for r in dealt_out(rows, "k", repeats.table).groupBy(SALT).count().collect()]
+    assert sum(sizes) == 8000 and len(sizes) >= 8 and max(sizes) <= 2500
 
 
-@pytest.mark.parametrize("master", ["yarn", "spark://host:7077", "k8s://host"])
-def test_a_cluster_must_name_its_scratch_dir(master):
-    context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
-    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=context)
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch_dir(session)
+def test_repeats_are_exact(spark):
+    rows = spark.createDataFrame([("a",)] * 5 + [("b",)] * 4 + [(None,)] * 9, "k string")
+    found = find_repeats(rows, "k", 4)
+    assert {(r.k, r[WIDTH]) for r in found.table.collect()} == {("a", 2), (None, 3)}
+    assert find_repeats(rows, "k", 9) == Repeats()
+    assert find_repeats(rows.limit(0), "k", 1) == Repeats()
 
 
-def test_heavy_keys_found_ahead(spark):
+def test_repeats_found_ahead(spark):
     parents, children = [("a", "x")] * 3 + [("b", "y")], [("a", str(i), i) for i in range(9)] + [("b", "1", 1)]
-    kids = Children(children_of(spark, children), "kids", FIELDS, totals())
-    heavy = find_heavy(parents_of(spark, parents), "k", [kids], 4, 2)
-    assert heavy.loads == {"kids", "parents"}
-    df = attach_children(parents_of(spark, parents), "k", [kids], heavy, max_children=4)
-    assert df.where("part > 0").count() == 6
-    assert whole(df) == expected(parents, children)
+    repeats = find_repeats(parents_of(spark, parents), "k", 2)
+    assert whole(attach(spark, parents, children, repeats=repeats)) == expected(parents, children)
 
 
 def test_limits_are_positive(spark):
     with pytest.raises(ValueError, match="at least 1"):
-        attach(spark, [("a", "x")], [], max_children=0)
+        attach(spark, [("a", "x")], [], max_repeats=0)
+
+
+def jobs_of(spark, build):
+    """How many jobs ``build`` starts."""
+    context = spark.sparkContext
+    context.setJobGroup("counted", "counted")
+    try:
+        build()
+        return len(context.statusTracker().getJobIdsForGroup("counted"))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
+def failing(spark, columns):
+    """Rows that fail any job that reads them."""
+    return spark.range(1).select(*[F.raise_error(F.lit("read")).cast(kind).alias(name) for name, kind in columns])
 
 
-def test_part_columns(spark):
-    assert {PART, PARTS} <= set(attach(spark, [("a", "x")], []).columns)
+def test_building_reads_no_children(spark):
+    kids = Children(failing(spark, [("k", "string"), ("c", "string"), ("v", "long")]), "kids", FIELDS, totals())
+    parents = parents_of(spark, [("a", "x")] * 3)
+    for repeats in (None, find_repeats(parents, "k", 1)):
+        built = attach_children(parents, "k", [kids], repeats=repeats)
+        with pytest.raises(Exception, match="read"):
+            built.collect()
+    assert jobs_of(spark, lambda: attach_children(parents, "k", [kids], repeats=Repeats())) == 0
+
+
+def test_a_plain_build_leaves_no_files(spark, checkpoint_dir):
+    before = set(os.listdir(checkpoint_dir))
+    attach(spark, [("a", "x")], [("a", "1", 1)]).collect()
+    assert set(os.listdir(checkpoint_dir)) == before
+    find_repeats(spark.range(3).selectExpr("1 AS k"), "k", 1)
+    assert any(name.startswith("repeats-") for name in set(os.listdir(checkpoint_dir)) - before)
+
+
+def session(master, **settings):
+    return SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: settings.get(key, default)),
+        sparkContext=SimpleNamespace(master=master),
+    )
+
+
+@pytest.mark.parametrize("master", ["yarn", "spark://host:7077", "k8s://host"])
+def test_a_cluster_must_name_its_scratch_dir(master):
+    for warehouse in ("file:/home/x", "/home/x"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            scratch_dir(session(master, **{"spark.sql.warehouse.dir": warehouse}))
+    assert scratch_dir(session(master, **{"spark.sql.warehouse.dir": "hdfs://n/w/"})) == "hdfs://n/w"
+    assert scratch_dir(session(master, **{"spark.checkpoint.dir": "file:/shared"})) == "file:/shared"
+    assert scratch_dir(session(master), "s3://bucket/x/") == "s3://bucket/x"
+
+
+def test_a_local_session_may_use_its_warehouse():
+    assert scratch_dir(session("local[4]", **{"spark.sql.warehouse.dir": "file:/home/x"})) == "file:/home/x"
+
+
+def test_scratch_dir_follows_the_session(spark, checkpoint_dir):
+    assert scratch_dir(spark) == checkpoint_dir

@@ -2,7 +2,7 @@ import pytest
 
 from dossier.plans.documents import build_documents
 from dossier.plans.scoring import count_linked, count_linked_flat, report_linked, score_link
-from dossier.schemas import CUSTOMER_DOCUMENT, PART, PARTS, SCORED_DOCUMENT
+from dossier.schemas import CUSTOMER_DOCUMENT, SCORED_DOCUMENT
 from tests.util import accounts, addresses, customers, plain
 
 BVI = "British Virgin Islands"
@@ -17,7 +17,7 @@ def documents(spark, cus, adr, **options):
 
 
 def flags(scored, flag="linkToBVI"):
-    return sorted((r.customerId, r.part, r[flag]) for r in scored.collect())
+    return sorted((r.customerId, r[flag]) for r in scored.collect())
 
 
 def test_any_match(spark):
@@ -25,9 +25,9 @@ def test_any_match(spark):
            address(4, "lower", BVI.lower()), address(5, "blank", BVI + " "), address(6, "longer", BVI + "x")]
     cus = ["one", "two", "none", "lower", "blank", "longer"]
     scored = score_link(documents(spark, cus, adr))
-    assert scored.drop(PART, PARTS).schema.simpleString() == SCORED_DOCUMENT.simpleString()
-    assert [c for c, _, linked in flags(scored) if linked] == ["one"]
-    assert all(linked is not None for _, _, linked in flags(scored))
+    assert scored.schema.simpleString() == SCORED_DOCUMENT.simpleString()
+    assert [c for c, linked in flags(scored) if linked] == ["one"]
+    assert all(linked is not None for _, linked in flags(scored))
 
 
 def test_null_countries_and_null_arrays_are_false(spark):
@@ -38,31 +38,31 @@ def test_null_countries_and_null_arrays_are_false(spark):
             ("empty", "f", "s", [], []), ("missing", "f", "s", [], None)]
     df = spark.createDataFrame(rows, schema)
     for countries in ([BVI], [BVI, "Ireland"]):
-        assert [c for c, _, linked in flags(score_link(df, countries)) if linked] == ["both"]
-        assert all(linked is not None for _, _, linked in flags(score_link(df, countries)))
+        assert [c for c, linked in flags(score_link(df, countries)) if linked] == ["both"]
+        assert all(linked is not None for _, linked in flags(score_link(df, countries)))
 
 
 def test_watch_list(spark):
     adr = [address(1, "a", BVI), address(2, "b", "Ireland"), address(3, "c", "Denmark")]
     scored = score_link(documents(spark, "abc", adr), [BVI, "Ireland"], "risky")
-    assert flags(scored, "risky") == [("a", 0, True), ("b", 0, True), ("c", 0, False)]
+    assert flags(scored, "risky") == [("a", True), ("b", True), ("c", False)]
 
 
 def test_empty_watch_list(spark):
     adr = [address(1, "a", BVI)]
-    assert flags(score_link(documents(spark, ["a"], adr), [], "risky"), "risky") == [("a", 0, False)]
+    assert flags(score_link(documents(spark, ["a"], adr), [], "risky"), "risky") == [("a", False)]
     assert count_linked_flat(customers(spark, "a"), addresses(spark, *adr), []).first()[0] == 0
 
 
-@pytest.mark.parametrize("max_children", [1, 2, 100])
-def test_count_is_of_rows_whatever_their_parts(spark, max_children):
+@pytest.mark.parametrize("max_repeats", [1, 2, 100])
+def test_count_is_of_rows(spark, max_repeats):
     adr = [address(i, "a", "Denmark") for i in range(9)] + [address(10, "a", BVI), address(11, "a", BVI)]
     adr += [address(i, "b", "Ireland") for i in range(20, 25)] + [address(30, "c", BVI)]
     adr += [address(40, "orphan", BVI), address(41, None, BVI)]
     cus = ["a", "a", "b", "c", "d", None]
-    docs = documents(spark, cus, adr, max_children=max_children)
+    docs = documents(spark, cus, adr, max_repeats=max_repeats)
     scored = score_link(docs)
-    assert {(c, linked) for c, _, linked in flags(scored.where("customerId IS NOT NULL"))} == {
+    assert {(c, linked) for c, linked in flags(scored.where("customerId IS NOT NULL"))} == {
         ("a", True), ("b", False), ("c", True), ("d", False)}
     assert scored.count() == docs.count()
     assert plain(count_linked(scored).first()) == (3,)

@@ -6,7 +6,15 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from dossier.plans.documents import build_customer_accounts, build_customer_documents, build_documents
-from dossier.plans.scoring import count_linked, count_linked_flat, score_link
+from dossier.plans.parts import build_document_parts
+from dossier.plans.scoring import (
+    count_linked,
+    count_linked_flat,
+    count_linked_parts,
+    flag_customers,
+    score_link,
+    score_parts,
+)
 from tests.util import accounts, addresses, customers, plain
 
 LISTED = ["X", "Y"]
@@ -32,8 +40,7 @@ def low(value):
     cus=st.lists(KEYS, min_size=1, max_size=8),
     acc=st.lists(st.tuples(KEYS, st.sampled_from("123"), st.sampled_from(["7", "8", "bad", None])), max_size=12),
     adr=st.lists(st.tuples(st.sampled_from("12"), KEYS, st.sampled_from(list(TEXTS))), max_size=12),
-    limits=st.fixed_dictionaries(
-        {"max_children": st.sampled_from([1, 2, 100]), "max_repeats": st.sampled_from([1, 100])}),
+    limits=st.fixed_dictionaries({"max_repeats": st.sampled_from([1, 2, 100])}),
     at_once=st.booleans(),
 )
 def test_documents_and_scores(spark, cus, acc, adr, limits, at_once):
@@ -56,18 +63,40 @@ def test_documents_and_scores(spark, cus, acc, adr, limits, at_once):
         lived = of(key, [p for p in places if p[1] == key])
         expected[key] = (owned, lived, any(p[-1] in LISTED for p in lived))
 
-    parts = {}
+    found = Counter()
     for row in scored.collect():
-        parts.setdefault(row.customerId, []).append(row)
+        found[row.customerId, plain(row.accounts), plain(row.address), row.linked] += 1
     times = Counter(cus)
-    assert set(parts) == set(times)
-    for key, rows in parts.items():
-        assert Counter(r.part for r in rows) == {p: times[key] for p in range(rows[0].parts)}
-        one_each = {r.part: r for r in rows}.values()
-        owned = sorted((plain(a) for r in one_each for a in r.accounts), key=low)
-        lived = sorted((plain(a) for r in one_each for a in r.address), key=low)
-        assert (tuple(owned), tuple(lived)) == expected[key][:2]
-        assert {r.linked for r in rows} == {expected[key][2]}
+    assert found == Counter({(key, *expected[key]): n for key, n in times.items()})
     linked = sum(times[key] for key in times if expected[key][2])
     assert count_linked(scored, "linked").first()[0] == linked
     assert count_linked_flat(inputs[0], inputs[2], LISTED, "lenient").first()[0] == linked
+    flags = Counter((r.customerId, r.linked) for r in flag_customers(inputs[0], inputs[2], LISTED, "linked", "lenient").collect())
+    assert flags == Counter({(key, expected[key][2]): n for key, n in times.items()})
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    cus=st.lists(KEYS, min_size=1, max_size=6),
+    acc=st.lists(st.tuples(KEYS, st.sampled_from("123"), st.sampled_from(["7", "8", "bad", None])), max_size=20),
+    adr=st.lists(st.tuples(st.sampled_from("12"), KEYS, st.sampled_from(list(TEXTS))), max_size=12),
+    part_size=st.sampled_from([1, 2, 100]),
+)
+def test_parts(spark, cus, acc, adr, part_size):
+    """Parts put together in their order are the children of the known customers, in ascending order."""
+    inputs = customers(spark, *cus), accounts(spark, *acc).repartition(3), addresses(spark, *adr).repartition(3)
+    parts = build_document_parts(*inputs, "lenient", part_size=part_size)
+    owned, lived = {}, {}
+    for row in sorted(parts.collect(), key=lambda r: r.part):
+        assert 0 < len(row.accounts) + len(row.address) <= part_size and not (row.accounts and row.address)
+        owned.setdefault(row.customerId, []).extend(map(plain, row.accounts))
+        lived.setdefault(row.customerId, []).extend(map(plain, row.address))
+    known = {key for key in cus if key is not None}
+    balances = sorted(((k, a, int(b) if b in ("7", "8") else None) for k, a, b in acc if k in known), key=low)
+    places = sorted(((d, k, text, *TEXTS[text]) for d, k, text in adr if k in known), key=low)
+    assert {k: v for k, v in owned.items() if v} == {k: v for k in known if (v := [b for b in balances if b[0] == k])}
+    assert {k: v for k, v in lived.items() if v} == {k: v for k in known if (v := [p for p in places if p[1] == k])}
+    scored = score_parts(parts, LISTED, "linked")
+    linked = {p[1] for p in places if p[-1] in LISTED}
+    assert {r.customerId for r in scored.where("linked").collect()} == linked
+    assert count_linked_parts(inputs[0], scored, "linked").first()[0] == sum(k in linked for k in cus)
