@@ -554,7 +554,7 @@ SELECT s.*, f.linked, CAST(NULL AS BIGINT) AS linkedCustomers
 FROM stats_of s JOIN flags f ON s.customerId = f.customerId
 UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, count(*) FROM flags WHERE linked""")
 def q18_csv_inputs(spark, sf_dir):
-    """The staged run from CSV files to the count, which is a row of its own; values are all text, quoted where needed."""
+    """The staged run from CSV files to the count, a row of its own; values are text, quoted where needed."""
     places = (
         _table(spark, sf_dir, "customer")
         .join(_table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
