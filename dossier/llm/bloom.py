@@ -40,11 +40,13 @@ class Bloom:
 
     def has(self, keys: np.ndarray, level=1) -> np.ndarray:
         """Whether each key may be there at a level; never false for one that is."""
-        found = np.arange(len(keys))
+        found = None
         start = self._block(keys) << np.uint64(BLOCK_BITS)
         for place in _places(keys, level):
-            at = start[found] + place[found]
-            found = found[(self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+            at = start + place if found is None else start[found] + place[found]
+            bit = self.bits[(at >> np.uint64(3)).view(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)
+            kept = np.flatnonzero(bit & np.uint8(1))
+            found = kept if found is None else found[kept]
         hit = np.zeros(len(keys), bool)
         hit[found] = True
         return hit
@@ -59,6 +61,22 @@ class Bloom:
         return level
 
 
+def told_apart(df: DataFrame, key: str, keys: DataFrame, log2_bits: int = 26) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``df`` whose ``key`` may be in ``keys``, and those whose is not.
+
+    So that only the former need be shuffled to meet ``keys``. The filter's size is
+    fixed: with very many keys, all rows may be among the former.
+    """
+    hashed = keys.select(F.xxhash64(key).alias("key"), F.lit(1).alias("level"))
+    probed = df.sparkSession.sparkContext.broadcast(build(hashed, log2_bits))
+
+    def maybe(values: pa.Array) -> pa.Array:
+        return pa.array(probed.value.has(values.to_numpy().view(np.uint64)))
+
+    hit = F.arrow_udf(maybe, "boolean")(F.xxhash64(key))
+    return df.where(hit), df.where(~hit)
+
+
 def build(rows: DataFrame, log2_bits: int) -> Bloom:
     """The filter of ``key`` (bigint) at the levels 1 to ``level`` (int); ``2 ** log2_bits`` bits."""
     log2_blocks = max(0, log2_bits - BLOCK_BITS)
@@ -95,6 +113,8 @@ def build(rows: DataFrame, log2_bits: int) -> Bloom:
 
     bits = np.zeros(1 << (max(log2_bits, BLOCK_BITS) - 3), np.uint8)
     size = 1 << (BLOCK_BITS - 3)
-    for row in dealt.mapInArrow(fill, "block int, bits binary").toLocalIterator():
-        bits[row.block * size : (row.block + 1) * size] = np.frombuffer(row.bits, np.uint8)
+    table = dealt.mapInArrow(fill, "block int, bits binary").toArrow()  # a row for each block at most
+    for block, filled in zip(table.column("block"), table.column("bits"), strict=True):
+        at = block.as_py() * size
+        bits[at : at + size] = np.frombuffer(filled.as_buffer(), np.uint8)
     return Bloom(bits, log2_blocks)

@@ -11,8 +11,8 @@ or whose shared token stands too far back in either, are dropped; the tokens of
 the others are compared.
 
 Lines with the same tokens are one class, whose first line stands for all. Where
-very many classes meet in a token, each is first compared with the earliest
-ones, and only those that match none of these with all others.
+many classes meet in a token, each is first compared with a few of the earliest
+ones, and those that match none of these with all others that are earlier.
 
 Defined results: lines of fewer than three words are kept and match nothing;
 rows that share their id are as one document in order, so lines at the same place
@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dossier.llm import bloom
-from dossier.llm.words import Slice, mixed, row_starts, slices, windows, word_hashes, words_of
+from dossier.llm.words import Slice, mixed, slices, windows, word_hashes, words_of
 from dossier.operators.staging import staged
 
 TOKEN_WORDS = 5
@@ -39,7 +39,8 @@ MIN_WORDS = 3
 
 # The table of token counts; tokens that share an entry count together.
 LOG2_ENTRIES = 16
-# With how many of the earliest classes of a token each is compared at first, and how many of them it is paired with.
+# How many of the earliest classes of a token are at hand for those after them, and how many of these each is paired
+# with at first. Both change costs alone: classes that could match others too are paired with all of them later.
 EARLIEST = 64
 PAIRED = 2
 LOG2_FILTER_BITS = 26
@@ -55,63 +56,112 @@ class Tokens:
     def __init__(self, part: Slice):
         words = words_of(part)
         hashes = word_hashes(part.data, words, lower=True)
-        feeds = np.concatenate([[0], np.cumsum(part.data == ord("\n"), dtype=np.int64)])
+        feeds = np.concatenate([[0], np.cumsum(part.data == ord("\n"), dtype=np.int32)])
         place = feeds[words.starts] - feeds[part.offsets[words.row]]
         line = feeds[words.starts] + words.row  # another number for each line of the slice
         first = np.flatnonzero(np.diff(line, prepend=-1))
         sizes = np.diff(np.append(first, len(line)))
-        number = np.repeat(np.arange(len(first)), sizes)
-        found, owner = [], []
-        for length in range(MIN_WORDS, TOKEN_WORDS + 1):
-            # Lines shorter than a token are one token themselves.
-            own = sizes[number] >= length if length == TOKEN_WORDS else sizes[number] == length
-            runs, at = windows(hashes[own], number[own], length)
-            found.append(mixed(runs + np.uint64(length)))
-            owner.append(number[own][at])
-        self.row, self.place = words.row[first], place[first]
-        self.hashes, self.owner = np.concatenate(found), np.concatenate(owner)
-
-    def ordered(self, rarity: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Rows, places, where each line's tokens start (and the last end), and tokens, each once, rarest first.
+        runs, at = windows(hashes, np.repeat(np.arange(len(first)), sizes), TOKEN_WORDS)
+        found, owner = [runs], [np.searchsorted(first, at, side="right") - 1]
+        for length in range(MIN_WORDS, TOKEN_WORDS):
+            # A line of fewer words than a token has is one token.
+            own = np.flatnonzero(sizes == length)
+            if len(own):
+                at = (first[own][:, None] + np.arange(length)).ravel()
+                runs, _ = windows(hashes[at], np.repeat(own, length), length)
+                found.append(mixed(runs + np.uint64(length)))
+                owner.append(own)
+        self.hashes, owner = np.concatenate(found), np.concatenate(owner)
+        if len(found) > 1:
+            order = np.argsort(owner, kind="stable")
+            self.hashes, owner = self.hashes[order], owner[order]
+        starts = np.flatnonzero(np.diff(owner, prepend=-1))
+        self.row, self.place = words.row[first][owner[starts]], place[first][owner[starts]]
+        self.starts = np.append(starts, len(owner))
+
+    def entries(self) -> np.ndarray:
+        """For each token its place in the table of counts."""
+        return (self.hashes >> np.uint64(64 - LOG2_ENTRIES)).astype(np.int64)
+
+    def classes(self) -> np.ndarray:
+        """One hash for each line's tokens, in whatever order."""
+        if len(self.starts) < 2:
+            return np.zeros(0, np.uint64)
+        return mixed(np.add.reduceat(mixed(self.hashes), self.starts[:-1]))
+
+    def ordered(self, rarity: np.ndarray, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of some lines, each once, rarest first, and where each of these lines starts among them.
 
         A token is its rarity (common tokens have large ones) followed by 56 bits of its hash.
         """
-        entry = (self.hashes >> np.uint64(64 - LOG2_ENTRIES)).astype(np.int64)
-        tokens = (rarity[entry] << np.uint64(64 - _RARITY_BITS)) | (self.hashes & _KEEP)
+        sizes = np.diff(self.starts)[lines]
+        owner = np.repeat(np.arange(len(lines)), sizes)
+        own = np.repeat(self.starts[:-1][lines] - (np.cumsum(sizes) - sizes), sizes) + np.arange(len(owner))
+        hashes = self.hashes[own]
+        entry = (hashes >> np.uint64(64 - LOG2_ENTRIES)).astype(np.int64)
+        tokens = (rarity[entry] << np.uint64(64 - _RARITY_BITS)) | (hashes & _KEEP)
         order = np.argsort(tokens)
-        order = order[np.argsort(self.owner[order], kind="stable")]
-        tokens, owner = tokens[order], self.owner[order]
+        # Small numbers are sorted by radix.
+        few = owner.astype(np.uint16) if len(lines) < 1 << 16 else owner
+        order = order[np.argsort(few[order], kind="stable")]
+        tokens, owner = tokens[order], owner[order]
         once = np.ones(len(tokens), bool)
         once[1:] = (tokens[1:] != tokens[:-1]) | (owner[1:] != owner[:-1])
         tokens, owner = tokens[once], owner[once]
-        first = np.flatnonzero(np.diff(owner, prepend=-1))
-        lines = owner[first]
-        return self.row[lines], self.place[lines], np.append(first, len(tokens)), tokens
+        return tokens, np.searchsorted(owner, np.arange(len(lines) + 1))
 
 
-def _classes(starts: np.ndarray, tokens: np.ndarray) -> np.ndarray:
-    """One hash for each line's set of tokens."""
-    if len(starts) < 2:
-        return np.zeros(0, np.uint64)
-    return mixed(np.add.reduceat(mixed(tokens), starts[:-1]))
+_LINES = "doc bigint, place int, klass bigint, n int, signature bigint"
 
 
-def token_counts(texts: DataFrame) -> np.ndarray:
-    """The rarity of each entry of the table: its count over all texts on a logarithmic scale."""
+def _doc(key: str) -> Column:
+    return F.coalesce(F.col(key).cast("bigint"), F.lit(_LAST)).alias("doc")
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = np.zeros(1 << LOG2_ENTRIES, np.int64)
-        for batch in batches:
-            for part in slices(batch.column(0)):
-                entry = (Tokens(part).hashes >> np.uint64(64 - LOG2_ENTRIES)).astype(np.int64)
-                totals += np.bincount(entry, minlength=len(totals))
-        some = np.flatnonzero(totals)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(totals[some])], ["entry", "n"])
 
-    summed = texts.mapInArrow(counted, "entry bigint, n bigint").groupBy("entry").agg(F.sum("n").alias("n"))
+def _signatures(tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """64 bits for each set: each token turns one over, so sets differ in at least as many tokens as bits."""
+    bits = np.uint64(1) << (tokens & np.uint64(63))
+    return np.bitwise_xor.reduceat(bits, starts[:-1]) if len(tokens) else bits
+
+
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All lines with tokens: class, number of tokens, signature; at the end, the task's counts of tokens.
+
+    Counts are rows of place -1, with the count for ``doc`` and the entry for ``klass``.
+    """
+    names, kinds = zip(*[x.split() for x in _LINES.split(", ")], strict=True)
+    kinds = [{"bigint": pa.int64(), "int": pa.int32()}[x] for x in kinds]
+
+    def batch_of(*columns):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], names
+        )
+
     totals = np.zeros(1 << LOG2_ENTRIES, np.int64)
-    table = summed.toArrow()  # a row for each entry at most
-    totals[table.column("entry").to_numpy()] = table.column("n").to_numpy()
+    unranked = np.zeros(len(totals), np.uint64)
+    for batch in batches:
+        docs = batch.column(0).to_numpy(zero_copy_only=False)
+        for part in slices(batch.column(1)):
+            lines = Tokens(part)
+            totals += np.bincount(lines.entries(), minlength=len(totals))
+            tokens, starts = lines.ordered(unranked, np.arange(len(lines.row)))
+            yield batch_of(
+                docs[part.first + lines.row],
+                lines.place,
+                lines.classes().view(np.int64),
+                np.diff(starts),
+                _signatures(tokens, starts).view(np.int64),
+            )
+    some = np.flatnonzero(totals)
+    zero = np.zeros(len(some), np.int64)
+    yield batch_of(totals[some], zero - 1, some, zero, zero)
+
+
+def _rarity(listed: DataFrame) -> np.ndarray:
+    """The rarity of each entry of the table: its count over all texts on a logarithmic scale."""
+    table = listed.where("place = -1").groupBy("klass").agg(F.sum("doc").alias("n")).toArrow()
+    totals = np.zeros(1 << LOG2_ENTRIES, np.int64)  # the table has a row for each entry at most
+    totals[table.column("klass").to_numpy()] = table.column("n").to_numpy()
     return np.minimum(np.log2(totals + 1) * 6, (1 << _RARITY_BITS) - 1).astype(np.uint64)
 
 
@@ -119,49 +169,52 @@ def _prefix(sizes: np.ndarray, similarity: float) -> np.ndarray:
     return sizes - np.ceil(similarity * sizes - 1e-9).astype(np.int64) + 1
 
 
-def lines_of(docs: DataFrame, shared, key: str, text: str, similarity: float) -> DataFrame:
-    """``doc``, ``place``, ``klass``, ``n`` of all lines with tokens, and ``prefix``, their rarest tokens.
+class _New:
+    """Which classes a task has not met yet. Forgetting some makes rows come again, which does no harm."""
 
-    A task gives the prefix of a class only with the first of its lines.
-    """
+    def __init__(self, most: int = 1 << 18):
+        self.met, self.most = set(), most
+
+    def among(self, classes: np.ndarray) -> np.ndarray:
+        if len(self.met) > self.most:
+            self.met = set()
+        new = []
+        for i, x in enumerate(classes.tolist()):
+            if x not in self.met:
+                self.met.add(x)
+                new.append(i)
+        return np.array(new, np.int64)
 
-    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rarity, met = shared.value, set()
-        for batch in batches:
-            docs = batch.column(0).to_numpy(zero_copy_only=False)
-            for part in slices(batch.column(1)):
-                row, place, starts, tokens = Tokens(part).ordered(rarity)
-                classes, sizes = _classes(starts, tokens), np.diff(starts)
-                new = np.zeros(len(classes), bool)
-                for i, x in enumerate(classes.tolist()):
-                    if x not in met:
-                        met.add(x)
-                        new[i] = True
-                if len(met) > 1 << 20:  # forgetting some makes prefixes come again, which does no harm
-                    met = set()
-                lengths = np.where(new, _prefix(sizes, similarity), 0)
-                offsets = np.concatenate([[0], np.cumsum(lengths)])
-                picked = np.repeat(starts[:-1] - offsets[:-1], lengths) + np.arange(offsets[-1])
-                prefix = pa.ListArray.from_arrays(
-                    pa.array(offsets, pa.int32()), pa.array(tokens[picked].view(np.int64))
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(docs[part.first + row], pa.int64()),
-                        pa.array(place, pa.int32()),
-                        pa.array(classes.view(np.int64)),
-                        pa.array(sizes, pa.int32()),
-                        prefix,
-                    ],
-                    ["doc", "place", "klass", "n", "prefix"],
-                )
 
-    rows = docs.select(F.coalesce(F.col(key).cast("bigint"), F.lit(_LAST)), text)
-    return rows.mapInArrow(listed, "doc bigint, place int, klass bigint, n int, prefix array<bigint>")
+_DEALT = "token bigint, klass bigint, n int, i int, doc bigint, place int"
 
 
-def _dealt(lines: DataFrame) -> DataFrame:
-    return lines.select(F.posexplode("prefix").alias("i", "token"), "klass", "n", "doc", "place")
+def _prefixes(shared, similarity: float):
+    """The rarest tokens of each class, with the first of its lines that the task meets."""
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rarity, new = shared.value, _New()
+        for batch in batches:
+            docs = batch.column(0).to_numpy(zero_copy_only=False)
+            for part in slices(batch.column(1)):
+                lines = Tokens(part)
+                classes = lines.classes()
+                own = new.among(classes)
+                tokens, starts = lines.ordered(rarity, own)
+                classes, sizes = classes[own], np.diff(starts)
+                lengths = _prefix(sizes, similarity)
+                at = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+                columns = [
+                    pa.array(tokens[np.repeat(starts[:-1], lengths) + at].view(np.int64)),
+                    pa.array(np.repeat(classes.view(np.int64), lengths)),
+                    pa.array(np.repeat(sizes, lengths), pa.int32()),
+                    pa.array(at, pa.int32()),
+                    pa.array(np.repeat(docs[part.first + lines.row[own]], lengths), pa.int64()),
+                    pa.array(np.repeat(lines.place[own], lengths), pa.int32()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in _DEALT.split(", ")])
+
+    return dealt
 
 
 def _may_match(n: int, i: int, m: int, j: int, similarity: float) -> bool:
@@ -170,105 +223,140 @@ def _may_match(n: int, i: int, m: int, j: int, similarity: float) -> bool:
     return min(n, m) >= similarity * max(n, m) - 1e-9 and 1 + min(n - i, m - j) - 1 >= need
 
 
+_FOUND = "a bigint, b bigint, token bigint, n int, i int, doc bigint, place int, open boolean"
+_FOUND_SCHEMA = pa.schema(
+    [("a", pa.int64()), ("b", pa.int64()), ("token", pa.int64()), ("n", pa.int32()), ("i", pa.int32()),
+     ("doc", pa.int64()), ("place", pa.int32()), ("open", pa.bool_())]
+)
+
+
+class _Met:
+    """The classes that have met in one token, the earliest ones at hand."""
+
+    def __init__(self, token: int):
+        self.token, self.head, self.known, self.told = token, [], set(), False
+
+    def meet(self, row: tuple, similarity: float) -> Iterator[tuple]:
+        """The rows of ``_FOUND`` that one more line makes."""
+        klass, n, i, *at = row
+        if klass in self.known:
+            return
+        fits = [h[0] for h in self.head if _may_match(n, i, h[1], h[2], similarity)]
+        for other in fits[:PAIRED]:
+            yield (klass, other, None, None, None, None, None, None)
+        full = len(self.head) >= EARLIEST
+        is_open = full or len(fits) > PAIRED
+        if is_open and not self.told:
+            self.told = True
+            for h in self.head:
+                yield (h[0], None, self.token, *h[1:], False)
+        if self.told:
+            yield (klass, None, self.token, n, i, *at, is_open)
+        if not full:
+            self.head.append(row)
+            self.known.add(klass)
+
+
 def _first_pairs(similarity: float):
     """Over prefix tokens in order of token, document and place: pairs with the earliest classes of each token.
 
-    ``a`` is paired with the earlier ``b``; if ``b`` is null, ``a`` could match
-    more classes of ``token`` than it was paired with.
+    ``a`` is paired with the earlier ``b``. Where some class could match more
+    than it was paired with, it is ``open``, and all classes of its token are
+    handed on with ``token``, without ``b``.
     """
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("token", pa.int64())])
 
     def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token, head, known, full = None, [], set(), False
+        met = _Met(0)
         for batch in batches:
-            tokens, classes, n, i = (batch.column(k).to_numpy() for k in range(4))
+            if not batch.num_rows:
+                continue
+            columns = [c.to_numpy() for c in batch.columns]
+            tokens, classes = columns[:2]
             cuts = np.concatenate([[0], np.flatnonzero(tokens[1:] != tokens[:-1]) + 1, [len(tokens)]])
-            alone = np.diff(cuts) == 1
-            # A token of one line pairs nothing, unless it goes on in the next batch.
+            # A token of one class pairs nothing, unless it goes on in the next batch.
+            alone = np.minimum.reduceat(classes, cuts[:-1]) == np.maximum.reduceat(classes, cuts[:-1])
             alone[[0, -1]] = False
             rows: list[tuple] = []
             for a, b in zip(cuts[:-1][~alone].tolist(), cuts[1:][~alone].tolist(), strict=True):
-                if tokens[a] != token:
-                    token, head, known, full = tokens[a], [], set(), False
-                for klass, size, at in zip(classes[a:b].tolist(), n[a:b].tolist(), i[a:b].tolist(), strict=True):
-                    if klass in known:
-                        continue
-                    fits = [h[0] for h in head if _may_match(size, at, h[1], h[2], similarity)]
-                    rows += [(klass, x, None) for x in fits[:PAIRED]]
-                    if full or len(fits) > PAIRED:
-                        rows.append((klass, None, int(token)))
-                    if len(head) < EARLIEST:
-                        head.append((klass, size, at))
-                        known.add(klass)
-                    else:
-                        full = True
-            columns = list(zip(*rows, strict=True)) or [[], [], []]
+                if (token := int(tokens[a])) != met.token:
+                    met = _Met(token)
+                for row in zip(*(c[a:b].tolist() for c in columns[1:]), strict=True):
+                    rows += met.meet(row, similarity)
+            found = list(zip(*rows, strict=True)) or [[]] * len(_FOUND_SCHEMA)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in columns], schema=schema
+                [pa.array(c, f.type) for c, f in zip(found, _FOUND_SCHEMA, strict=True)], schema=_FOUND_SCHEMA
             )
 
     return paired
 
 
-def _token_sets(docs: DataFrame, shared, text: str, wanted: DataFrame) -> DataFrame:
-    """``klass`` and ``tokens`` of the classes in ``wanted``; texts are read again, the rest stays on its task."""
+def _token_sets(texts: DataFrame, shared, wanted: DataFrame) -> DataFrame:
+    """``klass`` and ``tokens`` of the classes in ``wanted`` (``klass``, ``doc``).
+
+    The documents of their first lines are read again; the rest stays on its task.
+    """
     filled = bloom.build(wanted.select(F.col("klass").alias("key"), F.lit(1).alias("level")), LOG2_FILTER_BITS)
-    probed = docs.sparkSession.sparkContext.broadcast(filled)
+    probed = texts.sparkSession.sparkContext.broadcast(filled)
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rarity, met = shared.value, set()
+        rarity, new = shared.value, _New()
         for batch in batches:
-            for part in slices(batch.column(0)):
-                _, _, starts, tokens = Tokens(part).ordered(rarity)
-                classes = _classes(starts, tokens)
-                rows = []
-                for k in np.flatnonzero(probed.value.has(classes)).tolist():
-                    if (klass := int(classes[k])) not in met:
-                        met.add(klass)
-                        rows.append(k)
-                if len(met) > 1 << 20:
-                    met = set()
-                sets = [tokens[starts[k] : starts[k + 1]].view(np.int64) for k in rows]
+            for part in slices(batch.column(1)):
+                lines = Tokens(part)
+                classes = lines.classes()
+                own = np.flatnonzero(probed.value.has(classes))
+                own = own[new.among(classes[own])]
+                tokens, starts = lines.ordered(rarity, own)
+                sets = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(tokens.view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(classes[np.array(rows, np.int64)].view(np.int64)),
-                        pa.array(sets, pa.list_(pa.int64())),
-                    ],
-                    ["klass", "tokens"],
+                    [pa.array(classes[own].view(np.int64)), sets], ["klass", "tokens"]
                 )
 
-    rows = docs.select(text).mapInArrow(found, "klass bigint, tokens array<bigint>")
+    some, _ = bloom.told_apart(texts, "doc", wanted)
+    rows = some.mapInArrow(found, "klass bigint, tokens array<bigint>")
     return rows.join(wanted, "klass", "left_semi").groupBy("klass").agg(F.any_value("tokens").alias("tokens"))
 
 
-def _matching(pairs: DataFrame, docs: DataFrame, shared, text: str, similarity: float) -> DataFrame:
-    """The ``pairs`` of classes whose tokens are as similar as asked."""
-    wanted = staged(
-        pairs.select(F.explode(F.array("a", "b")).alias("klass")).distinct(), "lines-wanted"
-    )
-    sets = staged(_token_sets(docs, shared, text, wanted), "lines-sets")
+def _likely(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
+    """The ``pairs`` whose signatures allow a match, with the first document of each and the ``later`` of both."""
+    at = F.struct("doc", "place")
+
+    def side(x):
+        others = [F.col(c).alias(f"{c}_{x}") for c in ("doc", "n", "signature")]
+        return classes.select(F.col("klass").alias(x), *others, at.alias(f"at_{x}"))
+
+    apart = F.bit_count(F.col("signature_a").bitwiseXOR(F.col("signature_b")))
+    most = F.lit((1 - similarity) / (1 + similarity)) * (F.col("n_a") + F.col("n_b")) + 1e-9
+    later = F.when(F.col("at_a") > F.col("at_b"), F.col("a")).otherwise(F.col("b"))
+    joined = pairs.join(side("a"), "a").join(side("b"), "b").where((apart <= most) & (F.col("at_a") != F.col("at_b")))
+    return joined.select("a", "b", "doc_a", "doc_b", later.alias("later"))
+
+
+def _later(likely: DataFrame, texts: DataFrame, shared, similarity: float) -> DataFrame:
+    """``klass``: the later class of each pair whose tokens are as similar as asked."""
+    wanted = likely.select("a", "doc_a").union(likely.select("b", "doc_b")).toDF("klass", "doc")
+    sets = staged(_token_sets(texts, shared, staged(wanted.distinct(), "lines-wanted")), "lines-sets")
     of_a = sets.select(F.col("klass").alias("a"), F.col("tokens").alias("ta"))
     of_b = sets.select(F.col("klass").alias("b"), F.col("tokens").alias("tb"))
     both = F.size(F.array_intersect("ta", "tb"))
     enough = both >= F.lit(similarity) * (F.size("ta") + F.size("tb") - both) - 1e-9
-    return pairs.join(of_a, "a").join(of_b, "b").where(enough).select("a", "b")
+    matching = likely.join(of_a, "a").join(of_b, "b").where(enough)
+    return matching.select(F.col("later").alias("klass")).distinct()
 
 
-def _all_pairs_of(open_rows: DataFrame, lines: DataFrame, firsts: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of the classes ``a`` in ``open_rows`` (``a``, ``token``) with every earlier class of their tokens."""
-    dealt = _dealt(lines).join(open_rows.select("token").distinct(), "token", "left_semi")
-    dealt = dealt.groupBy("token", "klass").agg(
-        F.min("i").alias("i"), F.min("n").alias("n"), F.min(F.struct("doc", "place")).alias("at")
-    )
-    mine = open_rows.join(dealt.withColumnRenamed("klass", "a"), ["token", "a"])
-    others = dealt.select(
-        "token", F.col("klass").alias("b"), F.col("i").alias("j"), F.col("n").alias("m"), F.col("at").alias("at_b")
-    )
+def _other_pairs(members: DataFrame, settled: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of the ``open`` classes that are not ``settled`` with every earlier class of their tokens."""
+    mine = members.where("open").drop("b").join(settled.select(F.col("klass").alias("a")), "a", "left_anti")
+    others = members.select(
+        "token", F.col("a").alias("b"), F.col("i").alias("j"), F.col("n").alias("m"),
+        F.col("doc").alias("doc_b"), F.col("place").alias("place_b"),
+    )
     n, m, share = F.col("n"), F.col("m"), F.lit(similarity)
     need = F.ceil(share / (1 + share) * (n + m) - 1e-9)
+    earlier = F.struct("doc_b", "place_b") < F.struct("doc", "place")
     return (
         mine.join(others, "token")
-        .where((F.col("at_b") < F.col("at")) & (F.least(n, m) >= share * F.greatest(n, m) - 1e-9))
+        .where(earlier & (F.least(n, m) >= share * F.greatest(n, m) - 1e-9))
         .where(F.least(n - F.col("i"), m - F.col("j")) >= need)
         .select("a", "b")
         .distinct()
@@ -285,48 +373,34 @@ def repeated_lines(
 
     ``doc`` is the id, or the largest number where it is null.
     """
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(token_counts(docs.select(text)))
-    lines = staged(lines_of(docs, shared, key, text, similarity), "lines")
-    firsts = lines.groupBy("klass").agg(F.min(F.struct("doc", "place")).alias("first"))
+    texts = docs.select(_doc(key), F.col(text).alias("text"))
+    listed = staged(texts.mapInArrow(_listed, _LINES), "lines")
+    lines = listed.where("place >= 0")
+    shared = docs.sparkSession.sparkContext.broadcast(_rarity(listed))
     dealt = (
-        _dealt(lines)
-        .select("token", "klass", "n", "i", "doc", "place")
+        texts.mapInArrow(_prefixes(shared, similarity), _DEALT)
         .repartition("token")
         .sortWithinPartitions("token", "doc", "place")
     )
-    found = staged(dealt.mapInArrow(_first_pairs(similarity), "a bigint, b bigint, token bigint"), "lines-pairs")
-    matches = staged(
-        _matching(
-            staged(found.where("b IS NOT NULL").select("a", "b").distinct(), "lines-candidates"),
-            docs, shared, text, similarity,
-        ),
-        "lines-matches",
-    )
-    later = staged(_later(matches, firsts), "lines-later")
-    unsettled = found.where("b IS NULL").select("a", "token").distinct()
-    unsettled = staged(unsettled.join(later.withColumnRenamed("klass", "a"), "a", "left_anti"), "lines-unsettled")
-    if not unsettled.isEmpty():
-        rest = staged(_all_pairs_of(unsettled, lines, firsts, similarity), "lines-rest")
-        more = _later(_matching(rest, docs, shared, text, similarity), firsts)
-        later = staged(later.unionByName(more).distinct(), "lines-all-later")
-    classes = firsts.join(later.withColumn("_later", F.lit(True)), "klass", "left")
-    here = F.struct("doc", "place")
-    return lines.join(classes, "klass").select(
-        "doc", "place", ((here != F.col("first")) | F.coalesce("_later", F.lit(False))).alias("removed")
+    found = staged(dealt.mapInArrow(_first_pairs(similarity), _FOUND), "lines-found")
+    # Size and signature are those of the class, so the least struct is that of its first line.
+    first = F.min(F.struct("doc", "place", "n", "signature")).alias("first")
+    classes = staged(lines.groupBy("klass").agg(first).select("klass", "first.*"), "lines-classes")
+
+    pairs = found.where("b IS NOT NULL").select("a", "b").distinct()
+    likely = staged(_likely(pairs, classes, similarity), "lines-likely")
+    later = staged(_later(likely, texts, shared, similarity), "lines-later")
+    members = found.where("token IS NOT NULL")
+    others = staged(_likely(_other_pairs(members, later, similarity), classes, similarity), "lines-others")
+    if not others.isEmpty():
+        later = later.unionByName(_later(others, texts, shared, similarity))
+    kept = classes.join(later, "klass", "left_anti").select("doc", "place", "klass", F.lit(True).alias("_kept"))
+    # By place, not by class: a class may have any number of lines.
+    return lines.join(kept, ["doc", "place", "klass"], "left").select(
+        "doc", "place", F.col("_kept").isNull().alias("removed")
     )
 
 
-def _later(matches: DataFrame, firsts: DataFrame) -> DataFrame:
-    """Of each pair the class whose first line is the later one."""
-    classes = matches.select(F.explode(F.array("a", "b")).alias("klass")).distinct()
-    placed = firsts.join(classes, "klass", "left_semi")
-    a = placed.select(F.col("klass").alias("a"), F.col("first").alias("_a"))
-    b = placed.select(F.col("klass").alias("b"), F.col("first").alias("_b"))
-    both = matches.join(a, "a").join(b, "b").where(F.col("_a") != F.col("_b"))
-    return both.select(F.when(F.col("_a") > F.col("_b"), F.col("a")).otherwise(F.col("b")).alias("klass")).distinct()
-
-
 def line_report(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """For each id with any line that has tokens: ``n_lines`` of these, and ``removed_lines``, the places removed."""
     lines = repeated_lines(docs, key, text, **options)
@@ -351,13 +425,15 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", **opti
     A column ``n_chars``, if there is one, counts the characters that are left.
     """
     removed = repeated_lines(docs, key, text, **options).where("removed")
-    removed = removed.groupBy("doc").agg(F.collect_set("place").alias("_places"))
+    removed = removed.groupBy(F.col("doc").alias("_doc")).agg(F.collect_set("place").alias("_places"))
+    removed = staged(removed, "lines-removed")
     placed = docs.withColumn("_doc", F.coalesce(F.col(key).cast("bigint"), F.lit(_LAST)))
-    joined = placed.join(removed.withColumnRenamed("doc", "_doc"), "_doc", "left")
+    maybe, whole = bloom.told_apart(placed, "_doc", removed)
+    joined = maybe.join(removed, "_doc", "left")
     left = joined.withColumn(text, _without(F.col(text), F.col("_places")))
     # Only where lines went can a document have become blank.
     left = left.where(F.col("_places").isNull() | F.col(text).rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:
         size = F.length(text).cast(docs.schema["n_chars"].dataType)
         left = left.withColumn("n_chars", F.when(F.col("_places").isNull(), F.col("n_chars")).otherwise(size))
-    return left.select(docs.columns)
+    return left.select(docs.columns).unionByName(whole.select(docs.columns))

@@ -10,6 +10,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
+from numpy.lib.stride_tricks import as_strided
 
 # The pattern of a word, for Spark's and Python's regular expressions.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -20,19 +21,12 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
 # Text is taken in slices of about so many bytes, so that its arrays stay small.
-SLICE_BYTES = 1 << 20
-# Words are hashed for so many bytes at a time; longer ones singly.
-_HASH_BYTES = 1 << 18
+SLICE_BYTES = 1 << 18
+# Longer words are hashed singly.
 _LONG_WORD = 1 << 10
 
-_BASE = 0x9E3779B97F4A7C15  # any odd number does
-_POWERS = np.multiply.accumulate(
-    np.concatenate([np.ones(1, np.uint64), np.full(_LONG_WORD, _BASE, np.uint64)])
-)
-_PLAIN = np.arange(256, dtype=np.uint64) + np.uint64(1)
-_FOLDED = LOWER.astype(np.uint64) + np.uint64(1)
-_PLAIN[SPACE] = 0
-_FOLDED[SPACE] = 0
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 
 
 class Slice(NamedTuple):
@@ -109,24 +103,27 @@ def mixed(hashes: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(data: np.ndarray, words: Words, lower: bool = False) -> np.ndarray:
-    """A 64-bit hash of each word; with ``lower``, of the word with A-Z lower-cased."""
-    values = _FOLDED if lower else _PLAIN
-    starts, ends = words.starts, words.ends
-    short = np.minimum(ends, starts + _LONG_WORD)
-    hashes = np.zeros(len(starts), np.uint64)
-    i = 0
-    while i < len(starts):
-        j = int(np.searchsorted(starts, starts[i] + _HASH_BYTES))
-        # A row may start right after a word, so a word's bytes run to its end, not to the next word.
-        at, stop = starts[i:j], int(short[j - 1])
-        place = np.arange(at[0], stop) - np.repeat(at, np.diff(np.append(at, stop)))
-        powers = _POWERS.take(place, mode="clip")
-        hashes[i:j] = np.add.reduceat(values[data[at[0] : stop]] * powers, at - at[0])
-        i = j
-    for k in np.flatnonzero(ends - starts > _LONG_WORD):
-        text = data[starts[k] : ends[k]]
-        hashes[k] = xxhash.xxh64_intdigest((LOWER[text] if lower else text).tobytes())
-    return mixed(hashes)
+    """A 64-bit hash of each word; with ``lower``, of the word with A-Z lower-cased.
+
+    Eight bytes at a time, of all words that are as long, with the length mixed in.
+    """
+    starts, sizes = words.starts, words.ends - words.starts
+    text = np.concatenate([LOWER[data] if lower else data, np.zeros(8, np.uint8)])
+    eights = as_strided(text.view(np.uint8), (len(data) + 1, 8), (1, 1)).view("<u8")[:, 0]
+    hashes = mixed(_step(eights, starts, sizes) + sizes.astype(np.uint64) * _ODD)
+    longer, at = np.flatnonzero(sizes > 8), 8
+    while len(longer) and at < _LONG_WORD:
+        hashes[longer] = mixed((hashes[longer] + _ODD) ^ _step(eights, starts[longer] + at, sizes[longer] - at))
+        at += 8
+        longer = longer[sizes[longer] > at]
+    for k in longer:
+        hashes[k] = xxhash.xxh64_intdigest(text[starts[k] : starts[k] + sizes[k]].tobytes())
+    return hashes
+
+
+def _step(eights: np.ndarray, starts: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """The next eight bytes of each word, zeros after its end."""
+    return eights[starts] & _MASKS[np.minimum(left, 8)]
 
 
 def windows(hashes: np.ndarray, row: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -134,9 +131,9 @@ def windows(hashes: np.ndarray, row: np.ndarray, length: int) -> tuple[np.ndarra
     count = max(0, len(hashes) - length + 1)
     joined = hashes[:count].copy()
     for k in range(1, length):
-        joined = mixed(joined + np.uint64(_BASE)) ^ hashes[k : k + count]
-    whole = row[:count] == row[length - 1 : length - 1 + count]
-    return mixed(joined[whole]), np.flatnonzero(whole)
+        joined = joined * _ODD + hashes[k : k + count]
+    whole = np.flatnonzero(row[:count] == row[length - 1 : length - 1 + count])
+    return mixed(joined[whole]), whole
 
 
 def row_starts(row: np.ndarray, rows: int) -> np.ndarray:
