@@ -236,7 +236,11 @@ def quality_verdicts(docs: DataFrame, key: str = "doc_id", text: str = "text") -
     measured = staged(
         measure(docs.select(key, F.col(text).alias("_text"), *GROUP), "_text").drop("_text"), "measures"
     )
-    return judge(measured, staged(limits(sketch(measured)), "limits"))
+    return judge(measured, _stored_limits(measured))
+
+
+def _stored_limits(measured: DataFrame) -> DataFrame:
+    return staged(limits(staged(sketch(measured), "sketch")), "limits")
 
 
 def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -248,6 +252,7 @@ def keep_good(docs: DataFrame, text: str = "text") -> DataFrame:
     plain = docs.select(*[F.col(f"`{c}`").alias(f"_doc_{c}") for c in docs.columns])
     plain = plain.withColumns({c: F.col(f"_doc_{c}") for c in GROUP})
     measured = measure(plain, f"_doc_{text}")
+    # Stored, as a filter on what is measured would have it measured once more.
     narrow = measure(docs.select(*GROUP, F.col(text).alias("_text")), "_text").drop("_text")
-    judged = judge(measured, staged(limits(sketch(narrow)), "limits"))
+    judged = judge(measured, _stored_limits(staged(narrow, "measures")))
     return judged.where("kept").select(*[F.col(f"_doc_{c}").alias(c) for c in docs.columns])
