@@ -259,8 +259,9 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "
     Documents equal in id, source and size are numbered to tell them apart;
     others need no numbers.
     """
-    plan = staged(mixing_plan(docs, id_col, source_col, **options), "mix-plan")
+    plan = mixing_plan(docs, id_col, source_col, **options).where("copies > 0 OR more_rows > 0")
     plan = plan.select(*[F.col(c).alias(f"_{c}") for c in [*_KEY, "rows", "copies", "more_rows"]])
+    plan = staged(plan, "mix-plan")
     text = F.col(options.get("text_col", "text"))
     rows = docs.withColumn("_words", word_count(text))
     match = (

@@ -80,11 +80,10 @@ def op6_mixing(spark, sf_dir):
 def chat_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and -1, whose texts look like marks."""
     turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    probe = spark.range(1).select(
-        F.lit(-1).cast("bigint").alias("conv_id"),
-        F.explode(F.array(*[F.struct(F.lit(i).cast("bigint").alias("turn"), F.lit(r).alias("role")) for i, r in enumerate(("user", "assistant"))])).alias("t"),
+    probe = [(-1, 0, "user", PROBE), (-1, 1, "assistant", PROBE)]
+    return turns.unionByName(
+        spark.createDataFrame(probe, "conv_id bigint, turn bigint, role string, text string")
     )
-    return turns.unionByName(probe.select("conv_id", "t.turn", "t.role", F.lit(PROBE).alias("text")))
 
 
 @_query
@@ -113,9 +112,11 @@ WITH turns AS (
   UNION ALL SELECT -1, 0, 'user', '{PROBE}'
   UNION ALL SELECT -1, 1, 'assistant', '{PROBE}')
 SELECT conv_id, count(*) AS n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  sha256(string_agg(role || chr(10) || text || chr(10), ''
+                    ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
   CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
-  sha256(COALESCE(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn NULLS FIRST, role, text), '')) AS loss_sha256,
+  sha256(COALESCE(string_agg(CASE WHEN role = 'assistant' THEN text END, ''
+                             ORDER BY turn NULLS FIRST, role, text), '')) AS loss_sha256,
   CAST(sum(length('<|im_start|>' || replace(replace(role, '&', '&amp;'), '<|', '&lt;|') || chr(10)
     || replace(replace(text, '&', '&amp;'), '<|', '&lt;|') || '<|im_end|>' || chr(10))) AS BIGINT) AS formatted_chars
 FROM turns GROUP BY conv_id"""

@@ -44,15 +44,14 @@ def _shingle_hashes(text: bytes, starts: list[int], ends: list[int], length: int
         return []
     digest = xxhash.xxh64_intdigest
     length = min(length, len(starts))
-    last = ends[length - 1 :]
-    spaced = all(map(int.__eq__, (x + 1 for x in ends), starts[1:])) and text.count(b" ", starts[0], ends[-1]) == len(starts) - 1
-    if spaced:
-        return [digest(text[a:b], SEED) for a, b in zip(starts, last)]  # noqa: B905  runs end sooner
-    words = [text[a:b] for a, b in zip(starts, ends, strict=True)]
-    text = b" ".join(words)
-    sizes = np.fromiter(map(len, words), np.int64, len(words))
-    starts = np.concatenate([[0], np.cumsum(sizes[:-1] + 1)])
-    return [digest(text[a:b], SEED) for a, b in zip(starts.tolist(), (starts + sizes)[length - 1 :].tolist())]  # noqa: B905
+    spaces = text.count(b" ", starts[0], ends[-1])
+    if spaces != len(starts) - 1 or any(a + 1 != b for a, b in zip(ends, starts[1:], strict=False)):
+        # Not single spaces between all words: hash a copy that has them.
+        words = [text[a:b] for a, b in zip(starts, ends, strict=True)]
+        text = b" ".join(words)
+        ends = (np.cumsum([len(x) + 1 for x in words]) - 1).tolist()
+        starts = [0, *(x + 1 for x in ends[:-1])]
+    return [digest(text[a:b], SEED) for a, b in zip(starts, ends[length - 1 :], strict=False)]
 
 
 def _majority(hashes: np.ndarray) -> int:

@@ -69,14 +69,20 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
+def _place(path: str) -> tuple[fs.FileSystem, str]:
+    """The store of a path or address, and the path in it."""
+    return fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+
+
 def _open(path: str, write: bool = False) -> BinaryIO:
-    """A file in any store that pyarrow knows, by its address."""
-    store, inner = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
-    return store.open_output_stream(inner, compression=None) if write else store.open_input_stream(inner, compression=None)
+    """A file in any store that pyarrow knows, as it is: by its name, pyarrow would compress it once more."""
+    store, inner = _place(path)
+    opened = store.open_output_stream if write else store.open_input_stream
+    return opened(inner, compression=None)
 
 
 def _made(path: str) -> None:
-    store, inner = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+    store, inner = _place(path)
     store.create_dir(inner, recursive=True)
 
 
@@ -96,7 +102,8 @@ def _header(url: str) -> str:
 
 def encode_record(page_id, url, payload: bytes, refers_to, date: str = NO_DATE) -> bytes:
     """A response, or with ``refers_to`` a revisit, which keeps the HTTP headers but no payload."""
-    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}".encode()
+    head = ["HTTP/1.1 200 OK", "Content-Type: text/html; charset=utf-8", f"Content-Length: {len(payload)}"]
+    http = "\r\n".join(head).encode()
     block = http + _END + (payload if refers_to is None else b"")
     headers = {
         "WARC-Type": "response" if refers_to is None else "revisit",
