@@ -80,10 +80,14 @@ def op6_mixing(spark, sf_dir):
 def chat_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and -1, whose texts look like marks."""
     turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    probe = [(-1, 0, "user", PROBE), (-1, 1, "assistant", PROBE)]
-    return turns.unionByName(
-        spark.createDataFrame(probe, "conv_id bigint, turn bigint, role string, text string")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    probe = spark.range(2).select(
+        F.lit(-1).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        role.alias("role"),
+        F.lit(PROBE).alias("text"),
     )
+    return turns.unionByName(probe)
 
 
 @_query
