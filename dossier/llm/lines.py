@@ -429,7 +429,8 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", **opti
     removed = staged(removed, "lines-removed")
     placed = docs.withColumn("_doc", F.coalesce(F.col(key).cast("bigint"), F.lit(_LAST)))
     maybe, whole = bloom.told_apart(placed, "_doc", removed)
-    joined = maybe.join(removed, "_doc", "left")
+    # Of documents there is no bound, so neither is of this table: it is not to be broadcast.
+    joined = maybe.join(removed.hint("merge"), "_doc", "left")
     left = joined.withColumn(text, _without(F.col(text), F.col("_places")))
     # Only where lines went can a document have become blank.
     left = left.where(F.col("_places").isNull() | F.col(text).rlike(r"[^\x20\x09-\x0D]"))

@@ -269,7 +269,8 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "
         & rows[source_col].eqNullSafe(plan["_source"])
         & (rows["_words"] == plan["_size"])
     )
-    found = rows.join(plan, match)
+    # The plan has a row for each document, so it is not to be broadcast.
+    found = rows.join(plan.hint("merge"), match)
     single = found.where("_rows = 1").withColumn("_number", F.lit(1))
     equal = Window.partitionBy("_id", "_source", "_size").orderBy(F.xxhash64(text))
     repeated = found.where("_rows > 1").withColumn("_number", F.row_number().over(equal))

@@ -22,6 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dossier.llm import bloom
 from dossier.llm.components import components
 from dossier.llm.words import LOWER, slices, words_of
 from dossier.operators.staging import staged
@@ -321,7 +322,9 @@ def keep_one(
     by_id = marked.join(named, "fp").where(F.col(key).isNotNull()).groupBy(key)
     told = by_id.agg(F.count(F.lit(1)).alias("_rows"), F.sum(first).alias("_first"))
     others = staged(told.where("_rows > 1 OR _first = 0"), "simhash-others")
-    simple = docs.join(others, key, "left_anti")
+    # Documents are shuffled only where their id may be among the others, which grow with the documents.
+    maybe, simple = bloom.told_apart(docs, key, others)
+    simple = simple.unionByName(maybe.join(others.hint("merge"), key, "left_anti").select(docs.columns))
     if docs.where(F.col(key).isNull()).isEmpty() and others.where("_first > 0").isEmpty():
         return simple.select(docs.columns)
     shared = docs.join(others.where("_first > 0"), key, "left_semi").select(docs.columns)
