@@ -14,9 +14,10 @@ Lines with the same tokens are one class, whose first line stands for all. Where
 many classes meet in a token, each is first compared with a few of the earliest
 ones, and those that match none of these with all others that are earlier.
 
-Defined results: lines of fewer than three words are kept and match nothing;
-rows that share their id are as one document in order, so lines at the same place
-in them are both kept; rows without an id come last, as if they shared one; a
+Defined results: a line of one or two words is one token like those of three or
+four, and is reported apart; a line without words is no line and is kept; rows
+that share their id are as one document in order, so lines at the same place in
+them are both kept; rows without an id come last, as if they shared one; a
 null text stays null, an empty one empty; an empty table gives no rows; other
 columns stay as they are. Tokens are told apart by 56-bit hashes.
 """
@@ -35,7 +36,8 @@ from dossier.operators.staging import staged
 
 TOKEN_WORDS = 5
 SIMILARITY = 0.8
-MIN_WORDS = 3
+# Lines of fewer words are short: reports count them by themselves.
+SHORT_WORDS = 3
 
 # The table of token counts; tokens that share an entry count together.
 LOG2_ENTRIES = 16
@@ -51,7 +53,7 @@ _KEEP = np.uint64((1 << (64 - _RARITY_BITS)) - 1)
 
 
 class Tokens:
-    """The lines of a slice with enough words: row, place in the row, and tokens line after line."""
+    """The lines of a slice with words: row, place in the row, how many words, and tokens line after line."""
 
     def __init__(self, part: Slice):
         words = words_of(part)
@@ -63,7 +65,7 @@ class Tokens:
         sizes = np.diff(np.append(first, len(line)))
         runs, at = windows(hashes, np.repeat(np.arange(len(first)), sizes), TOKEN_WORDS)
         found, owner = [runs], [np.searchsorted(first, at, side="right") - 1]
-        for length in range(MIN_WORDS, TOKEN_WORDS):
+        for length in range(1, TOKEN_WORDS):
             # A line of fewer words than a token has is one token.
             own = np.flatnonzero(sizes == length)
             if len(own):
@@ -77,6 +79,7 @@ class Tokens:
             self.hashes, owner = self.hashes[order], owner[order]
         starts = np.flatnonzero(np.diff(owner, prepend=-1))
         self.row, self.place = words.row[first][owner[starts]], place[first][owner[starts]]
+        self.words = sizes[owner[starts]]
         self.starts = np.append(starts, len(owner))
 
     def entries(self) -> np.ndarray:
@@ -111,7 +114,7 @@ class Tokens:
         return tokens, np.searchsorted(owner, np.arange(len(lines) + 1))
 
 
-_LINES = "doc bigint, place int, klass bigint, n int, signature bigint"
+_LINES = "doc bigint, place int, klass bigint, n int, signature bigint, short boolean"
 
 
 def _doc(key: str) -> Column:
@@ -125,12 +128,12 @@ def _signatures(tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All lines with tokens: class, number of tokens, signature; at the end, the task's counts of tokens.
+    """All lines with words: class, number of tokens, signature; at the end, the task's counts of tokens.
 
     Counts are rows of place -1, with the count for ``doc`` and the entry for ``klass``.
     """
     names, kinds = zip(*[x.split() for x in _LINES.split(", ")], strict=True)
-    kinds = [{"bigint": pa.int64(), "int": pa.int32()}[x] for x in kinds]
+    kinds = [{"bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}[x] for x in kinds]
 
     def batch_of(*columns):
         return pa.RecordBatch.from_arrays(
@@ -151,10 +154,11 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 lines.classes().view(np.int64),
                 np.diff(starts),
                 _signatures(tokens, starts).view(np.int64),
+                lines.words < SHORT_WORDS,
             )
     some = np.flatnonzero(totals)
     zero = np.zeros(len(some), np.int64)
-    yield batch_of(totals[some], zero - 1, some, zero, zero)
+    yield batch_of(totals[some], zero - 1, some, zero, zero, zero > 0)
 
 
 def _rarity(listed: DataFrame) -> np.ndarray:
@@ -190,7 +194,11 @@ _DEALT = "token bigint, klass bigint, n int, i int, doc bigint, place int"
 
 
 def _prefixes(shared, similarity: float):
-    """The rarest tokens of each class, with the first of its lines that the task meets."""
+    """The rarest tokens of each class, with the first of its lines that the task meets.
+
+    A class of one token matches no other if sets must share more than half: it meets none.
+    """
+    least = 2 if similarity > 0.5 else 1
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rarity, new = shared.value, _New()
@@ -199,7 +207,8 @@ def _prefixes(shared, similarity: float):
             for part in slices(batch.column(1)):
                 lines = Tokens(part)
                 classes = lines.classes()
-                own = new.among(classes)
+                own = np.flatnonzero(np.diff(lines.starts) >= least)
+                own = own[new.among(classes[own])]
                 tokens, starts = lines.ordered(rarity, own)
                 classes, sizes = classes[own], np.diff(starts)
                 lengths = _prefix(sizes, similarity)
@@ -369,7 +378,7 @@ def repeated_lines(
     text: str = "text",
     similarity: float = SIMILARITY,
 ) -> DataFrame:
-    """``doc``, ``place`` and ``removed`` of every line with tokens, from 0 in its document.
+    """``doc``, ``place``, ``short`` and ``removed`` of every line with words, from 0 in its document.
 
     ``doc`` is the id, or the largest number where it is null.
     """
@@ -397,13 +406,13 @@ def repeated_lines(
     kept = classes.join(later, "klass", "left_anti").select("doc", "place", "klass", F.lit(True).alias("_kept"))
     # By place, not by class: a class may have any number of lines.
     return lines.join(kept, ["doc", "place", "klass"], "left").select(
-        "doc", "place", F.col("_kept").isNull().alias("removed")
+        "doc", "place", "short", F.col("_kept").isNull().alias("removed")
     )
 
 
 def line_report(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """For each id with any line that has tokens: ``n_lines`` of these, and ``removed_lines``, the places removed."""
-    lines = repeated_lines(docs, key, text, **options)
+    """For each id with any line that is not short: ``n_lines`` of these, and ``removed_lines``, the places removed."""
+    lines = repeated_lines(docs, key, text, **options).where("NOT short")
     removed = F.when(F.col("removed"), F.col("place"))
     return lines.groupBy("doc").agg(
         F.count(F.lit(1)).alias("n_lines"),
@@ -411,6 +420,20 @@ def line_report(docs: DataFrame, key: str = "doc_id", text: str = "text", **opti
     ).select(F.when(F.col("doc") != _LAST, F.col("doc")).alias(key), "n_lines", "removed_lines")
 
 
+def document_report(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """For each document ``n_lines`` and ``removed_lines``, and ``n_short_lines`` and ``removed_short_lines``."""
+    found = []
+    for name, some in (("", ~F.col("short")), ("short_", F.col("short"))):
+        removed = F.when(some & F.col("removed"), F.col("place"))
+        found.append(F.count_if(some).alias(f"n_{name}lines"))
+        found.append(F.array_sort(F.collect_set(removed)).alias(f"removed_{name}lines"))
+    lines = repeated_lines(docs, key, text, **options).groupBy("doc").agg(*found)
+    none = {f"n_{x}lines": F.lit(0) for x in ("", "short_")}
+    none |= {f"removed_{x}lines": F.array().cast("array<int>") for x in ("", "short_")}
+    joined = docs.select(_doc(key), F.col(key)).join(lines.hint("merge"), "doc", "left")
+    return joined.select(key, *[F.coalesce(c, none[c]).alias(c) for c in lines.columns if c != "doc"])
+
+
 def _without(text: Column, places: Column) -> Column:
     """A text without the lines at ``places``."""
     kept = F.filter(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from dossier.llm.chat import as_events, format_logs, read_back
 from dossier.llm.decontamination import find_copies
-from dossier.llm.lines import line_report
+from dossier.llm.lines import document_report
 from dossier.llm.mixing import mixture_sizes
 from dossier.llm.quality import quality_verdicts
 from dossier.llm.scoring import is_held_out, score_documents
@@ -92,8 +92,8 @@ def chat_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op7_line_dedup(spark, sf_dir):
-    """The lines removed from each document, by their places."""
-    return line_report(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """The lines removed from each document, by their places; those of one or two words by themselves."""
+    return document_report(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 @_query

@@ -114,3 +114,36 @@ def test_query_against_brute_force(spark):
     found = {r.doc_id: (r.n_lines, list(r.removed_lines)) for r in op7_line_dedup(spark, SF).collect()}
     assert found == as_report(rows)
     assert any(places for _, places in found.values())
+
+
+def short_tokens(line):
+    found = words(line, lower=True)
+    return tuple(found) if 0 < len(found) < 3 else None
+
+
+def test_short_lines_and_documents_without_lines(spark):
+    """Exact repeats of one and two words go too, and each document has a row."""
+    line = "a line that stands in two rows of this table"
+    rows = [(0, "Menu\nRead more\n" + line), (1, "read  MORE\nmore\n" + line), (2, "menu"), (3, None), (4, ""), (5, "more read\n\nMenu")]
+    docs = documents(spark, *rows).repartition(3)
+    found = {r.doc_id: tuple(r)[1:] for r in lines.document_report(docs).collect()}
+    assert found == {
+        0: (1, [], 2, []), 1: (1, [2], 2, [0]), 2: (0, [], 1, [0]), 3: (0, [], 0, []), 4: (0, [], 0, []), 5: (0, [], 2, [2])
+    }
+    texts = {r.doc_id: r.text for r in dedup_lines(docs).collect()}
+    assert texts == {0: rows[0][1], 1: "more", 3: None, 4: "", 5: "more read\n"}
+
+
+def test_query_reports_short_lines(spark):
+    rows = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
+    met, expected = set(), {}
+    for key, text in rows:
+        short = [(i, t) for i, x in enumerate((text or "").split("\n")) if (t := short_tokens(x))]
+        places = []
+        for place, mine in short:
+            if mine in met:
+                places.append(place)
+            met.add(mine)
+        expected[key] = (len(short), places)
+    found = {r.doc_id: (r.n_short_lines, list(r.removed_short_lines)) for r in op7_line_dedup(spark, SF).collect()}
+    assert found == expected
