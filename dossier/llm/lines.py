@@ -2,7 +2,8 @@
 
 A line's tokens are its runs of five words, each once; a shorter line is one
 token. Two lines match if the Jaccard similarity of their tokens is at least 0.8;
-the later is removed, later by document id and then by place in the document.
+the later is removed, later by document id, then by a hash of the document's text,
+and then by place in the document.
 
 Tokens are ordered by rarity, as counted over all documents in a table of fixed
 size. If two lines match, they share a token among the rarest of each (their
@@ -16,9 +17,8 @@ ones, and those that match none of these with all others that are earlier.
 
 Defined results: a line of one or two words is one token like those of three or
 four, and is reported apart; a line without words is no line and is kept; rows
-that share their id are as one document in order, so lines at the same place in
-them are both kept; rows without an id come last, as if they shared one; a
-null text stays null, an empty one empty; an empty table gives no rows; other
+that share their id are told apart by their text, and are one document only if that
+is the same; rows without an id come last, as if they shared one; a null text stays null, an empty one empty; an empty table gives no rows; other
 columns stay as they are. Tokens are told apart by 56-bit hashes.
 """
 
@@ -114,13 +114,17 @@ class Tokens:
         return tokens, np.searchsorted(owner, np.arange(len(lines) + 1))
 
 
-_LINES = "doc bigint, place int, klass bigint, n int, signature bigint, short boolean"
+_LINES = "doc bigint, text_hash bigint, place int, klass bigint, n int, signature bigint, short boolean"
 
 
 def _doc(key: str) -> Column:
     return F.coalesce(F.col(key).cast("bigint"), F.lit(_LAST)).alias("doc")
 
 
+def _text_hash(text: str) -> Column:
+    return F.xxhash64(F.col(text)).alias("text_hash")
+
+
 def _signatures(tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """64 bits for each set: each token turns one over, so sets differ in at least as many tokens as bits."""
     bits = np.uint64(1) << (tokens & np.uint64(63))
@@ -143,13 +147,14 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     totals = np.zeros(1 << LOG2_ENTRIES, np.int64)
     unranked = np.zeros(len(totals), np.uint64)
     for batch in batches:
-        docs = batch.column(0).to_numpy(zero_copy_only=False)
+        docs, hashes = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 2))
         for part in slices(batch.column(1)):
             lines = Tokens(part)
             totals += np.bincount(lines.entries(), minlength=len(totals))
             tokens, starts = lines.ordered(unranked, np.arange(len(lines.row)))
             yield batch_of(
                 docs[part.first + lines.row],
+                hashes[part.first + lines.row],
                 lines.place,
                 lines.classes().view(np.int64),
                 np.diff(starts),
@@ -158,7 +163,7 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
     some = np.flatnonzero(totals)
     zero = np.zeros(len(some), np.int64)
-    yield batch_of(totals[some], zero - 1, some, zero, zero, zero > 0)
+    yield batch_of(totals[some], zero, zero - 1, some, zero, zero, zero > 0)
 
 
 def _rarity(listed: DataFrame) -> np.ndarray:
@@ -328,7 +333,7 @@ def _token_sets(texts: DataFrame, shared, wanted: DataFrame) -> DataFrame:
 
 def _likely(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
     """The ``pairs`` whose signatures allow a match, with the first document of each and the ``later`` of both."""
-    at = F.struct("doc", "place")
+    at = F.struct("doc", "text_hash", "place")
 
     def side(x):
         others = [F.col(c).alias(f"{c}_{x}") for c in ("doc", "n", "signature")]
@@ -378,11 +383,11 @@ def repeated_lines(
     text: str = "text",
     similarity: float = SIMILARITY,
 ) -> DataFrame:
-    """``doc``, ``place``, ``short`` and ``removed`` of every line with words, from 0 in its document.
+    """``doc``, ``text_hash``, ``place``, ``short`` and ``removed`` of every line with words, from 0 in its document.
 
     ``doc`` is the id, or the largest number where it is null.
     """
-    texts = docs.select(_doc(key), F.col(text).alias("text"))
+    texts = docs.select(_doc(key), F.col(text).alias("text"), _text_hash(text))
     listed = staged(texts.mapInArrow(_listed, _LINES), "lines")
     lines = listed.where("place >= 0")
     shared = docs.sparkSession.sparkContext.broadcast(_rarity(listed))
@@ -393,7 +398,7 @@ def repeated_lines(
     )
     found = staged(dealt.mapInArrow(_first_pairs(similarity), _FOUND), "lines-found")
     # Size and signature are those of the class, so the least struct is that of its first line.
-    first = F.min(F.struct("doc", "place", "n", "signature")).alias("first")
+    first = F.min(F.struct("doc", "text_hash", "place", "n", "signature")).alias("first")
     classes = staged(lines.groupBy("klass").agg(first).select("klass", "first.*"), "lines-classes")
 
     pairs = found.where("b IS NOT NULL").select("a", "b").distinct()
@@ -403,10 +408,11 @@ def repeated_lines(
     others = staged(_likely(_other_pairs(members, later, similarity), classes, similarity), "lines-others")
     if not others.isEmpty():
         later = later.unionByName(_later(others, texts, shared, similarity))
-    kept = classes.join(later, "klass", "left_anti").select("doc", "place", "klass", F.lit(True).alias("_kept"))
+    line = ["doc", "text_hash", "place"]
+    kept = classes.join(later, "klass", "left_anti").select(*line, "klass", F.lit(True).alias("_kept"))
     # By place, not by class: a class may have any number of lines.
-    return lines.join(kept, ["doc", "place", "klass"], "left").select(
-        "doc", "place", "short", F.col("_kept").isNull().alias("removed")
+    return lines.join(kept, [*line, "klass"], "left").select(
+        *line, "short", F.col("_kept").isNull().alias("removed")
     )
 
 
@@ -427,11 +433,12 @@ def document_report(docs: DataFrame, key: str = "doc_id", text: str = "text", **
         removed = F.when(some & F.col("removed"), F.col("place"))
         found.append(F.count_if(some).alias(f"n_{name}lines"))
         found.append(F.array_sort(F.collect_set(removed)).alias(f"removed_{name}lines"))
-    lines = repeated_lines(docs, key, text, **options).groupBy("doc").agg(*found)
+    row = ["doc", "text_hash"]
+    lines = repeated_lines(docs, key, text, **options).groupBy(*row).agg(*found)
     none = {f"n_{x}lines": F.lit(0) for x in ("", "short_")}
     none |= {f"removed_{x}lines": F.array().cast("array<int>") for x in ("", "short_")}
-    joined = docs.select(_doc(key), F.col(key)).join(lines.hint("merge"), "doc", "left")
-    return joined.select(key, *[F.coalesce(c, none[c]).alias(c) for c in lines.columns if c != "doc"])
+    joined = docs.select(_doc(key), _text_hash(text), F.col(key)).join(lines.hint("merge"), row, "left")
+    return joined.select(key, *[F.coalesce(c, none[c]).alias(c) for c in lines.columns if c not in row])
 
 
 def _without(text: Column, places: Column) -> Column:
@@ -448,12 +455,12 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", **opti
     A column ``n_chars``, if there is one, counts the characters that are left.
     """
     removed = repeated_lines(docs, key, text, **options).where("removed")
-    removed = removed.groupBy(F.col("doc").alias("_doc")).agg(F.collect_set("place").alias("_places"))
-    removed = staged(removed, "lines-removed")
-    placed = docs.withColumn("_doc", F.coalesce(F.col(key).cast("bigint"), F.lit(_LAST)))
-    maybe, whole = bloom.told_apart(placed, "_doc", removed)
+    removed = removed.groupBy(F.col("doc").alias("_doc"), F.col("text_hash").alias("_hash"))
+    removed = staged(removed.agg(F.collect_set("place").alias("_places")), "lines-removed")
+    placed = docs.select("*", _doc(key).alias("_doc"), _text_hash(text).alias("_hash"))
+    maybe, whole = bloom.told_apart(placed, "_hash", removed)
     # Of documents there is no bound, so neither is of this table: it is not to be broadcast.
-    joined = maybe.join(removed.hint("merge"), "_doc", "left")
+    joined = maybe.join(removed.hint("merge"), ["_doc", "_hash"], "left")
     left = joined.withColumn(text, _without(F.col(text), F.col("_places")))
     # Only where lines went can a document have become blank.
     left = left.where(F.col("_places").isNull() | F.col(text).rlike(r"[^\x20\x09-\x0D]"))

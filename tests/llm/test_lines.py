@@ -147,3 +147,17 @@ def test_query_reports_short_lines(spark):
         expected[key] = (len(short), places)
     found = {r.doc_id: (r.n_short_lines, list(r.removed_short_lines)) for r in op7_line_dedup(spark, SF).collect()}
     assert found == expected
+
+
+def test_rows_with_the_same_id_or_none_keep_their_own_lines(spark):
+    """A line goes only from the text in which it repeats another; lines at the same place of two such rows meet."""
+    line, other = "one two three four five six seven", "eight nine ten eleven twelve thirteen"
+    rows = [(0, line), (5, line + "\nfirst own words"), (5, "second own words of five\n" + other)]
+    rows += [(None, line + "\nthird own words"), (None, "fourth own words of five"), (None, "fifth own words\n" + other)]
+    rows += [(7, "hot key here\nsixth own words"), (7, "hot key here\nseventh own words"), (None, None)]
+    found = [(r.doc_id, r.text) for r in dedup_lines(documents(spark, *rows).repartition(3)).collect()]
+    hot = {(7, "sixth own words"), (7, "seventh own words")}
+    wanted = {(0, line), (5, "first own words"), rows[2], (None, "third own words"), rows[4], (None, "fifth own words")}
+    assert len(found) == len(rows) and wanted | {(None, None)} == {r for r in found if r[0] != 7}
+    left = {r for r in found if r[0] == 7}
+    assert len(left & hot) == 1 and len(left & set(rows)) == 1
