@@ -358,16 +358,22 @@ def _later(likely: DataFrame, texts: DataFrame, shared, similarity: float) -> Da
     return matching.select(F.col("later").alias("klass")).distinct()
 
 
-def _other_pairs(members: DataFrame, settled: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of the ``open`` classes that are not ``settled`` with every earlier class of their tokens."""
-    mine = members.where("open").drop("b").join(settled.select(F.col("klass").alias("a")), "a", "left_anti")
-    others = members.select(
+def _other_pairs(members: DataFrame, settled: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of the classes that are not ``settled`` with every earlier class of their tokens not yet paired with them.
+
+    Earlier by their first lines. Those that tasks handed on may be others, and only say which pairs there are: a class
+    that is not ``open`` has been paired with all that were handed on before it.
+    """
+    first = classes.select(F.col("klass").alias("a"), F.struct("doc", "text_hash", "place").alias("first"))
+    placed = members.withColumn("dealt", F.struct("doc", "place")).drop("b", "doc", "place").join(first, "a")
+    mine = placed.join(settled.select(F.col("klass").alias("a")), "a", "left_anti")
+    others = placed.select(
         "token", F.col("a").alias("b"), F.col("i").alias("j"), F.col("n").alias("m"),
-        F.col("doc").alias("doc_b"), F.col("place").alias("place_b"),
+        F.col("first").alias("first_b"), F.col("dealt").alias("dealt_b"),
     )
     n, m, share = F.col("n"), F.col("m"), F.lit(similarity)
     need = F.ceil(share / (1 + share) * (n + m) - 1e-9)
-    earlier = F.struct("doc_b", "place_b") < F.struct("doc", "place")
+    earlier = (F.col("first_b") < F.col("first")) & (F.col("open") | (F.col("dealt_b") >= F.col("dealt")))
     return (
         mine.join(others, "token")
         .where(earlier & (F.least(n, m) >= share * F.greatest(n, m) - 1e-9))
@@ -405,7 +411,7 @@ def repeated_lines(
     likely = staged(_likely(pairs, classes, similarity), "lines-likely")
     later = staged(_later(likely, texts, shared, similarity), "lines-later")
     members = found.where("token IS NOT NULL")
-    others = staged(_likely(_other_pairs(members, later, similarity), classes, similarity), "lines-others")
+    others = staged(_likely(_other_pairs(members, later, classes, similarity), classes, similarity), "lines-others")
     if not others.isEmpty():
         later = later.unionByName(_later(others, texts, shared, similarity))
     line = ["doc", "text_hash", "place"]

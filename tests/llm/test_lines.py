@@ -161,3 +161,18 @@ def test_rows_with_the_same_id_or_none_keep_their_own_lines(spark):
     assert len(found) == len(rows) and wanted | {(None, None)} == {r for r in found if r[0] != 7}
     left = {r for r in found if r[0] == 7}
     assert len(left & hot) == 1 and len(left & set(rows)) == 1
+
+
+def test_chains_in_one_task_that_reads_ids_out_of_order(spark):
+    """What is later follows the ids, not the order of reading: x goes by y, which goes by z, which x is not like."""
+    core = [f"c{k}" for k in range(34)]
+    b, c, d = ([f"{x}{k}" for k in range(3)] for x in "bpd")
+    # More variants of z than a token has at hand.
+    starts = [[f"a{i}v{k}" for k in range(3)] for i in range(lines.EARLIEST + 6)]
+    zs = [" ".join(a + core + c) for a in starts]
+    y, x = " ".join(b + core + c), " ".join(b + core + d)
+    # Runs that x and y alone share are common, so that they meet only in runs that all z have too.
+    common = " ".join(" ".join(a + core[:4]) for a in [b, *starts])
+    rows = [(9000, y), (1, y), (0, zs[0]), (5000, x)] + [(10 + i, z) for i, z in enumerate(zs[1:])]
+    rows += [(20_000 + i, common) for i in range(100)]
+    assert report(documents(spark, *rows).coalesce(1)) == as_report(rows)
