@@ -2,10 +2,10 @@
 
 Each document is measured. Per language and source, every measure's values are
 summed up in a quantile sketch: counts of values by logarithmic bucket, which
-merge by adding, in any order, to the same result. From its quartiles follow the
-limits of that group; a group with few documents takes the limits of its
-language, and a rare language those of all documents. Joined to their group's
-limits, documents beyond one are rejected.
+merge by adding, in any order, to the same result. To each group's sketch, of any
+size, that of its language is added as so many documents, and to the language's
+that of all documents; from the sum's quartiles follow the limits of the group.
+Joined to their group's limits, documents beyond one are rejected.
 
 Defined results: a null text has no words and all zero measures, and fails the
 base rules; null languages and sources are groups like any other; repeated rows
@@ -55,8 +55,8 @@ TWO_SIDED = ("mean_word_length",)
 
 # Values beyond a quartile by more than this many distances between quartiles are rejected.
 REACH = 3.0
-# Groups of fewer documents take the limits of a wider group.
-MIN_GROUP = 100
+# So many documents of the wider group are added to each group.
+PRIOR = 20.0
 
 # The sketch: values within 1 % of each other, or within 0.001, share a bucket.
 _GROWTH = math.log(1.01)
@@ -176,11 +176,19 @@ def _quartiles(sketched: DataFrame, group: list[str]) -> DataFrame:
     )
 
 
-def limits(sketched: DataFrame, min_group: int = MIN_GROUP, reach: float = REACH) -> DataFrame:
-    """Per language and source, ``<measure>_most`` and for some ``<measure>_least``.
+def _with_prior(sketched: DataFrame, group: list[str], wider: DataFrame, on: list[str], prior: float) -> DataFrame:
+    """The sketch by ``group``, to which that of its wider group, by ``on``, is added as ``prior`` documents."""
+    own = sketched.groupBy(*group, "measure", "bucket").agg(F.sum("n").cast("double").alias("n"))
+    whole = F.sum("n").over(Window.partitionBy(*on, "measure"))
+    on = [*on, "measure"]
+    shares = wider.select(*[F.col(c).alias(f"_{c}") for c in on], "bucket", (prior * F.col("n") / whole).alias("n"))
+    groups = sketched.select(*group, "measure").distinct()
+    match = reduce(lambda a, b: a & b, [groups[c].eqNullSafe(shares[f"_{c}"]) for c in on])
+    return own.unionByName(groups.join(shares, match).select(*own.columns))
 
-    One row for each pair of language and source.
-    """
+
+def _own_or_wider(sketched: DataFrame, min_group: int) -> DataFrame:
+    """Each group's own quartiles, or if it has fewer documents than asked those of its language or of all."""
     own = _quartiles(sketched, GROUP)
     by_lang = _quartiles(sketched, GROUP[:1])
     overall = _quartiles(sketched, [])
@@ -200,8 +208,25 @@ def limits(sketched: DataFrame, min_group: int = MIN_GROUP, reach: float = REACH
             .otherwise(F.col(f"all_{column}"))
         )
 
+    return found.select(*GROUP, "measure", chosen("low").alias("low"), chosen("high").alias("high"))
+
+
+def limits(
+    sketched: DataFrame, min_group: int | None = None, reach: float = REACH, prior: float = PRIOR
+) -> DataFrame:
+    """Per language and source, ``<measure>_most`` and for some ``<measure>_least``.
+
+    One row for each pair of language and source. With ``min_group``, nothing is
+    added to a group, and one with fewer documents takes the limits of a wider one.
+    """
+    if min_group is not None:
+        found = _own_or_wider(sketched, min_group)
+    else:
+        overall = sketched.groupBy("measure", "bucket").agg(F.sum("n").alias("n"))
+        by_lang = _with_prior(sketched, GROUP[:1], overall, [], prior)
+        by_lang = by_lang.groupBy("lang", "measure", "bucket").agg(F.sum("n").alias("n"))
+        found = _quartiles(_with_prior(sketched, GROUP, by_lang, GROUP[:1], prior), GROUP)
     least = F.create_map(*[x for name, s in SPREADS.items() for x in (F.lit(name), F.lit(s))])
-    found = found.select(*GROUP, "measure", chosen("low").alias("low"), chosen("high").alias("high"))
     distance = F.greatest(F.col("high") - F.col("low"), least[F.col("measure")]) * reach
     columns = []
     for name in SPREADS:

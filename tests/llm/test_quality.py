@@ -126,3 +126,14 @@ def test_kept_follows_the_labels(spark):
     assert not any(r.kept for r in rows if r.quality == 0)
     good = [r.kept for r in rows if r.quality == 1 and not r.base_failed]
     assert sum(good) >= 0.99 * len(good)
+
+
+def test_small_sources_are_judged_by_their_own_documents(spark):
+    """A small source with many symbols, and a rare language with long words, keep their clean documents."""
+    rnd = random.Random(5)
+    rows = [(i, prose(rnd, 120), "en", "s0") for i in range(300)]
+    rows += [(1000 + i, prose(rnd, 120).replace(" ", "# "), "en", "tables") for i in range(30)]
+    rows += [(2000 + i, prose(rnd, 120).replace("w", "w" * 25), "xx", "s0") for i in range(30)]
+    rows += [(3000 + i, prose(rnd, 120).replace(" ", "# "), "en", "s0") for i in range(3)]
+    kept = sorted(r.doc_id for r in quality_verdicts(documents(spark, *rows)).where("kept").collect())
+    assert kept == [i for i, *_ in rows if i < 3000]
