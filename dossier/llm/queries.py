@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from dossier.llm.chat import as_events, format_logs, read_back
 from dossier.llm.decontamination import find_copies
+from dossier.llm.licenses import license_labels, scan_licenses
 from dossier.llm.lines import document_report
 from dossier.llm.mixing import mixture_sizes
 from dossier.llm.quality import quality_verdicts
@@ -152,3 +153,9 @@ def op10_url_filter(spark, sf_dir):
     return judge_urls(pages, RULES, classifier).select(
         "page_id", "host", "path", "rule", "verdict", "block_score"
     )
+
+
+@_query
+def op11_license_scan(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return license_labels(scan_licenses(docs))

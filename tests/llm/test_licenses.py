@@ -1,0 +1,170 @@
+import random
+import re
+
+import pytest
+
+from dossier.llm.license_rules import BASE, HINT, NAME, Rule, license_rules
+from dossier.llm.licenses import CERTAINTY, license_labels, scan_licenses
+from dossier.llm.queries import op11_license_scan
+from tests.llm.util import documents, prose
+from tests.util import plan
+
+SF = "/root/testdata/sf0.001"
+PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
+LOWER = {ord(c): c.lower() for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
+
+
+def split(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+
+
+def places(text):
+    """All places of the base phrases, by counting words."""
+    found, ws = [], split(text)
+    for phrase, label in PHRASES.items():
+        p = phrase.split()
+        found += [(i, label) for i in range(len(ws)) if ws[i : i + len(p)] == p]
+    return len(ws), sorted(found)
+
+
+def brute(text, rules):
+    """Detections of all rules over the whole text at once, then each held against each."""
+    ws, found = split(text), set()
+    for order, rule in enumerate(rules):
+        for word in rule.keywords:
+            regex = re.compile(rule.regex(word))
+            for at in (i for i, w in enumerate(ws) if w == word):
+                line = " " + " ".join(ws[:at] + ["\x01" + word] + ws[at + 1 :])
+                if hit := regex.search(line):
+                    start = line[: hit.start() + 1].count(" ") - 1
+                    found.add((start, start + hit[0].count(" "), rule.priority, order, rule.label))
+    inner = {
+        d for d in found for e in found
+        if e[0] <= d[0] and e[1] >= d[1] and e[2] <= d[2] and (e[1] - e[0] > d[1] - d[0] or e[2:4] < d[2:4])
+    }
+    left = found - inner
+    return sorted(d for d in left if not any(e[0] < d[1] and e[1] > d[0] and e[2] < d[2] for e in left))
+
+
+def check(df, rows, rules=None):
+    rules = rules or license_rules()
+    got = {r.doc_id: r for r in scan_licenses(df, rules=rules).collect()}
+    for key, text in rows:
+        n, base = places(text)
+        assert got[key].n_words == n
+        assert sorted((d.start, d.label) for d in got[key].base) == base
+        assert [tuple(d)[:5] for d in got[key].detections] == brute(text, rules)
+
+
+def spelt(rnd, pattern):
+    """A text that fits the pattern: optional parts in or out, one of several alternatives."""
+    text = re.sub("<(.+?)>", lambda m: rnd.choice(m[1].split("|")), pattern)
+    text = text.replace("licen[sc]e", rnd.choice(["license", "licence"]))
+    text = re.sub(r"\[(.)-(.)\]", lambda m: rnd.choice(m[1] + m[2]), text)
+    text = re.sub(r"\[(.+?)\]", lambda m: rnd.choice(m[1]), text)
+    while hit := re.search(r"\(\?:([^()]*)\)(\??)", text):
+        text = text[: hit.start()] + ("" if hit[2] and rnd.random() < 0.5 else rnd.choice(hit[1].split("|"))) + text[hit.end() :]
+    return re.sub(r"(.)\?", lambda m: rnd.choice([m[1], ""]), text)
+
+
+def test_there_are_hundreds_of_rules_in_order():
+    rules = license_rules()
+    assert len(rules) > 300 and rules[: len(BASE)] == BASE
+    assert len({(r.priority, r.pattern) for r in rules}) > len(rules) - 10
+
+
+def test_each_rule_finds_what_it_spells(spark):
+    rnd, rules = random.Random(3), license_rules()
+    rows = [(i, f"some words {spelt(rnd, r.pattern)} and more") for i, r in enumerate(rules)]
+    got = {r.doc_id: r for r in scan_licenses(documents(spark, *rows)).collect()}
+    for i, rule in enumerate(rules):
+        assert any(d.priority <= rule.priority for d in got[i].detections), rule
+        if rule.priority < HINT:
+            assert all(d.start >= 2 and d.stop <= got[i].n_words - 2 for d in got[i].detections if d.rule == i)
+    check(documents(spark, *rows), rows, rules)
+
+
+def test_against_brute_force(spark):
+    rnd, rules = random.Random(5), license_rules()
+    rows = []
+    for i in range(150):
+        parts = []
+        for _ in range(rnd.randrange(8)):
+            rule = rnd.choice(rules)
+            parts.append(rnd.choice([spelt(rnd, rule.pattern), prose(rnd, rnd.randrange(6)), rnd.choice(list(PHRASES)), rule.keywords[0]]))
+        text = rnd.choice([" ", "-", ".\n", ", "]).join(parts)
+        rows.append((i, rnd.choice([str, str.upper, str.title])(text)))
+    check(documents(spark, *rows).repartition(4), rows)
+
+
+def test_labels_and_spans(spark):
+    rows = [
+        (0, "Released under the MIT License. © 2020, ÄÖ"),
+        (1, "Licensed under the Apache License, Version 2.0."),
+        (2, "Licensed under CC BY-NC-SA 4.0."),
+        (3, "SPDX-License-Identifier: GPL-3.0-or-later"),
+        (4, "this work is licensed under house rules"),
+        (5, "komm mit uns, cc: bye nobody"),
+    ]
+    got = {r.doc_id: tuple(r)[1:] for r in license_labels(scan_licenses(documents(spark, *rows))).collect()}
+    assert got == {
+        0: (8, 1, 1, 1, "mit", "mit", 0.9),
+        1: (8, 1, 3, 3, "apache-2", "apache-2", 0.9),
+        2: (8, 1, 2, 2, "cc-by-nc", "cc-by-nc,cc-by-nc-sa", 0.9),
+        3: (8, 0, None, None, "", "gpl-3", 1.0),
+        4: (7, 0, None, None, "", "unknown", 0.3),
+        5: (6, 0, None, None, "", "", 0.0),
+    }
+
+
+def test_odd_rows(spark):
+    long = ("mit license " * 3 + prose(random.Random(1), 40) + " ") * 500
+    rows = [(0, None), (1, ""), (2, "  \n"), (None, "under the mit license"), (3, "Kurl license, curl license"), (4, "MİT LICENSE under the MİT license")]
+    df = documents(spark, *rows, (5, long), (6, "cc by nc " * 2000), (7, "cc by nc"), (7, "cc by nc"))
+    check(df.where("doc_id < 5 OR doc_id IS NULL"), rows)
+    got = [r for r in license_labels(scan_licenses(df)).collect() if r.doc_id in (6, 7)]
+    assert sorted((r.n_words, r.n_base, r.last_word) for r in got) == [(3, 1, 0), (3, 1, 0), (6000, 2000, 5997)]
+
+
+def test_priorities(spark):
+    rules = [Rule("long", NAME, "a b <c> d e"), Rule("short", NAME, "b <c> d"), Rule("sure", 0, "<e> f"), Rule("twin", NAME, "a b <c> d e")]
+    rows = [(0, "a b c d e"), (1, "a b c d e f"), (2, "b c d"), (3, "e f a b c d e")]
+    check(documents(spark, *rows), rows, rules)
+    got = {r.doc_id: [d.label for d in r.detections] for r in scan_licenses(documents(spark, *rows), rules=rules).collect()}
+    # Step 1 drops what "long" holds, step 2 "long" itself.
+    assert got == {0: ["long"], 1: ["sure"], 2: ["short"], 3: ["sure", "long"]}
+    assert len(CERTAINTY) == HINT + 1
+
+
+def test_a_rule_must_be_bounded(monkeypatch):
+    from dossier.llm import license_rules as module
+
+    monkeypatch.setattr(module, "NOTICES", [("x", "<a> (?:b )*c")])
+    with pytest.raises(ValueError, match="span"):
+        module.license_rules()
+
+
+def test_empty_table_and_plan(spark):
+    assert license_labels(scan_licenses(documents(spark))).count() == 0
+    text = plan(op11_license_scan(spark, SF))
+    assert "Exchange" not in text and "Python" not in text and "Arrow" not in text
+
+
+def test_columns_that_clash(spark):
+    df = documents(spark, (0, "cc by nc")).selectExpr("*", "1 AS key", "2 AS scan", "3 AS n_words", "4 AS labels")
+    assert license_labels(scan_licenses(df)).collect()[0].labels == "cc-by-nc"
+
+
+def test_query_against_brute_force(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    rules, got = license_rules(), {r.doc_id: r for r in op11_license_scan(spark, SF).collect()}
+    assert len(got) == len(rows)
+    for key, text in rows:
+        n, base = places(text)
+        left, starts = brute(text, rules), [i for i, _ in base]
+        labels = {x for _, x in base}
+        assert tuple(got[key])[1:] == (
+            n, len(base), min(starts, default=None), max(starts, default=None), ",".join(sorted(labels)),
+            ",".join(sorted(labels | {d[4] for d in left})), max((CERTAINTY[d[2]] for d in left), default=0.0),
+        )
+    assert sum(r.n_base > 0 for r in got.values()) > 2
