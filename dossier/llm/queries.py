@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dossier.llm.chat import as_events, format_logs, read_back
+from dossier.llm.compression import ENTRIES, PARTS, ROUNDS, SCALE, compress_vectors
 from dossier.llm.decontamination import find_copies
 from dossier.llm.licenses import license_labels, scan_licenses
 from dossier.llm.lines import document_report
@@ -17,6 +18,7 @@ from dossier.llm.tables import read_table
 from dossier.llm.tokens import count_tokens
 from dossier.llm.urls import RULES, judge_urls, labelled_by_rules, train
 from dossier.llm.warc import round_trip
+from dossier.llm.whitening import whiten
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -159,3 +161,45 @@ def op10_url_filter(spark, sf_dir):
 def op11_license_scan(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     return license_labels(scan_licenses(docs))
+
+
+@_query
+def op12_vector_codes(spark, sf_dir):
+    return compress_vectors(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
+def _codes_sql() -> str:
+    """Each round as a table of nearest entries and one of new entries."""
+    square = "list_sum(list_transform(list_zip(t.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    tables = [
+        f"""kept AS MATERIALIZED (SELECT vec_id, label, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS row,
+    list_transform(embedding, lambda x: CAST(floor({SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v, len(embedding) // {PARTS} AS w
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"""parts AS MATERIALIZED (SELECT row, p, list_slice(v, p * w + 1, p * w + w) AS x FROM kept, range({PARTS}) AS r(p))""",
+        f"""c0 AS MATERIALIZED (SELECT p, row - 1 AS e, x FROM parts WHERE row <= {ENTRIES})""",
+    ]
+    for i in range(ROUNDS + 1):
+        tables.append(f"""a{i} AS MATERIALIZED (SELECT t.row, t.p, min({square} * {ENTRIES} + c.e) AS best
+  FROM parts t JOIN c{i} c USING (p) GROUP BY t.row, t.p)""")
+        if i < ROUNDS:
+            tables.append(f"""c{i + 1} AS MATERIALIZED (SELECT p, e, COALESCE(n.x, c.x) AS x FROM c{i} c LEFT JOIN (
+    SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY k) AS x FROM (
+      SELECT p, best % {ENTRIES} AS e, k, CAST(sum(x[k]) AS BIGINT) AS s, count(*) AS n
+      FROM a{i} JOIN parts USING (row, p), LATERAL unnest(range(1, len(x) + 1)) AS u(k) GROUP BY ALL)
+    GROUP BY p, e) n USING (p, e))""")
+    return f"""WITH {", ".join(tables)},
+  codes AS (SELECT row, string_agg(printf('%02x', CAST(best % {ENTRIES} AS INTEGER)), '' ORDER BY p) AS code,
+    CAST(sum(best // {ENTRIES}) AS BIGINT) AS error FROM a{ROUNDS} GROUP BY row),
+  books AS (SELECT sha256(string_agg(CAST(x[k] AS VARCHAR), ',' ORDER BY p, e, k)) AS codebooks_sha256
+    FROM c{ROUNDS}, LATERAL unnest(range(1, len(x) + 1)) AS u(k))
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM codes JOIN kept USING (row), books"""
+
+
+ORACLE["op12_vector_codes"] = _codes_sql()
+
+
+@_query
+def op13_whitening(spark, sf_dir):
+    """For each vector and component: the whitened coordinate, the vector's exact distance from the mean, the shares."""
+    return whiten(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
