@@ -35,13 +35,16 @@ from dossier.plans.scoring import (
     score_link,
     score_parts,
 )
-from dossier.plans.stages import run_flat, run_stages
+from dossier.plans.sifting import ADDRESS, BALANCE, bad_address, bad_balance, sift
+from dossier.plans.stages import run_flat, run_stages, stored_count, write_counted
+from dossier.plans.watchlist import count_listed, flag_listed, score_listed
 from dossier.schemas import ADDRESS_RAW
 from dossier.sources.files import (
     read_customer_accounts,
     read_customer_documents,
     read_customer_model,
     read_document_parts,
+    read_scored_documents,
     write_stage,
 )
 
@@ -724,3 +727,114 @@ def q27_page_lines(spark, sf_dir):
     line = F.concat_ws(", ", "page_id", "url", F.length("html"), F.concat("url", F.lit("#")))
     pages = _table(spark, sf_dir, "pages").select("page_id", line.alias("address"))
     return parse_address(pages).drop("address")
+
+
+_LISTED = """names AS (SELECT DISTINCT n_name AS name FROM nation WHERE n_regionkey = 1),
+pairs AS (SELECT DISTINCT customerId, country FROM addresses JOIN names ON country = name),
+matched AS (SELECT customerId, string_agg(country, '|' ORDER BY country) AS names FROM pairs GROUP BY customerId)"""
+
+
+def listed_nations(spark, sf_dir):
+    """A watch-list: the nations of one region."""
+    return _table(spark, sf_dir, "nation").where("n_regionkey = 1")
+
+
+def _with_names(scored: DataFrame) -> DataFrame:
+    return scored.withColumn("names", F.array_join("matchedNames", "|")).drop("matchedNames")
+
+
+@_query(f"""{_ORDER_DOCUMENTS}, {_LISTED}
+SELECT c.customerId, c.forename, c.surname, COALESCE(m.names, '') AS names, m.names IS NOT NULL AS linked
+FROM customers c LEFT JOIN matched m ON c.customerId = m.customerId""")
+def q28_listed_documents(spark, sf_dir):
+    """Documents against a watch-list that is a table, with the names that matched."""
+    scored = score_listed(order_documents(spark, sf_dir), listed_nations(spark, sf_dir), "n_name", "linked")
+    return _with_names(scored.drop("accounts", "address"))
+
+
+@_query(f"""WITH {_ORPHANED}, {_KEYLESS_ADDRESSES}, {_parsed()},
+names AS (SELECT DISTINCT l_linestatus AS name FROM lineitem UNION SELECT CAST(n_nationkey AS VARCHAR) FROM nation),
+pairs AS (SELECT DISTINCT customerId, country FROM addresses JOIN names ON country = name),
+matched AS (SELECT customerId, string_agg(country, '|' ORDER BY country) AS names FROM pairs GROUP BY customerId)
+SELECT c.customerId, c.forename, c.surname, COALESCE(m.names, '') AS names, m.names IS NOT NULL AS linked
+FROM customers c LEFT JOIN matched m ON c.customerId = m.customerId""")
+def q29_listed_customers(spark, sf_dir):
+    """Flat customers, some without a key, against a watch-list with names that nobody has."""
+    names = _table(spark, sf_dir, "nation").select(_text("n_nationkey").alias("name"))
+    names = names.union(_table(spark, sf_dir, "lineitem").select("l_linestatus"))
+    customers = orphaned_customers(spark, sf_dir)
+    flagged = flag_listed(customers, keyless_addresses(spark, sf_dir), names, "name", "linked", mode="lenient")
+    return _with_names(flagged)
+
+
+@_query(f"""{_ORDER_DOCUMENTS}, {_LISTED}
+SELECT p.country AS name, count(*) AS linkedCustomers
+FROM customers c JOIN pairs p ON c.customerId = p.customerId GROUP BY p.country""")
+def q30_count_by_name(spark, sf_dir):
+    """How many customers each name of a watch-list matched."""
+    names = listed_nations(spark, sf_dir)
+    return count_listed(flag_listed(orders(spark, sf_dir), order_addresses(spark, sf_dir), names, "n_name"))
+
+
+@_query(f"""{_LINKED}
+SELECT n AS linkedCustomers, 'Number of customers linked to NATION_1: ' || n AS report FROM linked""")
+def q31_counted_while_writing(spark, sf_dir):
+    """The count taken in the job that writes the scored documents."""
+    path = _folder(spark, "counted")
+    return report_linked(write_counted(order_documents(spark, sf_dir), path, LINK, "linked"), LINK)
+
+
+@_query(f"""{_ORDER_DOCUMENTS}, scored AS ({_WITH_FLAGS})
+SELECT *, (SELECT count(*) FROM scored WHERE linked) AS linkedCustomers FROM scored""")
+def q32_stored_count(spark, sf_dir):
+    """Stored flags, and beside each the count that was stored with them."""
+    path = _folder(spark, "counted")
+    write_counted(order_documents(spark, sf_dir), path, LINK, "linked")
+    stored = read_scored_documents(spark, path, "linked").drop("accounts", "address")
+    count = stored_count(spark, path).first()[0]
+    return stored.withColumn("linkedCustomers", F.lit(count).cast("bigint"))
+
+
+@_query(f"""{_ORDER_DOCUMENTS} {_WHOLE}""")
+def q33_resumed_run(spark, sf_dir):
+    """A run whose second stage was lost: it goes on from the first, which it reads by its buckets."""
+    out_dir = _folder(spark, "resumed")
+    inputs = [make(spark, sf_dir) for make in (orders, order_lines, order_addresses)]
+    run_flat(*inputs[:2], inputs[2].where("addressId < '0'"), out_dir, LINK)
+    run_flat(*inputs, out_dir, LINK)
+    return _as_text(read_customer_documents(spark, f"{out_dir}/customer_documents"))
+
+
+@_query(f"""WITH shaped AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS accountId, CASE o_orderpriority
+    WHEN '1-URGENT' THEN CAST(o_orderkey AS VARCHAR) WHEN '2-HIGH' THEN '-' || o_custkey
+    WHEN '3-MEDIUM' THEN o_orderkey || '.5' WHEN '5-LOW' THEN 'n/a' END AS balance,
+    CAST(o_custkey AS VARCHAR) AS customerId FROM orders),
+{_UNEVEN_ADDRESSES}, {_parsed()}
+SELECT 'account' AS kind, CASE WHEN regexp_full_match(balance, '[+-]?[0-9]+') THEN accountId END AS id,
+  CASE WHEN regexp_full_match(balance, '[+-]?[0-9]+') THEN balance END AS value,
+  CASE WHEN NOT COALESCE(regexp_full_match(balance, '[+-]?[0-9]+'), false) THEN '{BALANCE}' END AS reason,
+  CASE WHEN NOT COALESCE(regexp_full_match(balance, '[+-]?[0-9]+'), false)
+       THEN customerId || ',' || accountId || ',' || COALESCE(balance, '') END AS record
+FROM shaped
+UNION ALL
+SELECT 'address', CASE WHEN number IS NOT NULL AND country IS NOT NULL THEN addressId END,
+  CASE WHEN number IS NOT NULL AND country IS NOT NULL THEN address END,
+  CASE WHEN number IS NULL OR country IS NULL THEN '{ADDRESS}' END,
+  CASE WHEN number IS NULL OR country IS NULL
+       THEN addressId || ',' || customerId || ',' || COALESCE('"' || address || '"', '') END
+FROM addresses""")
+def q34_sifted_rows(spark, sf_dir):
+    """Sound accounts and addresses, and the text of the others with the reason."""
+    found = []
+    for kind, rows, faults, key, value in (
+        ("account", text_balances(spark, sf_dir), {BALANCE: bad_balance()}, "accountId", "balance"),
+        ("address", uneven_addresses(spark, sf_dir), {ADDRESS: bad_address()}, "addressId", "address"),
+    ):
+        parts = sift(rows, faults, _folder(spark, "sifted"))
+        none = F.lit(None).cast("string")
+        kept = [F.lit(kind).alias("kind"), F.col(key).alias("id"), F.col(value).alias("value")]
+        found.append(parts.sound.select(*kept, none.alias("reason"), none.alias("record")))
+        empty = [F.lit(kind).alias("kind"), none.alias("id"), none.alias("value")]
+        found.append(parts.rejected.select(*empty, "reason", "record"))
+    return found[0].union(found[1]).union(found[2]).union(found[3])

@@ -1,5 +1,6 @@
 import os
 import random
+import uuid
 from collections import Counter
 from types import SimpleNamespace
 
@@ -150,11 +151,11 @@ def test_limits_are_positive(spark):
 
 def jobs_of(spark, build):
     """How many jobs ``build`` starts."""
-    context = spark.sparkContext
-    context.setJobGroup("counted", "counted")
+    context, group = spark.sparkContext, uuid.uuid4().hex
+    context.setJobGroup(group, "counted")
     try:
         build()
-        return len(context.statusTracker().getJobIdsForGroup("counted"))
+        return len(context.statusTracker().getJobIdsForGroup(group))
     finally:
         context.setLocalProperty("spark.jobGroup.id", None)
 

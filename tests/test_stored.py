@@ -1,0 +1,221 @@
+"""Committed stages: all or nothing, resumed, in buckets, counted while they are written."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from dossier.plans.documents import build_customer_accounts, build_customer_documents
+from dossier.plans.scoring import count_linked, score_link
+from dossier.plans.stages import run_flat, run_stages, stored_count, write_counted
+from dossier.sources import stored
+from dossier.sources.files import read_customer_accounts, read_customer_documents, read_scored_documents, write_stage
+from dossier.sources.stored import commit_stage, fingerprint, is_made_from, open_stage, read_manifest
+from tests.test_nesting import jobs_of
+from tests.test_plans import no_broadcast, operators  # noqa: F401
+from tests.test_stages import write_inputs
+from tests.util import accounts, addresses, customers, plain, plan
+
+
+def ids(spark, path):
+    return sorted(r.id for r in open_stage(spark, path).collect())
+
+
+def test_the_last_manifest_counts(spark, tmp_path):
+    path = str(tmp_path / "stage")
+    assert read_manifest(spark, path) is None
+    first = commit_stage(spark.range(3), path)
+    assert ids(spark, path) == [0, 1, 2] and first.counts == {"rows": 3}
+    reader = open_stage(spark, path)
+    commit_stage(reader.where("id > 0"), path)
+    # The stage before is still there for those who read it; the one before that goes.
+    assert ids(spark, path) == [1, 2] and reader.count() == 3
+    commit_stage(spark.range(5), path)
+    assert not os.path.exists(f"{path}/{first.data}") and len([x for x in os.listdir(path) if x[0] == "d"]) == 2
+
+
+def test_half_a_stage_is_never_seen(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "stage")
+    commit_stage(spark.range(2), path)
+    with pytest.raises(Exception, match="lost"):
+        commit_stage(spark.range(9).select(F.when(F.col("id") == 8, F.raise_error(F.lit("lost")).cast("bigint")).otherwise(F.col("id")).alias("id")), path)
+    assert ids(spark, path) == [0, 1]
+    # Written in full, but the writer is gone before it says so.
+    monkeypatch.setattr(stored, "_publish", lambda *_: (_ for _ in ()).throw(KeyboardInterrupt()))
+    with pytest.raises(KeyboardInterrupt):
+        commit_stage(spark.range(7), path)
+    assert ids(spark, path) == [0, 1]
+
+
+def test_two_writers_cannot_both_commit(spark, tmp_path):
+    path = str(tmp_path / "stage")
+    manifest = commit_stage(spark.range(1), path)
+    with pytest.raises(RuntimeError, match="another run"):
+        stored._publish(spark, path, 1, manifest)
+    assert [x for x in os.listdir(path) if x.startswith("_draft")] == []
+
+
+def test_plain_folders_can_be_opened(spark, tmp_path):
+    spark.range(4).write.parquet(str(tmp_path / "plain"))
+    assert ids(spark, str(tmp_path / "plain")) == [0, 1, 2, 3]
+
+
+def test_counts_are_taken_of_all_rows(spark, tmp_path):
+    counts = {"even": F.count_if(F.expr("id % 2 = 0")), "total": F.sum("id")}
+    manifest = commit_stage(spark.range(0, 1000, 1, 7), str(tmp_path / "s"), counts=counts)
+    assert manifest.counts == {"rows": 1000, "even": 500, "total": 499_500}
+    assert commit_stage(spark.range(0), str(tmp_path / "none"), counts={"even": counts["even"]}).counts == {"rows": 0, "even": 0}
+
+
+def table(spark, folder, name, rows):
+    path = str(folder / name)
+    rows.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_fingerprints_tell_inputs_apart(spark, tmp_path):
+    df = table(spark, tmp_path, "a", spark.range(3))
+    same = fingerprint([df], "x")
+    assert same == fingerprint([spark.read.parquet(str(tmp_path / "a"))], "x")
+    others = [fingerprint([df], "y"), fingerprint([df.where("id > 1")], "x"), fingerprint([df.where("id > 2")], "x")]
+    others += [fingerprint([df, df], "x"), fingerprint([table(spark, tmp_path, "b", spark.range(3))], "x")]
+    table(spark, tmp_path, "a", spark.range(4))
+    others.append(fingerprint([spark.read.parquet(str(tmp_path / "a"))], "x"))
+    assert len({same, *others}) == 7
+
+
+def test_what_has_no_fingerprint(spark, tmp_path):
+    df = table(spark, tmp_path, "a", spark.range(3))
+    udf = F.udf(lambda x: x, "bigint")
+    df.createOrReplaceTempView("a_view")
+    nested = spark.sql("SELECT * FROM a_view WHERE id IN (SELECT id FROM a_view)")
+    for other in (spark.range(3), df.union(spark.range(1)), df.select(udf("id")), nested, df.select(F.current_timestamp())):
+        assert fingerprint([other]) is None and fingerprint([df, other]) is None
+    assert not is_made_from(spark, str(tmp_path / "a"), None)
+
+
+def inputs(spark, folder):
+    cus = table(spark, folder, "c", customers(spark, *[f"C{i}" for i in range(40)], "C1"))
+    acc = table(spark, folder, "a", accounts(spark, *[(f"C{i % 45}", f"A{i:03}", str(i)) for i in range(200)]))
+    adr = table(spark, folder, "d", addresses(spark, *[(f"D{i:03}", f"C{i % 43}", f"{i}, r, c, {'Ireland' if i % 9 else 'Denmark'}") for i in range(120)]))
+    return cus, acc, adr
+
+
+def data_of(spark, out):
+    return [read_manifest(spark, f"{out}/{name}").data for name in ("customer_accounts", "customer_documents")]
+
+
+def rows_of(df):
+    return sorted(plain(r) for r in df.collect())
+
+
+def test_a_run_that_was_cut_off_goes_on(spark, tmp_path, monkeypatch):
+    out, given = str(tmp_path / "out"), inputs(spark, tmp_path)
+    whole = rows_of(run_flat(*given, str(tmp_path / "other"), ["Denmark"]))
+    import dossier.plans.stages as stages
+
+    def cut(*_, **__):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patched:
+        patched.setattr(stages, "build_customer_documents", cut)
+        with pytest.raises(KeyboardInterrupt):
+            run_flat(*given, out, ["Denmark"])
+    first = read_manifest(spark, f"{out}/customer_accounts").data
+    assert read_manifest(spark, f"{out}/customer_documents") is None
+    with monkeypatch.context() as patched:
+        patched.setattr(stages, "build_customer_accounts", cut)
+        assert rows_of(run_flat(*given, out, ["Denmark"])) == whole
+    before = data_of(spark, out)
+    assert before[0] == first
+    # The whole run again makes nothing; another watch-list needs no other stages.
+    assert rows_of(run_flat(*given, out, ["Denmark"])) == whole and data_of(spark, out) == before
+    assert count_linked(run_flat(*given, out, ["Nowhere"])).first()[0] == 0 and data_of(spark, out) == before
+    # Other addresses make the second stage anew, other accounts or another mode both.
+    run_flat(given[0], given[1], given[2].where("addressId > 'D050'"), out)
+    second = data_of(spark, out)
+    assert second[0] == before[0] and second[1] != before[1]
+    run_flat(*given, out, mode="lenient")
+    third = data_of(spark, out)
+    assert third[0] != second[0] and third[1] != second[1]
+    run_flat(*given, out, mode="lenient", resume=False)
+    assert set(data_of(spark, out)).isdisjoint(third)
+
+
+def test_inputs_that_are_no_files_are_made_anew(spark, tmp_path):
+    out = str(tmp_path / "out")
+    given = customers(spark, "C1"), accounts(spark, ("C1", "A1", "4")), addresses(spark)
+    run_flat(*given, out)
+    before = data_of(spark, out)
+    assert run_flat(*given, out).count() == 1 and set(before).isdisjoint(data_of(spark, out))
+
+
+def test_changed_files_are_noticed(spark, tmp_path):
+    files, out = write_inputs(tmp_path), str(tmp_path / "out")
+    run_stages(spark, *files, out)
+    before = data_of(spark, out)
+    run_stages(spark, *files, out)
+    assert data_of(spark, out) == before
+    with open(files[1], "a") as file:
+        file.write("C3,A9,7\n")
+    run_stages(spark, *files, out)
+    stats = {r.customerId: r.totalBalance for r in read_customer_accounts(spark, f"{out}/customer_accounts").collect()}
+    assert stats == {"C1": 15, "C2": 1, "C3": 7} and set(before).isdisjoint(data_of(spark, out))
+
+
+@pytest.mark.parametrize("buckets", [1, 3, 4, 16])
+def test_the_second_stage_reads_the_first_without_a_shuffle(spark, no_broadcast, tmp_path, buckets):  # noqa: F811
+    out, given = str(tmp_path / "out"), inputs(spark, tmp_path)
+    whole = rows_of(run_flat(*given, str(tmp_path / "other"), resume=False))
+    assert rows_of(run_flat(*given, out, buckets=buckets)) == whole
+    assert read_manifest(spark, f"{out}/customer_accounts").buckets == buckets
+    stage = read_customer_accounts(spark, f"{out}/customer_accounts")
+    built = build_customer_documents(stage, given[2], partitions=buckets)
+    text = plan(built)
+    # The one shuffle is that of the addresses.
+    assert operators(text, "Exchange") == 1 and "Bucketed: true" in text and operators(text, "SortMergeJoin") == 1
+    assert rows_of(built) == rows_of(read_customer_documents(spark, f"{out}/customer_documents"))
+    assert not spark.catalog.listTables()
+
+
+def test_customers_repeated_very_often_are_in_no_buckets(spark, tmp_path):
+    given = inputs(spark, tmp_path)
+    out = str(tmp_path / "out")
+    whole = rows_of(run_flat(*given, str(tmp_path / "other")))
+    assert rows_of(run_flat(*given, out, max_repeats=1)) == whole
+    assert read_manifest(spark, f"{out}/customer_accounts").buckets is None
+
+
+def test_the_stage_in_buckets_is_written_without_another_shuffle(spark, no_broadcast, tmp_path):  # noqa: F811
+    cus, acc, _ = inputs(spark, tmp_path)
+    built = build_customer_accounts(cus, acc, partitions=4).repartition(4, "customerId")
+    assert operators(plan(built), "Exchange") == 2
+
+
+def test_an_input_is_not_overwritten(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(3).write.parquet(path)
+    df = spark.read.parquet(path)
+    for target in (path, str(tmp_path), f"file:{path}/"):
+        with pytest.raises(ValueError, match="cannot be overwritten"):
+            write_stage(df.where("id > 1"), target)
+    write_stage(df, path + "2")
+    assert df.count() == 3 and spark.read.parquet(path + "2").count() == 3
+
+
+def test_the_count_while_writing_takes_no_job_of_its_own(spark, tmp_path):
+    cus, acc, adr = inputs(spark, tmp_path)
+    stage = table(spark, tmp_path, "stage", build_customer_accounts(cus, acc))
+    documents = table(spark, tmp_path, "documents", build_customer_documents(stage, adr))
+    scored = score_link(documents, ["Denmark"])
+    plain_write = jobs_of(spark, lambda: scored.write.parquet(str(tmp_path / "plain")))
+    counted = []
+    jobs = jobs_of(spark, lambda: counted.append(write_counted(documents, str(tmp_path / "counted"), ["Denmark"])))
+    assert jobs == plain_write
+    expected = count_linked(scored).first()[0]
+    assert counted[0].first()[0] == expected > 0
+    again = read_scored_documents(spark, str(tmp_path / "counted"), "linkToBVI")
+    assert rows_of(again) == rows_of(scored)
+    assert stored_count(spark, str(tmp_path / "counted")).first()[0] == expected
+    with pytest.raises(ValueError, match="no count"):
+        stored_count(spark, str(tmp_path / "plain"))
