@@ -63,8 +63,9 @@ class Tokens:
         line = feeds[words.starts] + words.row  # another number for each line of the slice
         first = np.flatnonzero(np.diff(line, prepend=-1))
         sizes = np.diff(np.append(first, len(line)))
-        runs, at = windows(hashes, np.repeat(np.arange(len(first)), sizes), TOKEN_WORDS)
-        found, owner = [runs], [np.searchsorted(first, at, side="right") - 1]
+        line_of = np.repeat(np.arange(len(first), dtype=np.int32), sizes)
+        runs, at = windows(hashes, line_of, TOKEN_WORDS)
+        found, owner = [runs], [line_of[at]]
         for length in range(1, TOKEN_WORDS):
             # A line of fewer words than a token has is one token.
             own = np.flatnonzero(sizes == length)
@@ -195,15 +196,22 @@ class _New:
         return np.array(new, np.int64)
 
 
-_DEALT = "token bigint, klass bigint, n int, i int, doc bigint, place int"
+# ``size_at``: the number of tokens, and in the lower half the place of this one among them, from the rarest.
+_DEALT = "token bigint, klass bigint, size_at bigint, doc bigint"
+_HALF = 32
+
+
+def _fewest(similarity: float) -> int:
+    """The least number of tokens with which a set can match another one: a set of one token more that holds it."""
+    return next(n for n in range(1, 1 << 20) if n >= similarity * (n + 1) - 1e-9)
 
 
 def _prefixes(shared, similarity: float):
-    """The rarest tokens of each class, with the first of its lines that the task meets.
+    """The rarest tokens of each class, with the document of the first of its lines that the task meets.
 
-    A class of one token matches no other if sets must share more than half: it meets none.
+    A class of so few tokens that it matches no other meets none.
     """
-    least = 2 if similarity > 0.5 else 1
+    least = _fewest(similarity)
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rarity, new = shared.value, _New()
@@ -215,18 +223,19 @@ def _prefixes(shared, similarity: float):
                 own = np.flatnonzero(np.diff(lines.starts) >= least)
                 own = own[new.among(classes[own])]
                 tokens, starts = lines.ordered(rarity, own)
-                classes, sizes = classes[own], np.diff(starts)
+                # Lines whose runs repeat may have fewer tokens than runs.
+                some = np.flatnonzero(np.diff(starts) >= least)
+                own, sizes, starts = own[some], np.diff(starts)[some], starts[some]
                 lengths = _prefix(sizes, similarity)
                 at = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
                 columns = [
-                    pa.array(tokens[np.repeat(starts[:-1], lengths) + at].view(np.int64)),
-                    pa.array(np.repeat(classes.view(np.int64), lengths)),
-                    pa.array(np.repeat(sizes, lengths), pa.int32()),
-                    pa.array(at, pa.int32()),
-                    pa.array(np.repeat(docs[part.first + lines.row[own]], lengths), pa.int64()),
-                    pa.array(np.repeat(lines.place[own], lengths), pa.int32()),
+                    tokens[np.repeat(starts, lengths) + at].view(np.int64),
+                    np.repeat(classes[own].view(np.int64), lengths),
+                    np.repeat(sizes << _HALF, lengths) | at,
+                    np.repeat(docs[part.first + lines.row[own]], lengths),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in _DEALT.split(", ")])
+                names = [x.split()[0] for x in _DEALT.split(", ")]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
     return dealt
 
@@ -237,27 +246,28 @@ def _may_match(n: int, i: int, m: int, j: int, similarity: float) -> bool:
     return min(n, m) >= similarity * max(n, m) - 1e-9 and 1 + min(n - i, m - j) - 1 >= need
 
 
-_FOUND = "a bigint, b bigint, token bigint, n int, i int, doc bigint, place int, open boolean"
+_FOUND = "a bigint, b bigint, token bigint, n int, i int, seq int, open boolean"
 _FOUND_SCHEMA = pa.schema(
     [("a", pa.int64()), ("b", pa.int64()), ("token", pa.int64()), ("n", pa.int32()), ("i", pa.int32()),
-     ("doc", pa.int64()), ("place", pa.int32()), ("open", pa.bool_())]
+     ("seq", pa.int32()), ("open", pa.bool_())]
 )
 
 
 class _Met:
-    """The classes that have met in one token, the earliest ones at hand."""
+    """The classes that have met in one token, the first ones at hand. ``seq`` is the order in which they came."""
 
     def __init__(self, token: int):
-        self.token, self.head, self.known, self.told = token, [], set(), False
+        self.token, self.head, self.known, self.told, self.seq = token, [], set(), False, 0
 
-    def meet(self, row: tuple, similarity: float) -> Iterator[tuple]:
+    def meet(self, klass: int, n: int, i: int, similarity: float) -> Iterator[tuple]:
         """The rows of ``_FOUND`` that one more line makes."""
-        klass, n, i, *at = row
         if klass in self.known:
             return
+        self.seq += 1
+        row = (klass, n, i, self.seq)
         fits = [h[0] for h in self.head if _may_match(n, i, h[1], h[2], similarity)]
         for other in fits[:PAIRED]:
-            yield (klass, other, None, None, None, None, None, None)
+            yield (klass, other, None, None, None, None, None)
         full = len(self.head) >= EARLIEST
         is_open = full or len(fits) > PAIRED
         if is_open and not self.told:
@@ -265,18 +275,19 @@ class _Met:
             for h in self.head:
                 yield (h[0], None, self.token, *h[1:], False)
         if self.told:
-            yield (klass, None, self.token, n, i, *at, is_open)
+            yield (klass, None, self.token, n, i, self.seq, is_open)
         if not full:
             self.head.append(row)
             self.known.add(klass)
 
 
 def _first_pairs(similarity: float):
-    """Over prefix tokens in order of token, document and place: pairs with the earliest classes of each token.
+    """Over prefix tokens in order of token: pairs with the first classes of each token that come.
 
-    ``a`` is paired with the earlier ``b``. Where some class could match more
-    than it was paired with, it is ``open``, and all classes of its token are
-    handed on with ``token``, without ``b``.
+    Within a batch those of a token come in order of documents, so that the first
+    are mostly the earliest; which they are changes costs alone. Where some class
+    could match more than it was paired with, it is ``open``, and all classes of
+    its token are handed on with ``token``, without ``b``.
     """
 
     def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,8 +295,7 @@ def _first_pairs(similarity: float):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            columns = [c.to_numpy() for c in batch.columns]
-            tokens, classes = columns[:2]
+            tokens, classes, size_at, docs = (c.to_numpy() for c in batch.columns)
             cuts = np.concatenate([[0], np.flatnonzero(tokens[1:] != tokens[:-1]) + 1, [len(tokens)]])
             # A token of one class pairs nothing, unless it goes on in the next batch.
             alone = np.minimum.reduceat(classes, cuts[:-1]) == np.maximum.reduceat(classes, cuts[:-1])
@@ -294,8 +304,10 @@ def _first_pairs(similarity: float):
             for a, b in zip(cuts[:-1][~alone].tolist(), cuts[1:][~alone].tolist(), strict=True):
                 if (token := int(tokens[a])) != met.token:
                     met = _Met(token)
-                for row in zip(*(c[a:b].tolist() for c in columns[1:]), strict=True):
-                    rows += met.meet(row, similarity)
+                order = a + np.lexsort((classes[a:b], docs[a:b]))
+                sizes, at = size_at[order] >> _HALF, size_at[order] & ((1 << _HALF) - 1)
+                for one in zip(classes[order].tolist(), sizes.tolist(), at.tolist(), strict=True):
+                    rows += met.meet(*one, similarity)
             found = list(zip(*rows, strict=True)) or [[]] * len(_FOUND_SCHEMA)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(found, _FOUND_SCHEMA, strict=True)], schema=_FOUND_SCHEMA
@@ -361,26 +373,30 @@ def _later(likely: DataFrame, texts: DataFrame, shared, similarity: float) -> Da
 def _other_pairs(members: DataFrame, settled: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
     """Pairs of the classes that are not ``settled`` with every earlier class of their tokens not yet paired with them.
 
-    Earlier by their first lines. Those that tasks handed on may be others, and only say which pairs there are: a class
-    that is not ``open`` has been paired with all that were handed on before it.
+    Earlier by their first lines. The order in which a token's classes came may be
+    another, and only says which pairs there are: a class that is not ``open`` has
+    been paired with all that came before it.
+
+    A token may be in very many classes. So first the sizes and places with which
+    it stands in sets are held against each other, and only those classes meet that
+    the length and positional filters let match.
     """
     first = classes.select(F.col("klass").alias("a"), F.struct("doc", "text_hash", "place").alias("first"))
-    placed = members.withColumn("dealt", F.struct("doc", "place")).drop("b", "doc", "place").join(first, "a")
+    placed = members.drop("b").join(first, "a")
     mine = placed.join(settled.select(F.col("klass").alias("a")), "a", "left_anti")
     others = placed.select(
         "token", F.col("a").alias("b"), F.col("i").alias("j"), F.col("n").alias("m"),
-        F.col("first").alias("first_b"), F.col("dealt").alias("dealt_b"),
+        F.col("first").alias("first_b"), F.col("seq").alias("seq_b"),
     )
     n, m, share = F.col("n"), F.col("m"), F.lit(similarity)
     need = F.ceil(share / (1 + share) * (n + m) - 1e-9)
-    earlier = (F.col("first_b") < F.col("first")) & (F.col("open") | (F.col("dealt_b") >= F.col("dealt")))
-    return (
-        mine.join(others, "token")
-        .where(earlier & (F.least(n, m) >= share * F.greatest(n, m) - 1e-9))
-        .where(F.least(n - F.col("i"), m - F.col("j")) >= need)
-        .select("a", "b")
-        .distinct()
+    kinds = mine.select("token", "n", "i").distinct().join(others.select("token", "m", "j").distinct(), "token")
+    fitting = kinds.where(F.least(n, m) >= share * F.greatest(n, m) - 1e-9).where(
+        F.least(n - F.col("i"), m - F.col("j")) >= need
     )
+    earlier = (F.col("first_b") < F.col("first")) & (F.col("open") | (F.col("seq_b") >= F.col("seq")))
+    met = mine.join(staged(fitting, "lines-kinds"), ["token", "n", "i"]).join(others, ["token", "m", "j"])
+    return met.where(earlier).select("a", "b").distinct()
 
 
 def repeated_lines(
@@ -400,12 +416,13 @@ def repeated_lines(
     dealt = (
         texts.mapInArrow(_prefixes(shared, similarity), _DEALT)
         .repartition("token")
-        .sortWithinPartitions("token", "doc", "place")
+        .sortWithinPartitions("token")  # one number: sorted by its digits
     )
     found = staged(dealt.mapInArrow(_first_pairs(similarity), _FOUND), "lines-found")
     # Size and signature are those of the class, so the least struct is that of its first line.
     first = F.min(F.struct("doc", "text_hash", "place", "n", "signature")).alias("first")
-    classes = staged(lines.groupBy("klass").agg(first).select("klass", "first.*"), "lines-classes")
+    size = F.count(F.lit(1)).alias("lines")
+    classes = staged(lines.groupBy("klass").agg(first, size).select("klass", "first.*", "lines"), "lines-classes")
 
     pairs = found.where("b IS NOT NULL").select("a", "b").distinct()
     likely = staged(_likely(pairs, classes, similarity), "lines-likely")
@@ -414,12 +431,23 @@ def repeated_lines(
     others = staged(_likely(_other_pairs(members, later, classes, similarity), classes, similarity), "lines-others")
     if not others.isEmpty():
         later = later.unionByName(_later(others, texts, shared, similarity))
+    # A class of one line that repeats no other keeps it: only the others' lines need meet what is kept of them.
     line = ["doc", "text_hash", "place"]
-    kept = classes.join(later, "klass", "left_anti").select(*line, "klass", F.lit(True).alias("_kept"))
-    # By place, not by class: a class may have any number of lines.
-    return lines.join(kept, [*line, "klass"], "left").select(
-        *line, "short", F.col("_kept").isNull().alias("removed")
+    touched = staged(
+        classes.join(later.withColumn("_later", F.lit(True)), "klass", "left").where("_later OR lines > 1"), "lines-touched"
     )
+    some, whole = bloom.told_apart(lines, "klass", touched, LOG2_FILTER_BITS)
+    # Joined by place, not by class, which may have any number of lines.
+    kept = classes.join(later, "klass", "left_anti").select(*line, "klass", F.lit(True).alias("_kept"))
+    kept, _ = bloom.told_apart(kept, "klass", touched, LOG2_FILTER_BITS)
+    told = some.join(kept, [*line, "klass"], "left").select(*line, "short", F.col("_kept").isNull().alias("removed"))
+    return staged(told.unionByName(whole.select(*line, "short", F.lit(False).alias("removed"))), "lines-told")
+
+
+def _removed_places(lines: DataFrame, name: str) -> DataFrame:
+    """For each document that loses lines: their places, in order. Most documents lose few or none."""
+    removed = lines.where("removed").groupBy("doc", "text_hash")
+    return removed.agg(F.array_sort(F.collect_set("place")).alias(name))
 
 
 def line_report(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -434,17 +462,18 @@ def line_report(docs: DataFrame, key: str = "doc_id", text: str = "text", **opti
 
 def document_report(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """For each document ``n_lines`` and ``removed_lines``, and ``n_short_lines`` and ``removed_short_lines``."""
-    found = []
-    for name, some in (("", ~F.col("short")), ("short_", F.col("short"))):
-        removed = F.when(some & F.col("removed"), F.col("place"))
-        found.append(F.count_if(some).alias(f"n_{name}lines"))
-        found.append(F.array_sort(F.collect_set(removed)).alias(f"removed_{name}lines"))
     row = ["doc", "text_hash"]
-    lines = repeated_lines(docs, key, text, **options).groupBy(*row).agg(*found)
-    none = {f"n_{x}lines": F.lit(0) for x in ("", "short_")}
-    none |= {f"removed_{x}lines": F.array().cast("array<int>") for x in ("", "short_")}
-    joined = docs.select(_doc(key), _text_hash(text), F.col(key)).join(lines.hint("merge"), row, "left")
-    return joined.select(key, *[F.coalesce(c, none[c]).alias(c) for c in lines.columns if c not in row])
+    lines = repeated_lines(docs, key, text, **options)
+    report = docs.select(_doc(key), _text_hash(text), F.col(key))
+    counts = lines.groupBy(*row).agg(
+        F.count_if(~F.col("short")).alias("n_lines"), F.count_if("short").alias("n_short_lines")
+    )
+    report = report.join(counts.hint("merge"), row, "left")
+    for name, some in (("removed_lines", "NOT short"), ("removed_short_lines", "short")):
+        report = report.join(_removed_places(lines.where(some), name).hint("merge"), row, "left")
+    none = {"n": F.lit(0), "removed": F.array().cast("array<int>")}
+    names = ("n_lines", "removed_lines", "n_short_lines", "removed_short_lines")
+    return report.select(key, *[F.coalesce(x, none[x.split("_")[0]]).alias(x) for x in names])
 
 
 def _without(text: Column, places: Column) -> Column:
