@@ -399,13 +399,16 @@ def _other_pairs(members: DataFrame, settled: DataFrame, classes: DataFrame, sim
     return met.where(earlier).select("a", "b").distinct()
 
 
-def repeated_lines(
+_LINE = ["doc", "text_hash", "place"]
+
+
+def found_lines(
     docs: DataFrame,
     key: str = "doc_id",
     text: str = "text",
     similarity: float = SIMILARITY,
-) -> DataFrame:
-    """``doc``, ``text_hash``, ``place``, ``short`` and ``removed`` of every line with words, from 0 in its document.
+) -> tuple[DataFrame, DataFrame]:
+    """``doc``, ``text_hash``, ``place`` (from 0 in the document) and ``short`` of all lines with words, and of those removed.
 
     ``doc`` is the id, or the largest number where it is null.
     """
@@ -431,23 +434,20 @@ def repeated_lines(
     others = staged(_likely(_other_pairs(members, later, classes, similarity), classes, similarity), "lines-others")
     if not others.isEmpty():
         later = later.unionByName(_later(others, texts, shared, similarity))
-    # A class of one line that repeats no other keeps it: only the others' lines need meet what is kept of them.
-    line = ["doc", "text_hash", "place"]
-    touched = staged(
-        classes.join(later.withColumn("_later", F.lit(True)), "klass", "left").where("_later OR lines > 1"), "lines-touched"
-    )
-    some, whole = bloom.told_apart(lines, "klass", touched, LOG2_FILTER_BITS)
-    # Joined by place, not by class, which may have any number of lines.
-    kept = classes.join(later, "klass", "left_anti").select(*line, "klass", F.lit(True).alias("_kept"))
-    kept, _ = bloom.told_apart(kept, "klass", touched, LOG2_FILTER_BITS)
-    told = some.join(kept, [*line, "klass"], "left").select(*line, "short", F.col("_kept").isNull().alias("removed"))
-    return staged(told.unionByName(whole.select(*line, "short", F.lit(False).alias("removed"))), "lines-told")
+    # Only classes of several lines, and those that repeat others, lose any. A class may have very many lines, so they
+    # are joined as Spark finds it best by the size of the table, parting hot classes where it must.
+    touched = classes.join(later.withColumn("_later", F.lit(True)), "klass", "left").where("_later OR lines > 1")
+    losing = staged(touched.select("klass", "_later", F.struct(*_LINE).alias("_first")), "lines-losing")
+    gone = lines.join(losing, "klass").where(F.col("_later") | (F.struct(*_LINE) != F.col("_first")))
+    every = [*_LINE, "short"]
+    return lines.select(every), staged(gone.select(every), "lines-gone")
 
 
-def _removed_places(lines: DataFrame, name: str) -> DataFrame:
-    """For each document that loses lines: their places, in order. Most documents lose few or none."""
-    removed = lines.where("removed").groupBy("doc", "text_hash")
-    return removed.agg(F.array_sort(F.collect_set("place")).alias(name))
+def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """All lines of ``found_lines`` with ``removed``."""
+    lines, gone = found_lines(docs, key, text, **options)
+    marked = lines.join(gone.select(*_LINE, F.lit(True).alias("_gone")), _LINE, "left")
+    return marked.select(*lines.columns, F.col("_gone").isNotNull().alias("removed"))
 
 
 def line_report(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -463,16 +463,18 @@ def line_report(docs: DataFrame, key: str = "doc_id", text: str = "text", **opti
 def document_report(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """For each document ``n_lines`` and ``removed_lines``, and ``n_short_lines`` and ``removed_short_lines``."""
     row = ["doc", "text_hash"]
-    lines = repeated_lines(docs, key, text, **options)
-    report = docs.select(_doc(key), _text_hash(text), F.col(key))
-    counts = lines.groupBy(*row).agg(
-        F.count_if(~F.col("short")).alias("n_lines"), F.count_if("short").alias("n_short_lines")
+    lines, gone = found_lines(docs, key, text, **options)
+    columns = {"lines": ~F.col("short"), "short_lines": F.col("short")}
+    counts = lines.groupBy(*row).agg(*[F.count_if(some).alias(f"n_{x}") for x, some in columns.items()])
+    # Few documents lose any lines, so few are put into lists.
+    places = gone.groupBy(*row).agg(
+        *[F.array_sort(F.collect_set(F.when(some, F.col("place")))).alias(f"removed_{x}") for x, some in columns.items()]
     )
-    report = report.join(counts.hint("merge"), row, "left")
-    for name, some in (("removed_lines", "NOT short"), ("removed_short_lines", "short")):
-        report = report.join(_removed_places(lines.where(some), name).hint("merge"), row, "left")
+    report = docs.select(_doc(key), _text_hash(text), F.col(key))
+    for found in (counts, places):
+        report = report.join(found.hint("merge"), row, "left")
     none = {"n": F.lit(0), "removed": F.array().cast("array<int>")}
-    names = ("n_lines", "removed_lines", "n_short_lines", "removed_short_lines")
+    names = [f"{kind}_{x}" for x in columns for kind in none]
     return report.select(key, *[F.coalesce(x, none[x.split("_")[0]]).alias(x) for x in names])
 
 
@@ -489,7 +491,7 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", **opti
 
     A column ``n_chars``, if there is one, counts the characters that are left.
     """
-    removed = repeated_lines(docs, key, text, **options).where("removed")
+    _, removed = found_lines(docs, key, text, **options)
     removed = removed.groupBy(F.col("doc").alias("_doc"), F.col("text_hash").alias("_hash"))
     removed = staged(removed.agg(F.collect_set("place").alias("_places")), "lines-removed")
     placed = docs.select("*", _doc(key).alias("_doc"), _text_hash(text).alias("_hash"))
