@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dossier.llm import bloom
+from dossier.llm.tables import apart, own, together
 from dossier.llm.words import Slice, mixed, slices, windows, word_hashes, words_of
 from dossier.operators.staging import staged
 
@@ -126,10 +127,20 @@ def _text_hash(text: str) -> Column:
     return F.xxhash64(F.col(text)).alias("text_hash")
 
 
-def _signatures(tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """64 bits for each set: each token turns one over, so sets differ in at least as many tokens as bits."""
+def _signatures(lines: Tokens, unranked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each line how many different tokens it has, and 64 bits: each token turns one over.
+
+    So sets differ in at least as many tokens as bits.
+    """
+    tokens, starts = lines.hashes, lines.starts
+    sizes = np.diff(starts)
+    # Seldom does a line repeat a run of its own; only then is more to do than to look.
+    owner = np.repeat(np.arange(len(sizes), dtype=np.uint64), sizes)
+    told = np.sort(mixed(tokens ^ (owner << np.uint64(40))))
+    if (told[1:] == told[:-1]).any():
+        tokens, starts = lines.ordered(unranked, np.arange(len(sizes)))
     bits = np.uint64(1) << (tokens & np.uint64(63))
-    return np.bitwise_xor.reduceat(bits, starts[:-1]) if len(tokens) else bits
+    return np.diff(starts), np.bitwise_xor.reduceat(bits, starts[:-1]) if len(tokens) else bits
 
 
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,14 +163,14 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batch.column(1)):
             lines = Tokens(part)
             totals += np.bincount(lines.entries(), minlength=len(totals))
-            tokens, starts = lines.ordered(unranked, np.arange(len(lines.row)))
+            sizes, signatures = _signatures(lines, unranked)
             yield batch_of(
                 docs[part.first + lines.row],
                 hashes[part.first + lines.row],
                 lines.place,
                 lines.classes().view(np.int64),
-                np.diff(starts),
-                _signatures(tokens, starts).view(np.int64),
+                sizes,
+                signatures.view(np.int64),
                 lines.words < SHORT_WORDS,
             )
     some = np.flatnonzero(totals)
@@ -358,10 +369,8 @@ def _likely(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFram
     return joined.select("a", "b", "doc_a", "doc_b", later.alias("later"))
 
 
-def _later(likely: DataFrame, texts: DataFrame, shared, similarity: float) -> DataFrame:
-    """``klass``: the later class of each pair whose tokens are as similar as asked."""
-    wanted = likely.select("a", "doc_a").union(likely.select("b", "doc_b")).toDF("klass", "doc")
-    sets = staged(_token_sets(texts, shared, staged(wanted.distinct(), "lines-wanted")), "lines-sets")
+def _later(likely: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The later class of each pair whose tokens are as similar as asked."""
     of_a = sets.select(F.col("klass").alias("a"), F.col("tokens").alias("ta"))
     of_b = sets.select(F.col("klass").alias("b"), F.col("tokens").alias("tb"))
     both = F.size(F.array_intersect("ta", "tb"))
@@ -402,6 +411,21 @@ def _other_pairs(members: DataFrame, settled: DataFrame, classes: DataFrame, sim
 _LINE = ["doc", "text_hash", "place"]
 
 
+def _classes(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The classes, each with its first line and its number of ``lines``; and all lines of classes of several.
+
+    Most classes have one line, which plain least values find; only the others' lines
+    are compared as a whole. Size and signature are those of the class.
+    """
+    columns = [*_LINE, "n", "signature", "short"]
+    counted = lines.groupBy("klass").agg(*[F.min(c).alias(c) for c in columns], F.count(F.lit(1)).alias("lines"))
+    counted = staged(counted, "lines-counted")
+    several = staged(lines.join(counted.where("lines > 1").select("klass"), "klass"), "lines-several")
+    first = several.groupBy("klass").agg(F.min(F.struct(*columns)).alias("first"), F.count(F.lit(1)).alias("lines"))
+    firsts = first.select("klass", "first.*", "lines")
+    return staged(counted.where("lines = 1").unionByName(firsts), "lines-classes"), several
+
+
 def found_lines(
     docs: DataFrame,
     key: str = "doc_id",
@@ -422,25 +446,29 @@ def found_lines(
         .sortWithinPartitions("token")  # one number: sorted by its digits
     )
     found = staged(dealt.mapInArrow(_first_pairs(similarity), _FOUND), "lines-found")
-    # Size and signature are those of the class, so the least struct is that of its first line.
-    first = F.min(F.struct("doc", "text_hash", "place", "n", "signature")).alias("first")
-    size = F.count(F.lit(1)).alias("lines")
-    classes = staged(lines.groupBy("klass").agg(first, size).select("klass", "first.*", "lines"), "lines-classes")
+    classes, several = _classes(lines)
 
+    # Most classes met no other. All that is compared from here on is among the few that did.
+    both = found.select(F.explode(F.array("a", "b")).alias("klass")).where("klass IS NOT NULL").distinct()
+    near = staged(classes.join(both, "klass", "left_semi"), "lines-near")
     pairs = found.where("b IS NOT NULL").select("a", "b").distinct()
-    likely = staged(_likely(pairs, classes, similarity), "lines-likely")
-    later = staged(_later(likely, texts, shared, similarity), "lines-later")
+    likely = staged(_likely(pairs, near, similarity), "lines-likely")
     members = found.where("token IS NOT NULL")
-    others = staged(_likely(_other_pairs(members, later, classes, similarity), classes, similarity), "lines-others")
-    if not others.isEmpty():
-        later = later.unionByName(_later(others, texts, shared, similarity))
-    # Only classes of several lines, and those that repeat others, lose any. A class may have very many lines, so they
-    # are joined as Spark finds it best by the size of the table, parting hot classes where it must.
-    touched = classes.join(later.withColumn("_later", F.lit(True)), "klass", "left").where("_later OR lines > 1")
-    losing = staged(touched.select("klass", "_later", F.struct(*_LINE).alias("_first")), "lines-losing")
-    gone = lines.join(losing, "klass").where(F.col("_later") | (F.struct(*_LINE) != F.col("_first")))
+    # The texts are read once more for the tokens of all classes that either step may compare.
+    ends = likely.select("a", "doc_a").union(likely.select("b", "doc_b")).toDF("klass", "doc")
+    more = members.select(F.col("a").alias("klass")).distinct().join(near.select("klass", "doc"), "klass")
+    wanted = staged(ends.union(more).distinct(), "lines-wanted")
+    sets = staged(_token_sets(texts, shared, wanted), "lines-sets")
+    later = staged(_later(likely, sets, similarity), "lines-later")
+    others = staged(_likely(_other_pairs(members, later, near, similarity), near, similarity), "lines-others")
+    later = staged(later.union(_later(others, sets, similarity)).distinct(), "lines-later")
     every = [*_LINE, "short"]
-    return lines.select(every), staged(gone.select(every), "lines-gone")
+    # Classes of one line are lines themselves; of the others all lines go but the first, and that too if it is later.
+    ones = near.where("lines = 1").join(later, "klass", "left_semi").select(every)
+    first = classes.where("lines > 1").select("klass", F.struct(*_LINE).alias("_first"))
+    marked = first.join(later.withColumn("_later", F.lit(True)), "klass", "left")
+    rest = several.join(marked, "klass").where(F.coalesce("_later", F.struct(*_LINE) != F.col("_first")))
+    return lines.select(every), staged(ones.unionByName(rest.select(every)), "lines-gone")
 
 
 def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -494,7 +522,8 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", **opti
     _, removed = found_lines(docs, key, text, **options)
     removed = removed.groupBy(F.col("doc").alias("_doc"), F.col("text_hash").alias("_hash"))
     removed = staged(removed.agg(F.collect_set("place").alias("_places")), "lines-removed")
-    placed = docs.select("*", _doc(key).alias("_doc"), _text_hash(text).alias("_hash"))
+    rows, text = apart(docs), own(text)
+    placed = rows.select("*", _doc(own(key)).alias("_doc"), _text_hash(text).alias("_hash"))
     maybe, whole = bloom.told_apart(placed, "_hash", removed)
     # Of documents there is no bound, so neither is of this table: it is not to be broadcast.
     joined = maybe.join(removed.hint("merge"), ["_doc", "_hash"], "left")
@@ -502,6 +531,6 @@ def dedup_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", **opti
     # Only where lines went can a document have become blank.
     left = left.where(F.col("_places").isNull() | F.col(text).rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:
-        size = F.length(text).cast(docs.schema["n_chars"].dataType)
-        left = left.withColumn("n_chars", F.when(F.col("_places").isNull(), F.col("n_chars")).otherwise(size))
-    return left.select(docs.columns).unionByName(whole.select(docs.columns))
+        size, before = F.length(text).cast(docs.schema["n_chars"].dataType), own("n_chars")
+        left = left.withColumn(before, F.when(F.col("_places").isNull(), F.col(before)).otherwise(size))
+    return left.select(together(docs)).unionByName(whole.select(together(docs)))

@@ -76,21 +76,26 @@ def per_row(part: Slice, marked: np.ndarray) -> np.ndarray:
 
 
 def words_of(part: Slice) -> Words:
-    word = ~SPACE[part.data]
+    # Bytes wrap around: the five signs from 0x09 on are all that is below 5 then.
+    word = (part.data != 0x20) & (part.data - np.uint8(0x09) >= 5)
     if not len(word):
         none = np.zeros(0, np.int64)
         return Words(none, none, none)
-    edges = part.offsets[:-1]
-    edges = edges[edges < len(word)]
-    before = np.empty_like(word)
-    before[0], before[1:] = False, word[:-1]
-    before[edges] = False
-    starts = np.flatnonzero(word & ~before)
-    after = np.empty_like(word)
-    after[-1], after[:-1] = False, word[1:]
-    after[edges[edges > 0] - 1] = False
-    ends = np.flatnonzero(word & ~after) + 1
-    return Words(starts, ends, np.searchsorted(part.offsets, starts, side="right") - 1)
+    # Words begin and end in turn where bytes of words and of space meet.
+    turns = np.flatnonzero(word[1:] != word[:-1]) + 1
+    if word[0]:
+        turns = np.concatenate([[0], turns])
+    if word[-1]:
+        turns = np.append(turns, len(word))
+    # So do they where two rows meet inside a word, which ends there and begins.
+    edges = part.offsets[1:-1]
+    edges = edges[(edges > 0) & (edges < len(word))]
+    edges = np.unique(edges[word[edges] & word[edges - 1]])
+    if len(edges):
+        turns = np.insert(turns, np.repeat(np.searchsorted(turns, edges), 2), np.repeat(edges, 2))
+    starts, ends = turns[::2], turns[1::2]
+    rows = np.bincount(np.searchsorted(starts, part.offsets[:-1]), minlength=len(starts) + 1)[: len(starts)]
+    return Words(starts, ends, np.cumsum(rows) - 1)
 
 
 def mixed(hashes: np.ndarray) -> np.ndarray:
@@ -108,7 +113,10 @@ def word_hashes(data: np.ndarray, words: Words, lower: bool = False) -> np.ndarr
     Eight bytes at a time, of all words that are as long, with the length mixed in.
     """
     starts, sizes = words.starts, words.ends - words.starts
-    text = np.concatenate([LOWER[data] if lower else data, np.zeros(8, np.uint8)])
+    text = np.zeros(len(data) + 8, np.uint8)
+    text[: len(data)] = data
+    if lower:
+        text |= (text - np.uint8(ord("A")) < 26).view(np.uint8) << np.uint8(5)
     eights = as_strided(text.view(np.uint8), (len(data) + 1, 8), (1, 1)).view("<u8")[:, 0]
     hashes = mixed(_step(eights, starts, sizes) + sizes.astype(np.uint64) * _ODD)
     longer, at = np.flatnonzero(sizes > 8), 8

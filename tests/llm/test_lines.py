@@ -187,3 +187,12 @@ def test_template_lines_do_not_meet_each_other(spark):
     found = report(documents(spark, *rows).repartition(4))
     assert found == {i: (40, []) for i, _ in rows}
     assert time.monotonic() - started < 120
+
+
+@pytest.mark.parametrize("name", ["_doc", "_hash", "_places", "doc", "place", "klass"])
+def test_columns_that_clash(spark, name):
+    line = "one two three four five six seven"
+    docs = documents(spark, line, "first own words\n" + line).selectExpr("*", f"doc_id + 10 AS {name}")
+    left = dedup_lines(docs)
+    assert left.columns == docs.columns
+    assert sorted((r.doc_id, r.text, r[name]) for r in left.collect()) == [(0, line, 10), (1, "first own words", 11)]
