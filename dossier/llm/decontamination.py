@@ -21,7 +21,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dossier.llm.tables import apart, own, together
 from dossier.llm.words import LOWER, Slice, row_starts, slices, windows, word_hashes, words_of
+from dossier.operators.staging import staged
 
 RUN = 3
 # Of so many neighbouring runs of an item, one is a seed.
@@ -31,10 +33,12 @@ WINNOW = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
 # Share of the score of an exact copy of the whole item that makes a copy.
 MIN_SCORE = 0.5
+# Of an item of any length, an alignment makes a copy that scores as much as so many equal words.
+MIN_WORDS = 26
 # A passage may be longer than its item by this share of the item, on either side.
 SLACK = 0.5
 
-# Items are broadcast in blocks of at most so many words (plus one item); more items mean more blocks.
+# Items are broadcast in blocks of at most so many words (plus one item); more items mean more blocks, one after the other.
 BLOCK_WORDS = 1 << 19
 
 COPY = "item_id:bigint,score:double,start_word:bigint,end_word:bigint,equal_words:bigint"
@@ -135,29 +139,39 @@ class Alignment(NamedTuple):
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> Alignment:
-    """The best local alignment: its score, the passage's words it covers, and how many are equal."""
-    width = len(passage)
-    steps = np.arange(width + 1)
-    rows = [np.zeros(width + 1, np.int64)]
+    """The best local alignment: its score, the passage's words it covers, and how many are equal.
+
+    Row by row of the table of scores, of which two are kept: each cell has with its
+    score where its alignment began and how many equal words it has. So memory
+    grows with the passage alone.
+    """
+    steps = np.arange(len(passage) + 1)
+    above, began, equal = np.zeros(len(steps), np.int64), steps.copy(), np.zeros(len(steps), np.int64)
+    best = Alignment(0, 0, 0, 0)
     for word in item:
-        above = rows[-1]
-        best = np.maximum(above + GAP, 0)
-        best[1:] = np.maximum(best[1:], above[:-1] + np.where(passage == word, MATCH, MISMATCH))
-        # The best with any number of words put in: each costs the same, so one running maximum does.
-        rows.append(np.maximum.accumulate(best - GAP * steps) + GAP * steps)
-    table = np.stack(rows)
-    i, j = (int(x) for x in np.unravel_index(int(np.argmax(table)), table.shape))
-    score, end, equal = int(table[i, j]), j, 0
-    while table[i, j] > 0:
-        same = i and j and item[i - 1] == passage[j - 1]
-        if i and j and table[i, j] == table[i - 1, j - 1] + (MATCH if same else MISMATCH):
-            equal += bool(same)
-            i, j = i - 1, j - 1
-        elif i and table[i, j] == table[i - 1, j] + GAP:
-            i -= 1
-        else:
-            j -= 1
-    return Alignment(score, j, end, equal)
+        score = np.maximum(above + GAP, 0)
+        same = passage == word
+        across = above[:-1] + np.where(same, MATCH, MISMATCH)
+        taken = np.flatnonzero(across >= score[1:]) + 1
+        score[taken] = across[taken - 1]
+        began[taken], equal[taken] = began[taken - 1], equal[taken - 1] + same[taken - 1]
+        # With any number of words put in, each of one cost: from the last place whose score, less that, is highest.
+        level = score - GAP * steps
+        highest = np.maximum.accumulate(level)
+        source = np.maximum.accumulate(np.where(level == highest, steps, 0))
+        above = highest + GAP * steps
+        began, equal = began[source], equal[source]
+        nothing = above == 0
+        began[nothing], equal[nothing] = steps[nothing], 0
+        end = int(above.argmax())
+        if above[end] > best.score:
+            best = Alignment(int(above[end]), int(began[end]), end, int(equal[end]))
+    return best
+
+
+def least_score(words: int, min_score: float = MIN_SCORE, min_words: int = MIN_WORDS) -> float:
+    """What an alignment with an item of so many words must score to make a copy."""
+    return MATCH * min(min_score * words, min_words)
 
 
 def _passages(places: np.ndarray, offsets: np.ndarray, length: int, words: int) -> list[tuple[int, int]]:
@@ -188,7 +202,7 @@ def best_copy(item: np.ndarray, document: np.ndarray, spans: list[tuple[int, int
     return best
 
 
-def copies_in(shared, min_score: float):
+def copies_in(shared, min_score: float, min_words: int):
     """A column function from texts to the copies they hold, an array of ``COPY``.
 
     A document is searched by the task that reads it; nothing is shuffled.
@@ -221,7 +235,7 @@ def copies_in(shared, min_score: float):
                 document = hashes[starts[i] : starts[i + 1]]
                 offsets = places[which[group]] - items.starts[k]
                 spans = _passages(where[group] - starts[i], offsets, len(item), len(document))
-                best = best_copy(item, document, spans, min_score * MATCH * len(item))
+                best = best_copy(item, document, spans, least_score(len(item), min_score, min_words))
                 if best:
                     found[part.first + i].append(
                         {
@@ -241,31 +255,41 @@ def with_copies(
     docs: DataFrame,
     benchmark: DataFrame,
     min_score: float = MIN_SCORE,
+    min_words: int = MIN_WORDS,
     block_words: int = BLOCK_WORDS,
     as_col: str = "copies",
+    text_col: str = "text",
 ) -> DataFrame:
     """``docs`` with the copies each holds: item, score (1 for an exact copy), the words it covers.
 
-    The benchmark is the query set: its words are counted, and its items go to the
-    workers in blocks of bounded size, each of which meets all documents.
+    A copy is an alignment that scores ``min_score`` of an exact copy of its item, or
+    as much as ``min_words`` equal words. The benchmark is the query set: its words
+    are counted, and its items go to the workers in blocks of bounded size, one after
+    the other, each of which meets all documents.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text")
     letters = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # A word has at least a letter and a space, so this many words there may be at most.
     blocks = 1 + letters // 2 // block_words
-    found = []
+    marked = docs.withColumn(as_col, F.array().cast(f"array<struct<{COPY}>>"))
     for block in range(blocks):
-        own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        rows = own.orderBy("item_id", "text").collect()  # a block's items
+        own_items = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
+        rows = own_items.orderBy("item_id", "text").collect()  # a block's items
         block_items = gathered([r.item_id for r in rows], [r.text for r in rows])
         shared = spark.sparkContext.broadcast(block_items)
         counts = np.zeros(len(block_items.runs), np.int64)
-        for row in run_counts(docs.select("text"), shared).collect():  # a row for each run of the block at most
+        for row in run_counts(docs.select(text_col), shared).collect():  # a row for each run of the block at most
             counts[row.run] = row.n
+        shared.destroy()
         seeds = spark.sparkContext.broadcast((block_items, seed_places(block_items, counts)))
-        found.append(copies_in(seeds, min_score)(F.col("text")))
-    return docs.withColumn(as_col, F.concat(*found))
+        found = copies_in(seeds, min_score, min_words)(F.col(text_col))
+        marked = marked.withColumn(as_col, F.concat(as_col, found))
+        if blocks > 1:
+            # Written block by block, so that workers never hold more than one.
+            marked = staged(marked, "copies")
+            seeds.destroy()
+    return marked
 
 
 def find_copies(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
@@ -277,5 +301,5 @@ def find_copies(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
 
 def without_copies(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents that hold no copy of an item, with the columns of ``docs``."""
-    marked = with_copies(docs, benchmark, as_col="_copies", **options)
-    return marked.where(F.size("_copies") == 0).select(*docs.columns)
+    marked = with_copies(apart(docs), benchmark, as_col="_copies", text_col=own("text"), **options)
+    return marked.where(F.size("_copies") == 0).select(*together(docs))

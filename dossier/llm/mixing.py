@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from dossier.llm.tables import word_count
+from dossier.llm.tables import apart, own, together, word_count
 from dossier.operators.staging import staged
 
 # Weights of the sources by their order, and the most a document is repeated.
@@ -257,16 +257,18 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "
     """``docs`` with ``copies``, how often each document goes into the mix; those not taken are left out.
 
     Documents equal in id, source and size are numbered to tell them apart;
-    others need no numbers.
+    others need no numbers. Where ``docs`` has a column ``copies`` of its own, it
+    stays, and the new one is ``mix_copies`` (with more ``mix_`` before it if need be).
     """
     plan = mixing_plan(docs, id_col, source_col, **options).where("copies > 0 OR more_rows > 0")
     plan = plan.select(*[F.col(c).alias(f"_{c}") for c in [*_KEY, "rows", "copies", "more_rows"]])
     plan = staged(plan, "mix-plan")
-    text = F.col(options.get("text_col", "text"))
-    rows = docs.withColumn("_words", word_count(text))
+    rows = apart(docs)
+    text = F.col(own(options.get("text_col", "text")))
+    rows = rows.withColumn("_words", word_count(text))
     match = (
-        rows[id_col].cast("bigint").eqNullSafe(plan["_id"])
-        & rows[source_col].eqNullSafe(plan["_source"])
+        rows[own(id_col)].cast("bigint").eqNullSafe(plan["_id"])
+        & rows[own(source_col)].eqNullSafe(plan["_source"])
         & (rows["_words"] == plan["_size"])
     )
     # The plan has a row for each document, so it is not to be broadcast.
@@ -275,9 +277,8 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "
     equal = Window.partitionBy("_id", "_source", "_size").orderBy(F.xxhash64(text))
     repeated = found.where("_rows > 1").withColumn("_number", F.row_number().over(equal))
     copies = (F.col("_copies") + (F.col("_number") <= F.col("_more_rows")).cast("int")).cast("int")
-    return (
-        single.unionByName(repeated)
-        .withColumn("_taken", copies)
-        .where("_taken > 0")
-        .select(*docs.columns, F.col("_taken").alias("copies"))
-    )
+    name = "copies"
+    while name in docs.columns:
+        name = f"mix_{name}"
+    taken = single.unionByName(repeated).withColumn("_taken", copies).where("_taken > 0")
+    return taken.select(*together(docs), F.col("_taken").alias(name))

@@ -50,6 +50,8 @@ RECORD = (
     "archive string, offset bigint, record_type string, record_id string, page_id bigint, "
     "refers_to bigint, url string, payload_bytes bigint, payload_digest string, payload binary, error string"
 )
+# Bytes of archives that one task reads, about.
+READ_BYTES = 64 << 20
 _PAGE_BATCH = 256
 
 
@@ -343,8 +345,16 @@ def read_archives(archives: DataFrame, strict: bool = True, payload: bool = True
                         rows, size = [], 0
                 yield pa.RecordBatch.from_pylist(rows, schema)
 
-    spread = archives.select("archive").repartition("archive")
-    return spread.mapInArrow(read, RECORD)
+    # Names are tiny, so Spark would put them all into one partition, were it not told how many there are to be.
+    return archives.select("archive").repartition(_readers(archives)).mapInArrow(read, RECORD)
+
+
+def _readers(archives: DataFrame) -> int:
+    """How many tasks read: one for each ``READ_BYTES``, at least as many as run at once, at most one for each archive."""
+    size = F.sum("bytes") if "bytes" in archives.columns else F.lit(None).cast("bigint")
+    number, total = archives.agg(F.count(F.lit(1)), size).first()
+    wanted = number if total is None else -(-total // READ_BYTES)
+    return max(1, min(number, max(wanted, archives.sparkSession.sparkContext.defaultParallelism)))
 
 
 def with_revisits(pages: DataFrame) -> DataFrame:

@@ -144,3 +144,58 @@ def test_query_finds_every_exact_copy(spark):
     texts, wanted = {r.doc_id: plain(r.text) for r in rows}, {i.item_id: plain(i.text) for i in items}
     for (doc, item), score in found.items():
         assert smith_waterman(wanted[item], texts[doc]) / (2 * len(wanted[item])) == pytest.approx(score)
+
+
+def test_a_long_exact_part_is_a_copy(spark):
+    """140 words of a 300-word item are, 25 are not; an edited part counts net of its edits."""
+    rnd = random.Random(21)
+    item = prose(rnd, 300, 10**6).split()
+    body = prose(rnd, 100, 10**5)
+    parts = [item[50:190], item[10:36], item[10:35], edited(rnd, " ".join(item[100:150]), 10).split()]
+    rows = [(i, f"{body} {' '.join(part)} {body}") for i, part in enumerate(parts)]
+    found = {r.doc_id: r for r in find_copies(documents(spark, *rows), items_of(spark, (1, " ".join(item)))).collect()}
+    assert set(found) == {0, 1, 3}
+    assert (found[0].equal_words, found[0].start_word, found[0].end_word) == (140, 100, 240)
+    assert found[0].score == pytest.approx(140 / 300) and found[3].score * 300 >= 26
+
+
+def test_alignment_in_little_memory():
+    """An item of 20,000 words: two rows of the table, not 20,000."""
+    import tracemalloc
+
+    rnd = np.random.default_rng(1)
+    item = rnd.integers(0, 1 << 60, 20_000)
+    passage = np.concatenate([rnd.integers(0, 1 << 60, 500), item[:7000], item[7003:9000], rnd.integers(0, 1 << 60, 500)])
+    tracemalloc.start()
+    found = align(item[:9500], passage)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == (2 * 8997 - 3, 500, 500 + 8997, 8997) and peak < 16 << 20
+
+
+@pytest.mark.parametrize("name", ["_copies", "copies", "_doc", "item_id", "_copy"])
+def test_columns_that_clash(spark, name):
+    item = "seven words that no other text has"
+    docs = documents(spark, (0, item), (1, "something else")).selectExpr("*", f"doc_id + 10 AS {name}")
+    left = without_copies(docs, items_of(spark, (1, item)))
+    assert left.columns == docs.columns and [(r.doc_id, r[name]) for r in left.collect()] == [(1, 11)]
+
+
+def test_query_against_aligning_everything(spark):
+    """Every document with every item, whole; only where too few words are the items' is there nothing to align."""
+    rows = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    items = spark.read.parquet(f"{SF}/benchmark.parquet").collect()
+    codes: dict = {}
+
+    def coded(text):
+        return np.array([codes.setdefault(w, len(codes)) for w in plain(text)], np.int64)
+
+    wanted, texts = {i.item_id: coded(i.text) for i in items}, {r.doc_id: coded(r.text) for r in rows}
+    expected = {}
+    for doc, text in texts.items():
+        for item, own in wanted.items():
+            least = decontamination.least_score(len(own))
+            if 2 * np.isin(text, own).sum() >= least and (best := align(own, text)).score >= least:
+                expected[doc, item] = best.score / (2 * len(own))
+    found = {(r.doc_id, r.item_id): r.score for r in op2_decontamination(spark, SF).collect()}
+    assert found == pytest.approx(expected)

@@ -121,3 +121,13 @@ def test_one_document_and_none(spark):
 def test_query(spark):
     rows = spark.read.parquet(f"{SF}/documents.parquet").collect()
     check(op6_mixing(spark, SF).collect(), [(r.doc_id, r.source, len(words(r.text))) for r in rows])
+
+
+@pytest.mark.parametrize("name", ["_rows", "_number", "_words", "_id", "_size", "_taken", "_source", "_copies", "copies", "_more_rows"])
+def test_columns_that_clash(spark, name):
+    docs = documents(spark, *[f"some words of text {i}" for i in range(20)]).selectExpr("*", f"doc_id + 100 AS {name}")
+    mixed = mixed_documents(docs)
+    count = "mix_copies" if name == "copies" else "copies"
+    assert mixed.columns == [*docs.columns, count]
+    rows = mixed.collect()
+    assert rows and all(r[name] == r.doc_id + 100 and r[count] >= 1 for r in rows)

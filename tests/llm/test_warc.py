@@ -173,3 +173,14 @@ def test_empty_table(spark):
 def test_query_against_brute_force(spark):
     rows = [(r.page_id, r.html) for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
     assert columns(op5_warc(spark, SF)) == expected(rows)
+
+
+def test_archives_are_dealt_to_tasks_by_their_bytes(spark):
+    from dossier.llm.warc import _readers
+
+    rows = spark.range(5000).selectExpr("concat('a', id) AS archive", "1L AS records", "67108864L AS bytes")
+    assert _readers(rows) == 5000 and _readers(rows.limit(40)) == 40
+    assert _readers(rows.withColumn("bytes", rows.records)) == spark.sparkContext.defaultParallelism
+    assert _readers(rows.select("archive")) == 5000 and _readers(rows.limit(0)) == 1
+    read = rows.select("archive").repartition(_readers(rows))
+    assert read.rdd.getNumPartitions() == 5000
