@@ -146,8 +146,11 @@ def read_back(rendered: DataFrame) -> DataFrame:
 def as_events(turns: DataFrame) -> DataFrame:
     """The log of a table of whole turns (``conv_id``, ``turn``, ``role``, ``text``).
 
-    Each turn opens a message and streams its text in two deltas. Rows that
-    share their turn are messages of their own, in the order of role and text.
+    Each turn opens a message and streams its text in two deltas. Before that, by
+    the hash of conversation and turn, some had another text: one in four streams a
+    first draft, which an edit with the text's beginning replaces; one in four
+    answers is streamed in other words and then regenerated. Rows that share their
+    turn are messages of their own, in the order of role and text.
     """
     text = F.coalesce("text", F.lit(""))
     same = Window.partitionBy("conv_id", "turn").orderBy("role", "_text")
@@ -159,11 +162,19 @@ def as_events(turns: DataFrame) -> DataFrame:
     def event(place, kind, role, text):
         return F.struct(F.lit(place).alias("place"), F.lit(kind).alias("kind"), role.alias("role"), text.alias("text"))
 
-    events = F.array(
-        event(0, "open", F.col("role"), F.lit("")),
-        event(1, "delta", F.lit(None).cast("string"), F.substr("_text", F.lit(1), half)),
-        event(2, "delta", F.lit(None).cast("string"), F.substr("_text", half + 1)),
-    )
+    nobody, begin, end = F.lit(None).cast("string"), F.substr("_text", F.lit(1), half), F.substr("_text", half + 1)
+    draft = F.reverse("_text")
+    drawn = F.pmod(F.xxhash64("conv_id", "turn", "_copy"), F.lit(4))
+    opened = event(0, "open", F.col("role"), F.lit(""))
+    last = event(5, "delta", nobody, end)
+    streamed = F.array(opened, event(4, "delta", nobody, begin), last)
+    edited = F.array(opened, event(1, "delta", nobody, draft), event(3, "edit", nobody, begin), last)
+    again = F.array(
+        opened, event(1, "delta", nobody, draft), event(2, "delta", nobody, F.lit(" (unfinished")),
+        event(3, "regenerate", nobody, F.lit("")), event(4, "delta", nobody, begin), last,
+    )
+    answer = F.col("role").eqNullSafe(F.lit(ASSISTANT))
+    events = F.when(drawn == 0, edited).when((drawn == 1) & answer, again).otherwise(streamed)
     return numbered.select(
         "conv_id", F.struct("turn", "_copy").alias("message"), F.explode(events).alias("e")
     ).select(

@@ -40,12 +40,14 @@ ADDED = 0.5
 
 # Counts are rounded to a scale whose steps grow by this factor.
 STEP = 1.5
-# Pairs and words seen less often than this are never in the filter.
-MIN_COUNT = 2
 # M: how many observations the single word's probability is worth.
 PRIOR = 100.0
-# Bits of the filter, or of each part of it.
-LOG2_FILTER_BITS = 28
+# The most bits of the filter, or of each part of it: 128 MB on each worker.
+LOG2_FILTER_BITS = 30
+# The least: 8 MB.
+LEAST_LOG2_BITS = 26
+# N-grams that a task adds up at once.
+COUNTED_AT_ONCE = 1 << 22
 # Frequent words whose exact counts go to all workers.
 TABLE_WORDS = 1 << 19
 
@@ -102,21 +104,32 @@ def _before(tokens: np.ndarray) -> np.ndarray:
 
 
 def count_ngrams(texts: DataFrame) -> DataFrame:
-    """``gram`` and ``n`` of all words, and of the pairs seen at least ``MIN_COUNT`` times."""
+    """``gram`` and ``n`` of all words and pairs, each task's added up in memory of fixed size before they are shuffled."""
+
+    def summed(found: list[np.ndarray]) -> pa.RecordBatch:
+        grams = np.concatenate(found)
+        found.clear()
+        grams.sort()
+        first = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]])) if len(grams) else np.zeros(0, np.int64)
+        n = np.diff(np.append(first, len(grams)))
+        columns = [pa.array(grams[first].view(np.int64)), pa.array(n.astype(np.int64))]
+        return pa.RecordBatch.from_arrays(columns, ["gram", "n"])
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, size = [], 0
         for batch in batches:
-            found = [np.zeros(0, np.uint64)]
             for part in slices(batch.column(0)):
                 tokens, pairs, _ = tokens_of(part)
                 found += [tokens, pairs]
-            grams, n = np.unique(np.concatenate(found), return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(grams.view(np.int64)), pa.array(n.astype(np.int64))], ["gram", "n"]
-            )
+                size += 2 * len(tokens)
+                if size >= COUNTED_AT_ONCE:
+                    yield summed(found)
+                    size = 0
+        if found:
+            yield summed(found)
 
     rows = texts.mapInArrow(counted, "gram bigint, n bigint")
-    return rows.groupBy("gram").agg(F.sum("n").alias("n")).where(_is_word() | (F.col("n") >= MIN_COUNT))
+    return rows.groupBy("gram").agg(F.sum("n").alias("n"))
 
 
 def _is_word() -> Column:
@@ -200,16 +213,26 @@ def _level(octave: int) -> int:
 
 
 class Grams:
-    """The stored n-grams, and the parts into which the filter of those seen often enough is split."""
+    """The stored n-grams, and the parts into which their filter is split.
+
+    A filter is no larger than it must be. Words are dealt to parts by their hashes,
+    so that one with very many pairs may make a part larger than the others: there are
+    then more parts, and an error if even the most would not do.
+    """
 
     def __init__(self, counted: DataFrame, weight: float, log2_bits: int):
-        self.kept, self.log2_bits = counted.where(F.col("n") >= MIN_COUNT), log2_bits
-        self.parts = 1
+        self.kept, self.log2_bits = counted, log2_bits
+        self.parts, self.weights = 1, [weight]
         if weight > _room(log2_bits):
             # In parts, a pair is held twice.
             while 2 * weight > self.parts * _room(log2_bits) and self.parts < 1 << _TAG_BITS:
                 self.parts *= 2
-        self.weights = self._weights() if self.parts > 1 else [weight]
+            self.weights = self._weights()
+            while max(self.weights) > _room(log2_bits) and self.parts < 1 << _TAG_BITS:
+                self.parts *= 2
+                self.weights = self._weights()
+        if max(self.weights) > _room(log2_bits):
+            raise ValueError(f"{self.parts} parts of 2^{log2_bits} bits do not hold the n-grams; give more bits")
 
     def _of(self, shift: int) -> Column:
         return F.shiftrightunsigned("gram", shift).bitwiseAND(F.lit(self.parts - 1).cast("bigint"))
@@ -225,8 +248,8 @@ class Grams:
         return weights
 
     def filter_of(self, part: int) -> bloom.Bloom:
-        """The filter of a part; words with very many pairs may make one larger than the others."""
-        log2_bits, own = self.log2_bits, self.kept
+        """The filter of a part, half of whose bits are unset or more."""
+        log2_bits, own = min(self.log2_bits, LEAST_LOG2_BITS), self.kept
         while self.weights[part] > _room(log2_bits):
             log2_bits += 1
         if self.parts > 1:
@@ -249,8 +272,7 @@ def train(texts: DataFrame, log2_bits: int = LOG2_FILTER_BITS, table_words: int
     weight = total = distinct = 0
     # At most 63 octaves for words and for pairs.
     for row in grams.groupBy(word.alias("word"), octave).agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n")).collect():
-        # In the octave of 1 is nothing that is seen twice.
-        weight += row.k * _level(row.octave) if (2 << row.octave) > MIN_COUNT else 0
+        weight += row.k * _level(row.octave)
         if row.word:
             words_by_octave[row.octave] = row.k
             total, distinct = total + row.n, distinct + row.k

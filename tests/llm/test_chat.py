@@ -124,3 +124,15 @@ def test_query_by_hand(spark):
         assert r.n_turns == len(said) and r.loss_chars == len(loss)
         assert r.turns_sha256 == hashlib.sha256("".join(f"{role}\n{text}\n" for role, text in said).encode()).hexdigest()
         assert r.loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+
+
+def test_the_registered_log_is_edited_and_regenerated(spark):
+    """All kinds of events come from the whole table, and fold into the turns that they were made from."""
+    turns = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
+    events = as_events(turns)
+    kinds = {r.kind: r["count"] for r in events.groupBy("kind").count().collect()}
+    assert set(kinds) == {"open", "delta", "edit", "regenerate"} and kinds["open"] == turns.count()
+    assert kinds["edit"] > kinds["open"] / 8 and kinds["regenerate"] > kinds["open"] / 20
+    final = messages(events).select("conv_id", "message.turn", "role", "text")
+    given = turns.selectExpr("conv_id", "turn", "coalesce(role, '') role", "coalesce(text, '') text")
+    assert final.exceptAll(given).count() == 0 and given.exceptAll(final).count() == 0

@@ -27,7 +27,7 @@ def rounded(n, least):
 class Reference:
     """The model with exact tables in place of the filter."""
 
-    def __init__(self, texts, least=2):
+    def __init__(self, texts, least=1):
         self.words, self.pairs, self.least = Counter(), Counter(), least
         for text in texts:
             found = tokens(text)
@@ -164,7 +164,7 @@ def test_more_ngrams_than_one_filter_holds(spark):
     once = [prose(rnd, 400, 10**6) for _ in range(120)]
     texts = once + once
     reference = Reference(texts)
-    held = [n for n in (*reference.words.values(), *reference.pairs.values()) if n >= 2]
+    held = [*reference.words.values(), *reference.pairs.values()]
     assert sum(level_of(np.array(held))) > (1 << bloom.BLOCK_BITS) * math.log(2) / bloom.PROBES
     docs = documents(spark, *texts).repartition(3)
     rows = score_documents(docs, docs, log2_bits=bloom.BLOCK_BITS).collect()
@@ -175,7 +175,7 @@ def test_more_ngrams_than_one_filter_holds(spark):
 
 def test_parts_add_up(spark, monkeypatch):
     """Parts with so few n-grams that nothing is found by mistake give the exact tables' scores."""
-    monkeypatch.setattr(scoring, "_room", lambda log2_bits: 4000.0 * (1 << (log2_bits - 20)))
+    monkeypatch.setattr(scoring, "_room", lambda log2_bits: 4000.0 * 2.0 ** (log2_bits - 20))
     texts = corpus()
     docs = documents(spark, *texts).repartition(3)
     rows = score_documents(docs, docs.where("doc_id % 4 != 1"), table_words=40, log2_bits=20).collect()
