@@ -4,7 +4,9 @@ Texts are cut into pre-tokens, whose numbers of tokens add up. Two tiers answer
 for them, both on the worker: a table of the corpus's frequent pre-tokens, made
 once and broadcast, and a cache of the pre-tokens met beside them, each encoded
 once for a worker. Pre-tokens are never shuffled; to find the frequent ones,
-every task sums up its texts in a list of bounded length.
+every task sums up its texts in a list of bounded length. Only texts that hold a
+special string, or a character that no version of Unicode up to Python's has, are
+encoded whole.
 
 Defined results: a null or empty text has 0 bytes and 0 tokens; repeated rows
 are counted each; an empty table gives no rows.
@@ -12,10 +14,12 @@ are counted each; an empty table gives no rows.
 
 import json
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -37,6 +41,9 @@ _PIECES = re.compile(
     f"|[{_LETTERS}]+|[{_NUMBERS}]"
     f"|[^\t\n\x0b\x0c\r\x20\xa0{_LETTERS}{_NUMBERS}]+"
 )
+# Other texts are normalised by the library, and then cut by the same pattern over all of Unicode.
+_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+_ANY_PIECES = regex.compile(_SPLIT)
 
 
 class PieceCounter(dict):
@@ -45,6 +52,7 @@ class PieceCounter(dict):
     def __init__(self, tokenizer: str, frequent: dict[str, int], cache_size: int = CACHE_SIZE):
         super().__init__(frequent)
         self._tokenizer = Tokenizer.from_str(tokenizer)
+        self._normalizer, self._known = self._tokenizer.normalizer, set()
         self._frequent = frequent
         self._most = len(frequent) + cache_size
         described = json.loads(tokenizer)
@@ -65,9 +73,20 @@ class PieceCounter(dict):
 
     def pieces(self, text: str) -> list[str] | None:
         """The pre-tokens of a text; None if it must be encoded as a whole."""
-        if _SAFE.fullmatch(text) and not self._special.search(text):
+        if self._special.search(text):
+            return None
+        if _SAFE.fullmatch(text):
             return _PIECES.findall(text.lower())
-        return None
+        plain = self._normalizer.normalize_str(text)
+        return _ANY_PIECES.findall(plain) if self._are_known(plain) else None
+
+    def _are_known(self, text: str) -> bool:
+        """Whether all characters are ones of which both agree what they are: newer ones may be letters to one alone."""
+        new = set(text).difference(self._known)
+        if any(unicodedata.category(x) in ("Cn", "Cs") for x in new):
+            return False
+        self._known |= new
+        return True
 
     def count(self, text: str | None) -> int:
         if not text:
@@ -93,8 +112,7 @@ def _check(tokenizer: str) -> None:
     described = json.loads(tokenizer)
     steps = [x["type"] for x in described["normalizer"]["normalizers"]]
     split = described["pre_tokenizer"]["pretokenizers"][0]
-    pattern = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
-    if steps != ["NFC", "Replace", "Lowercase"] or split["pattern"] != {"Regex": pattern}:
+    if steps != ["NFC", "Replace", "Lowercase"] or split["pattern"] != {"Regex": _SPLIT}:
         raise ValueError("the tokenizer normalises or cuts texts in an unknown way")
 
 

@@ -1,4 +1,5 @@
 import random
+import unicodedata
 
 import pytest
 from tokenizers import Tokenizer
@@ -70,3 +71,35 @@ def test_empty_table(spark):
 def test_unknown_kinds_of_tokenizer_are_refused(spark):
     with pytest.raises((ValueError, KeyError, TypeError)):
         count_tokens(documents(spark), tokenizer_path("byte_bpe_50k.json"))
+
+
+REAL = [
+    "it’s plain “English” text — with a dash, 100 € and more…", "Привет, мир! Как дела?", "Ελληνικά κείμενα Σίσυφος", "مرحبا بالعالم ١٢٣",
+    "中文分词，测试。", "हिन्दी में पाठ", "Ｆｕｌｌ　ｗｉｄｔｈ １２", "e\u0301te\u0301 A\u030a ﬁ İI ẞ ǅ", "🙂👍🏽 ok", "한국어 텍스트", "x² ½ Ⅷ ⅷ ٣",
+]
+
+
+@pytest.mark.parametrize("text", REAL)
+def test_texts_of_all_scripts_are_answered_piece_by_piece(tokenizer, counter, text):
+    assert counter.pieces(text) is not None
+    assert counter.count(text) == length(tokenizer, text)
+
+
+def test_characters_of_all_of_unicode(tokenizer):
+    """Letters, marks, numbers, signs and white space, each among letters, digits and signs of its neighbourhood."""
+    with open(tokenizer_path(), encoding="utf-8") as file:
+        counter = PieceCounter(file.read(), {})
+    rnd, whole = random.Random(2), 0
+    codes = [c for c in range(0x110000) if unicodedata.category(chr(c)) not in ("Cs", "Cn", "Co")]
+    for block in range(0, len(codes), 40):
+        found = codes[block : block + 40]
+        text = "".join(rnd.choice(["a", "1", "!", " ", "'s", "Ä", "\u0301", chr(rnd.choice(found))]) + chr(c) for c in found)
+        whole += counter.pieces(text) is None
+        assert counter.count(text) == length(tokenizer, text), text
+    assert whole == 0 and len(codes) > 140_000
+
+
+def test_characters_too_new_to_be_sure_of(tokenizer, counter):
+    for code in (0x088F, 0x1C89, 0x323B0, 0x10D40, 0xFFFF, 0xE000):
+        text = f"ab{chr(code)}cd 1{chr(code)}"
+        assert counter.count(text) == length(tokenizer, text)
