@@ -1,9 +1,14 @@
 """Intermediate tables in the folder that the driver and all executors share."""
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Names the folder of the run that is on, if one is.
+_RUN = "dossier.scratch.run"
+
 
 def scratch_dir(spark: SparkSession, folder: str | None = None) -> str:
     """``folder``, else the folder named by ``spark.checkpoint.dir``, else the session's warehouse.
@@ -27,6 +32,26 @@ def staged(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
     The copy survives lost executors, is not computed again by later uses, and
     has a known size, by which Spark decides whether to broadcast it.
     """
-    path = f"{scratch_dir(df.sparkSession, folder)}/{name}-{uuid.uuid4().hex}"
+    run = df.sparkSession.conf.get(_RUN, None)
+    path = f"{scratch_dir(df.sparkSession, folder or run)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[str]:
+    """A folder of its own for the tables that are staged within the ``with`` block; they are gone after it.
+
+    What is to outlast the block must be written elsewhere before its end.
+    """
+    path, before = f"{scratch_dir(spark)}/run-{uuid.uuid4().hex}", spark.conf.get(_RUN, None)
+    spark.conf.set(_RUN, path)
+    try:
+        yield path
+    finally:
+        if before is None:
+            spark.conf.unset(_RUN)
+        else:
+            spark.conf.set(_RUN, before)
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

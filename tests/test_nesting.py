@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from dossier.operators.nesting import Children, attach_children
 from dossier.operators.repeats import SALT, WIDTH, Repeats, dealt_out, find_repeats
-from dossier.operators.staging import scratch_dir
+from dossier.operators.staging import scratch_dir, scratch_run, staged
 from tests.util import plain
 
 FIELDS = ["k", "c", "v"]
@@ -206,3 +206,17 @@ def test_a_local_session_may_use_its_warehouse():
 
 def test_scratch_dir_follows_the_session(spark, checkpoint_dir):
     assert scratch_dir(spark) == checkpoint_dir
+
+
+def test_a_run_leaves_no_scratch_behind(spark, checkpoint_dir):
+    before = set(os.listdir(checkpoint_dir))
+    with scratch_run(spark) as folder:
+        inner = staged(spark.range(3), "inner")
+        assert os.path.dirname(inner.inputFiles()[0].removeprefix("file://")).startswith(folder) and inner.count() == 3
+        kept = staged(inner, "kept", checkpoint_dir)
+    assert [name.split("-")[0] for name in set(os.listdir(checkpoint_dir)) - before] == ["kept"] and kept.count() == 3
+    with pytest.raises(ZeroDivisionError), scratch_run(spark) as folder:
+        staged(spark.range(1), "lost")
+        raise ZeroDivisionError
+    assert not os.path.exists(folder)
+    assert staged(spark.range(1), "after").inputFiles()[0].removeprefix("file://").startswith(f"{checkpoint_dir}/after-")
