@@ -10,7 +10,7 @@ from dossier.llm.mixing import mixed_documents
 from dossier.llm.quality import keep_good
 from dossier.llm.simhash import keep_one
 from dossier.llm.tables import read_table
-from dossier.operators.staging import staged
+from dossier.operators.staging import scratch_dir, scratch_run, staged
 
 
 def quality_rules(spark, docs, sf_dir):
@@ -53,5 +53,7 @@ ORACLE_SQL = None
 def run(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        # What a stage has written for itself goes once its result is stored.
+        with scratch_run(spark):
+            docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}", scratch_dir(spark))
     return docs
