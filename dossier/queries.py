@@ -19,6 +19,7 @@ from pyspark.sql.window import Window
 
 from dossier.functions.address import FIELDS, parse_address
 from dossier.operators.staging import scratch_dir
+from dossier.plans.countries import count_linked_in, linked_by, read_countries, write_countries
 from dossier.plans.documents import (
     build_customer_accounts,
     build_customer_documents,
@@ -838,3 +839,20 @@ def q34_sifted_rows(spark, sf_dir):
         empty = [F.lit(kind).alias("kind"), none.alias("id"), none.alias("value")]
         found.append(parts.rejected.select(*empty, "reason", "record"))
     return found[0].union(found[1]).union(found[2]).union(found[3])
+
+
+@_query(f"{_LINKED} SELECT n AS linkedCustomers FROM linked")
+def q35_indexed_count(spark, sf_dir):
+    """The count by the documents' side table of countries, of which a list reads few row groups."""
+    path = _folder(spark, "countries")
+    write_countries(order_documents(spark, sf_dir), path)
+    return count_linked_in(read_countries(spark, path), LINK)
+
+
+@_query(f"""{_ORDER_DOCUMENTS}, {_LISTED}
+SELECT DISTINCT p.customerId FROM pairs p JOIN customers c ON c.customerId = p.customerId""")
+def q36_indexed_watch_list(spark, sf_dir):
+    """The customers whom a watch-list that is a table links, by the side table."""
+    path = _folder(spark, "countries")
+    write_countries(order_documents(spark, sf_dir), path)
+    return linked_by(read_countries(spark, path), listed_nations(spark, sf_dir), "n_name").select("customerId")

@@ -96,10 +96,12 @@ def commit_stage(
     buckets: int | None = None,
     counts: dict[str, Column] | None = None,
     split_by: str | None = None,
+    options: dict[str, str] | None = None,
 ) -> Manifest:
     """Write ``df`` as the current stage at ``path``; rows go to ``buckets`` by ``key``, if there are any.
 
     With ``split_by``, a column of few values, rows of each value have a folder.
+    ``options`` are those of Spark's Parquet writer.
 
     ``counts`` are aggregates, taken of the rows as they are written: ``rows`` is
     always among them. Parquet files of a bucket are sorted by ``key``.
@@ -111,7 +113,7 @@ def commit_stage(
     if buckets:
         df = df.repartition(buckets, key)
     # The last thing before the write: tasks of the writing stage count once, even if they run again.
-    writer = df.observe(seen, *[c.alias(name) for name, c in given.items()]).write
+    writer = df.observe(seen, *[c.alias(name) for name, c in given.items()]).write.options(**(options or {}))
     if buckets:
         table = f"stage_{uuid.uuid4().hex}"
         writer = writer.bucketBy(buckets, key).sortBy(key).option("path", f"{path}/{manifest.data}")
