@@ -13,7 +13,9 @@ the others are compared.
 
 Lines with the same tokens are one class, whose first line stands for all. Where
 many classes meet in a token, each is first compared with a few of the earliest
-ones, and those that match none of these with all others that are earlier.
+ones. What then follows depends on what is asked for: to remove lines, those that match
+none of these are compared with all others that are earlier; for all links between
+different lines, all are.
 
 Defined results: a line of one or two words is one token like those of three or
 four, and is reported apart; a line without words is no line and is kept; rows
@@ -24,6 +26,7 @@ columns stay as they are. Tokens are told apart by 56-bit hashes.
 
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -369,19 +372,24 @@ def _likely(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFram
     return joined.select("a", "b", "doc_a", "doc_b", later.alias("later"))
 
 
-def _later(likely: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The later class of each pair whose tokens are as similar as asked."""
+def _links(likely: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Of the pairs those whose tokens are as similar as asked, with the ``later`` class of each."""
     of_a = sets.select(F.col("klass").alias("a"), F.col("tokens").alias("ta"))
     of_b = sets.select(F.col("klass").alias("b"), F.col("tokens").alias("tb"))
     both = F.size(F.array_intersect("ta", "tb"))
     enough = both >= F.lit(similarity) * (F.size("ta") + F.size("tb") - both) - 1e-9
-    matching = likely.join(of_a, "a").join(of_b, "b").where(enough)
-    return matching.select(F.col("later").alias("klass")).distinct()
+    return likely.join(of_a, "a").join(of_b, "b").where(enough).select("a", "b", "later")
 
 
-def _other_pairs(members: DataFrame, settled: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
+def _each_once(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _other_pairs(members: DataFrame, settled: DataFrame | None, classes: DataFrame, similarity: float) -> DataFrame:
     """Pairs of the classes that are not ``settled`` with every earlier class of their tokens not yet paired with them.
 
+    Without ``settled`` those of all classes.
+
     Earlier by their first lines. The order in which a token's classes came may be
     another, and only says which pairs there are: a class that is not ``open`` has
     been paired with all that came before it.
@@ -392,7 +400,7 @@ def _other_pairs(members: DataFrame, settled: DataFrame, classes: DataFrame, sim
     """
     first = classes.select(F.col("klass").alias("a"), F.struct("doc", "text_hash", "place").alias("first"))
     placed = members.drop("b").join(first, "a")
-    mine = placed.join(settled.select(F.col("klass").alias("a")), "a", "left_anti")
+    mine = placed if settled is None else placed.join(settled, "a", "left_anti")
     others = placed.select(
         "token", F.col("a").alias("b"), F.col("i").alias("j"), F.col("n").alias("m"),
         F.col("first").alias("first_b"), F.col("seq").alias("seq_b"),
@@ -405,7 +413,7 @@ def _other_pairs(members: DataFrame, settled: DataFrame, classes: DataFrame, sim
     )
     earlier = (F.col("first_b") < F.col("first")) & (F.col("open") | (F.col("seq_b") >= F.col("seq")))
     met = mine.join(staged(fitting, "lines-kinds"), ["token", "n", "i"]).join(others, ["token", "m", "j"])
-    return met.where(earlier).select("a", "b").distinct()
+    return _each_once(met.where(earlier))
 
 
 _LINE = ["doc", "text_hash", "place"]
@@ -426,15 +434,27 @@ def _classes(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     return staged(counted.where("lines = 1").unionByName(firsts), "lines-classes"), several
 
 
-def found_lines(
+class Joined(NamedTuple):
+    """All ``lines`` with words; their ``classes``; the lines of classes of ``several``; the classes ``near`` others; the
+    ``links``: pairs ``a``, ``b`` of matching classes and the ``later`` of both."""
+
+    lines: DataFrame
+    classes: DataFrame
+    several: DataFrame
+    near: DataFrame
+    links: DataFrame
+
+
+def joined_lines(
     docs: DataFrame,
     key: str = "doc_id",
     text: str = "text",
     similarity: float = SIMILARITY,
-) -> tuple[DataFrame, DataFrame]:
-    """``doc``, ``text_hash``, ``place`` (from 0 in the document) and ``short`` of all lines with words, and of those removed.
+    all_links: bool = False,
+) -> Joined:
+    """The join of all lines, as tables of classes and of links between them.
 
-    ``doc`` is the id, or the largest number where it is null.
+    ``links`` are all there are, each once, if ``all_links``; else as many as tell which classes match an earlier one.
     """
     texts = docs.select(_doc(key), F.col(text).alias("text"), _text_hash(text))
     listed = staged(texts.mapInArrow(_listed, _LINES), "lines")
@@ -451,7 +471,7 @@ def found_lines(
     # Most classes met no other. All that is compared from here on is among the few that did.
     both = found.select(F.explode(F.array("a", "b")).alias("klass")).where("klass IS NOT NULL").distinct()
     near = staged(classes.join(both, "klass", "left_semi"), "lines-near")
-    pairs = found.where("b IS NOT NULL").select("a", "b").distinct()
+    pairs = _each_once(found.where("b IS NOT NULL"))
     likely = staged(_likely(pairs, near, similarity), "lines-likely")
     members = found.where("token IS NOT NULL")
     # The texts are read once more for the tokens of all classes that either step may compare.
@@ -459,16 +479,42 @@ def found_lines(
     more = members.select(F.col("a").alias("klass")).distinct().join(near.select("klass", "doc"), "klass")
     wanted = staged(ends.union(more).distinct(), "lines-wanted")
     sets = staged(_token_sets(texts, shared, wanted), "lines-sets")
-    later = staged(_later(likely, sets, similarity), "lines-later")
-    others = staged(_likely(_other_pairs(members, later, near, similarity), near, similarity), "lines-others")
-    later = staged(later.union(_later(others, sets, similarity)).distinct(), "lines-later")
-    every = [*_LINE, "short"]
+    links = staged(_links(likely, sets, similarity), "lines-links")
+    settled = None if all_links else links.select(F.col("later").alias("a")).distinct()
+    others = _other_pairs(members, settled, near, similarity).join(likely, ["a", "b"], "left_anti")
+    others = staged(_likely(others, near, similarity), "lines-others")
+    links = links.union(staged(_links(others, sets, similarity), "lines-links"))
+    return Joined(lines, classes, several, near, links)
+
+
+def noted_lines(joined: Joined) -> DataFrame:
+    """All lines that others equal or match, the same text's or not, and whether each is ``removed``.
+
+    Their class is that of ``first_doc`` and ``first_place``, its first line; it has so many ``copies`` (lines, its first
+    included), and ``links`` to other classes.
+    """
+    ends = F.array(*[F.struct(F.col(x).alias("klass"), (F.col(x) == F.col("later")).alias("goes")) for x in "ab"])
+    marks = joined.links.select(F.explode(ends).alias("end")).groupBy(F.col("end.klass").alias("klass"))
+    marks = staged(marks.agg(F.count(F.lit(1)).alias("links"), F.bool_or("end.goes").alias("goes")), "lines-marks")
+    first = ["klass", F.struct(*_LINE).alias("first"), F.col("lines").alias("copies")]
     # Classes of one line are lines themselves; of the others all lines go but the first, and that too if it is later.
-    ones = near.where("lines = 1").join(later, "klass", "left_semi").select(every)
-    first = classes.where("lines > 1").select("klass", F.struct(*_LINE).alias("_first"))
-    marked = first.join(later.withColumn("_later", F.lit(True)), "klass", "left")
-    rest = several.join(marked, "klass").where(F.coalesce("_later", F.struct(*_LINE) != F.col("_first")))
-    return lines.select(every), staged(ones.unionByName(rest.select(every)), "lines-gone")
+    ones = joined.near.where("lines = 1").join(marks, "klass").select(*_LINE, "short", *first[1:], "links", "goes")
+    marked = joined.classes.where("lines > 1").select(*first).join(marks, "klass", "left")
+    rest = joined.several.join(marked, "klass").select(*ones.columns)
+    removed = F.coalesce("goes", F.lit(False)) | (F.struct(*_LINE) != F.col("first"))
+    return ones.unionByName(rest).select(
+        *_LINE, "short", removed.alias("removed"), F.nullif(F.col("first.doc"), F.lit(_LAST)).alias("first_doc"),
+        F.col("first.place").alias("first_place"), "copies", F.coalesce("links", F.lit(0)).alias("links"),
+    )
+
+
+def found_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> tuple[DataFrame, DataFrame]:
+    """``doc``, ``text_hash``, ``place`` (from 0 in the document) and ``short`` of all lines with words, and of those removed.
+
+    ``doc`` is the id, or the largest number where it is null.
+    """
+    joined, every = joined_lines(docs, key, text, **options), [*_LINE, "short"]
+    return joined.lines.select(every), staged(noted_lines(joined).where("removed").select(every), "lines-gone")
 
 
 def repeated_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -488,22 +534,30 @@ def line_report(docs: DataFrame, key: str = "doc_id", text: str = "text", **opti
     ).select(F.when(F.col("doc") != _LAST, F.col("doc")).alias(key), "n_lines", "removed_lines")
 
 
-def document_report(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """For each document ``n_lines`` and ``removed_lines``, and ``n_short_lines`` and ``removed_short_lines``."""
+def document_report(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", links: bool = False, **options
+) -> DataFrame:
+    """For each document ``n_lines`` and ``removed_lines``, ``n_short_lines`` and ``removed_short_lines``.
+
+    With ``links`` also ``linked_lines``: by place, each line that others equal or match, with its class as ``first_doc``
+    and ``first_place``, the class's ``copies``, and its ``links`` to other classes, all that there are.
+    """
     row = ["doc", "text_hash"]
-    lines, gone = found_lines(docs, key, text, **options)
+    joined = joined_lines(docs, key, text, all_links=links, **options)
     columns = {"lines": ~F.col("short"), "short_lines": F.col("short")}
-    counts = lines.groupBy(*row).agg(*[F.count_if(some).alias(f"n_{x}") for x, some in columns.items()])
-    # Few documents lose any lines, so few are put into lists.
-    places = gone.groupBy(*row).agg(
-        *[F.array_sort(F.collect_set(F.when(some, F.col("place")))).alias(f"removed_{x}") for x, some in columns.items()]
-    )
+    counts = joined.lines.groupBy(*row).agg(*[F.count_if(some).alias(f"n_{x}") for x, some in columns.items()])
+    lists = {f"removed_{x}": F.when(some & F.col("removed"), F.col("place")) for x, some in columns.items()}
+    if links:
+        lists["linked_lines"] = F.struct("place", "first_doc", "first_place", "copies", "links")
+    # Few documents have any such lines, so few are put into lists.
+    noted = noted_lines(joined).where(F.lit(links) | F.col("removed"))
+    places = noted.groupBy(*row).agg(*[F.array_sort(F.collect_set(x)).alias(name) for name, x in lists.items()])
     report = docs.select(_doc(key), _text_hash(text), F.col(key))
     for found in (counts, places):
         report = report.join(found.hint("merge"), row, "left")
-    none = {"n": F.lit(0), "removed": F.array().cast("array<int>")}
-    names = [f"{kind}_{x}" for x in columns for kind in none]
-    return report.select(key, *[F.coalesce(x, none[x.split("_")[0]]).alias(x) for x in names])
+    names = [f"{kind}_{x}" for x in columns for kind in ("n", "removed")] + (["linked_lines"] if links else [])
+    none = {x: F.lit(0) if x.startswith("n_") else F.array().cast(report.schema[x].dataType) for x in names}
+    return report.select(key, *[F.coalesce(x, none[x]).alias(x) for x in names])
 
 
 def _without(text: Column, places: Column) -> Column:

@@ -95,8 +95,9 @@ def chat_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op7_line_dedup(spark, sf_dir):
-    """The lines removed from each document, by their places; those of one or two words by themselves."""
-    return document_report(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """The lines removed from each document, by their places, those of one or two words by themselves; and each linked
+    line's class and number of links."""
+    return document_report(read_table(spark, sf_dir, "documents").select("doc_id", "text"), links=True)
 
 
 @_query

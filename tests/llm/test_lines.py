@@ -196,3 +196,83 @@ def test_columns_that_clash(spark, name):
     left = dedup_lines(docs)
     assert left.columns == docs.columns
     assert sorted((r.doc_id, r.text, r[name]) for r in left.collect()) == [(0, line, 10), (1, "first own words", 11)]
+
+
+def expected_links(rows):
+    """By document: place, class, copies and links of all lines that another line equals or matches; ids are not null."""
+    members = {}
+    for key, text in sorted(rows):
+        for place, line in enumerate((text or "").split("\n")):
+            if tokens(line):
+                members.setdefault(tokens(line), []).append((key, place))
+    # Only sets that share a token can match.
+    holders = {}
+    for mine in members:
+        for token in mine:
+            holders.setdefault(token, []).append(mine)
+    found = {key: [] for key, _ in rows}
+    for mine, at in members.items():
+        met = {other for token in mine for other in holders[token]} - {mine}
+        links = sum(5 * len(mine & other) >= 4 * len(mine | other) for other in met)
+        for key, place in at:
+            if links or len(at) > 1:
+                found[key].append((place, *at[0], len(at), links))
+    return {key: sorted(each) for key, each in found.items()}
+
+
+def links_of(df):
+    return {r.doc_id: [tuple(x) for x in r.linked_lines] for r in df.collect()}
+
+
+@pytest.mark.parametrize("earliest", [1, 3, 64])
+def test_links_against_brute_force(spark, monkeypatch, earliest):
+    """With few early classes most links come from the second step, and none is lost."""
+    monkeypatch.setattr(lines, "EARLIEST", earliest)
+    monkeypatch.setattr(lines, "PAIRED", min(2, earliest))
+    rows = corpus(random.Random(20 + earliest), 40)
+    found = links_of(lines.document_report(documents(spark, *rows).repartition(5), links=True))
+    assert found == expected_links(rows)
+    assert any(x[-1] for each in found.values() for x in each)
+
+
+def test_links_of_many_variants(spark):
+    """All links of a family of which most classes match the first ones already."""
+    rnd = random.Random(9)
+    line = prose(rnd, 50, 10**6)
+    rows = [(i, varied(rnd, line, rnd.randrange(3))) for i in range(150)] + [(500 + i, line) for i in range(100)]
+    found = links_of(lines.document_report(documents(spark, *rows).repartition(4), links=True))
+    assert found == expected_links(rows)
+    assert sum(x[-1] for each in found.values() for x in each) > 10 * len(rows)
+
+
+def test_links_are_pairs_once_each(spark):
+    """The library hands on the pairs and the classes themselves."""
+    rnd = random.Random(3)
+    line = prose(rnd, 50, 10**6)
+    rows = [(i, varied(rnd, line, rnd.randrange(2))) for i in range(80)]
+    joined = lines.joined_lines(documents(spark, *rows).repartition(4), all_links=True)
+    pairs = [(r.a, r.b) for r in joined.links.collect()]
+    assert len({frozenset(x) for x in pairs}) == len(pairs) == sum(
+        x[-1] for x in {tuple(x[1:]) for each in expected_links(rows).values() for x in each}
+    ) // 2
+    assert {x for pair in pairs for x in pair} <= {r.klass for r in joined.classes.collect()}
+
+
+def test_query_links(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    found = links_of(op7_line_dedup(spark, SF))
+    assert found == expected_links(rows)
+    assert any(x[-1] for each in found.values() for x in each)
+    assert any(x[-2] > 1 for each in found.values() for x in each)
+    rows = {r.doc_id: r for r in op7_line_dedup(spark, SF).collect()}
+    for row in rows.values():
+        later = {x.place for x in row.linked_lines if (x.first_doc, x.first_place) != (row.doc_id, x.place)}
+        assert later <= set(row.removed_lines) | set(row.removed_short_lines)
+
+
+def test_links_without_rows_or_ids(spark):
+    line = "one two three four five six seven"
+    assert lines.document_report(documents(spark), links=True).count() == 0
+    docs = documents(spark, (None, line), (3, "x\n" + line), (4, None), (5, "only here are such words"))
+    found = lines.document_report(docs, links=True)
+    assert links_of(found) == {None: [(0, 3, 1, 2, 0)], 3: [(1, 3, 1, 2, 0)], 4: [], 5: []}
