@@ -546,12 +546,19 @@ def document_report(
     joined = joined_lines(docs, key, text, all_links=links, **options)
     columns = {"lines": ~F.col("short"), "short_lines": F.col("short")}
     counts = joined.lines.groupBy(*row).agg(*[F.count_if(some).alias(f"n_{x}") for x, some in columns.items()])
-    lists = {f"removed_{x}": F.when(some & F.col("removed"), F.col("place")) for x, some in columns.items()}
-    if links:
-        lists["linked_lines"] = F.struct("place", "first_doc", "first_place", "copies", "links")
     # Few documents have any such lines, so few are put into lists.
-    noted = noted_lines(joined).where(F.lit(links) | F.col("removed"))
-    places = noted.groupBy(*row).agg(*[F.array_sort(F.collect_set(x)).alias(name) for name, x in lists.items()])
+    noted = noted_lines(joined) if links else noted_lines(joined).where("removed")
+    link = ["place", "first_doc", "first_place", "copies", "links"]
+    each = F.sort_array(F.collect_set(F.struct(*link, "removed", "short"))).alias("_noted")
+
+    def removed(short: bool) -> Column:
+        gone = F.filter("_noted", lambda line: line["removed"] & (line["short"] == F.lit(short)))
+        return F.transform(gone, lambda line: line["place"])
+
+    lists = {"removed_lines": removed(False), "removed_short_lines": removed(True)}
+    if links:
+        lists["linked_lines"] = F.transform("_noted", lambda line: F.struct(*[line[x].alias(x) for x in link]))
+    places = noted.groupBy(*row).agg(each).select(*row, *[x.alias(name) for name, x in lists.items()])
     report = docs.select(_doc(key), _text_hash(text), F.col(key))
     for found in (counts, places):
         report = report.join(found.hint("merge"), row, "left")
