@@ -357,6 +357,12 @@ def _token_sets(texts: DataFrame, shared, wanted: DataFrame) -> DataFrame:
     return rows.join(wanted, "klass", "left_semi").groupBy("klass").agg(F.any_value("tokens").alias("tokens"))
 
 
+def _near_enough(a: str, b: str, sizes: Column, similarity: float) -> Column:
+    """Whether the signatures of two sets differ in no more bits than matching sets of ``sizes`` tokens in all may."""
+    apart = F.bit_count(F.col(a).bitwiseXOR(F.col(b)))
+    return apart <= F.lit((1 - similarity) / (1 + similarity)) * sizes + 1e-9
+
+
 def _likely(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
     """The ``pairs`` whose signatures allow a match, with the first document of each and the ``later`` of both."""
     at = F.struct("doc", "text_hash", "place")
@@ -365,55 +371,66 @@ def _likely(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFram
         others = [F.col(c).alias(f"{c}_{x}") for c in ("doc", "n", "signature")]
         return classes.select(F.col("klass").alias(x), *others, at.alias(f"at_{x}"))
 
-    apart = F.bit_count(F.col("signature_a").bitwiseXOR(F.col("signature_b")))
-    most = F.lit((1 - similarity) / (1 + similarity)) * (F.col("n_a") + F.col("n_b")) + 1e-9
+    near = _near_enough("signature_a", "signature_b", F.col("n_a") + F.col("n_b"), similarity)
     later = F.when(F.col("at_a") > F.col("at_b"), F.col("a")).otherwise(F.col("b"))
-    joined = pairs.join(side("a"), "a").join(side("b"), "b").where((apart <= most) & (F.col("at_a") != F.col("at_b")))
+    joined = pairs.join(side("a"), "a").join(side("b"), "b").where(near & (F.col("at_a") != F.col("at_b")))
     return joined.select("a", "b", "doc_a", "doc_b", later.alias("later"))
 
 
+def _similar(a: str, b: str, similarity: float) -> Column:
+    """Whether the Jaccard similarity of two columns of tokens is as asked."""
+    both = F.size(F.array_intersect(a, b))
+    return both >= F.lit(similarity) * (F.size(a) + F.size(b) - both) - 1e-9
+
+
 def _links(likely: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """Of the pairs those whose tokens are as similar as asked, with the ``later`` class of each."""
     of_a = sets.select(F.col("klass").alias("a"), F.col("tokens").alias("ta"))
     of_b = sets.select(F.col("klass").alias("b"), F.col("tokens").alias("tb"))
-    both = F.size(F.array_intersect("ta", "tb"))
-    enough = both >= F.lit(similarity) * (F.size("ta") + F.size("tb") - both) - 1e-9
-    return likely.join(of_a, "a").join(of_b, "b").where(enough).select("a", "b", "later")
+    return likely.join(of_a, "a").join(of_b, "b").where(_similar("ta", "tb", similarity)).select("a", "b", "later")
 
 
 def _each_once(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _other_pairs(members: DataFrame, settled: DataFrame | None, classes: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of the classes that are not ``settled`` with every earlier class of their tokens not yet paired with them.
-
-    Without ``settled`` those of all classes.
+def _other_links(
+    members: DataFrame, settled: DataFrame | None, classes: DataFrame, sets: DataFrame, similarity: float
+) -> DataFrame:
+    """Links of the classes that are not ``settled`` to every earlier class of their tokens not yet paired with them.
 
-    Earlier by their first lines. The order in which a token's classes came may be
-    another, and only says which pairs there are: a class that is not ``open`` has
-    been paired with all that came before it.
+    Without ``settled`` those of all classes. Earlier by their first lines. The order in which a token's classes came may
+    be another, and only says which pairs there are: a class that is not ``open`` has been paired with all that came
+    before it.
 
     A token may be in very many classes. So first the sizes and places with which
     it stands in sets are held against each other, and only those classes meet that
-    the length and positional filters let match.
+    the length and positional filters let match, and only in the first token that both
+    have, by the rarer ones that each brings along: so a pair comes from one token, once.
     """
-    first = classes.select(F.col("klass").alias("a"), F.struct("doc", "text_hash", "place").alias("first"))
-    placed = members.drop("b").join(first, "a")
+    first = F.struct("doc", "text_hash", "place").alias("first")
+    known = classes.select("klass", first, "signature").join(sets, "klass").withColumnRenamed("klass", "a")
+    rarer = F.slice("tokens", F.lit(1), F.col("i")).alias("rarer")
+    # A class may have come to a token from several tasks.
+    came = members.groupBy("token", "a", "n", "i").agg(
+        F.min("seq").alias("seq"), F.max("seq").alias("last"), F.bool_or("open").alias("open")
+    )
+    placed = staged(came.join(known, "a").select(*came.columns, "first", "signature", rarer), "lines-placed")
     mine = placed if settled is None else placed.join(settled, "a", "left_anti")
-    others = placed.select(
-        "token", F.col("a").alias("b"), F.col("i").alias("j"), F.col("n").alias("m"),
-        F.col("first").alias("first_b"), F.col("seq").alias("seq_b"),
-    )
+    renamed = {"a": "b", "i": "j", "n": "m", "first": "first_b", "last": "last_b", "signature": "signature_b", "rarer": "rarer_b"}
+    others = placed.select("token", *[F.col(x).alias(y) for x, y in renamed.items()])
     n, m, share = F.col("n"), F.col("m"), F.lit(similarity)
     need = F.ceil(share / (1 + share) * (n + m) - 1e-9)
     kinds = mine.select("token", "n", "i").distinct().join(others.select("token", "m", "j").distinct(), "token")
     fitting = kinds.where(F.least(n, m) >= share * F.greatest(n, m) - 1e-9).where(
         F.least(n - F.col("i"), m - F.col("j")) >= need
     )
-    earlier = (F.col("first_b") < F.col("first")) & (F.col("open") | (F.col("seq_b") >= F.col("seq")))
     met = mine.join(staged(fitting, "lines-kinds"), ["token", "n", "i"]).join(others, ["token", "m", "j"])
-    return _each_once(met.where(earlier))
+    earlier = (F.col("first_b") < F.col("first")) & (F.col("open") | (F.col("last_b") >= F.col("seq")))
+    near = _near_enough("signature", "signature_b", n + m, similarity)
+    found = met.where(earlier & near & ~F.arrays_overlap("rarer", "rarer_b"))
+    pairs = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.col("a").alias("later"))
+    return _links(staged(pairs, "lines-others"), sets, similarity)
 
 
 _LINE = ["doc", "text_hash", "place"]
@@ -481,9 +498,8 @@ def joined_lines(
     sets = staged(_token_sets(texts, shared, wanted), "lines-sets")
     links = staged(_links(likely, sets, similarity), "lines-links")
     settled = None if all_links else links.select(F.col("later").alias("a")).distinct()
-    others = _other_pairs(members, settled, near, similarity).join(likely, ["a", "b"], "left_anti")
-    others = staged(_likely(others, near, similarity), "lines-others")
-    links = links.union(staged(_links(others, sets, similarity), "lines-links"))
+    others = _other_links(members, settled, near, sets, similarity).join(links, ["a", "b"], "left_anti")
+    links = links.union(staged(others, "lines-links"))
     return Joined(lines, classes, several, near, links)
 
 
