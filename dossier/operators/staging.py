@@ -26,15 +26,19 @@ def scratch_dir(spark: SparkSession, folder: str | None = None) -> str:
     return folder.rstrip("/")
 
 
-def staged(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
-    """``df`` written once and read back.
+def scratch_path(spark: SparkSession, name: str, folder: str | None = None) -> str:
+    """A new path for an intermediate table, within the folder of the run that is on."""
+    return f"{scratch_dir(spark, folder or spark.conf.get(_RUN, None))}/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str, folder: str | None = None, by: str | None = None) -> DataFrame:
+    """``df`` written once and read back; in folders by the values of the column ``by``, if that is given.
 
     The copy survives lost executors, is not computed again by later uses, and
     has a known size, by which Spark decides whether to broadcast it.
     """
-    run = df.sparkSession.conf.get(_RUN, None)
-    path = f"{scratch_dir(df.sparkSession, folder or run)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path = scratch_path(df.sparkSession, name, folder)
+    df.write.parquet(path, partitionBy=by)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
