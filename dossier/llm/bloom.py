@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dossier.llm.words import mixed
@@ -77,10 +77,16 @@ def told_apart(df: DataFrame, key: str, keys: DataFrame, log2_bits: int = 26) ->
     return df.where(hit), df.where(~hit)
 
 
-def build(rows: DataFrame, log2_bits: int) -> Bloom:
-    """The filter of ``key`` (bigint) at the levels 1 to ``level`` (int); ``2 ** log2_bits`` bits."""
+def blocks(rows: DataFrame, log2_bits: int, part: Column | None = None) -> DataFrame:
+    """``block`` and its ``bits`` for the filter of ``key`` (bigint) at the levels 1 to ``level`` (int); ``2 ** log2_bits`` bits.
+
+    With ``part`` (an int) for one filter of this size for each part: the blocks of part p are those from p times the
+    number of blocks on.
+    """
     log2_blocks = max(0, log2_bits - BLOCK_BITS)
     block = F.shiftrightunsigned("key", 64 - log2_blocks) if log2_blocks else F.lit(0).cast("bigint")
+    if part is not None:
+        block += F.shiftleft(part.cast("bigint"), log2_blocks)
     dealt = rows.select(block.cast("int").alias("block"), "key", "level")
     dealt = dealt.repartition("block").sortWithinPartitions("block")
 
@@ -111,10 +117,20 @@ def build(rows: DataFrame, log2_bits: int) -> Bloom:
         if current is not None:
             yield closed()
 
+    return dealt.mapInArrow(fill, "block int, bits binary")
+
+
+def assembled(filled: DataFrame, log2_bits: int) -> Bloom:
+    """The filter whose ``blocks`` these are, whichever its part."""
     bits = np.zeros(1 << (max(log2_bits, BLOCK_BITS) - 3), np.uint8)
     size = 1 << (BLOCK_BITS - 3)
-    table = dealt.mapInArrow(fill, "block int, bits binary").toArrow()  # a row for each block at most
-    for block, filled in zip(table.column("block"), table.column("bits"), strict=True):
-        at = block.as_py() * size
-        bits[at : at + size] = np.frombuffer(filled.as_buffer(), np.uint8)
-    return Bloom(bits, log2_blocks)
+    table = filled.select("block", "bits").toArrow()  # a row for each block at most
+    for block, own in zip(table.column("block"), table.column("bits"), strict=True):
+        at = block.as_py() * size % len(bits)
+        bits[at : at + size] = np.frombuffer(own.as_buffer(), np.uint8)
+    return Bloom(bits, max(0, log2_bits - BLOCK_BITS))
+
+
+def build(rows: DataFrame, log2_bits: int) -> Bloom:
+    """The filter of ``key`` (bigint) at the levels 1 to ``level`` (int); ``2 ** log2_bits`` bits."""
+    return assembled(blocks(rows, log2_bits), log2_bits)

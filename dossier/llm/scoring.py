@@ -7,11 +7,16 @@ another is that of the pair, smoothed by the word's own:
 
     P(w | h) = (c(h, w) + M P(w)) / (c(h) + M),   P(w) = (c(w) + 0.5) / (N + 0.5 (V + 1))
 
-More n-grams than one filter holds are split into parts by their words, a pair being
-in the parts of both. The parts go to the workers one after the other. The numerator
-needs the part of w, the denominator that of h, so their logarithms are summed up
-part by part. Beside it stands an exact score by single words. Its counts come from a
-table of frequent words on the workers, and by a join for the others.
+A text's words stand before others as often as after others, its end token too. So
+its score is the sum, over its tokens w, of log10(c(h, w) + M P(w)) - log10(c(w) + M).
+
+More n-grams than one filter holds are split into parts by their last word: all that a
+token adds to the score is then in one part. Words with too many pairs for one part have these in several,
+and themselves in each of them. The tokens are dealt to these parts, in one pass
+over the texts, as a stored table with a folder for each part. The parts go to the
+workers one after the other, each to meet its own tokens alone, so that all of them
+together cost no more than the tokens do. Beside it stands an exact score by single words. Its
+counts come from a table of frequent words on the workers, and by a join for the others.
 
 Words have A-Z lower-cased; each text ends with an end token, which also stands
 before its first word. N-grams are told apart by 63-bit hashes.
@@ -23,16 +28,16 @@ rows count and are scored each; an empty table gives no rows.
 
 import math
 from collections.abc import Iterator
-from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from dossier.llm import bloom
 from dossier.llm.words import Slice, mixed, slices, word_hashes, words_of
-from dossier.operators.staging import staged
+from dossier.operators.staging import scratch_path, staged
 
 # The split of the contract, and the constant added to counts.
 FOLDS, HELD_OUT = 5, 1
@@ -46,6 +51,8 @@ PRIOR = 100.0
 LOG2_FILTER_BITS = 30
 # The least: 8 MB.
 LEAST_LOG2_BITS = 26
+# The most such parts.
+MOST_PARTS = 1 << 12
 # N-grams that a task adds up at once.
 COUNTED_AT_ONCE = 1 << 22
 # Frequent words whose exact counts go to all workers.
@@ -53,11 +60,10 @@ TABLE_WORDS = 1 << 19
 
 _END = np.uint64(0xD1B54A32D192ED02)
 _WORD_MASK = np.uint64(0xFFFFFFFFFFFFFFFE)
-# Of a word's hash, so many bits after the lowest say to which part it belongs. A pair has those of its second word in
-# the same place, and those of its first word after them.
-_TAG_BITS = 8
+# Of a word's hash, so many bits after the lowest say to which part it belongs. A pair has those of its second word.
+_TAG_BITS = 12
 _TAGS = np.uint64((1 << _TAG_BITS) - 1)
-_PAIR_MASK = np.uint64(((1 << 64) - 1) ^ ((2 << 2 * _TAG_BITS) - 1))
+_PAIR_MASK = np.uint64(((1 << 64) - 1) ^ ((2 << _TAG_BITS) - 1))
 
 
 def _edges() -> np.ndarray:
@@ -89,9 +95,8 @@ def tokens_of(part: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     sizes = np.bincount(words.row, minlength=part.rows) + 1
     tokens = np.full(len(hashes) + part.rows, _END, np.uint64)
     tokens[np.arange(len(hashes)) + words.row] = hashes & _WORD_MASK
-    before = _before(tokens)
-    tags = (_tag(tokens) | _tag(before) << np.uint64(_TAG_BITS)) << np.uint64(1)
-    pairs = (mixed(mixed(before) + tokens) & _PAIR_MASK) | tags | np.uint64(1)
+    before = np.concatenate([np.full(min(1, len(tokens)), _END), tokens[:-1]])
+    pairs = (mixed(mixed(before) + tokens) & _PAIR_MASK) | _tag(tokens) << np.uint64(1) | np.uint64(1)
     return tokens, pairs, np.repeat(np.arange(part.rows), sizes)
 
 
@@ -99,10 +104,6 @@ def _tag(words: np.ndarray) -> np.ndarray:
     return (words >> np.uint64(1)) & _TAGS
 
 
-def _before(tokens: np.ndarray) -> np.ndarray:
-    return np.concatenate([np.full(min(1, len(tokens)), _END), tokens[:-1]])
-
-
 def count_ngrams(texts: DataFrame) -> DataFrame:
     """``gram`` and ``n`` of all words and pairs, each task's added up in memory of fixed size before they are shuffled."""
 
@@ -137,59 +138,34 @@ def _is_word() -> Column:
 
 
 class Model:
-    """What workers need: a part of the filter, N, V, and the frequent words' exact counts."""
+    """What workers need: N, V, the frequent words' exact counts, and the filter or a part of it."""
 
     def __init__(self, total: int, distinct: int, words: np.ndarray, counts: np.ndarray):
         self.total, self.distinct = total, distinct
         self.words, self.counts = words, counts
         self.norm = total + ADDED * (distinct + 1)
 
-    def with_part(self, filled: bloom.Bloom, part: int, parts: int) -> "Model":
+    def with_filter(self, filled: bloom.Bloom) -> "Model":
         model = Model(self.total, self.distinct, self.words, self.counts)
-        model.filled, model.part, model.parts = filled, part, parts
+        model.filled = filled
         return model
 
-    def has_part(self, words: np.ndarray) -> np.ndarray:
-        """Whether each word belongs to this part."""
-        return (_tag(words) & np.uint64(self.parts - 1)) == self.part
-
-    @cached_property
-    def _rounded_words(self) -> np.ndarray:
-        """The counts of the frequent words as the filter has them; probed once on each worker."""
-        return self.rounded(self.words)
+    def look_up(self, words: np.ndarray) -> np.ndarray:
+        """The exact counts of the frequent among some words, -1 for others."""
+        if not len(self.words):
+            return np.full(len(words), -1)
+        at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
+        return np.where(self.words[at] == words, self.counts[at], -1)
 
     def rounded(self, grams: np.ndarray) -> np.ndarray:
-        """The counts of n-grams as the filter has them."""
-        return VALUES[self.filled.levels(grams)]
+        """The counts of n-grams as the filter has them, each probed once."""
+        distinct, index = np.unique(grams, return_inverse=True)
+        return VALUES[self.filled.levels(distinct)][index]
 
-    def look_up(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For distinct words in order: exact counts of the frequent, -1 for others; counts as the filter has them."""
-        if not len(self.words):
-            return np.full(len(words), -1), self.rounded(words)
-        at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
-        known = self.words[at] == words
-        rounded = np.zeros(len(words))
-        rounded[known] = self._rounded_words[at[known]]
-        rounded[~known] = self.rounded(words[~known])
-        return np.where(known, self.counts[at], -1), rounded
-
-    def log_probabilities(self, tokens: np.ndarray, own: np.ndarray, first: float, pairs: np.ndarray) -> np.ndarray:
-        """What this part adds to the log10 of each token's probability after the one before it.
-
-        ``own`` are the counts of the tokens as the filter has them, ``first`` that of the end token, which stands
-        before all.
-        """
-        after, ahead = self.has_part(tokens), self.has_part(_before(tokens))
-        some = np.flatnonzero(after | ahead)
-        distinct, index = np.unique(pairs[some], return_inverse=True)
-        together = np.zeros(len(pairs))
-        together[some] = self.rounded(distinct)[index]
-        before = np.concatenate([[first], own[:-1]])
-        alone = (own + ADDED) / self.norm
-        # Rounded, a pair's count may be above its first word's.
-        return np.where(after, np.log10(together + PRIOR * alone), 0.0) - np.where(
-            ahead, np.log10(np.maximum(before, together) + PRIOR), 0.0
-        )
+    def log_probabilities(self, tokens: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+        """What tokens of which the filter has all n-grams add to the log10 probability of their texts."""
+        own, together = self.rounded(tokens), self.rounded(pairs)
+        return np.log10(together + PRIOR * (own + ADDED) / self.norm) - np.log10(own + PRIOR)
 
 
 def _cutoff(by_octave: dict[int, int], most: float, weight) -> int:
@@ -212,55 +188,105 @@ def _level(octave: int) -> int:
     return int(level_of(np.array((2 << octave) - 1)))
 
 
-class Grams:
-    """The stored n-grams, and the parts into which their filter is split.
+class Parts:
+    """To which part of the filter an n-gram goes, by the tag of its last word.
 
-    A filter is no larger than it must be. Words are dealt to parts by their hashes,
-    so that one with very many pairs may make a part larger than the others: there are
-    then more parts, and an error if even the most would not do.
+    ``own`` is the part of each tag; -1 for tags too heavy for one part. Their pairs
+    are dealt to the ``spread`` last parts by their hashes, and their words are in all of these.
     """
 
+    def __init__(self, own: np.ndarray, packed: int, spread: int):
+        self.own, self.packed, self.spread, self.number = own, packed, spread, packed + spread
+
+    def of(self, grams: np.ndarray) -> np.ndarray:
+        part = self.own[_tag(grams).view(np.int64)]
+        heavy = np.flatnonzero(part < 0)
+        if len(heavy):
+            hashes = grams[heavy] >> np.uint64(1 + _TAG_BITS)
+            part[heavy] = self.packed + (hashes % np.uint64(self.spread)).astype(np.int64)
+        return part
+
+    def of_all(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Indexes of n-grams and their parts, words of heavy tags several times."""
+        part = self.of(grams)
+        many = (self.own[_tag(grams).view(np.int64)] < 0) & (grams & np.uint64(1) == 0)
+        times = np.where(many, self.spread, 1)
+        index = np.repeat(np.arange(len(grams)), times)
+        nth = np.arange(len(index)) - np.repeat(np.cumsum(times) - times, times)
+        return index, np.where(many[index], self.packed + nth, part[index])
+
+
+def _packed(words: np.ndarray, pairs: np.ndarray, room: float) -> tuple[Parts, float]:
+    """Parts of at most ``room`` levels for tags with so many levels of words and of pairs, and the most that one has."""
+    weights = words + pairs
+    own, filled = np.full(len(weights), -1), []
+    # Each tag to the first part with room for it, heavy ones first.
+    for tag in np.argsort(-weights, kind="stable").tolist():
+        if weights[tag] <= room / 2:
+            fits = (i for i, held in enumerate(filled) if held + weights[tag] <= room)
+            if (part := next(fits, len(filled))) == len(filled):
+                filled.append(0.0)
+            filled[part] += weights[tag]
+            own[tag] = part
+    heavy = own < 0
+    spread, each = 0, words[heavy].sum()
+    if heavy.any():
+        if each > room / 2:
+            raise ValueError("too many words for a part of the filter; give more bits")
+        # Dealt by hashes, parts are not quite even.
+        spread = math.ceil(pairs[heavy].sum() / (0.9 * (room - each)))
+        each += pairs[heavy].sum() / spread
+    if len(filled) + spread > MOST_PARTS:
+        raise ValueError(f"{len(filled) + spread} parts of the filter are more than {MOST_PARTS}; give more bits")
+    return Parts(own, len(filled), spread), max([each, *filled])
+
+
+class Grams:
+    """The stored n-grams, and the parts into which their filter is split. A filter is no larger than it must be."""
+
     def __init__(self, counted: DataFrame, weight: float, log2_bits: int):
-        self.kept, self.log2_bits = counted, log2_bits
-        self.parts, self.weights = 1, [weight]
+        self.kept, self.parts, heaviest = counted, None, weight
         if weight > _room(log2_bits):
-            # In parts, a pair is held twice.
-            while 2 * weight > self.parts * _room(log2_bits) and self.parts < 1 << _TAG_BITS:
-                self.parts *= 2
-            self.weights = self._weights()
-            while max(self.weights) > _room(log2_bits) and self.parts < 1 << _TAG_BITS:
-                self.parts *= 2
-                self.weights = self._weights()
-        if max(self.weights) > _room(log2_bits):
-            raise ValueError(f"{self.parts} parts of 2^{log2_bits} bits do not hold the n-grams; give more bits")
-
-    def _of(self, shift: int) -> Column:
-        return F.shiftrightunsigned("gram", shift).bitwiseAND(F.lit(self.parts - 1).cast("bigint"))
-
-    def _weights(self) -> list[float]:
-        """The levels of each part at most."""
-        weights = [0.0] * self.parts
-        octave = (F.length(F.bin("n")) - 1).alias("octave")
-        for shift, some in ((1, self.kept), (1 + _TAG_BITS, self.kept.where(~_is_word()))):
-            # At most 63 octaves for each of 256 parts.
-            for row in some.groupBy(self._of(shift).alias("part"), octave).agg(F.count(F.lit(1)).alias("k")).collect():
-                weights[row.part] += row.k * _level(row.octave)
+            self.parts, heaviest = _packed(*self._weights(), _room(log2_bits))
+        self.log2_bits = min(log2_bits, LEAST_LOG2_BITS)
+        while heaviest > _room(self.log2_bits) and self.log2_bits < log2_bits:
+            self.log2_bits += 1
+
+    def _weights(self) -> np.ndarray:
+        """For words and for pairs, the levels of each tag at most."""
+        weights = np.zeros((2, 1 << _TAG_BITS))
+        levels = F.get(F.array(*[F.lit(_level(octave)) for octave in range(63)]), F.length(F.bin("n")) - 1)
+        tag = F.shiftrightunsigned("gram", 1).bitwiseAND(F.lit(int(_TAGS)).cast("bigint")).alias("tag")
+        # Two rows for each tag at most.
+        for row in self.kept.groupBy(_is_word().alias("word"), tag).agg(F.sum(levels).alias("k")).collect():
+            weights[0 if row.word else 1, row.tag] = row.k
         return weights
 
-    def filter_of(self, part: int) -> bloom.Bloom:
-        """The filter of a part, half of whose bits are unset or more."""
-        log2_bits, own = min(self.log2_bits, LEAST_LOG2_BITS), self.kept
-        while self.weights[part] > _room(log2_bits):
-            log2_bits += 1
-        if self.parts > 1:
-            own = own.where((self._of(1) == part) | (~_is_word() & (self._of(1 + _TAG_BITS) == part)))
+    def filters(self) -> Iterator[bloom.Bloom]:
+        """The filters of the parts in turn, half of the bits of each unset or more."""
+        parts = self.parts
 
         def leveled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 level = level_of(batch.column(1).to_numpy()).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(level)], ["key", "level"])
-
-        return bloom.build(own.mapInArrow(leveled, "key bigint, level int"), log2_bits)
+                grams, part = batch.column(0).to_numpy(), np.zeros(len(level), np.int64)
+                if parts:
+                    index, part = parts.of_all(grams.view(np.uint64))
+                    grams, level = grams[index], level[index]
+                columns = [pa.array(grams), pa.array(level), pa.array(part, pa.int32())]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "level", "part"])
+
+        rows = self.kept.mapInArrow(leveled, "key bigint, level int, part int")
+        if not parts:
+            yield bloom.build(rows, self.log2_bits)
+            return
+        # The blocks of all parts are made in one pass over the n-grams.
+        log2_blocks = max(0, self.log2_bits - bloom.BLOCK_BITS)
+        of = F.shiftright("block", log2_blocks).alias("part")
+        filled = bloom.blocks(rows, self.log2_bits, F.col("part")).select("block", "bits", of)
+        filled = staged(filled, "lm-filter", by="part")
+        for part in range(parts.number):
+            yield bloom.assembled(filled.where(F.col("part") == part), self.log2_bits)
 
 
 def train(texts: DataFrame, log2_bits: int = LOG2_FILTER_BITS, table_words: int = TABLE_WORDS) -> tuple[Model, Grams, DataFrame]:
@@ -286,36 +312,118 @@ def train(texts: DataFrame, log2_bits: int = LOG2_FILTER_BITS, table_words: int
     return model, Grams(grams, weight, log2_bits), grams.where(word & (n < frequent))
 
 
-_SCORED = "struct<n_tokens:bigint,n_known:bigint,logs:double,score:double,others:array<bigint>>"
+class _Measured:
+    """The documents of a slice: ``n_tokens``, ``n_known``, ``logs``, and as ``others`` the words not in the model's table."""
+
+    def __init__(self, model: Model, part: Slice):
+        self.tokens, self.pairs, self.row = tokens_of(part)
+        distinct, index = np.unique(self.tokens, return_inverse=True)
+        counts = model.look_up(distinct)
+        known = (counts >= 0)[index]
+        logs = np.where(counts >= 0, np.log10(np.maximum(counts, 0) + ADDED), 0.0)[index]
+        sums = [np.bincount(self.row, some, minlength=part.rows) for some in (None, known, logs)]
+        sizes = np.bincount(self.row[~known], minlength=part.rows)
+        others = _lists(self.tokens[~known], sizes)
+        self.columns = [pa.array(sums[0].astype(np.int64)), pa.array(sums[1].astype(np.int64)), pa.array(sums[2]), others]
+
+
+def _lists(values: np.ndarray, sizes: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), pa.array(values.view(np.int64)))
+
+
+_MEASURES = "n_tokens bigint, n_known bigint, logs double, others array<bigint>"
+_NAMES = [x.split()[0] for x in _MEASURES.split(", ")]
 
 
 def _scores(shared):
+    """Measures and score of each text by a model with a whole filter."""
+    kinds = [pa.int64(), pa.int64(), pa.float64(), pa.list_(pa.int64()), pa.float64()]
+    empty = pa.StructArray.from_arrays([pa.array([], kind) for kind in kinds], [*_NAMES, "score"])
+
     def scored(texts: pa.Array) -> pa.Array:
-        model = shared.value
-        columns: list[list[np.ndarray]] = [[np.zeros(0)] for _ in range(4)]
-        others, sizes = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
+        found = [empty]
         for part in slices(texts):
-            tokens, pairs, row = tokens_of(part)
-            distinct, index = np.unique(tokens, return_inverse=True)
-            counts, rounded = model.look_up(distinct)
-            known = (counts >= 0)[index]
-            logs = np.where(counts >= 0, np.log10(np.maximum(counts, 0) + ADDED), 0.0)[index]
-            # The end token, which each text has, stands before its first word too.
-            first = rounded[np.searchsorted(distinct, _END)]
-            scores = model.log_probabilities(tokens, rounded[index], first, pairs)
-            for column, values in zip(columns, (None, known, logs, scores), strict=True):
-                column.append(np.bincount(row, values, minlength=part.rows))
-            others.append(tokens[~known])
-            sizes.append(np.bincount(row[~known], minlength=part.rows))
-        tokens, known, logs, score = (np.concatenate(c) for c in columns)
-        misses = pa.ListArray.from_arrays(
-            pa.array(np.cumsum(np.concatenate(sizes)), pa.int32()),
-            pa.array(np.concatenate(others).view(np.int64)),
-        )
-        arrays = [pa.array(tokens.astype(np.int64)), pa.array(known.astype(np.int64)), pa.array(logs), pa.array(score), misses]
-        return pa.StructArray.from_arrays(arrays, ["n_tokens", "n_known", "logs", "score", "others"])
+            measured = _Measured(shared.value, part)
+            logs = shared.value.log_probabilities(measured.tokens, measured.pairs)
+            score = pa.array(np.bincount(measured.row, logs, minlength=part.rows))
+            found.append(pa.StructArray.from_arrays([*measured.columns, score], [*_NAMES, "score"]))
+        return pa.concat_arrays(found)
+
+    return F.arrow_udf(scored, f"struct<{_MEASURES.replace(' ', ':').replace(',:', ',')},score:double>")
+
 
-    return F.arrow_udf(scored, _SCORED)
+_DEALT = pa.schema(
+    [("_row", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("logs", pa.float64()),
+     *[(name, pa.list_(pa.int64())) for name in ("others", "rows", "tokens", "pairs")], ("part", pa.int32())]
+)
+_DEALT_DDL = f"_row bigint, {_MEASURES}, rows array<bigint>, tokens array<bigint>, pairs array<bigint>, part int"
+_SUMS = "_row bigint, score double"
+# Stands for a part in the rows of documents.
+_DOCUMENT = -1
+# Tokens that a task probes at once.
+_PROBED_AT_ONCE = 20
+
+
+def _dealt(shared, parts: Parts):
+    """Of ``_row``, a key and a text: a row for each text with its measures, and rows of its slice's tokens for each part."""
+
+    def batch_of(size: int, key: pa.DataType, **columns) -> pa.RecordBatch:
+        schema = _DEALT.append(pa.field("_key", key))
+        arrays = [columns[f.name].cast(f.type) if f.name in columns else pa.nulls(size, f.type) for f in schema]
+        return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key = batch.column(1).type
+            for part in slices(batch.column(2)):
+                own = batch.slice(part.first, part.rows)
+                measured = _Measured(shared.value, part)
+                columns = dict(zip(_NAMES, measured.columns, strict=True), _row=own.column(0), _key=own.column(1))
+                yield batch_of(part.rows, key, part=pa.array(np.full(part.rows, _DOCUMENT)), **columns)
+                of = parts.of(measured.pairs).astype(np.uint16)
+                order, sizes = np.argsort(of, kind="stable"), np.bincount(of)
+                some = np.flatnonzero(sizes)
+                rows = own.column(0).to_numpy()[measured.row]
+                lists = {"rows": rows, "tokens": measured.tokens, "pairs": measured.pairs}
+                lists = {name: _lists(values[order], sizes[some]) for name, values in lists.items()}
+                yield batch_of(len(some), key, part=pa.array(some), **lists)
+
+    return dealt
+
+
+def _part_sums(shared):
+    """What the tokens of a part add to the scores of their rows."""
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = np.cumsum(batch.column(0).value_lengths().to_numpy(zero_copy_only=False))
+            cuts = np.flatnonzero(np.diff((ends - 1) >> _PROBED_AT_ONCE, prepend=-1))
+            for a, b in zip(cuts, np.append(cuts[1:], len(ends)), strict=True):
+                rows, tokens, pairs = (c.flatten().to_numpy() for c in batch.slice(a, b - a).columns)
+                logs = shared.value.log_probabilities(tokens.view(np.uint64), pairs.view(np.uint64))
+                distinct, index = np.unique(rows, return_inverse=True)
+                sums = np.bincount(index, logs, minlength=len(distinct))
+                yield pa.RecordBatch.from_arrays([pa.array(distinct), pa.array(sums)], ["_row", "score"])
+
+    return summed
+
+
+def _scored_in_parts(numbered: DataFrame, key: str, model: Model, grams: Grams) -> DataFrame:
+    """What ``_scores`` gives, with ``_row`` and ``key``, by tokens dealt to the parts of the filter."""
+    spark = numbered.sparkSession
+    kinds = StructType.fromDDL(_DEALT_DDL).add("_key", numbered.schema.fields[1].dataType)
+    shared = spark.sparkContext.broadcast(model)
+    table = staged(numbered.mapInArrow(_dealt(shared, grams.parts), kinds), "lm-dealt", by="part")
+    shared.destroy()
+    path = scratch_path(spark, "lm-sums")
+    for part, filled in enumerate(grams.filters()):
+        shared = spark.sparkContext.broadcast(model.with_filter(filled))
+        own = table.where(F.col("part") == part).select("rows", "tokens", "pairs")
+        own.mapInArrow(_part_sums(shared), _SUMS).write.mode("append").parquet(path)
+        shared.destroy()
+    score = spark.read.schema(_SUMS).parquet(path).groupBy("_row").agg(F.sum("score").alias("score"))
+    documents = table.where(F.col("part") == _DOCUMENT)
+    return documents.join(score, "_row").select("_row", F.col("_key").alias(key), *_NAMES, "score")
 
 
 def score_documents(docs: DataFrame, train_texts: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -325,23 +433,13 @@ def score_documents(docs: DataFrame, train_texts: DataFrame, key: str = "doc_id"
     """
     model, grams, rare = train(train_texts, **options)
     numbered = docs.select(F.monotonically_increasing_id().alias("_row"), key, F.col(text).alias("_text"))
-    if grams.parts > 1:
-        numbered = staged(numbered, "lm-texts")  # each part reads them, and must find the same numbers
-
-    def scored(part: int, *columns: str) -> DataFrame:
-        filled = model.with_part(grams.filter_of(part), part, grams.parts)
-        shared = docs.sparkSession.sparkContext.broadcast(filled)
-        found = numbered.select("_row", key, _scores(shared)(F.col("_text")).alias("_s"))
-        found = staged(found.select("_row", *columns), "lm-scores")
+    if grams.parts:
+        rows = staged(_scored_in_parts(numbered, key, model, grams), "lm-scores")
+    else:
+        shared = docs.sparkSession.sparkContext.broadcast(model.with_filter(next(grams.filters())))
+        rows = numbered.select("_row", key, _scores(shared)(F.col("_text")).alias("_s"))
+        rows = staged(rows.select("_row", key, "_s.*"), "lm-scores")
         shared.destroy()
-        return found
-
-    rows = scored(0, key, "_s.*")
-    if grams.parts > 1:
-        sums = rows.select("_row", "score")
-        for part in range(1, grams.parts):
-            sums = sums.unionByName(scored(part, "_s.score"))
-        rows = rows.drop("score").join(sums.groupBy("_row").agg(F.sum("score").alias("score")), "_row")
     # Words that are not in the table: their counts are joined, and what they add is summed up by document.
     others = rows.select("_row", F.explode("others").alias("gram"))
     n = F.coalesce("n", F.lit(0))

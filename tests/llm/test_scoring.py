@@ -180,3 +180,54 @@ def test_parts_add_up(spark, monkeypatch):
     docs = documents(spark, *texts).repartition(3)
     rows = score_documents(docs, docs.where("doc_id % 4 != 1"), table_words=40, log2_bits=20).collect()
     check(rows, Reference([t for i, t in enumerate(texts) if i % 4 != 1]), texts)
+
+
+@pytest.mark.parametrize("room", [1e9, 6000.0, 1500.0])
+def test_the_number_of_parts_changes_no_score(spark, monkeypatch, room):
+    """One part and many, over texts that repeat, are empty or long; rows without an id are scored too."""
+    monkeypatch.setattr(scoring, "_room", lambda log2_bits: room * 2.0 ** (log2_bits - 20))
+    texts = corpus()
+    docs = documents(spark, *texts).withColumnRenamed("lang", "part").withColumnRenamed("source", "rows").repartition(3)
+    docs = docs.withColumn("doc_id", F.when(F.col("doc_id") != 7, F.col("doc_id")))
+    _, grams, _ = scoring.train(docs, log2_bits=20)
+    if room == 1e9:
+        assert grams.parts is None
+    else:
+        # In the smaller ones a common word, or the end, has too many pairs for one.
+        assert grams.parts.number > (3 if room == 6000.0 else 12)
+        assert (grams.parts.spread > 1) == (room == 1500.0)
+    rows = score_documents(docs, docs, log2_bits=20).collect()
+    reference = Reference(texts)
+    assert sum(r.doc_id is None for r in rows) == 1
+    assert next(r for r in rows if r.doc_id is None).score == pytest.approx(reference.score(texts[7]), rel=1e-4)
+    check([r for r in rows if r.doc_id is not None], reference, {i: t for i, t in enumerate(texts) if i != 7})
+
+
+def test_too_few_parts_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(scoring, "_room", lambda log2_bits: 1.0)
+    docs = documents(spark, *corpus())
+    with pytest.raises(ValueError, match="give more bits"):
+        score_documents(docs, docs, log2_bits=20)
+
+
+def test_packing():
+    """No part beyond its room, every tag in one part or in those that are spread, words of the latter in all of these."""
+    rnd = np.random.default_rng(5)
+    words, pairs = rnd.integers(0, 5, 4096).astype(float), rnd.integers(0, 300, 4096).astype(float)
+    pairs[[17, 900]] = 70_000, 9_000
+    parts, most = scoring._packed(words, pairs, 10_000.0)
+    assert most <= 10_000 and set(np.flatnonzero(parts.own < 0)) == {17, 900}
+    assert parts.packed <= 1.1 * (words + pairs)[parts.own >= 0].sum() / 10_000 + 1
+    assert np.bincount(parts.own[parts.own >= 0], (words + pairs)[parts.own >= 0]).max() <= 10_000
+    grams = rnd.integers(0, 1 << 63, 50_000).astype(np.uint64)
+    grams = np.append(grams, (grams[:20_000] >> np.uint64(13) << np.uint64(13)) | np.uint64(17 << 1 | 1))
+    of = parts.of(grams)
+    assert of.min() >= 0 and of.max() < parts.number
+    counts = np.bincount(of[-20_000:], minlength=parts.number)
+    assert not counts[: parts.packed].any() and counts[parts.packed :].min() > 0.9 * 20_000 / parts.spread
+    index, each = parts.of_all(grams)
+    assert set(zip(range(len(grams)), of.tolist())) <= set(zip(index.tolist(), each.tolist()))
+    heavy = np.flatnonzero((parts.own[(grams >> np.uint64(1)).astype(np.int64) & 4095] < 0) & (grams % 2 == 0))
+    times = np.bincount(index)
+    assert len(heavy) and (times[heavy] == parts.spread).all()
+    assert times.sum() == len(grams) + len(heavy) * (parts.spread - 1)
