@@ -157,14 +157,16 @@ class Model:
         at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
         return np.where(self.words[at] == words, self.counts[at], -1)
 
-    def rounded(self, grams: np.ndarray) -> np.ndarray:
+    def rounded(self, distinct: np.ndarray, index: np.ndarray) -> np.ndarray:
         """The counts of n-grams as the filter has them, each probed once."""
-        distinct, index = np.unique(grams, return_inverse=True)
         return VALUES[self.filled.levels(distinct)][index]
 
-    def log_probabilities(self, tokens: np.ndarray, pairs: np.ndarray) -> np.ndarray:
-        """What tokens of which the filter has all n-grams add to the log10 probability of their texts."""
-        own, together = self.rounded(tokens), self.rounded(pairs)
+    def log_probabilities(self, tokens: tuple[np.ndarray, np.ndarray], pairs: np.ndarray) -> np.ndarray:
+        """What tokens add to the log10 probability of their texts; the filter has all their n-grams.
+
+        ``tokens`` are the distinct ones and the index of each among them.
+        """
+        own, together = self.rounded(*tokens), self.rounded(*np.unique(pairs, return_inverse=True))
         return np.log10(together + PRIOR * (own + ADDED) / self.norm) - np.log10(own + PRIOR)
 
 
@@ -317,7 +319,7 @@ class _Measured:
 
     def __init__(self, model: Model, part: Slice):
         self.tokens, self.pairs, self.row = tokens_of(part)
-        distinct, index = np.unique(self.tokens, return_inverse=True)
+        distinct, index = self.told = np.unique(self.tokens, return_inverse=True)
         counts = model.look_up(distinct)
         known = (counts >= 0)[index]
         logs = np.where(counts >= 0, np.log10(np.maximum(counts, 0) + ADDED), 0.0)[index]
@@ -344,7 +346,7 @@ def _scores(shared):
         found = [empty]
         for part in slices(texts):
             measured = _Measured(shared.value, part)
-            logs = shared.value.log_probabilities(measured.tokens, measured.pairs)
+            logs = shared.value.log_probabilities(measured.told, measured.pairs)
             score = pa.array(np.bincount(measured.row, logs, minlength=part.rows))
             found.append(pa.StructArray.from_arrays([*measured.columns, score], [*_NAMES, "score"]))
         return pa.concat_arrays(found)
@@ -400,7 +402,8 @@ def _part_sums(shared):
             cuts = np.flatnonzero(np.diff((ends - 1) >> _PROBED_AT_ONCE, prepend=-1))
             for a, b in zip(cuts, np.append(cuts[1:], len(ends)), strict=True):
                 rows, tokens, pairs = (c.flatten().to_numpy() for c in batch.slice(a, b - a).columns)
-                logs = shared.value.log_probabilities(tokens.view(np.uint64), pairs.view(np.uint64))
+                tokens = np.unique(tokens.view(np.uint64), return_inverse=True)
+                logs = shared.value.log_probabilities(tokens, pairs.view(np.uint64))
                 distinct, index = np.unique(rows, return_inverse=True)
                 sums = np.bincount(index, logs, minlength=len(distinct))
                 yield pa.RecordBatch.from_arrays([pa.array(distinct), pa.array(sums)], ["_row", "score"])
