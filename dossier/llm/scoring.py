@@ -28,6 +28,7 @@ rows count and are scored each; an empty table gives no rows.
 
 import math
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -150,23 +151,41 @@ class Model:
         model.filled = filled
         return model
 
-    def look_up(self, words: np.ndarray) -> np.ndarray:
-        """The exact counts of the frequent among some words, -1 for others."""
+    def _found(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of some words are frequent, and where these are in the table."""
         if not len(self.words):
-            return np.full(len(words), -1)
+            return np.zeros(len(words), bool), np.zeros(0, np.int64)
         at = np.minimum(np.searchsorted(self.words, words), len(self.words) - 1)
-        return np.where(self.words[at] == words, self.counts[at], -1)
-
-    def rounded(self, distinct: np.ndarray, index: np.ndarray) -> np.ndarray:
-        """The counts of n-grams as the filter has them, each probed once."""
-        return VALUES[self.filled.levels(distinct)][index]
+        known = self.words[at] == words
+        return known, at[known]
 
-    def log_probabilities(self, tokens: tuple[np.ndarray, np.ndarray], pairs: np.ndarray) -> np.ndarray:
-        """What tokens add to the log10 probability of their texts; the filter has all their n-grams.
-
-        ``tokens`` are the distinct ones and the index of each among them.
-        """
-        own, together = self.rounded(*tokens), self.rounded(*np.unique(pairs, return_inverse=True))
+    def look_up(self, words: np.ndarray) -> np.ndarray:
+        """The exact counts of the frequent among some words, -1 for others."""
+        known, at = self._found(words)
+        counts = np.full(len(words), -1)
+        counts[known] = self.counts[at]
+        return counts
+
+    def rounded(self, grams: np.ndarray) -> np.ndarray:
+        """The counts of n-grams as the filter has them."""
+        return VALUES[self.filled.levels(grams)]
+
+    @cached_property
+    def _frequent(self) -> np.ndarray:
+        return self.rounded(self.words)
+
+    def rounded_words(self, words: np.ndarray) -> np.ndarray:
+        """The counts of words as a whole filter has them; the frequent ones are probed once on each worker."""
+        known, at = self._found(words)
+        rounded = np.zeros(len(words))
+        rounded[known] = self._frequent[at]
+        rounded[~known] = self.rounded(words[~known])
+        return rounded
+
+    def log_probabilities(self, own: np.ndarray, pairs: np.ndarray) -> np.ndarray:
+        """What tokens add to the log10 probability of their texts, from their counts and pairs, all in the filter."""
+        distinct, index = np.unique(pairs, return_inverse=True)
+        together = self.rounded(distinct)[index]
         return np.log10(together + PRIOR * (own + ADDED) / self.norm) - np.log10(own + PRIOR)
 
 
@@ -346,7 +365,8 @@ def _scores(shared):
         found = [empty]
         for part in slices(texts):
             measured = _Measured(shared.value, part)
-            logs = shared.value.log_probabilities(measured.told, measured.pairs)
+            distinct, index = measured.told
+            logs = shared.value.log_probabilities(shared.value.rounded_words(distinct)[index], measured.pairs)
             score = pa.array(np.bincount(measured.row, logs, minlength=part.rows))
             found.append(pa.StructArray.from_arrays([*measured.columns, score], [*_NAMES, "score"]))
         return pa.concat_arrays(found)
@@ -402,8 +422,8 @@ def _part_sums(shared):
             cuts = np.flatnonzero(np.diff((ends - 1) >> _PROBED_AT_ONCE, prepend=-1))
             for a, b in zip(cuts, np.append(cuts[1:], len(ends)), strict=True):
                 rows, tokens, pairs = (c.flatten().to_numpy() for c in batch.slice(a, b - a).columns)
-                tokens = np.unique(tokens.view(np.uint64), return_inverse=True)
-                logs = shared.value.log_probabilities(tokens, pairs.view(np.uint64))
+                words, index = np.unique(tokens.view(np.uint64), return_inverse=True)
+                logs = shared.value.log_probabilities(shared.value.rounded(words)[index], pairs.view(np.uint64))
                 distinct, index = np.unique(rows, return_inverse=True)
                 sums = np.bincount(index, logs, minlength=len(distinct))
                 yield pa.RecordBatch.from_arrays([pa.array(distinct), pa.array(sums)], ["_row", "score"])
