@@ -51,6 +51,9 @@ EARLIEST = 64
 PAIRED = 2
 LOG2_FILTER_BITS = 26
 
+# A wide signature has so many numbers of 64 bits.
+WIDE = 8
+
 _LAST = (1 << 63) - 1
 _RARITY_BITS = 8
 _KEEP = np.uint64((1 << (64 - _RARITY_BITS)) - 1)
@@ -330,8 +333,20 @@ def _first_pairs(similarity: float):
     return paired
 
 
+def _wide(tokens: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """For each set a signature of ``WIDE`` numbers, of whose bits each token turns one over."""
+    wide = np.zeros((len(starts) - 1, WIDE), np.int64)
+    if len(tokens):
+        bits = np.uint64(1) << (tokens & np.uint64(63))
+        which = (tokens >> np.uint64(6)) % np.uint64(WIDE)
+        for i in range(WIDE):
+            own = np.where(which == i, bits, np.uint64(0))
+            wide[:, i] = np.bitwise_xor.reduceat(own, starts[:-1]).view(np.int64)
+    return wide
+
+
 def _token_sets(texts: DataFrame, shared, wanted: DataFrame) -> DataFrame:
-    """``klass`` and ``tokens`` of the classes in ``wanted`` (``klass``, ``doc``).
+    """``klass``, ``tokens`` and ``wide`` signature of the classes in ``wanted`` (``klass``, ``doc``).
 
     The documents of their first lines are read again; the rest stays on its task.
     """
@@ -348,13 +363,14 @@ def _token_sets(texts: DataFrame, shared, wanted: DataFrame) -> DataFrame:
                 own = own[new.among(classes[own])]
                 tokens, starts = lines.ordered(rarity, own)
                 sets = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(tokens.view(np.int64)))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(classes[own].view(np.int64)), sets], ["klass", "tokens"]
-                )
+                wide = pa.FixedSizeListArray.from_arrays(pa.array(_wide(tokens, starts).ravel()), WIDE)
+                columns = [pa.array(classes[own].view(np.int64)), sets, wide.cast(pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, ["klass", "tokens", "wide"])
 
     some, _ = bloom.told_apart(texts, "doc", wanted)
-    rows = some.mapInArrow(found, "klass bigint, tokens array<bigint>")
-    return rows.join(wanted, "klass", "left_semi").groupBy("klass").agg(F.any_value("tokens").alias("tokens"))
+    rows = some.mapInArrow(found, "klass bigint, tokens array<bigint>, wide array<bigint>")
+    sets = F.any_value(F.struct("tokens", "wide")).alias("set")
+    return rows.join(wanted, "klass", "left_semi").groupBy("klass").agg(sets).select("klass", "set.*")
 
 
 def _near_enough(a: str, b: str, sizes: Column, similarity: float) -> Column:
@@ -377,6 +393,12 @@ def _likely(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFram
     return joined.select("a", "b", "doc_a", "doc_b", later.alias("later"))
 
 
+def _all_near_enough(a: str, b: str, sizes: Column, similarity: float) -> Column:
+    """``_near_enough`` for wide signatures, by the bits of all their numbers."""
+    apart = sum(F.bit_count(F.get(a, i).bitwiseXOR(F.get(b, i))) for i in range(WIDE))
+    return apart <= F.lit((1 - similarity) / (1 + similarity)) * sizes + 1e-9
+
+
 def _similar(a: str, b: str, similarity: float) -> Column:
     """Whether the Jaccard similarity of two columns of tokens is as asked."""
     both = F.size(F.array_intersect(a, b))
@@ -409,15 +431,15 @@ def _other_links(
     have, by the rarer ones that each brings along: so a pair comes from one token, once.
     """
     first = F.struct("doc", "text_hash", "place").alias("first")
-    known = classes.select("klass", first, "signature").join(sets, "klass").withColumnRenamed("klass", "a")
+    known = classes.select("klass", first).join(sets, "klass").withColumnRenamed("klass", "a")
     rarer = F.slice("tokens", F.lit(1), F.col("i")).alias("rarer")
     # A class may have come to a token from several tasks.
     came = members.groupBy("token", "a", "n", "i").agg(
         F.min("seq").alias("seq"), F.max("seq").alias("last"), F.bool_or("open").alias("open")
     )
-    placed = staged(came.join(known, "a").select(*came.columns, "first", "signature", rarer), "lines-placed")
+    placed = staged(came.join(known, "a").select(*came.columns, "first", "wide", rarer), "lines-placed")
     mine = placed if settled is None else placed.join(settled, "a", "left_anti")
-    renamed = {"a": "b", "i": "j", "n": "m", "first": "first_b", "last": "last_b", "signature": "signature_b", "rarer": "rarer_b"}
+    renamed = {"a": "b", "i": "j", "n": "m", "first": "first_b", "last": "last_b", "wide": "wide_b", "rarer": "rarer_b"}
     others = placed.select("token", *[F.col(x).alias(y) for x, y in renamed.items()])
     n, m, share = F.col("n"), F.col("m"), F.lit(similarity)
     need = F.ceil(share / (1 + share) * (n + m) - 1e-9)
@@ -427,7 +449,7 @@ def _other_links(
     )
     met = mine.join(staged(fitting, "lines-kinds"), ["token", "n", "i"]).join(others, ["token", "m", "j"])
     earlier = (F.col("first_b") < F.col("first")) & (F.col("open") | (F.col("last_b") >= F.col("seq")))
-    near = _near_enough("signature", "signature_b", n + m, similarity)
+    near = _all_near_enough("wide", "wide_b", n + m, similarity)
     found = met.where(earlier & near & ~F.arrays_overlap("rarer", "rarer_b"))
     pairs = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.col("a").alias("later"))
     return _links(staged(pairs, "lines-others"), sets, similarity)

@@ -1,6 +1,7 @@
 import random
 import time
 
+import numpy as np
 import pytest
 
 from dossier.llm import lines
@@ -276,3 +277,19 @@ def test_links_without_rows_or_ids(spark):
     docs = documents(spark, (None, line), (3, "x\n" + line), (4, None), (5, "only here are such words"))
     found = lines.document_report(docs, links=True)
     assert links_of(found) == {None: [(0, 3, 1, 2, 0)], 3: [(1, 3, 1, 2, 0)], 4: [], 5: []}
+
+
+def test_wide_signatures_lose_no_match():
+    """Each differing token turns one bit over, so as many bits differ at most as tokens do."""
+    rnd = np.random.default_rng(3)
+    sets = []
+    for n in (1, 2, 9, 40, 300):
+        one = rnd.integers(0, 1 << 63, n).astype(np.uint64)
+        for differ in (0, 1, n // 5):
+            sets.append((np.append(one[: n - differ], rnd.integers(0, 1 << 63, differ).astype(np.uint64)), one, 2 * differ))
+    for a, b, differ in sets:
+        starts = np.array([0, len(a), len(a) + len(b)])
+        wide = lines._wide(np.concatenate([a, b]), starts).view(np.uint64)
+        bits = sum(int(x).bit_count() for x in wide[0] ^ wide[1])
+        assert bits <= differ and (differ == 0) == (bits == 0)
+    assert lines._wide(np.zeros(0, np.uint64), np.zeros(1, np.int64)).shape == (0, lines.WIDE)
