@@ -443,11 +443,20 @@ def _other_links(
     others = placed.select("token", *[F.col(x).alias(y) for x, y in renamed.items()])
     n, m, share = F.col("n"), F.col("m"), F.lit(similarity)
     need = F.ceil(share / (1 + share) * (n + m) - 1e-9)
-    kinds = mine.select("token", "n", "i").distinct().join(others.select("token", "m", "j").distinct(), "token")
+    # Of either kind of place, what the classes there allow at most.
+    latest = [F.max("first").alias("latest"), F.min("seq").alias("least_seq"), F.bool_or("open").alias("any_open")]
+    earliest = [F.min("first_b").alias("earliest"), F.max("last_b").alias("most_seq")]
+    kinds = mine.groupBy("token", "n", "i").agg(*latest).join(others.groupBy("token", "m", "j").agg(*earliest), "token")
     fitting = kinds.where(F.least(n, m) >= share * F.greatest(n, m) - 1e-9).where(
-        F.least(n - F.col("i"), m - F.col("j")) >= need
+        (F.least(n - F.col("i"), m - F.col("j")) >= need)
+        & (F.col("earliest") < F.col("latest"))
+        & (F.col("any_open") | (F.col("most_seq") >= F.col("least_seq")))
     )
-    met = mine.join(staged(fitting, "lines-kinds"), ["token", "n", "i"]).join(others, ["token", "m", "j"])
+    fitting = staged(fitting.drop("latest", "least_seq", "any_open"), "lines-kinds")
+    # A class goes only to kinds of places where some class is earlier than it.
+    going = (F.col("earliest") < F.col("first")) & (F.col("open") | (F.col("most_seq") >= F.col("seq")))
+    gone = mine.join(fitting, ["token", "n", "i"]).where(going).drop("earliest", "most_seq")
+    met = gone.join(others, ["token", "m", "j"])
     earlier = (F.col("first_b") < F.col("first")) & (F.col("open") | (F.col("last_b") >= F.col("seq")))
     near = _all_near_enough("wide", "wide_b", n + m, similarity)
     found = met.where(earlier & near & ~F.arrays_overlap("rarer", "rarer_b"))
