@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from dossier.operators.staging import staged
 
 MAX_REPEATS = 1_000
+BUCKETS = 1 << 16
 
 # How many tasks share the rows of a key, and which of them gets a row.
 WIDTH = "_width"
@@ -36,6 +37,20 @@ def find_repeats(rows: DataFrame, key: str, max_repeats: int = MAX_REPEATS) -> R
     return Repeats(staged(counts.where(F.col("_rows") > max_repeats).select(key, width), "repeats"))
 
 
+def find_crowded(rows: DataFrame, key: str, most: int) -> Repeats:
+    """``find_repeats`` for keys of very many rows, without the null key: few buckets of keys are counted first.
+
+    Only the keys of buckets of more than ``most`` rows are counted one by one.
+    """
+    keys = rows.select(key).where(F.col(key).isNotNull())
+    bucket = F.pmod(F.xxhash64(key), F.lit(BUCKETS)).alias("_bucket")
+    crowded = keys.groupBy(bucket).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > most)
+    crowded = staged(crowded.select("_bucket"), "crowded")
+    if crowded.isEmpty():
+        return Repeats()
+    return find_repeats(keys.select(key, bucket).join(crowded, "_bucket", "left_semi"), key, most)
+
+
 def dealt_out(rows: DataFrame, key: str, repeats: DataFrame) -> DataFrame:
     """``rows`` with ``SALT``, below their key's width.
 

@@ -1,10 +1,12 @@
 """Documents and scores of random inputs against plain Python."""
 
+import re
 from collections import Counter
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from dossier.operators.repeats import Repeats, find_crowded
 from dossier.plans.documents import build_customer_accounts, build_customer_documents, build_documents
 from dossier.plans.parts import build_document_parts
 from dossier.plans.scoring import (
@@ -100,3 +102,47 @@ def test_parts(spark, cus, acc, adr, part_size):
     linked = {p[1] for p in places if p[-1] in LISTED}
     assert {r.customerId for r in scored.where("linked").collect()} == linked
     assert count_linked_parts(inputs[0], scored, "linked").first()[0] == sum(k in linked for k in cus)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    cus=st.lists(KEYS, min_size=1, max_size=6),
+    acc=st.lists(st.tuples(KEYS, st.sampled_from("123"), st.sampled_from(["7", "8", None])), max_size=20),
+    adr=st.lists(st.tuples(st.sampled_from("12"), KEYS, st.sampled_from(list(TEXTS))), max_size=12),
+    part_size=st.sampled_from([1, 2, 100]),
+)
+def test_parts_of_large_customers_are_those_of_others(spark, cus, acc, adr, part_size):
+    inputs = customers(spark, *cus), accounts(spark, *acc).repartition(3), addresses(spark, *adr).repartition(3)
+
+    def children(**limits):
+        found = {}
+        parts = build_document_parts(*inputs, "lenient", part_size=part_size, **limits).collect()
+        for row in sorted(parts, key=lambda r: r.part):
+            assert 0 < len(row.accounts) + len(row.address) <= part_size and not (row.accounts and row.address)
+            of = found.setdefault(row.customerId, ([], []))
+            of[0].extend(map(plain, row.accounts))
+            of[1].extend(map(plain, row.address))
+        return found
+
+    assert children(max_children=2) == children()
+
+
+def shuffles(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return re.findall(r"Exchange (\w+)\(", plan.split("== Initial Plan ==")[-1])
+
+
+def test_parts_are_grouped_where_their_customers_were_shuffled_to(spark):
+    """One shuffle by customer for each of the two kinds of children and its customers, none of arrays."""
+    rows = [("a", str(i), "7") for i in range(8)]
+    inputs = customers(spark, "a", "b"), accounts(spark, *rows), addresses(spark, ("1", "a", "1, r, c, X"))
+    hints = [x.hint("merge") for x in inputs]
+    parts = build_document_parts(*hints, part_size=3)
+    assert set(shuffles(parts)) == {"hashpartitioning"} and len(shuffles(parts)) == 4
+    assert sorted(len(r.accounts) for r in parts.collect()) == [0, 2, 3, 3]
+
+
+def test_crowded_keys(spark):
+    rows = spark.range(60).selectExpr("CASE WHEN id < 20 THEN 'a' WHEN id < 25 THEN 'b' WHEN id < 50 THEN NULL ELSE 'c' || id END AS k")
+    assert [tuple(r) for r in find_crowded(rows, "k", 6).table.collect()] == [("a", 4)]
+    assert find_crowded(rows, "k", 20) == Repeats() == find_crowded(rows.limit(0), "k", 1)
