@@ -51,6 +51,14 @@ EARLIEST = 64
 PAIRED = 2
 LOG2_FILTER_BITS = 26
 
+# Prefix tokens go to tasks as lists, by buckets of this many tokens. Layout: a task sorts a bucket in memory. One of more
+# than ``MOST_IN_BUCKET`` comes in pieces, which leave all of its classes to the second step.
+PER_BUCKET = 1 << 16
+LEAST_BUCKETS = 1 << 10
+MOST_IN_BUCKET = 1 << 22
+# How many tokens a task deals into buckets at a time.
+DEALT_AT_ONCE = 1 << 20
+
 # A wide signature has so many numbers of 64 bits.
 WIDE = 8
 
@@ -65,9 +73,11 @@ class Tokens:
     def __init__(self, part: Slice):
         words = words_of(part)
         hashes = word_hashes(part.data, words, lower=True)
-        feeds = np.concatenate([[0], np.cumsum(part.data == ord("\n"), dtype=np.int32)])
-        place = feeds[words.starts] - feeds[part.offsets[words.row]]
-        line = feeds[words.starts] + words.row  # another number for each line of the slice
+        feeds = np.flatnonzero(part.data == ord("\n"))
+        before = np.bincount(np.searchsorted(words.starts, feeds), minlength=len(words.starts) + 1)
+        before = np.cumsum(before[:-1], dtype=np.int32)  # line feeds before each word
+        place = before - np.searchsorted(feeds, part.offsets).astype(np.int32)[words.row]
+        line = before + words.row  # another number for each line of the slice
         first = np.flatnonzero(np.diff(line, prepend=-1))
         sizes = np.diff(np.append(first, len(line)))
         line_of = np.repeat(np.arange(len(first), dtype=np.int32), sizes)
@@ -100,29 +110,46 @@ class Tokens:
             return np.zeros(0, np.uint64)
         return mixed(np.add.reduceat(mixed(self.hashes), self.starts[:-1]))
 
-    def ordered(self, rarity: np.ndarray, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def ordered(self, rarity: np.ndarray | None, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The tokens of some lines, each once, rarest first, and where each of these lines starts among them.
 
-        A token is its rarity (common tokens have large ones) followed by 56 bits of its hash.
+        A token is its rarity (common tokens have large ones), if given, followed by 56 bits of its hash.
         """
         sizes = np.diff(self.starts)[lines]
         owner = np.repeat(np.arange(len(lines)), sizes)
-        own = np.repeat(self.starts[:-1][lines] - (np.cumsum(sizes) - sizes), sizes) + np.arange(len(owner))
+        starts = np.cumsum(sizes) - sizes
+        own = np.repeat(self.starts[:-1][lines] - starts, sizes) + np.arange(len(owner))
         hashes = self.hashes[own]
-        entry = (hashes >> np.uint64(64 - LOG2_ENTRIES)).astype(np.int64)
-        tokens = (rarity[entry] << np.uint64(64 - _RARITY_BITS)) | (hashes & _KEEP)
-        order = np.argsort(tokens)
-        # Small numbers are sorted by radix.
-        few = owner.astype(np.uint16) if len(lines) < 1 << 16 else owner
-        order = order[np.argsort(few[order], kind="stable")]
-        tokens, owner = tokens[order], owner[order]
+        tokens = hashes & _KEEP
+        if rarity is not None:
+            tokens |= rarity[hashes >> np.uint64(64 - LOG2_ENTRIES)] << np.uint64(64 - _RARITY_BITS)
+        _sort_each(tokens, starts, sizes)
         once = np.ones(len(tokens), bool)
         once[1:] = (tokens[1:] != tokens[:-1]) | (owner[1:] != owner[:-1])
+        if once.all():
+            return tokens, np.append(starts, len(tokens))
         tokens, owner = tokens[once], owner[once]
         return tokens, np.searchsorted(owner, np.arange(len(lines) + 1))
 
 
-_LINES = "doc bigint, text_hash bigint, place int, klass bigint, n int, signature bigint, short boolean"
+def _sort_each(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> None:
+    """Sorts, in place, each of the stretches of so many ``sizes`` that begin at ``starts``.
+
+    Those of up to 8, 16, 32 ... values are rows of one table, filled up at their ends.
+    """
+    bands = np.ceil(np.log2(np.maximum(sizes, 8))).astype(np.int64)
+    for band in np.unique(bands[sizes > 1]).tolist():
+        some = np.flatnonzero(bands == band)
+        at = np.arange(1 << band)
+        used = at < sizes[some][:, None]
+        places = (starts[some][:, None] + at)[used]
+        table = np.full(used.shape, np.iinfo(values.dtype).max, values.dtype)
+        table[used] = values[places]
+        table.sort(axis=1)
+        values[places] = table[used]
+
+
+_LINES = "doc bigint, text_hash bigint, place int, klass bigint, n int, signature bigint, short boolean, counts array<bigint>"
 
 
 def _doc(key: str) -> Column:
@@ -133,29 +160,24 @@ def _text_hash(text: str) -> Column:
     return F.xxhash64(F.col(text)).alias("text_hash")
 
 
-def _signatures(lines: Tokens, unranked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _signatures(lines: Tokens) -> tuple[np.ndarray, np.ndarray]:
     """For each line how many different tokens it has, and 64 bits: each token turns one over.
 
     So sets differ in at least as many tokens as bits.
     """
-    tokens, starts = lines.hashes, lines.starts
-    sizes = np.diff(starts)
-    # Seldom does a line repeat a run of its own; only then is more to do than to look.
-    owner = np.repeat(np.arange(len(sizes), dtype=np.uint64), sizes)
-    told = np.sort(mixed(tokens ^ (owner << np.uint64(40))))
-    if (told[1:] == told[:-1]).any():
-        tokens, starts = lines.ordered(unranked, np.arange(len(sizes)))
+    tokens, starts = lines.ordered(None, np.arange(len(lines.starts) - 1))
     bits = np.uint64(1) << (tokens & np.uint64(63))
     return np.diff(starts), np.bitwise_xor.reduceat(bits, starts[:-1]) if len(tokens) else bits
 
 
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All lines with words: class, number of tokens, signature; at the end, the task's counts of tokens.
+    """All lines with words: class, number of tokens, signature; at the end, the task's ``counts`` of tokens.
 
-    Counts are rows of place -1, with the count for ``doc`` and the entry for ``klass``.
+    These are a row of place -1, with the count of each entry in order.
     """
     names, kinds = zip(*[x.split() for x in _LINES.split(", ")], strict=True)
-    kinds = [{"bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}[x] for x in kinds]
+    numbers = {"bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}
+    kinds = [numbers.get(x, pa.list_(pa.int64())) for x in kinds]
 
     def batch_of(*columns):
         return pa.RecordBatch.from_arrays(
@@ -163,13 +185,12 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
     totals = np.zeros(1 << LOG2_ENTRIES, np.int64)
-    unranked = np.zeros(len(totals), np.uint64)
     for batch in batches:
         docs, hashes = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 2))
         for part in slices(batch.column(1)):
             lines = Tokens(part)
             totals += np.bincount(lines.entries(), minlength=len(totals))
-            sizes, signatures = _signatures(lines, unranked)
+            sizes, signatures = _signatures(lines)
             yield batch_of(
                 docs[part.first + lines.row],
                 hashes[part.first + lines.row],
@@ -178,18 +199,18 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 sizes,
                 signatures.view(np.int64),
                 lines.words < SHORT_WORDS,
+                pa.nulls(len(sizes), kinds[-1]),
             )
-    some = np.flatnonzero(totals)
-    zero = np.zeros(len(some), np.int64)
-    yield batch_of(totals[some], zero, zero - 1, some, zero, zero, zero > 0)
+    yield batch_of([0], [0], [-1], [0], [0], [0], [False], [totals])
 
 
-def _rarity(listed: DataFrame) -> np.ndarray:
-    """The rarity of each entry of the table: its count over all texts on a logarithmic scale."""
-    table = listed.where("place = -1").groupBy("klass").agg(F.sum("doc").alias("n")).toArrow()
+def _rarity(listed: DataFrame) -> tuple[np.ndarray, int]:
+    """The rarity of each entry of the table: its count over all texts on a logarithmic scale; and the number of all tokens."""
+    counts = listed.where("place = -1").select(F.posexplode("counts").alias("entry", "n"))
+    table = counts.groupBy("entry").agg(F.sum("n").alias("n")).toArrow()
     totals = np.zeros(1 << LOG2_ENTRIES, np.int64)  # the table has a row for each entry at most
-    totals[table.column("klass").to_numpy()] = table.column("n").to_numpy()
-    return np.minimum(np.log2(totals + 1) * 6, (1 << _RARITY_BITS) - 1).astype(np.uint64)
+    totals[table.column("entry").to_numpy()] = table.column("n").to_numpy()
+    return np.minimum(np.log2(totals + 1) * 6, (1 << _RARITY_BITS) - 1).astype(np.uint64), int(totals.sum())
 
 
 def _prefix(sizes: np.ndarray, similarity: float) -> np.ndarray:
@@ -213,17 +234,37 @@ class _New:
         return np.array(new, np.int64)
 
 
-# ``size_at``: the number of tokens, and in the lower half the place of this one among them, from the rarest.
-_DEALT = "token bigint, klass bigint, size_at bigint, doc bigint"
+# ``size_at``: the number of tokens, and in the lower half the place of this one among them, from the rarest. Lists of
+# 64-bit numbers.
+_DEALT = "bucket bigint, tokens binary, classes binary, size_at binary, docs binary"
 _HALF = 32
 
 
+def _buckets(tokens: int, similarity: float) -> int:
+    """Into how many buckets the prefixes of lines of so many ``tokens`` in all are dealt, a power of two."""
+    return max(LEAST_BUCKETS, 1 << min(30, int(tokens * (1 - similarity) / PER_BUCKET).bit_length()))
+
+
 def _fewest(similarity: float) -> int:
     """The least number of tokens with which a set can match another one: a set of one token more that holds it."""
     return next(n for n in range(1, 1 << 20) if n >= similarity * (n + 1) - 1e-9)
 
 
-def _prefixes(shared, similarity: float):
+def _in_buckets(columns: list[np.ndarray], buckets: int) -> pa.RecordBatch:
+    """Rows of ``_DEALT``, one for each bucket of the tokens, which are the first of ``columns``."""
+    bucket = columns[0] & (buckets - 1)
+    # Small numbers are sorted by radix.
+    order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
+    bucket = bucket[order]
+    first = np.flatnonzero(np.diff(bucket, prepend=-1))
+    offsets = pa.py_buffer((8 * np.append(first, len(order))).astype(np.int32))
+    lists = [
+        pa.Array.from_buffers(pa.binary(), len(first), [None, offsets, pa.py_buffer(c[order])]) for c in columns
+    ]
+    return pa.RecordBatch.from_arrays([pa.array(bucket[first]), *lists], [x.split()[0] for x in _DEALT.split(", ")])
+
+
+def _prefixes(shared, buckets: int, similarity: float):
     """The rarest tokens of each class, with the document of the first of its lines that the task meets.
 
     A class of so few tokens that it matches no other meets none.
@@ -232,6 +273,7 @@ def _prefixes(shared, similarity: float):
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rarity, new = shared.value, _New()
+        held, n_held = [], 0
         for batch in batches:
             docs = batch.column(0).to_numpy(zero_copy_only=False)
             for part in slices(batch.column(1)):
@@ -251,12 +293,52 @@ def _prefixes(shared, similarity: float):
                     np.repeat(sizes << _HALF, lengths) | at,
                     np.repeat(docs[part.first + lines.row[own]], lengths),
                 ]
-                names = [x.split()[0] for x in _DEALT.split(", ")]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
+                held.append(columns)
+                n_held += len(at)
+                if n_held >= DEALT_AT_ONCE:
+                    yield _in_buckets([np.concatenate(c) for c in zip(*held, strict=True)], buckets)
+                    held, n_held = [], 0
+        if n_held:
+            yield _in_buckets([np.concatenate(c) for c in zip(*held, strict=True)], buckets)
 
     return dealt
 
 
+def _numbers(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The 64-bit numbers of a column of lists one after another, and where each list starts among them."""
+    _, offsets, data = lists.buffers()
+    wide = np.int64 if pa.types.is_large_binary(lists.type) else np.int32
+    offsets = np.frombuffer(offsets, wide)[lists.offset : lists.offset + len(lists) + 1].astype(np.int64)
+    numbers = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]].view(np.int64)
+    return numbers, (offsets - offsets[0]) // 8
+
+
+def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[np.ndarray], bool]]:
+    """The columns of each bucket, whose rows follow each other, and whether it is whole; else one of its pieces."""
+    bucket, held, n_held, whole = None, [], 0, True
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        ids = batch.column(0).to_numpy()
+        columns = [_numbers(c) for c in batch.columns[1:]]
+        starts = columns[0][1]
+        cuts = np.concatenate([[0], np.flatnonzero(ids[1:] != ids[:-1]) + 1, [len(ids)]]).tolist()
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if ids[a] != bucket:
+                if n_held:
+                    yield [np.concatenate(c) for c in zip(*held, strict=True)], whole
+                bucket, held, n_held, whole = ids[a], [], 0, True
+            for x in range(starts[a], starts[b], MOST_IN_BUCKET):
+                y = min(x + MOST_IN_BUCKET, starts[b])
+                if n_held + y - x > MOST_IN_BUCKET:
+                    yield [np.concatenate(c) for c in zip(*held, strict=True)], False
+                    held, n_held, whole = [], 0, False
+                held.append([c[x:y] for c, _ in columns])
+                n_held += y - x
+    if n_held:
+        yield [np.concatenate(c) for c in zip(*held, strict=True)], whole
+
+
 def _may_match(n: int, i: int, m: int, j: int, similarity: float) -> bool:
     """Whether sets of ``n`` and ``m`` tokens can match if the first they share is the i-th and j-th."""
     need = math.ceil(similarity / (1 + similarity) * (n + m) - 1e-9)
@@ -299,32 +381,34 @@ class _Met:
 
 
 def _first_pairs(similarity: float):
-    """Over prefix tokens in order of token: pairs with the first classes of each token that come.
+    """Over buckets of prefix tokens: pairs with the first classes of each token that come.
 
-    Within a batch those of a token come in order of documents, so that the first
-    are mostly the earliest; which they are changes costs alone. Where some class
-    could match more than it was paired with, it is ``open``, and all classes of
-    its token are handed on with ``token``, without ``b``.
+    Those of a token come in order of documents, so that the first are the
+    earliest. Where some class could match more than it was paired with, it is
+    ``open``, and all classes of its token are handed on with ``token``, without
+    ``b``. So are all classes of a bucket that is too large to be whole.
     """
 
     def paired(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        met = _Met(0)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            tokens, classes, size_at, docs = (c.to_numpy() for c in batch.columns)
+        for (tokens, classes, size_at, docs), whole in _by_bucket(batches):
+            order = np.argsort(tokens)
+            tokens, classes = tokens[order], classes[order]
             cuts = np.concatenate([[0], np.flatnonzero(tokens[1:] != tokens[:-1]) + 1, [len(tokens)]])
-            # A token of one class pairs nothing, unless it goes on in the next batch.
+            # A token of one class pairs nothing, unless others come with another piece.
             alone = np.minimum.reduceat(classes, cuts[:-1]) == np.maximum.reduceat(classes, cuts[:-1])
-            alone[[0, -1]] = False
+            alone &= whole
             rows: list[tuple] = []
             for a, b in zip(cuts[:-1][~alone].tolist(), cuts[1:][~alone].tolist(), strict=True):
-                if (token := int(tokens[a])) != met.token:
-                    met = _Met(token)
-                order = a + np.lexsort((classes[a:b], docs[a:b]))
-                sizes, at = size_at[order] >> _HALF, size_at[order] & ((1 << _HALF) - 1)
-                for one in zip(classes[order].tolist(), sizes.tolist(), at.tolist(), strict=True):
-                    rows += met.meet(*one, similarity)
+                own = order[a:b]
+                known = classes[a:b]
+                turn = np.lexsort((known, docs[own]))
+                sizes, at = size_at[own[turn]] >> _HALF, size_at[own[turn]] & ((1 << _HALF) - 1)
+                met = _Met(int(tokens[a]))
+                for klass, n, i in zip(known[turn].tolist(), sizes.tolist(), at.tolist(), strict=True):
+                    if whole:
+                        rows += met.meet(klass, n, i, similarity)
+                    else:
+                        rows.append((klass, None, met.token, n, i, 0, True))
             found = list(zip(*rows, strict=True)) or [[]] * len(_FOUND_SCHEMA)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(found, _FOUND_SCHEMA, strict=True)], schema=_FOUND_SCHEMA
@@ -416,10 +500,10 @@ def _each_once(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _other_links(
+def _other_pairs(
     members: DataFrame, settled: DataFrame | None, classes: DataFrame, sets: DataFrame, similarity: float
 ) -> DataFrame:
-    """Links of the classes that are not ``settled`` to every earlier class of their tokens not yet paired with them.
+    """The classes that are not ``settled`` with every earlier class of their tokens that they may match, not yet paired.
 
     Without ``settled`` those of all classes. Earlier by their first lines. The order in which a token's classes came may
     be another, and only says which pairs there are: a class that is not ``open`` has been paired with all that came
@@ -461,7 +545,7 @@ def _other_links(
     near = _all_near_enough("wide", "wide_b", n + m, similarity)
     found = met.where(earlier & near & ~F.arrays_overlap("rarer", "rarer_b"))
     pairs = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.col("a").alias("later"))
-    return _links(staged(pairs, "lines-others"), sets, similarity)
+    return staged(pairs, "lines-others")
 
 
 _LINE = ["doc", "text_hash", "place"]
@@ -506,12 +590,13 @@ def joined_lines(
     """
     texts = docs.select(_doc(key), F.col(text).alias("text"), _text_hash(text))
     listed = staged(texts.mapInArrow(_listed, _LINES), "lines")
-    lines = listed.where("place >= 0")
-    shared = docs.sparkSession.sparkContext.broadcast(_rarity(listed))
+    lines = listed.where("place >= 0").drop("counts")
+    rarity, n_tokens = _rarity(listed)
+    shared = docs.sparkSession.sparkContext.broadcast(rarity)
     dealt = (
-        texts.mapInArrow(_prefixes(shared, similarity), _DEALT)
-        .repartition("token")
-        .sortWithinPartitions("token")  # one number: sorted by its digits
+        texts.mapInArrow(_prefixes(shared, _buckets(n_tokens, similarity), similarity), _DEALT)
+        .repartition("bucket")
+        .sortWithinPartitions("bucket")
     )
     found = staged(dealt.mapInArrow(_first_pairs(similarity), _FOUND), "lines-found")
     classes, several = _classes(lines)
@@ -527,11 +612,16 @@ def joined_lines(
     more = members.select(F.col("a").alias("klass")).distinct().join(near.select("klass", "doc"), "klass")
     wanted = staged(ends.union(more).distinct(), "lines-wanted")
     sets = staged(_token_sets(texts, shared, wanted), "lines-sets")
-    links = staged(_links(likely, sets, similarity), "lines-links")
-    settled = None if all_links else links.select(F.col("later").alias("a")).distinct()
-    others = _other_links(members, settled, near, sets, similarity).join(links, ["a", "b"], "left_anti")
-    links = links.union(staged(others, "lines-links"))
-    return Joined(lines, classes, several, near, links)
+    first = likely.select("a", "b", "later")
+    if all_links:
+        # Nothing is settled before the second step, so the pairs of both are compared at once.
+        pairs = first.union(_other_pairs(members, None, near, sets, similarity)).distinct()
+        return Joined(lines, classes, several, near, staged(_links(pairs, sets, similarity), "lines-links"))
+    links = staged(_links(first, sets, similarity), "lines-links")
+    settled = links.select(F.col("later").alias("a")).distinct()
+    others = _other_pairs(members, settled, near, sets, similarity)
+    others = _links(others, sets, similarity).join(links, ["a", "b"], "left_anti")
+    return Joined(lines, classes, several, near, links.union(staged(others, "lines-links")))
 
 
 def noted_lines(joined: Joined) -> DataFrame:
