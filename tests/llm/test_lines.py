@@ -2,6 +2,7 @@ import random
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from dossier.llm import lines
@@ -293,3 +294,62 @@ def test_wide_signatures_lose_no_match():
         bits = sum(int(x).bit_count() for x in wide[0] ^ wide[1])
         assert bits <= differ and (differ == 0) == (bits == 0)
     assert lines._wide(np.zeros(0, np.uint64), np.zeros(1, np.int64)).shape == (0, lines.WIDE)
+
+
+def test_each_stretch_is_sorted_by_itself():
+    rnd = np.random.default_rng(5)
+    sizes = np.concatenate([[1, 8, 9, 0, 300], rnd.integers(1, 70, 60)])
+    values = rnd.integers(0, 1 << 63, sizes.sum(), dtype=np.uint64)
+    values[3] = np.iinfo(np.uint64).max
+    starts = np.cumsum(sizes) - sizes
+    expected = np.concatenate([np.sort(values[a : a + n]) for a, n in zip(starts, sizes, strict=True)])
+    lines._sort_each(values, starts, sizes)
+    assert (values == expected).all()
+
+
+def dealt_batches(rows, buckets, at_once):
+    columns = [np.array(c, np.int64) for c in zip(*rows, strict=True)]
+    table = pa.Table.from_batches(
+        [lines._in_buckets([c[i : i + at_once] for c in columns], buckets) for i in range(0, len(rows), at_once)]
+    )
+    return table.sort_by("bucket").combine_chunks()
+
+
+@pytest.mark.parametrize("most", [1, 5, 1 << 22])
+def test_buckets_in_pieces_lose_no_class(monkeypatch, most):
+    """Rows of a bucket come together, whatever the batches; of one too large all classes go to the second step."""
+    monkeypatch.setattr(lines, "MOST_IN_BUCKET", most)
+    rnd = random.Random(most)
+    rows = [(rnd.randrange(9), rnd.randrange(1000), 20 << 32 | rnd.randrange(3), rnd.randrange(50)) for _ in range(200)]
+    table = dealt_batches(rows, 4, 70)
+    assert table.num_rows == 4 * 3  # a row for each bucket and dealing, not for each token
+    for size in (1, 5, 100):
+        pieces = list(lines._by_bucket(iter(table.to_batches(max_chunksize=size))))
+        assert all(len(columns[0]) <= most and whole == (most > 200) for columns, whole in pieces)
+        assert sorted(x for columns, _ in pieces for x in zip(*[c.tolist() for c in columns], strict=True)) == sorted(rows)
+    batches = lines._first_pairs(0.8)(iter(table.to_batches(max_chunksize=5)))
+    found = [r for b in batches for r in b.to_pylist()]
+    if most < 200:
+        assert {(r["token"], r["a"]) for r in found if r["open"]} == {r[:2] for r in rows}
+    else:
+        assert any(r["b"] is not None for r in found)
+
+
+def test_query_of_buckets_in_pieces(spark, monkeypatch):
+    """Links of all lines where every bucket is too large."""
+    cut = lines._by_bucket
+
+    def pieces(batches):
+        return (([c[i : i + 2] for c in columns], False) for columns, _ in cut(batches) for i in range(0, len(columns[0]), 2))
+
+    monkeypatch.setattr(lines, "_by_bucket", pieces)
+    rows = corpus(random.Random(31), 30)
+    for all_links in (True, False):
+        report = lines.document_report(documents(spark, *rows).repartition(3), links=all_links)
+        if all_links:
+            assert links_of(report) == expected_links(rows)
+        else:
+            removed = {r.doc_id: r.removed_lines for r in report.collect()}
+    monkeypatch.undo()
+    plain = lines.document_report(documents(spark, *rows).repartition(3))
+    assert removed == {r.doc_id: r.removed_lines for r in plain.collect()}
